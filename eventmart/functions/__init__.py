@@ -1,0 +1,11 @@
+from eventmart.functions.columns import (  # noqa: F401
+    clean_text,
+    count_where,
+    event_date,
+    guarded_ratio,
+    null_safe_differs,
+    pct,
+    split_part,
+    surrogate_key,
+    thousands,
+)
