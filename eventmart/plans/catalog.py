@@ -334,3 +334,7 @@ def q_scd2_snapshot(spark, sf_dir):
     h1 = scd2.snapshot(None, t1, "c_custkey", ["c_mktsegment"], dt.datetime(2024, 1, 1))
     h2 = scd2.snapshot(h1, t2, "c_custkey", ["c_mktsegment"], dt.datetime(2024, 1, 2))
     return h2.select("c_custkey", "c_mktsegment", "valid_from", "valid_to")
+
+
+# storage- and stream-backed keys register themselves on import
+from eventmart.plans import catalog_stateful  # noqa: E402,F401

@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -71,10 +71,24 @@ class VersionedTable:
         self.commit_root = f"{self.root}/commits"
         self._partition_by = partition_by
         self.rebalance = rebalance
+        self._commit_cache: list[dict] | None = None
+        # test hook: fault(version, stage) is called after the data of a
+        # version is written ("data") and after its commit row is ("commit"),
+        # to simulate a crash at either point
+        self.fault: Callable[[int, str], None] | None = None
 
     # ------------------------------------------------------------------ metadata
-    def commits(self) -> list[dict]:
-        """Committed versions in order (metadata only: one small row each)."""
+    def commits(self, refresh: bool = False) -> list[dict]:
+        """Committed versions in order (metadata only: one small row each).
+
+        Read once per instance and then kept up to date by this instance's
+        own commits (single writer per table); ``refresh=True`` re-reads.
+        """
+        if self._commit_cache is None or refresh:
+            self._commit_cache = self._read_commits()
+        return list(self._commit_cache)
+
+    def _read_commits(self) -> list[dict]:
         if not path_exists(self.spark, self.commit_root):
             return []
         df = self.spark.read.schema(COMMIT_DDL).parquet(self.commit_root)
@@ -130,7 +144,7 @@ class VersionedTable:
             raise VersionExpired(f"version {version} was expired (oldest readable: {floor})")
         schema = StructType.fromJson(json.loads(upto[-1]["schema_json"]))
         part = self.partition_by
-        with_rows = [c["version"] for c in upto if c["num_output_rows"]]
+        with_rows = [c["version"] for c in upto if c["num_output_rows"] and c["version"] >= floor]
         if not with_rows:
             return self.spark.createDataFrame([], schema)
         read_schema = StructType(list(schema.fields) + [StructField(VERSION_COL, IntegerType())])
@@ -164,13 +178,14 @@ class VersionedTable:
     def _commit(self, df: DataFrame, operation: str, replaced: Sequence[str] = (),
                 replaces_null: bool = False, replaces_all: bool = False,
                 query_id: str | None = None, batch_id: int | None = None,
-                num_input_rows: int | None = None, min_readable: int | None = None) -> int:
+                num_input_rows: int | None = None, min_readable: int | None = None,
+                known_rows: int | None = None) -> int:
         commits = self.commits()
         n = commits[-1]["version"] + 1 if commits else 0
         part = self.partition_by
         schema = df.schema
-        obs = Observation(f"write_v{n}")
-        out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+        obs = Observation(f"write_v{n}") if known_rows is None else None
+        out = df.observe(obs, F.count(F.lit(1)).alias("rows")) if obs is not None else df
         if part and self.rebalance:
             # AQE-aware: balances file sizes per partition value and splits a
             # hot value over several tasks instead of one.
@@ -179,7 +194,9 @@ class VersionedTable:
         if part:
             w = w.partitionBy(part)
         w.parquet(f"{self.data_root}/{VERSION_COL}={n}")
-        written = int(obs.get.get("rows", 0))
+        written = int(obs.get.get("rows", 0)) if obs is not None else known_rows
+        if self.fault is not None:
+            self.fault(n, "data")
         row = {
             "version": n,
             "committed_at": dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
@@ -193,13 +210,16 @@ class VersionedTable:
         }
         commit_df = self.spark.createDataFrame([row], StructType.fromDDL(COMMIT_DDL))
         commit_df.coalesce(1).write.mode("overwrite").parquet(f"{self.commit_root}/{VERSION_COL}={n}")
+        self._commit_cache = commits + [row]
+        if self.fault is not None:
+            self.fault(n, "commit")
         return n
 
     def create_if_missing(self, schema: StructType) -> bool:
         """Bootstrap an empty version 0 with the given schema; False if it exists."""
         if self.exists():
             return False
-        self._commit(self.spark.createDataFrame([], schema), "CREATE")
+        self._commit(self.spark.createDataFrame([], schema), "CREATE", known_rows=0)
         return True
 
     def append(self, df: DataFrame, **meta) -> int:
