@@ -41,18 +41,26 @@ def split_null_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Data
 
 
 def merge_insert_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str],
-                      broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                      broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+                      batch_rows: int | None = None, batch_unique: bool = False) -> DataFrame:
     """Rows of ``batch`` whose key is not in ``target`` (one row per key).
 
     The batch is deduplicated on the key first, so a batch holding the same
     new key twice inserts it once. Null keys are dropped (see
-    ``split_null_keys``).
+    ``split_null_keys``). ``batch_rows``, when the caller already knows the
+    batch size, stands in for the bounded count; ``batch_unique`` skips the
+    dedup shuffle when the batch is already key-unique (a stream deduplicated
+    on the key).
     """
     keys = list(keys)
-    batch = batch.filter(not_null_keys(keys)).dropDuplicates(keys)
+    batch = batch.filter(not_null_keys(keys))
+    if not batch_unique:
+        batch = batch.dropDuplicates(keys)
     target_keys = target.select(*keys)
     batch_keys = batch.select(*keys)
-    if broadcast_rows and at_most(batch_keys, broadcast_rows):
+    small = broadcast_rows and (batch_rows <= broadcast_rows if batch_rows is not None
+                                else at_most(batch_keys, broadcast_rows))
+    if small:
         # Build side = the small batch: find which of its keys the target
         # holds by streaming the target past a broadcast of the batch keys,
         # then drop those from the batch (also a broadcast: a subset of them).

@@ -155,13 +155,14 @@ def _line(ev: DataFrame):
     return F.to_json(F.struct(*[F.col(c) for c in ev.columns if not c.startswith("_")]), LINE_OPTIONS)
 
 
-def _stream_days(spark, sf_dir, name, extra_copies=None):
-    """The events as stream delivery files, one segment per UTC day in day
-    order (a day spans less than the 26-hour watermark, so no row is late)."""
+def _stream_blocks(spark, sf_dir, name, extra_copies=None, days_per_file=5):
+    """The events as stream delivery files, one file per block of UTC days in
+    time order; a file arrives whole in one micro-batch, so no row is late."""
     ev = events(spark, sf_dir)
     src = ev if extra_copies is None else ev.unionByName(extra_copies(ev))
     path = scratch_path(spark, name)
-    lines = src.select(F.dayofmonth("ts").alias("_seg"), _line(ev).alias("value"))
+    block = F.floor((F.dayofmonth("ts") - 1) / days_per_file)
+    lines = src.select(block.alias("_seg"), _line(ev).alias("value"))
     write_segments(lines, path, "_seg")
     return path
 
@@ -171,7 +172,7 @@ def _stream_output(df: DataFrame) -> DataFrame:
                      event_date("ts").alias("event_date"))
 
 
-def _ingest(spark, landing, table_root, checkpoint, cap=4, fault=None):
+def _ingest(spark, landing, table_root, checkpoint, cap=1, fault=None):
     t = VersionedTable(spark, table_root, partition_by="event_date")
     t.fault = fault
     raw = stream_source(spark, "files", path=landing, cap=cap)
@@ -185,7 +186,7 @@ STREAM_ORACLE = "select event_id, user_id, event_type, ts from events"
 
 @register("stream_dedup_merge", STREAM_ORACLE)
 def q_stream_dedup_merge(spark, sf_dir):
-    landing = _stream_days(spark, sf_dir, "dedup_landing",
+    landing = _stream_blocks(spark, sf_dir, "dedup_landing",
                            extra_copies=lambda ev: ev.filter(F.col("event_id") % 3 == 0))
     t, _ = _ingest(spark, landing, scratch_path(spark, "dedup_table"),
                    scratch_path(spark, "dedup_ckpt"))
@@ -198,7 +199,7 @@ class InjectedFailure(RuntimeError):
 
 @register("stream_restart", STREAM_ORACLE)
 def q_stream_restart(spark, sf_dir):
-    landing = _stream_days(spark, sf_dir, "restart_landing")
+    landing = _stream_blocks(spark, sf_dir, "restart_landing")
     root, ckpt = scratch_path(spark, "restart_table"), scratch_path(spark, "restart_ckpt")
     fired = []
 
@@ -233,7 +234,7 @@ def q_late_rate(spark, sf_dir):
         .withColumn("event_id", -F.col("event_id") - 1).withColumn("_seg", F.lit(4))
     lines = on_time.unionByName(late).select("_seg", _line(ev).alias("value"))
     landing = scratch_path(spark, "late_landing")
-    write_segments(lines.coalesce(1), landing, "_seg")
+    write_segments(lines, landing, "_seg")
     t = VersionedTable(spark, scratch_path(spark, "late_table"), partition_by="event_date")
     raw = stream_source(spark, "files", path=landing, cap=1)
     stream = build_stream(raw, STREAM_LINE_SCHEMA, ["event_id"], "ts", delay="1 day")
@@ -274,6 +275,7 @@ def fixture_day_config() -> DayConfig:
         contract=StructType.fromDDL("event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type STRING"),
         staging=staging, fact=fact, fact_keys=["event_id"], fact_mark_col="event_date",
         fact_tests=lambda df: [Q.not_null("event_id"), Q.unique("event_id")],
+        files_per_segment=5,   # five day-files per delivery file
     )
 
 

@@ -46,7 +46,8 @@ class DayConfig:
     fact_mark_col: str
     fact_tests: Callable[[DataFrame], list] = field(default=lambda df: [])
     watermark: str = "26 hours"
-    files_per_trigger: int = 4
+    files_per_trigger: int = 1
+    files_per_segment: int = 1
 
 
 @dataclass
@@ -78,7 +79,7 @@ class Workspace:
 def run_day(spark: SparkSession, raw_paths: Sequence[str], ws: Workspace, cfg: DayConfig,
             run_id: str) -> DayResult:
     landing = f"{ws.landing}/{run_id}"
-    sent = replay(spark, raw_paths, landing)
+    sent = replay(spark, raw_paths, landing, files_per_segment=cfg.files_per_segment)
 
     events = VersionedTable(spark, ws.events, partition_by=cfg.partition_col)
     quarantine = VersionedTable(spark, ws.quarantine, partition_by=None)

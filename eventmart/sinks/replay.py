@@ -40,29 +40,37 @@ def _send(df: DataFrame, dest: str | None, topic: str | None, bootstrap: str | N
 
 
 def replay(spark: SparkSession, paths: Sequence[str], dest: str | None = None, limit: int = 0,
-           topic: str | None = None, bootstrap: str | None = None) -> int:
+           topic: str | None = None, bootstrap: str | None = None,
+           files_per_segment: int = 1) -> int:
     """Send the lines of ``paths`` (in sorted order) to ``dest`` or ``topic``.
 
+    Consecutive source files are grouped ``files_per_segment`` at a time;
+    each group becomes one delivery file, appended after the previous one, so
+    a file stream consumes the archive in order and a whole segment always
+    lands in one micro-batch (nothing inside a segment can be judged late).
     ``limit`` = 0 sends everything. Returns the number of lines sent.
     """
+    ordered = sorted(paths)
+    step = max(1, int(files_per_segment))
     sent = 0
-    for path in sorted(paths):
-        lines = clean_lines(spark.read.text(path))
+    for i in range(0, len(ordered), step):
+        lines = clean_lines(spark.read.text(ordered[i:i + step]))
         if limit:
             remaining = limit - sent
             if remaining <= 0:
                 break
             lines = lines.limit(remaining)
-        sent += _send(lines, dest, topic, bootstrap)
+        sent += _send(lines.coalesce(1) if not topic else lines, dest, topic, bootstrap)
     return sent
 
 
 def write_segments(df: DataFrame, dest: str, segment_col: str, fmt: str = "text") -> list:
-    """Append ``df`` to ``dest`` one segment value at a time, in ascending
-    order, so a file stream sees the segments in that order. The segment
-    values are collected (bounded: a handful of delivery files)."""
+    """Append ``df`` to ``dest`` as one delivery file per segment value, in
+    ascending order, so a file stream sees the segments in that order and
+    each segment arrives whole in one micro-batch. The segment values are
+    collected (bounded: a handful of delivery files)."""
     values = [r[0] for r in df.select(segment_col).distinct().orderBy(segment_col).collect()]
     for v in values:
         part = df.filter(F.col(segment_col) == F.lit(v)).drop(segment_col)
-        part.write.mode("append").format(fmt).save(dest)
+        part.coalesce(1).write.mode("append").format(fmt).save(dest)
     return values

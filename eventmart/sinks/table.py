@@ -4,11 +4,15 @@ plain Parquet, for environments without a transactional table format.
 Layout under ``root``::
 
     data/_version=N/<part>=V/part-*.parquet   rows written by version N
-    commits/_version=N/part-*.parquet          one commit row for version N
-
-Version N is visible only once its commit row exists. The data of N is
-written first (overwriting ``data/_version=N`` as a whole), then the commit,
-so a crash in between is repaired by the retry, which reuses N. A commit
+    commits/<N, 20 digits>.json                one commit record for version N
+
+Version N is visible only once its commit record exists. The data of N is
+written first (overwriting ``data/_version=N`` as a whole), then the commit
+record is created -- create-if-absent, so two writers racing for the same
+version cannot both commit. A crash in between is repaired by the retry,
+which reuses N. The commit log is small driver-side metadata (one JSON
+record per version) and is written through the Hadoop FileSystem API rather
+than by a one-row Spark job. A commit
 records which partition values it *replaces* (or that it replaces the whole
 table); a row of version v in partition p is visible as of n iff v <= n and
 no committed w with v < w <= n replaced p. That rule refers only to the
@@ -62,6 +66,54 @@ def delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+class CommitConflict(RuntimeError):
+    pass
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> None:
+    """Create a small file atomically; fails if it already exists."""
+    fs, p = _hadoop_fs(spark, path)
+    try:
+        out = fs.create(p, False)
+    except Exception as exc:  # noqa: BLE001 -- FileAlreadyExistsException via py4j
+        raise CommitConflict(f"{path} already exists") from exc
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def read_texts(spark: SparkSession, folder: str, suffix: str) -> list[str]:
+    """Contents of the small files in ``folder`` ending with ``suffix``."""
+    fs, p = _hadoop_fs(spark, folder)
+    if not fs.exists(p):
+        return []
+    jvm = spark.sparkContext._jvm
+    out = []
+    for status in fs.listStatus(p):
+        path = status.getPath()
+        if not path.getName().endswith(suffix):
+            continue
+        stream = fs.open(path)
+        try:
+            out.append(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+    return out
+
+
+def _encode_commit(row: dict) -> str:
+    out = dict(row)
+    out["committed_at"] = row["committed_at"].isoformat()
+    return json.dumps(out)
+
+
+def _decode_commit(text: str) -> dict:
+    row = json.loads(text)
+    row["committed_at"] = dt.datetime.fromisoformat(row["committed_at"])
+    return row
+
+
 class VersionedTable:
     def __init__(self, spark: SparkSession, root: str, partition_by: str | None = None,
                  rebalance: bool = True):
@@ -89,11 +141,7 @@ class VersionedTable:
         return list(self._commit_cache)
 
     def _read_commits(self) -> list[dict]:
-        if not path_exists(self.spark, self.commit_root):
-            return []
-        df = self.spark.read.schema(COMMIT_DDL).parquet(self.commit_root)
-        rows = [r.asDict() for r in df.drop(VERSION_COL).collect()] if VERSION_COL in df.columns \
-            else [r.asDict() for r in df.collect()]
+        rows = [_decode_commit(t) for t in read_texts(self.spark, self.commit_root, ".json")]
         return sorted(rows, key=lambda r: r["version"])
 
     def exists(self) -> bool:
@@ -117,10 +165,9 @@ class VersionedTable:
 
     def history(self) -> DataFrame:
         """Commit log: version, time, operation and row metrics, by version."""
-        if not path_exists(self.spark, self.commit_root):
-            return self.spark.createDataFrame([], StructType.fromDDL(COMMIT_DDL))
-        df = self.spark.read.schema(COMMIT_DDL).parquet(self.commit_root)
-        return df.select(*StructType.fromDDL(COMMIT_DDL).fieldNames()).orderBy("version")
+        schema = StructType.fromDDL(COMMIT_DDL)
+        rows = [{k: c.get(k) for k in schema.fieldNames()} for c in self.commits()]
+        return self.spark.createDataFrame(rows, schema).orderBy("version")
 
     def is_committed(self, query_id: str, batch_id: int) -> bool:
         return any(c["query_id"] == query_id and c["batch_id"] == batch_id for c in self.commits())
@@ -208,8 +255,7 @@ class VersionedTable:
             "min_readable_version": min_readable if min_readable is not None else
             (commits[-1]["min_readable_version"] if commits else 0),
         }
-        commit_df = self.spark.createDataFrame([row], StructType.fromDDL(COMMIT_DDL))
-        commit_df.coalesce(1).write.mode("overwrite").parquet(f"{self.commit_root}/{VERSION_COL}={n}")
+        create_text(self.spark, f"{self.commit_root}/{n:020d}.json", _encode_commit(row))
         self._commit_cache = commits + [row]
         if self.fault is not None:
             self.fault(n, "commit")
@@ -238,7 +284,8 @@ class VersionedTable:
 
     def merge_insert(self, batch: DataFrame, keys: Sequence[str],
                      broadcast_rows: int | None = M.DEFAULT_BROADCAST_ROWS,
-                     prune_by: str | None = None, **meta) -> int | None:
+                     prune_by: str | None = None, batch_unique: bool = False,
+                     **meta) -> int | None:
         """Insert batch rows whose key the table lacks; matched keys are skipped.
 
         ``prune_by``: compare only against target partitions present in the
@@ -250,7 +297,8 @@ class VersionedTable:
         if prune_by:
             values, has_null = M.partition_values(batch, prune_by)
             target = target.filter(M.touched_predicate(prune_by, values, has_null))
-        new = M.merge_insert_rows(target, batch, keys, broadcast_rows)
+        new = M.merge_insert_rows(target, batch, keys, broadcast_rows,
+                                  batch_rows=meta.get("num_input_rows"), batch_unique=batch_unique)
         return self._commit(new.select(*target.columns), "MERGE", **meta)
 
     def upsert(self, batch: DataFrame, keys: Sequence[str],
