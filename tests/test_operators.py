@@ -1,0 +1,146 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from eventmart.operators import aggregates as A
+from eventmart.operators import dedup as D
+from eventmart.operators import incremental as I
+from eventmart.operators import merge as M
+from eventmart.operators import quality as Q
+from eventmart.operators import scd2
+
+T0 = dt.datetime(2024, 1, 1, 12)
+
+
+def rows(df, *cols):
+    return sorted(tuple(r[c] for c in cols) for r in df.collect())
+
+
+def test_latest_and_first_with_ties_and_nulls(spark):
+    df = spark.createDataFrame([
+        (1, 10, T0, "a"), (1, 11, T0, "b"),          # tie on ts: event_id breaks it
+        (2, 20, None, "n"), (2, 21, T0, "x"),        # null ordering value never wins
+        (3, 30, T0, "only"),
+    ], "k long, event_id long, ts timestamp, t string")
+    latest = D.latest_per_key(df, ["k"], ["ts", "event_id"])
+    assert rows(latest, "k", "t") == [(1, "b"), (2, "x"), (3, "only")]
+    first = D.first_per_key(df, ["k"], ["ts", "event_id"])
+    assert rows(first, "k", "t") == [(1, "a"), (2, "x"), (3, "only")]
+
+
+def test_merge_insert_is_idempotent_and_dedups_batch(spark):
+    target = spark.createDataFrame([(1, "old")], "k long, v string")
+    batch = spark.createDataFrame([(1, "new"), (2, "a"), (2, "a"), (None, "nul")], "k long, v string")
+    once = M.merge_insert(target, batch, ["k"])
+    twice = M.merge_insert(once, batch, ["k"])
+    assert rows(once, "k", "v") == [(1, "old"), (2, "a")]
+    assert rows(twice, "k", "v") == rows(once, "k", "v")
+    # the shuffle path (no broadcast) gives the same rows
+    assert rows(M.merge_insert(target, batch, ["k"], broadcast_rows=None), "k", "v") == rows(once, "k", "v")
+
+
+def test_upsert_replaces_matched_and_rejects_bad_batches(spark):
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string")
+    batch = spark.createDataFrame([(2, "B"), (3, "C")], "k long, v string")
+    assert rows(M.upsert(target, batch, ["k"]), "k", "v") == [(1, "a"), (2, "B"), (3, "C")]
+    with pytest.raises(ValueError):
+        M.upsert(target, spark.createDataFrame([(2, "x"), (2, "y")], "k long, v string"), ["k"])
+    with pytest.raises(ValueError):
+        M.upsert(target, spark.createDataFrame([(None, "x")], "k long, v string"), ["k"])
+
+
+def test_replace_where_twice_equals_once_and_null_partition(spark):
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    target = spark.createDataFrame([(1, d1), (2, d2), (3, None)], "id long, d date")
+    batch = spark.createDataFrame([(10, d1), (11, None)], "id long, d date")
+    once = M.replace_where(target, batch, "d")
+    twice = M.replace_where(once, batch, "d")
+    assert rows(once, "id") == [(2,), (10,), (11,)]
+    assert rows(twice, "id") == rows(once, "id")
+
+
+def test_delete_where_null_predicate_keeps_row(spark):
+    df = spark.createDataFrame([(1, "error"), (2, None), (3, "view")], "id long, t string")
+    assert rows(M.delete_where(df, F.col("t") == "error"), "id") == [(2,), (3,)]
+
+
+def test_high_water_mark_rules(spark):
+    src = spark.createDataFrame([(1, dt.date(2024, 1, 1)), (2, dt.date(2024, 1, 2))], "id long, d date")
+    empty = spark.createDataFrame([], "id long, d date")
+    assert I.high_water_mark(None, "d") is None
+    assert I.high_water_mark(empty, "d") is None
+    assert I.after_mark(src, "d", None).count() == 2           # empty target loads everything
+    assert rows(I.after_mark(src, "d", dt.date(2024, 1, 1)), "id") == [(2,)]   # strict
+    assert I.after_mark(src, "d", dt.date(2024, 1, 2), lookback_days=1).count() == 1
+
+
+def test_daily_activity_counts_and_key(spark):
+    df = spark.createDataFrame([
+        (1, T0, "click", 7), (1, T0, "click", 8), (1, T0, "view", 7), (None, T0, "view", 1),
+    ], "u long, ts timestamp, t string, a long")
+    out = A.daily_activity(df, "u", "ts", "t", [("clicks", "click"), ("refunds", "refund")],
+                           "a", "distinct_a", "id").collect()
+    assert len(out) == 1
+    r = out[0]
+    assert (r["id"], r["total_events"], r["distinct_a"], r["clicks"], r["refunds"]) == \
+        ("1-2024-01-01", 3, 2, 2, 0)
+
+
+def test_duplicate_summary_reports_null_keys_apart(spark):
+    df = spark.createDataFrame([("a",), ("a",), ("b",), (None,), (None,)], "k string")
+    r = A.duplicate_summary(df, "k").collect()[0]
+    assert (r["total"], r["distinct_keys"], r["duplicates"], r["null_keys"]) == (5, 2, 1, 2)
+    rep = A.duplicate_report(df, [F.col("k")], top=10, order_cols=["k"]).collect()
+    assert [(x["k"], x["n"]) for x in rep] == [(None, 2), ("a", 2)]
+
+
+def test_reconcile_and_unknown_values(spark):
+    read = spark.createDataFrame([(1,), (1,), (2,)], "d int")
+    written = spark.createDataFrame([(1,), (1,), (3,)], "d int")
+    out = {r["d"]: (r["rows_read"], r["rows_written"], r["ok"])
+           for r in A.reconcile_counts(read, written, "d").collect()}
+    assert out == {1: (2, 2, True), 2: (1, 0, False), 3: (0, 1, False)}
+    ev = spark.createDataFrame([("PushEvent",), ("NewEvent",), (None,)], "t string")
+    assert [r[0] for r in A.unknown_values(ev, "t", ["PushEvent"]).collect()] == ["NewEvent"]
+
+
+def test_data_tests_and_gate(spark):
+    df = spark.createDataFrame([(1, "a", 5), (1, "z", None), (None, None, 3)], "id long, t string, amt long")
+    parent = spark.createDataFrame([(1,)], "id long")
+    tests = [Q.not_null("id"), Q.unique("id", severity=Q.WARN), Q.accepted_values("t", ["a"]),
+             Q.relationships("id", parent, "id"),
+             *Q.conditional_null("amt", F.col("t") == "a")]
+    res = {(r["test"], r["col"]): (r["severity"], r["failures"]) for r in Q.run_tests(df, tests).collect()}
+    assert res[("not_null", "id")] == ("error", 1)
+    assert res[("unique", "id")] == ("warn", 1)
+    assert res[("accepted_values", "t")] == ("error", 1)    # null passes
+    assert res[("relationships", "id")] == ("error", 0)     # null child key ignored
+    assert res[("conditional_missing", "amt")] == ("error", 0)
+    assert res[("conditional_leaked", "amt")] == ("error", 1)
+    with pytest.raises(Q.DataTestFailure):
+        Q.gate(Q.run_tests(df, tests))
+    warnings = Q.gate(Q.run_tests(df, [Q.unique("id", severity=Q.WARN)]))
+    assert warnings and warnings[0]["test"] == "unique"
+
+
+def test_scd2_invariants(spark):
+    t1 = spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string")
+    h1 = scd2.snapshot(None, t1, "k", ["v"], dt.datetime(2024, 1, 1))
+    # no change: no new rows
+    h_same = scd2.snapshot(h1, t1, "k", ["v"], dt.datetime(2024, 1, 2))
+    assert h_same.count() == h1.count() == 2
+    # change of key 1, key 2 missing (stays open), key 3 new, null compared as a value
+    t2 = spark.createDataFrame([(1, None), (3, "c")], "k long, v string")
+    h2 = scd2.snapshot(h1, t2, "k", ["v"], dt.datetime(2024, 1, 3))
+    got = {(r["k"], r["v"], r["valid_from"], r["valid_to"]) for r in h2.collect()}
+    assert got == {
+        (1, "a", dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 3)),
+        (1, None, dt.datetime(2024, 1, 3), None),
+        (2, "b", dt.datetime(2024, 1, 1), None),
+        (3, "c", dt.datetime(2024, 1, 3), None),
+    }
+    current = scd2.current_rows(h2).groupBy("k").count()
+    assert current.filter("count != 1").count() == 0
+    h3 = scd2.snapshot(h2, t2, "k", ["v"], dt.datetime(2024, 1, 4))
+    assert h3.count() == h2.count()
