@@ -14,7 +14,7 @@ from eventmart.functions.columns import clean_text, event_date
 from eventmart.operators import dedup as D
 from eventmart.operators import quality as Q
 from eventmart.plans.catalog import events, register, table
-from eventmart.plans.daily import DayConfig, Workspace, layer_counts, run_day
+from eventmart.plans.daily import DayConfig, Workspace, layer_counts, reconcile_runs, run_day
 from eventmart.plans.materialize import materialize_incremental
 from eventmart.session import scratch_path
 from eventmart.sinks.export import export_snapshot, read_export
@@ -292,8 +292,13 @@ def q_reprocess_idempotent(spark, sf_dir):
     ws = Workspace(scratch_path(spark, "lakehouse"))
     cfg = fixture_day_config()
     run_day(spark, files, ws, cfg, run_id="run1")
+    first = layer_counts(spark, ws, "event_id").collect()      # two rows
     run_day(spark, files, ws, cfg, run_id="run2")   # same day again, fresh checkpoint
-    return layer_counts(spark, ws, "event_id")
+    second = layer_counts(spark, ws, "event_id")
+    check = reconcile_runs(spark.createDataFrame(first, second.schema), second)
+    if check.filter(~F.col("ok")).limit(1).count():
+        raise RuntimeError("reprocessing the day changed a layer's counts")
+    return second
 
 
 def stream_throughput(spark, sf_dir, days_per_file: int = 10):

@@ -118,3 +118,12 @@ def backfill(spark: SparkSession, days: Sequence[str], paths_for_day: Callable[[
              ws: Workspace, cfg: DayConfig) -> list[DayResult]:
     """Run days in date order, one at a time; a failing day stops the backfill."""
     return [run_day(spark, paths_for_day(d), ws, cfg, run_id=f"day-{d}") for d in sorted(days)]
+
+
+def reconcile_runs(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Two runs of the same day: per layer, equal row and key counts?"""
+    b = before.select("layer", F.col("n").alias("n_before"), F.col("n_keys").alias("keys_before"))
+    a = after.select("layer", F.col("n").alias("n_after"), F.col("n_keys").alias("keys_after"))
+    j = b.join(a, "layer", "full_outer")
+    return j.withColumn("ok", F.coalesce((F.col("n_before") == F.col("n_after"))
+                                         & (F.col("keys_before") == F.col("keys_after")), F.lit(False)))

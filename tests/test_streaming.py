@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from eventmart.sinks.replay import clean_lines, write_segments
 from eventmart.sinks.table import VersionedTable
 from eventmart.sources.messages import stream_source
-from eventmart.streaming.ingest import build_stream, merge_sink, metrics_frame, run_available_now
+from eventmart.streaming.ingest import (build_stream, merge_sink, metrics_frame, metrics_report,
+                                       run_available_now)
 
 SCHEMA = "event_id BIGINT, ts TIMESTAMP, event_type STRING"
 
@@ -60,6 +61,8 @@ def test_dedup_restart_after_commit_and_fresh_checkpoint_rerun(spark, scratch):
     t2, m2 = ingest(spark, landing, root, scratch("ckpt2"))
     assert t2.read().count() == 4 and m2.input_rows > 0
     assert metrics_frame(spark, m2).count() == 1
+    report = metrics_report(spark, m2).collect()[0]
+    assert report["late_rate"].endswith("%")
 
 
 def test_late_rows_dropped_after_watermark_lag(spark, scratch):
