@@ -44,10 +44,12 @@ def replay(spark: SparkSession, paths: Sequence[str], dest: str | None = None, l
            files_per_segment: int = 1) -> int:
     """Send the lines of ``paths`` (in sorted order) to ``dest`` or ``topic``.
 
-    Consecutive source files are grouped ``files_per_segment`` at a time;
-    each group becomes one delivery file, appended after the previous one, so
-    a file stream consumes the archive in order and a whole segment always
-    lands in one micro-batch (nothing inside a segment can be judged late).
+    Consecutive source files are grouped ``files_per_segment`` at a time and
+    each group is appended after the previous one (a parallel write), so a
+    file stream consumes the archive segment by segment in order. Files of
+    one segment may arrive in any order among themselves: keep a segment's
+    time span under the consumer's watermark delay (e.g. at most a day of
+    hourly files for a 26-hour delay) and no row is judged late.
     ``limit`` = 0 sends everything. Returns the number of lines sent.
     """
     ordered = sorted(paths)
@@ -60,17 +62,23 @@ def replay(spark: SparkSession, paths: Sequence[str], dest: str | None = None, l
             if remaining <= 0:
                 break
             lines = lines.limit(remaining)
-        sent += _send(lines.coalesce(1) if not topic else lines, dest, topic, bootstrap)
+        sent += _send(lines, dest, topic, bootstrap)
     return sent
 
 
 def write_segments(df: DataFrame, dest: str, segment_col: str, fmt: str = "text") -> list:
-    """Append ``df`` to ``dest`` as one delivery file per segment value, in
-    ascending order, so a file stream sees the segments in that order and
-    each segment arrives whole in one micro-batch. The segment values are
-    collected (bounded: a handful of delivery files)."""
-    values = [r[0] for r in df.select(segment_col).distinct().orderBy(segment_col).collect()]
+    """Deliver ``df`` to ``dest`` segment by segment in ascending order of
+    ``segment_col``, so a file stream sees the segments in that order.
+
+    One parallel job stages the rows partitioned by segment; then each
+    segment is appended with its own (partition-pruned, parallel) job. The
+    segment values are collected: a bounded list of delivery units.
+    """
+    stage = dest.rstrip("/") + "-segments"
+    df.write.mode("overwrite").partitionBy(segment_col).parquet(stage)
+    staged = df.sparkSession.read.parquet(stage)
+    values = [r[0] for r in staged.select(segment_col).distinct().orderBy(segment_col).collect()]
     for v in values:
-        part = df.filter(F.col(segment_col) == F.lit(v)).drop(segment_col)
-        part.coalesce(1).write.mode("append").format(fmt).save(dest)
+        part = staged.filter(F.col(segment_col) == F.lit(v)).drop(segment_col)
+        part.write.mode("append").format(fmt).save(dest)
     return values
