@@ -75,7 +75,9 @@ def write_segments(df: DataFrame, dest: str, segment_col: str, fmt: str = "text"
     segment values are collected: a bounded list of delivery units.
     """
     stage = dest.rstrip("/") + "-segments"
-    df.write.mode("overwrite").partitionBy(segment_col).parquet(stage)
+    # rebalance: AQE packs a small segment into one file and splits a large
+    # one into advisory-size files (never a whole segment in one task)
+    df.hint("rebalance", segment_col).write.mode("overwrite").partitionBy(segment_col).parquet(stage)
     staged = df.sparkSession.read.parquet(stage)
     values = [r[0] for r in staged.select(segment_col).distinct().orderBy(segment_col).collect()]
     for v in values:
