@@ -64,13 +64,21 @@ def stg_repos(raw: DataFrame, key: str = "repo_id", name_col: str = "repo_name",
 
 
 # -------------------------------------------------------------- intermediate
-def int_daily_repo_activity(stg: DataFrame) -> DataFrame:
+def _deduped(stg: DataFrame, dedupe: bool) -> DataFrame:
+    """Staging may hold repeated event ids (only the fact enforces the grain);
+    with ``dedupe`` the aggregates count each event once."""
+    return D.first_per_key(stg, ["event_id"], ["created_at"]) if dedupe else stg
+
+
+def int_daily_repo_activity(stg: DataFrame, dedupe: bool = False) -> DataFrame:
+    stg = _deduped(stg, dedupe)
     return A.daily_activity(stg, key="repo_id", ts_col="created_at", type_col="event_type",
                             type_counts=REPO_ACTIVITY_TYPES, distinct_col="actor_id",
                             distinct_name="distinct_actors", id_name="daily_repo_activity_id")
 
 
-def int_actor_first_last_seen(stg: DataFrame) -> DataFrame:
+def int_actor_first_last_seen(stg: DataFrame, dedupe: bool = False) -> DataFrame:
+    stg = _deduped(stg, dedupe)
     return A.first_last_seen(stg, "actor_id", "created_at", date_col="event_date")
 
 

@@ -315,7 +315,11 @@ class VersionedTable:
             return self._commit(merged, "MERGE", replaces_all=True, **meta)
         keys = list(keys)
         batch_keys = batch.select(*keys)
-        matched = target.join(batch_keys.distinct(), keys, "left_semi")
+        if broadcast_rows and M.at_most(batch_keys, broadcast_rows):
+            # stream the target past the (proven small) batch keys
+            matched = target.join(F.broadcast(batch_keys), keys, "left_semi")
+        else:
+            matched = target.join(batch_keys.distinct(), keys, "left_semi")
         touched = matched.select(part).unionByName(batch.select(part))
         values, has_null = M.partition_values(touched, part)
         affected = target.filter(M.touched_predicate(part, values, has_null))
@@ -334,6 +338,19 @@ class VersionedTable:
         return self._commit(M.delete_where(affected, predicate), "DELETE",
                             replaced=values, replaces_null=has_null, **meta)
 
+    def compare_last_versions(self) -> dict:
+        """Time-travel acceptance: row counts of the previous and the latest
+        version (needs at least two versions; the older must be non-empty)."""
+        last = [c["version"] for c in self.commits()][-2:]
+        if len(last) < 2:
+            raise ValueError("only one version exists; nothing to travel back to")
+        counts = {v: self.read(v).count() for v in last}
+        if not counts[last[0]]:
+            raise AssertionError(f"version {last[0]} is empty -- time travel failed")
+        return {"previous_version": last[0], "latest_version": last[1],
+                "row_count_previous_version": counts[last[0]],
+                "row_count_latest_version": counts[last[1]]}
+
     def expire(self) -> int:
         """Rewrite the visible rows as one base version and delete the data of
         every older version; as-of reads before the base then raise."""

@@ -52,6 +52,8 @@ def test_staging_and_marts(spark):
     fct = models.fct_events(stg)
     assert fct.count() == 4 and fct.select("event_id").distinct().count() == 4
 
+    assert {x["repo_id"]: x["total_events"]
+            for x in models.int_daily_repo_activity(stg, dedupe=True).collect()}[100] == 3
     first_last = models.int_actor_first_last_seen(stg)
     dim_a = {x["actor_id"]: x for x in models.dim_actors_model(first_last, models.stg_actors(raw)).collect()}
     assert dim_a[10]["total_events"] == 3 and dim_a[10]["actor_login"] == "ann2"

@@ -28,6 +28,8 @@ def test_as_of_is_stable_across_later_commits(spark, scratch):
     assert ids(t.read()) == [1, 4, 20, 30]
     t.overwrite(spark.createDataFrame([(9, D1, "z")], SCHEMA))                              # v4 all
     assert ids(t.read()) == [9] and ids(t.read(3)) == [1, 4, 20, 30]
+    check = t.compare_last_versions()
+    assert (check["row_count_previous_version"], check["row_count_latest_version"]) == (4, 1)
     hist = [(r["version"], r["operation"], r["num_output_rows"]) for r in t.history().collect()]
     assert hist == [(0, "WRITE", 3), (1, "REPLACE", 1), (2, "REPLACE", 1), (3, "WRITE", 1), (4, "OVERWRITE", 1)]
 
