@@ -3,6 +3,7 @@ from eventmart.functions.columns import (  # noqa: F401
     count_where,
     event_date,
     guarded_ratio,
+    ntz,
     null_safe_differs,
     pct,
     split_part,

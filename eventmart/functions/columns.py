@@ -10,6 +10,12 @@ def col_(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def ntz(value) -> Column:
+    """A wall-clock (TIMESTAMP_NTZ) literal, independent of the session zone."""
+    text = value.isoformat(sep=" ") if hasattr(value, "isoformat") else str(value)
+    return F.to_timestamp_ntz(F.lit(text))
+
+
 def event_date(ts: str | Column) -> Column:
     """UTC calendar date of a timestamp (session zone is pinned to UTC)."""
     return F.to_date(col_(ts))

@@ -15,12 +15,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eventmart.functions.columns import ntz
+
 VALID_FROM, VALID_TO, UPDATED_AT, SCD_ID = "valid_from", "valid_to", "updated_at", "scd_id"
 HISTORY_COLUMNS = [SCD_ID, UPDATED_AT, VALID_FROM, VALID_TO]
 
 
 def _ts(value):
-    return F.lit(value).cast("timestamp_ntz")
+    return ntz(value)
 
 
 def _scd_id(key: str, ts_col) -> F.Column:

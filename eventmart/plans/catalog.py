@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.functions.columns import clean_text, event_date, split_part
+from eventmart.functions.columns import clean_text, event_date, ntz, split_part
 from eventmart.operators import aggregates as A
 from eventmart.operators import dedup as D
 from eventmart.operators import incremental as I
@@ -197,7 +197,7 @@ select event_id, user_id, cast(ts as date) event_date from events
 where cast(ts as date) > (select max(cast(ts as date)) from events where ts < timestamp '2024-01-16')""")
 def q_incremental_fct(spark, sf_dir):
     ev = events(spark, sf_dir).select("event_id", "user_id", event_date("ts").alias("event_date"))
-    loaded = events(spark, sf_dir).filter(F.col("ts") < F.lit(dt.datetime(2024, 1, 16))) \
+    loaded = events(spark, sf_dir).filter(F.col("ts") < ntz(dt.datetime(2024, 1, 16))) \
         .select(event_date("ts").alias("event_date"))
     mark = I.high_water_mark(loaded, "event_date")
     return I.after_mark(ev, "event_date", mark)
@@ -209,7 +209,7 @@ from events group by user_id
 having max(cast(ts as date)) > (select max(cast(ts as date)) from events where ts < timestamp '2024-01-30')""")
 def q_incremental_dim_having(spark, sf_dir):
     ev = events(spark, sf_dir)
-    loaded = ev.filter(F.col("ts") < F.lit(dt.datetime(2024, 1, 30))).select(event_date("ts").alias("d"))
+    loaded = ev.filter(F.col("ts") < ntz(dt.datetime(2024, 1, 30))).select(event_date("ts").alias("d"))
     mark = I.high_water_mark(loaded, "d")
     summary = A.first_last_seen(ev, "user_id", "ts", drop_null_key=False) \
         .select("user_id", "first_seen_date", "last_seen_date", "total_events")

@@ -172,7 +172,7 @@ def _stream_output(df: DataFrame) -> DataFrame:
                      event_date("ts").alias("event_date"))
 
 
-def _ingest(spark, landing, table_root, checkpoint, cap=5, fault=None):
+def _ingest(spark, landing, table_root, checkpoint, cap=10, fault=None):
     t = VersionedTable(spark, table_root, partition_by="event_date")
     t.fault = fault
     raw = stream_source(spark, "files", path=landing, cap=cap)
