@@ -117,8 +117,10 @@ def partition_values(df: DataFrame, part_col: str, limit: int = 100_000) -> tupl
 
 
 def touched_predicate(part_col: str, values: list, has_null: bool) -> Column:
-    """``part_col IN (values)`` (or null, when the batch held nulls)."""
-    cond = F.col(part_col).isin(values) if values else F.lit(False)
+    """``part_col IN (values)`` (or null, when the batch held nulls); never
+    null itself, so its negation keeps null-partition rows the batch does not
+    touch."""
+    cond = F.coalesce(F.col(part_col).isin(values), F.lit(False)) if values else F.lit(False)
     if has_null:
         cond = cond | F.col(part_col).isNull()
     return cond

@@ -276,7 +276,7 @@ def fixture_day_config() -> DayConfig:
         staging=staging, fact=fact, fact_keys=["event_id"], fact_mark_col="event_date",
         fact_tests=lambda df: [Q.not_null("event_id"), Q.unique("event_id")],
         files_per_segment=1,   # one day-file per delivery segment
-        files_per_trigger=5,
+        files_per_trigger=10,
     )
 
 

@@ -115,3 +115,12 @@ def test_create_if_missing_bootstraps_empty(spark, scratch):
     assert t.create_if_missing(StructType.fromDDL(SCHEMA)) is True
     assert t.create_if_missing(StructType.fromDDL(SCHEMA)) is False
     assert t.read().count() == 0 and t.read().columns == ["id", "event_date", "v"]
+
+
+def test_merge_insert_prune_by_reads_only_batch_dates(spark, scratch):
+    t = VersionedTable(spark, scratch("prune_by"), partition_by="event_date")
+    t.append(spark.createDataFrame([(1, D1, "a"), (2, D2, "a")], SCHEMA))
+    # key 1 repeated on its own date: skipped; key 3 new: inserted
+    t.merge_insert(spark.createDataFrame([(1, D1, "dup"), (3, D1, "new")], SCHEMA), ["id"],
+                   prune_by="event_date")
+    assert {r["id"]: r["v"] for r in t.read().collect()} == {1: "a", 2: "a", 3: "new"}
