@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from eventmart.sinks.observe import observed
 from eventmart.sinks.table import VersionedTable
 
 
@@ -37,7 +38,7 @@ def export_snapshot(table: VersionedTable, dest: str, version: int | None = None
     if part:
         w = w.partitionBy(part)
     w.parquet(dest)
-    source_rows = int(obs.get.get("rows", 0))
+    source_rows = observed(obs, "rows", lambda: current.count())
     written = table.spark.read.parquet(dest).count() if source_rows else 0
     if written != source_rows:
         raise ExportMismatch(f"source {source_rows} rows, export {written} rows")

@@ -1,0 +1,16 @@
+"""Row counts observed while writing (no second pass over the source)."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Observation
+
+
+def observed(obs: Observation, name: str, fallback: Callable[[], int]) -> int:
+    """The observed metric ``name``; when Spark optimised the observation
+    away (an empty local relation) the fallback counts what was written."""
+    try:
+        return int(obs.get.get(name, 0) or 0)
+    except Exception:  # noqa: BLE001 -- py4j assertion on a pruned observation
+        return int(fallback())

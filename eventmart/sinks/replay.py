@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from eventmart.sinks.observe import observed
+
 
 # ASCII whitespace stripped from both ends of a line (space, \t, \n, \v, \f, \r).
 WHITESPACE = " \t\n\x0b\x0c\r"
@@ -36,7 +38,7 @@ def _send(df: DataFrame, dest: str | None, topic: str | None, bootstrap: str | N
          .option("topic", topic).save())
     else:
         out.write.mode("append").text(dest)
-    return int(obs.get.get("rows", 0))
+    return observed(obs, "rows", lambda: df.count())
 
 
 def replay(spark: SparkSession, paths: Sequence[str], dest: str | None = None, limit: int = 0,

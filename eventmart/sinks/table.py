@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from eventmart.operators import merge as M
+from eventmart.sinks.observe import observed
 
 VERSION_COL = "_version"
 COMMIT_DDL = (
@@ -240,8 +241,10 @@ class VersionedTable:
         w = out.write.mode("overwrite")
         if part:
             w = w.partitionBy(part)
-        w.parquet(f"{self.data_root}/{VERSION_COL}={n}")
-        written = int(obs.get.get("rows", 0)) if obs is not None else known_rows
+        path = f"{self.data_root}/{VERSION_COL}={n}"
+        w.parquet(path)
+        written = observed(obs, "rows", lambda: self._count_files(path)) if obs is not None \
+            else known_rows
         if self.fault is not None:
             self.fault(n, "data")
         row = {
@@ -261,6 +264,14 @@ class VersionedTable:
             self.fault(n, "commit")
         return n
 
+    def _count_files(self, path: str) -> int:
+        if not path_exists(self.spark, path):
+            return 0
+        try:
+            return self.spark.read.parquet(path).count()
+        except Exception:  # noqa: BLE001 -- a folder without data files
+            return 0
+
     def create_if_missing(self, schema: StructType) -> bool:
         """Bootstrap an empty version 0 with the given schema; False if it exists."""
         if self.exists():

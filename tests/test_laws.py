@@ -67,3 +67,38 @@ def test_upsert_law(spark, target, batch):
     expected = sorted([(k, str(d), v) for k, d, v in target if k not in seen] +
                       [(k, str(d), v) for k, d, v in uniq])
     assert as_set(once) == expected
+
+
+op_st = st.lists(st.tuples(st.sampled_from(["append", "replace", "overwrite", "delete"]), rows_st),
+                 min_size=1, max_size=4)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(ops=op_st)
+def test_versioned_table_matches_model(spark, scratch, ops):
+    from pyspark.sql import functions as F
+
+    from eventmart.sinks.table import VersionedTable
+    t = VersionedTable(spark, scratch("model"), partition_by="d")
+    states = []                       # visible rows after each committed version
+    current: list = []
+    for op, rows in ops:
+        df = spark.createDataFrame(rows, SCHEMA)
+        if op == "append":
+            t.append(df)
+            current = current + rows
+        elif op == "replace":
+            t.replace_partitions(df)
+            touched = {d for _, d, _ in rows}
+            current = [r for r in current if r[1] not in touched] + rows
+        elif op == "overwrite":
+            t.overwrite(df)
+            current = list(rows)
+        else:
+            if not t.exists():
+                continue
+            t.delete(F.col("v") == "a")
+            current = [r for r in current if r[2] != "a"]
+        states.append(sorted((k, str(d), v) for k, d, v in current))
+    for version, expected in enumerate(states):
+        assert as_set(t.read(version)) == expected
