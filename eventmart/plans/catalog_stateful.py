@@ -177,7 +177,9 @@ def _ingest(spark, landing, table_root, checkpoint, cap=10, fault=None):
     t.fault = fault
     raw = stream_source(spark, "files", path=landing, cap=cap)
     stream = build_stream(raw, STREAM_LINE_SCHEMA, ["event_id"], "ts")
-    sink = merge_sink(t, ["event_id"], output=_stream_output)
+    # event_date comes from the event's own timestamp: one key, one date, so
+    # each micro-batch is compared only with the dates it touches
+    sink = merge_sink(t, ["event_id"], output=_stream_output, prune_by="event_date")
     return t, run_available_now(spark, stream, sink, checkpoint, table=t)
 
 
@@ -238,7 +240,8 @@ def q_late_rate(spark, sf_dir):
     t = VersionedTable(spark, scratch_path(spark, "late_table"), partition_by="event_date")
     raw = stream_source(spark, "files", path=landing, cap=1)
     stream = build_stream(raw, STREAM_LINE_SCHEMA, ["event_id"], "ts", delay="1 day")
-    m = run_available_now(spark, stream, merge_sink(t, ["event_id"], output=_stream_output),
+    m = run_available_now(spark, stream, merge_sink(t, ["event_id"], output=_stream_output,
+                                                    prune_by="event_date"),
                           scratch_path(spark, "late_ckpt"), watermark="1 day")
     return spark.createDataFrame([(m.input_rows, m.dropped_by_watermark, m.late_event_rate)],
                                  "input_rows BIGINT, dropped BIGINT, late_rate DOUBLE")

@@ -48,6 +48,10 @@ class DayConfig:
     watermark: str = "26 hours"
     files_per_trigger: int = 1
     files_per_segment: int = 1
+    # Compare each micro-batch only with the table partitions it touches.
+    # Valid because the partition is derived from the event's own immutable
+    # timestamp, so a key can only ever live in one partition.
+    prune_merge_by_partition: bool = True
 
 
 @dataclass
@@ -85,7 +89,8 @@ def run_day(spark: SparkSession, raw_paths: Sequence[str], ws: Workspace, cfg: D
     quarantine = VersionedTable(spark, ws.quarantine, partition_by=None)
     raw = stream_source(spark, "files", path=landing, cap=cfg.files_per_trigger)
     stream = build_stream(raw, cfg.line_schema, cfg.keys, cfg.ts_col, cfg.transform, cfg.watermark)
-    metrics = run_available_now(spark, stream, merge_sink(events, cfg.keys, quarantine),
+    prune = cfg.partition_col if cfg.prune_merge_by_partition else None
+    metrics = run_available_now(spark, stream, merge_sink(events, cfg.keys, quarantine, prune_by=prune),
                                 ws.checkpoint(run_id), table=events, watermark=cfg.watermark)
 
     exported = export_snapshot(events, ws.export)
