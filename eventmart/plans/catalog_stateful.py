@@ -316,3 +316,28 @@ def stream_throughput(spark, sf_dir, files_per_trigger: int = 10):
     _, m = _ingest(spark, landing, scratch_path(spark, "bench_table"), scratch_path(spark, "bench_ckpt"),
                    cap=files_per_trigger)
     return m
+
+
+# Event types the fixture's batch gate accepts -- fixed values of the driver data.
+FIXTURE_KNOWN_TYPES = ["click", "error", "purchase", "signup", "view"]
+
+
+@register("batch_ingest", """
+select event_id, event_type, cast(ts as date) event_date, user_id from events""")
+def q_batch_ingest(spark, sf_dir):
+    from eventmart.operators.flatten import flatten
+    from eventmart.plans.batch import ingest_batch
+    from eventmart.sources.files import read_events
+
+    ev = events(spark, sf_dir)
+    archive = scratch_path(spark, "batch_archive")
+    ev.select(event_date("ts").alias("day"), _line(ev).alias("value")) \
+        .write.partitionBy("day").text(archive)
+    files = spark.read.text(archive).inputFiles()
+    fields = [("event_id", "event_id"), ("event_type", "event_type"), ("ts", "ts"), ("user_id", "user_id")]
+    t = VersionedTable(spark, scratch_path(spark, "batch_events"), partition_by="event_date")
+    for _ in range(2):   # a rerun of the same input replaces its dates
+        flat = flatten(read_events(spark, files, StructType.fromDDL(STREAM_LINE_SCHEMA)),
+                       fields, ts_col="ts", date_col="event_date")
+        ingest_batch(spark, None, t, flat=flat, known_types=FIXTURE_KNOWN_TYPES)
+    return t.read().select("event_id", "event_type", "event_date", "user_id")
