@@ -10,8 +10,13 @@ from __future__ import annotations
 
 from pyspark.sql.types import StringType, StructField, StructType
 
-# --- Fixed values: field names and types of the public code-hosting event
-# --- archive format, and the event types the flat table was checked against.
+# ---------------------------------------------------------------------------
+# Fixed values. Everything from here to the end of the block must equal the
+# reference for right results: field names and types of the public
+# code-hosting event archive format, the event types the flat table was
+# checked against, the flat column names, the warehouse contract and the
+# staging column list.
+# ---------------------------------------------------------------------------
 
 EVENT_DDL = (
     "id STRING, type STRING, "
@@ -81,6 +86,8 @@ STAGING_COLUMNS = [
 # Of those, the free-text ones are trimmed and blank becomes null.
 STAGING_TEXT_COLUMNS = ["event_type", "action", "ref", "ref_type", "pr_state", "issue_state"]
 
+# ------------------------------------------------------- end of fixed values
+
 CORRUPT_COLUMN = "_corrupt_record"
 
 
