@@ -32,12 +32,18 @@ def build_session(
     master: str | None = None,
     shuffle_partitions: int | None = None,
     conf: dict[str, str] | None = None,
+    initial_shuffle_partitions: int | None = None,
 ) -> SparkSession:
     """Create (or reuse) a session with the library defaults.
 
     ``master`` and ``shuffle_partitions`` are left to the cluster manager when
-    not given: on a cluster the partition count follows the data (AQE
-    coalesces), locally tests pass ``local[*]`` and a small number.
+    not given; locally tests pass ``local[*]`` and a small number.
+    ``shuffle_partitions`` also fixes the state partitions of a new streaming
+    checkpoint, so keep it moderate. For large batch jobs pass
+    ``initial_shuffle_partitions`` of about (shuffled bytes / 128 MB): AQE
+    starts every batch shuffle that wide and coalesces it down to ~128 MB
+    partitions at runtime (it can merge partitions, not split them, except
+    for skewed joins).
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -45,6 +51,9 @@ def build_session(
     settings = dict(DEFAULT_CONF)
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if initial_shuffle_partitions:
+        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(initial_shuffle_partitions)
+        settings["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(128 * 1024 * 1024)
     settings.update(conf or {})
     for key, value in settings.items():
         builder = builder.config(key, value)
