@@ -53,20 +53,20 @@ def merge_insert_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str],
     on the key).
     """
     keys = list(keys)
-    batch = batch.filter(not_null_keys(keys))
-    if not batch_unique:
-        batch = batch.dropDuplicates(keys)
-    target_keys = target.select(*keys)
-    batch_keys = batch.select(*keys)
+    present = batch.filter(not_null_keys(keys))
+    raw_keys = present.select(*keys)
+    # the raw key count bounds the distinct count, so neither the size check
+    # nor the broadcast below needs the dedup shuffle
     small = broadcast_rows and (batch_rows <= broadcast_rows if batch_rows is not None
-                                else at_most(batch_keys, broadcast_rows))
+                                else at_most(raw_keys, broadcast_rows))
+    deduped = present if batch_unique else present.dropDuplicates(keys)
     if small:
         # Build side = the small batch: find which of its keys the target
         # holds by streaming the target past a broadcast of the batch keys,
         # then drop those from the batch (also a broadcast: a subset of them).
-        matched = target_keys.join(F.broadcast(batch_keys), keys, "left_semi").distinct()
-        return batch.join(F.broadcast(matched), keys, "left_anti")
-    return batch.join(target_keys, keys, "left_anti")
+        matched = target.select(*keys).join(F.broadcast(raw_keys), keys, "left_semi").distinct()
+        return deduped.join(F.broadcast(matched), keys, "left_anti")
+    return deduped.join(target.select(*keys), keys, "left_anti")
 
 
 def merge_insert(target: DataFrame, batch: DataFrame, keys: Sequence[str],
