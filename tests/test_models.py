@@ -83,3 +83,37 @@ def test_dim_actors_join_adds_no_exchange(spark):
     # one exchange per aggregate, none for the join itself
     assert plan.count("Exchange hashpartitioning") == 2
     assert F  # keep import used
+
+
+def test_build_models_incremental_and_snapshot(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from eventmart.operators.quality import DataTestFailure
+    from eventmart.plans.warehouse import Warehouse, build_models, snapshot_repos
+    raw = raw_events(spark).withColumn("event_type", F.trim("event_type"))
+    wh = Warehouse(scratch("wh"))
+    out = build_models(spark, raw, wh)
+    # the staging uniqueness test is a warning (one upstream repeat), not an error
+    assert [w["test"] for w in out["warnings"]] == ["unique"]
+    assert wh.table(spark, "fct_events").read().count() == 4
+    # a later day: the fact grows, the repo dimension updates in place
+    later = raw.filter(F.col("event_id") == "4").withColumn("event_id", F.lit("5")) \
+        .withColumn("created_at", F.lit(dt.datetime(2024, 1, 16, 5)))
+    build_models(spark, raw.unionByName(later), wh)
+    assert wh.table(spark, "fct_events").read().count() == 5
+    dims = {r["repo_id"]: r for r in wh.table(spark, "dim_repos").read().collect()}
+    assert dims[200]["total_events"] == 2 and str(dims[200]["last_seen_date"]) == "2024-01-16"
+    assert wh.table(spark, "dim_repos").read().count() == 2
+    # an unknown event type is an error-severity failure and stops the build
+    bad = raw.withColumn("event_type", F.lit("NotAType"))
+    try:
+        build_models(spark, bad, Warehouse(scratch("wh2")))
+        raise AssertionError("expected a data test failure")
+    except DataTestFailure as exc:
+        assert any(f["test"] == "accepted_values" for f in exc.failed)
+    # SCD-2 snapshot: rename of repo 200 opens a second version
+    snapshot_repos(spark, raw, wh, dt.datetime(2024, 1, 15))
+    renamed = raw.withColumn("repo_name", F.when(F.col("repo_id") == 200, " cy/z ").otherwise(F.col("repo_name")))
+    snapshot_repos(spark, renamed, wh, dt.datetime(2024, 1, 16))
+    hist = wh.table(spark, "dim_repos_snapshot").read()
+    assert hist.filter("repo_id = 200").count() == 2 and hist.filter("valid_to is null").count() == 2
