@@ -69,6 +69,8 @@ def read_events(
     if corrupt_col is None:
         return spark.read.schema(schema).json(paths)
     text = spark.read.text(paths)
+    # like the JSON reader: blank lines are not records
+    text = text.filter(F.length(F.trim(F.col("value"))) > 0)
     return parse_lines(text, schema, "value", corrupt_col)
 
 
