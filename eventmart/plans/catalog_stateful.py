@@ -292,12 +292,13 @@ def q_reprocess_idempotent(spark, sf_dir):
     # one archive folder per UTC day, so sorted paths are in time order
     ev.select(event_date("ts").alias("day"), _line(ev).alias("value")) \
         .write.partitionBy("day").text(archive)
-    files = spark.read.text(archive).inputFiles()
+    # one delivery segment per day folder (however many part files it holds)
+    days = sorted({f.rsplit("/", 1)[0] for f in spark.read.text(archive).inputFiles()})
     ws = Workspace(scratch_path(spark, "lakehouse"))
     cfg = fixture_day_config()
-    run_day(spark, files, ws, cfg, run_id="run1")
+    run_day(spark, days, ws, cfg, run_id="run1")
     first = layer_counts(spark, ws, "event_id").collect()      # two rows
-    run_day(spark, files, ws, cfg, run_id="run2")   # same day again, fresh checkpoint
+    run_day(spark, days, ws, cfg, run_id="run2")   # same day again, fresh checkpoint
     second = layer_counts(spark, ws, "event_id")
     check = reconcile_runs(spark.createDataFrame(first, second.schema), second)
     if check.filter(~F.col("ok")).limit(1).count():
