@@ -296,7 +296,7 @@ class VersionedTable:
     def merge_insert(self, batch: DataFrame, keys: Sequence[str],
                      broadcast_rows: int | None = M.DEFAULT_BROADCAST_ROWS,
                      prune_by: str | None = None, batch_unique: bool = False,
-                     **meta) -> int | None:
+                     prune_values: tuple[list, bool] | None = None, **meta) -> int | None:
         """Insert batch rows whose key the table lacks; matched keys are skipped.
 
         ``prune_by``: compare only against target partitions present in the
@@ -306,7 +306,7 @@ class VersionedTable:
             self.create_if_missing(batch.schema)
         target = self.read()
         if prune_by:
-            values, has_null = M.partition_values(batch, prune_by)
+            values, has_null = prune_values or M.partition_values(batch, prune_by)
             target = target.filter(M.touched_predicate(prune_by, values, has_null))
         new = M.merge_insert_rows(target, batch, keys, broadcast_rows,
                                   batch_rows=meta.get("num_input_rows"), batch_unique=batch_unique)
