@@ -192,7 +192,11 @@ class VersionedTable:
             raise VersionExpired(f"version {version} was expired (oldest readable: {floor})")
         schema = StructType.fromJson(json.loads(upto[-1]["schema_json"]))
         part = self.partition_by
-        with_rows = [c["version"] for c in upto if c["num_output_rows"] and c["version"] >= floor]
+        # versions before the last whole-table replacement can hold no visible
+        # row: they are not even listed
+        base = max([c["version"] for c in upto if c["replaces_all"]], default=0)
+        with_rows = [c["version"] for c in upto
+                     if c["num_output_rows"] and c["version"] >= max(floor, base)]
         if not with_rows:
             return self.spark.createDataFrame([], schema)
         read_schema = StructType(list(schema.fields) + [StructField(VERSION_COL, IntegerType())])
@@ -349,6 +353,18 @@ class VersionedTable:
         return self._commit(M.delete_where(affected, predicate), "DELETE",
                             replaced=values, replaces_null=has_null, **meta)
 
+    def optimize(self, partitions: list | None = None) -> int:
+        """Compact: rewrite the visible rows (of ``partitions`` only, when
+        given) as one new version replacing them. History stays readable;
+        latest reads then touch fewer, larger files."""
+        part = self.partition_by
+        if partitions is None or not part:
+            return self._commit(self.read(), "OPTIMIZE", replaces_all=True)
+        values = sorted(p for p in partitions if p is not None)
+        has_null = any(p is None for p in partitions)
+        rows = self.read().filter(M.touched_predicate(part, values, has_null))
+        return self._commit(rows, "OPTIMIZE", replaced=values, replaces_null=has_null)
+
     def compare_last_versions(self) -> dict:
         """Time-travel acceptance: row counts of the previous and the latest
         version (needs at least two versions; the older must be non-empty)."""

@@ -124,3 +124,16 @@ def test_merge_insert_prune_by_reads_only_batch_dates(spark, scratch):
     t.merge_insert(spark.createDataFrame([(1, D1, "dup"), (3, D1, "new")], SCHEMA), ["id"],
                    prune_by="event_date")
     assert {r["id"]: r["v"] for r in t.read().collect()} == {1: "a", 2: "a", 3: "new"}
+
+
+def test_optimize_keeps_rows_and_history(spark, scratch):
+    t = VersionedTable(spark, scratch("opt"), partition_by="event_date")
+    for i in range(3):
+        t.append(spark.createDataFrame([(i, D1, "a"), (10 + i, D2, "b")], SCHEMA))
+    before = ids(t.read())
+    t.optimize([D1])
+    assert ids(t.read()) == before and t.commits()[-1]["replaced_parts"] == ["2024-01-01"]
+    t.optimize()
+    assert ids(t.read()) == before and ids(t.read(0)) == [0, 10]
+    # the latest read lists only the compacted version
+    assert t.read()._jdf.queryExecution().executedPlan().toString().count("_version=") <= 1
