@@ -65,9 +65,10 @@ def build_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a private
-    folder is created and registered, so ``DataFrame.checkpoint()`` and every
-    scratch table of this library land in the same place.
+    Read from the session; only when it is unset and the master is local
+    (tests) a private folder is created and registered, so
+    ``DataFrame.checkpoint()`` and every scratch table of this library land in
+    the same place. A cluster session without it is an error.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None)
@@ -78,6 +79,11 @@ def checkpoint_root(spark: SparkSession) -> str:
         # setCheckpointDir appends a per-application folder; its parent is the
         # shared root that was asked for.
         return current.rstrip("/").rsplit("/", 1)[0]
+    if not sc.master.startswith("local"):
+        # a machine-local folder would not survive the loss of this host and
+        # is not visible to executors elsewhere
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or an "
+                           "object store) for this cluster session")
     local = tempfile.mkdtemp(prefix="eventmart-ckpt-")
     sc.setCheckpointDir(local)
     return local
