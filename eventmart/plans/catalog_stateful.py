@@ -19,7 +19,7 @@ from eventmart.plans.materialize import materialize_incremental
 from eventmart.session import scratch_path
 from eventmart.sinks.export import export_snapshot, read_export
 from eventmart.sinks.replay import replay, write_segments
-from eventmart.sinks.table import VersionedTable
+from eventmart.sinks.table import VersionedTable, list_subdirs
 from eventmart.sources.load import full_refresh, load_by_name
 from eventmart.sources.messages import stream_source
 from eventmart.streaming.ingest import build_stream, merge_sink, run_available_now
@@ -247,16 +247,21 @@ def q_late_rate(spark, sf_dir):
                                  "input_rows BIGINT, dropped BIGINT, late_rate DOUBLE")
 
 
+def blanks_expr():
+    """A blank line ('' or spaces and a tab) for the adverse replay archive."""
+    return F.when(F.col("event_id") % 8 == 0, F.lit("")).otherwise(F.lit("   \t ")).alias("value")
+
+
 @register("replay_lines", "select count(*) lines from events")
 def q_replay_lines(spark, sf_dir):
     ev = events(spark, sf_dir)
-    blanks = ev.filter(F.col("event_id") % 4 == 0).select(
-        F.when(F.col("event_id") % 8 == 0, F.lit("")).otherwise(F.lit("   \t ")).alias("value"))
     archive = scratch_path(spark, "replay_archive")
-    ev.select(_line(ev).alias("value")).unionByName(blanks).repartition(3).write.text(archive)
-    files = spark.read.text(archive).inputFiles()
+    # the archive: one folder per event day, blank lines mixed in
+    lines = ev.select(event_date("ts").alias("day"), _line(ev).alias("value")).unionByName(
+        ev.filter(F.col("event_id") % 4 == 0).select(event_date("ts").alias("day"), blanks_expr()))
+    lines.write.partitionBy("day").text(archive)
     dest = scratch_path(spark, "replay_dest")
-    replay(spark, files, dest)
+    replay(spark, list_subdirs(spark, archive), dest)
     return spark.read.text(dest).agg(F.count(F.lit(1)).alias("lines"))
 
 
@@ -293,7 +298,7 @@ def q_reprocess_idempotent(spark, sf_dir):
     ev.select(event_date("ts").alias("day"), _line(ev).alias("value")) \
         .write.partitionBy("day").text(archive)
     # one delivery segment per day folder (however many part files it holds)
-    days = sorted({f.rsplit("/", 1)[0] for f in spark.read.text(archive).inputFiles()})
+    days = list_subdirs(spark, archive)
     ws = Workspace(scratch_path(spark, "lakehouse"))
     cfg = fixture_day_config()
     run_day(spark, days, ws, cfg, run_id="run1")
@@ -334,7 +339,7 @@ def q_batch_ingest(spark, sf_dir):
     archive = scratch_path(spark, "batch_archive")
     ev.select(event_date("ts").alias("day"), _line(ev).alias("value")) \
         .write.partitionBy("day").text(archive)
-    files = spark.read.text(archive).inputFiles()
+    files = list_subdirs(spark, archive)
     fields = [("event_id", "event_id"), ("event_type", "event_type"), ("ts", "ts"), ("user_id", "user_id")]
     t = VersionedTable(spark, scratch_path(spark, "batch_events"), partition_by="event_date")
     for _ in range(2):   # a rerun of the same input replaces its dates

@@ -67,6 +67,15 @@ def delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+def list_subdirs(spark: SparkSession, path: str) -> list[str]:
+    """Sorted child folders of ``path`` (one listing call; files are skipped)."""
+    fs, p = _hadoop_fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(st.getPath().toString() for st in fs.listStatus(p)
+                  if st.isDirectory() and not st.getPath().getName().startswith(("_", ".")))
+
+
 class CommitConflict(RuntimeError):
     pass
 
