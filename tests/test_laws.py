@@ -102,3 +102,54 @@ def test_versioned_table_matches_model(spark, scratch, ops):
         states.append(sorted((k, str(d), v) for k, d, v in current))
     for version, expected in enumerate(states):
         assert as_set(t.read(version)) == expected
+
+
+keyed_st = st.lists(st.tuples(st.integers(0, 4), st.sampled_from([None, 1, 2, 3]),
+                              st.integers(0, 50), st.sampled_from(["x", "y", None])), max_size=10)
+
+
+@LAW
+@given(rows=keyed_st)
+def test_latest_and_first_per_key_match_model(spark, rows):
+    from eventmart.operators import dedup as Dd
+    # (k, ts, id, v) with ids made unique so (ts, id) orders completely
+    rows = [(k, ts, i * 100 + n, v) for n, (k, ts, i, v) in enumerate(rows)]
+    df = spark.createDataFrame(rows, "k long, ts long, id long, v string")
+
+    def pick(group, latest):
+        present = [r for r in group if r[1] is not None] or group
+        if latest:
+            return max(present, key=lambda r: (r[1] is not None, r[1] or 0, r[2]))
+        return min(present, key=lambda r: (r[1] is None, r[1] or 0, r[2]))
+    for latest, op in ((True, Dd.latest_per_key), (False, Dd.first_per_key)):
+        want = {}
+        for k in {r[0] for r in rows}:
+            want[k] = pick([r for r in rows if r[0] == k], latest)[2]
+        got = {r["k"]: r["id"] for r in op(df, ["k"], ["ts", "id"]).collect()}
+        assert got == want
+
+
+snap_st = st.lists(st.dictionaries(st.integers(0, 5), st.sampled_from(["a", "b", None]), max_size=5),
+                   min_size=1, max_size=4)
+
+
+@LAW
+@given(snaps=snap_st)
+def test_scd2_matches_model(spark, snaps):
+    from eventmart.operators import scd2 as S
+    history, model = None, []          # model rows: [k, v, valid_from, valid_to]
+    for n, state in enumerate(snaps):
+        ts = dt.datetime(2024, 1, 1 + n)
+        cur = spark.createDataFrame(sorted(state.items()), "k long, v string")
+        history = S.snapshot(history, cur, "k", ["v"], ts)
+        history = spark.createDataFrame(history.collect(), history.schema)   # cut lineage
+        open_rows = {r[0]: r for r in model if r[3] is None}
+        for k, v in state.items():
+            if k not in open_rows:
+                model.append([k, v, ts, None])
+            elif open_rows[k][1] != v:
+                open_rows[k][3] = ts
+                model.append([k, v, ts, None])
+    got = sorted((r["k"], str(r["v"]), r["valid_from"], str(r["valid_to"])) for r in history.collect())
+    want = sorted((k, str(v), f, str(t)) for k, v, f, t in model)
+    assert got == want
