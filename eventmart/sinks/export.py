@@ -8,10 +8,10 @@ the plan reads fails), then checks written == read.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventmart.sinks.observe import observed
+from eventmart.sinks.observe import new_observation, observed
 from eventmart.sinks.table import VersionedTable
 
 
@@ -29,7 +29,7 @@ def export_snapshot(table: VersionedTable, dest: str, version: int | None = None
     if dest.rstrip("/") == table.root or dest.rstrip("/").startswith(table.root + "/"):
         raise ValueError("export destination must not lie inside the source table")
     current = table.read(version)
-    obs = Observation("export")
+    obs = new_observation("export")
     out = current.observe(obs, F.count(F.lit(1)).alias("rows"))
     part = partition_by or table.partition_by
     if part:

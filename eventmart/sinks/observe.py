@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Observation
 
 
+def new_observation(prefix: str) -> Observation:
+    """An observation with a session-unique name (names identify the metrics)."""
+    return Observation(f"{prefix}_{uuid.uuid4().hex[:12]}")
+
+
 def observed(obs: Observation, name: str, fallback: Callable[[], int]) -> int:
     """The observed metric ``name``; when Spark optimised the observation
     away (an empty local relation) the fallback counts what was written."""

@@ -13,10 +13,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.sinks.observe import observed
+from eventmart.sinks.observe import new_observation, observed
 
 
 # ASCII whitespace stripped from both ends of a line (space, \t, \n, \v, \f, \r).
@@ -30,7 +30,7 @@ def clean_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
 
 
 def _send(df: DataFrame, dest: str | None, topic: str | None, bootstrap: str | None) -> int:
-    obs = Observation("replay")
+    obs = new_observation("replay")
     out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     if topic:
         (out.select(F.lit(None).cast("binary").alias("key"), F.col("value").cast("binary").alias("value"))

@@ -30,12 +30,12 @@ import datetime as dt
 import json
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from eventmart.operators import merge as M
-from eventmart.sinks.observe import observed
+from eventmart.sinks.observe import new_observation, observed
 
 VERSION_COL = "_version"
 COMMIT_DDL = (
@@ -245,7 +245,7 @@ class VersionedTable:
         n = commits[-1]["version"] + 1 if commits else 0
         part = self.partition_by
         schema = df.schema
-        obs = Observation(f"write_v{n}") if known_rows is None else None
+        obs = new_observation(f"write_v{n}") if known_rows is None else None
         out = df.observe(obs, F.count(F.lit(1)).alias("rows")) if obs is not None else df
         if part and self.rebalance:
             # AQE-aware: balances file sizes per partition value and splits a
