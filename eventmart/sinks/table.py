@@ -243,6 +243,11 @@ class VersionedTable:
                 known_rows: int | None = None) -> int:
         commits = self.commits()
         n = commits[-1]["version"] + 1 if commits else 0
+        if path_exists(self.spark, self._commit_path(n)):
+            # our cached log is stale (another writer committed n): never
+            # overwrite a committed version's data; re-read and move on
+            commits = self.commits(refresh=True)
+            n = commits[-1]["version"] + 1
         part = self.partition_by
         schema = df.schema
         obs = new_observation(f"write_v{n}") if known_rows is None else None
@@ -271,12 +276,15 @@ class VersionedTable:
             "min_readable_version": min_readable if min_readable is not None else
             (commits[-1]["min_readable_version"] if commits else 0),
         }
-        create_text(self.spark, f"{self.commit_root}/{n:020d}.json", _encode_commit(row))
+        create_text(self.spark, self._commit_path(n), _encode_commit(row))
         self._commit_cache = commits + [row]
         if self.fault is not None:
             self.fault(n, "commit")
         return n
 
+    def _commit_path(self, n: int) -> str:
+        return f"{self.commit_root}/{n:020d}.json"
+
     def _count_files(self, path: str) -> int:
         if not path_exists(self.spark, path):
             return 0

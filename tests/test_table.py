@@ -137,3 +137,14 @@ def test_optimize_keeps_rows_and_history(spark, scratch):
     assert ids(t.read()) == before and ids(t.read(0)) == [0, 10]
     # the latest read lists only the compacted version
     assert t.read()._jdf.queryExecution().executedPlan().toString().count("_version=") <= 1
+
+
+def test_stale_handle_does_not_clobber_a_committed_version(spark, scratch):
+    root = scratch("two_handles")
+    a = VersionedTable(spark, root, partition_by="event_date")
+    a.append(spark.createDataFrame([(1, D1, "a")], SCHEMA))
+    b = VersionedTable(spark, root)
+    b.commits()                                           # b caches version 0
+    a.append(spark.createDataFrame([(2, D1, "a")], SCHEMA))   # version 1 by a
+    assert b.append(spark.createDataFrame([(3, D2, "b")], SCHEMA)) == 2
+    assert ids(VersionedTable(spark, root).read()) == [1, 2, 3]
