@@ -34,17 +34,19 @@ from eventmart.streaming.ingest import RunMetrics, build_stream, merge_sink, run
 
 @dataclass
 class DayConfig:
-    line_schema: str                      # schema of one raw JSON line
+    line_schema: object                   # schema of one raw JSON line (DDL or StructType)
     keys: Sequence[str]                   # event key
     ts_col: str                           # event time (TIMESTAMP)
     partition_col: str                    # table partition (UTC date)
     transform: Callable[[DataFrame], DataFrame]   # parsed -> flat
     contract: StructType                  # raw-layer columns loaded by name
-    staging: Callable[[DataFrame], DataFrame]     # raw -> staging
-    fact: Callable[[DataFrame, object], DataFrame]  # (staging, mark) -> fact rows
-    fact_keys: Sequence[str]
-    fact_mark_col: str
+    staging: Callable[[DataFrame], DataFrame] | None = None     # raw -> staging
+    fact: Callable[[DataFrame, object], DataFrame] | None = None  # (staging, mark) -> fact rows
+    fact_keys: Sequence[str] = ("event_id",)
+    fact_mark_col: str = "event_date"
     fact_tests: Callable[[DataFrame], list] = field(default=lambda df: [])
+    # full model build instead of the single fact: (spark, raw, workspace) -> dict
+    models: Callable | None = None
     watermark: str = "26 hours"
     files_per_trigger: int = 1
     files_per_segment: int = 1
@@ -96,7 +98,12 @@ def run_day(spark: SparkSession, raw_paths: Sequence[str], ws: Workspace, cfg: D
     exported = export_snapshot(events, ws.export)
     loaded = full_refresh(load_by_name(spark, ws.export, cfg.contract), ws.raw)
 
-    staging = cfg.staging(spark.read.parquet(ws.raw))
+    raw_df = spark.read.parquet(ws.raw)
+    if cfg.models is not None:
+        built = cfg.models(spark, raw_df, ws)
+        return DayResult(sent, metrics, exported, loaded, built["versions"]["fct_events"],
+                         built["warnings"])
+    staging = cfg.staging(raw_df)
     fact = VersionedTable(spark, ws.fact, partition_by=cfg.partition_col)
     version = materialize_incremental(lambda mark: cfg.fact(staging, mark), fact,
                                       cfg.fact_keys, cfg.fact_mark_col)
@@ -104,6 +111,20 @@ def run_day(spark: SparkSession, raw_paths: Sequence[str], ws: Workspace, cfg: D
     return DayResult(sent, metrics, exported, loaded, version, warnings)
 
 
+def event_day_config(files_per_trigger: int = 4) -> DayConfig:
+    """The day of the public event archive: nested JSON lines, flattened,
+    26-hour watermark dedup on event_id, full warehouse build with tests."""
+    from eventmart.operators.flatten import flatten
+    from eventmart.plans.warehouse import Warehouse, build_models
+    from eventmart.schema import event_schema, events_contract
+
+    return DayConfig(
+        line_schema=event_schema(), keys=["event_id"], ts_col="created_at",
+        partition_col="event_date", transform=flatten, contract=events_contract(),
+        models=lambda spark, raw, ws: build_models(spark, raw, Warehouse(f"{ws.root}/warehouse")),
+        files_per_trigger=files_per_trigger, files_per_segment=1)
+
+
 def layer_counts(spark: SparkSession, ws: Workspace, key: str) -> DataFrame:
     """Per layer: rows and distinct keys (the reprocess proof)."""
     parts = []
