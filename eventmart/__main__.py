@@ -12,6 +12,8 @@
     time-travel --table PATH [--artifact FILE]     compare the last two versions
     duplicates  --table PATH [--key K]             duplicate summary + worst offenders
     check-schema --input GLOB                      parse health and payload checks
+    day       --raw DIR --day D [--hours 0-23] --lake PATH     one day end to end
+    backfill  --raw DIR --start D --end D [--hours 0-23] --lake PATH   days in order
 """
 
 from __future__ import annotations
@@ -142,6 +144,33 @@ def cmd_check_schema(a):
     print("OK: schema matches the data")
 
 
+def _day_paths(raw: str, hours: str):
+    import os
+
+    from eventmart.sources.files import hour_paths
+
+    def paths(day):
+        return [p for p in hour_paths(raw, day, hours) if "://" in p or os.path.exists(p)]
+    return paths
+
+
+def cmd_day(a):
+    from eventmart.plans.daily import Workspace, event_day_config, run_day
+    spark = _session()
+    r = run_day(spark, _day_paths(a.raw, a.hours)(a.day), Workspace(a.lake), event_day_config(),
+                run_id=f"day-{a.day}-{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S}")
+    print(json.dumps({"sent": r.sent, "stream": r.stream.as_row(), "exported": r.exported,
+                      "loaded": r.loaded, "warnings": r.warnings}, default=str, indent=2))
+
+
+def cmd_backfill(a):
+    from eventmart.plans.daily import Workspace, backfill, day_range, event_day_config
+    spark = _session()
+    results = backfill(spark, day_range(a.start, a.end), _day_paths(a.raw, a.hours),
+                       Workspace(a.lake), event_day_config())
+    print(json.dumps([{"sent": r.sent, "input_rows": r.stream.input_rows} for r in results], indent=2))
+
+
 def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="eventmart", description=__doc__,
                                 formatter_class=argparse.RawDescriptionHelpFormatter)
@@ -170,6 +199,11 @@ def main(argv=None) -> None:
     s = sub.add_parser("duplicates"); s.add_argument("--table", required=True); s.add_argument("--key", default="event_id")
     s.set_defaults(fn=cmd_duplicates)
     s = sub.add_parser("check-schema"); s.add_argument("--input", required=True); s.set_defaults(fn=cmd_check_schema)
+    s = sub.add_parser("day"); s.add_argument("--raw", required=True); s.add_argument("--day", required=True)
+    s.add_argument("--hours", default="0-23"); s.add_argument("--lake", required=True); s.set_defaults(fn=cmd_day)
+    s = sub.add_parser("backfill"); s.add_argument("--raw", required=True); s.add_argument("--start", required=True)
+    s.add_argument("--end", required=True); s.add_argument("--hours", default="0-23")
+    s.add_argument("--lake", required=True); s.set_defaults(fn=cmd_backfill)
     a = p.parse_args(argv)
     a.fn(a)
 

@@ -42,3 +42,13 @@ def test_backfill_two_days_then_rerun_converges(spark, scratch):
     assert again.stream.input_rows == 10
     assert VersionedTable(spark, ws.events).read().count() == 20
     assert wh.table(spark, "fct_events").read().count() == 20
+
+
+def test_cli_day(spark, scratch, capsys):
+    from eventmart.__main__ import main
+    raw = scratch("archive")
+    os.makedirs(raw, exist_ok=True)
+    day_files(raw, "2024-01-15", 3, 0)
+    main(["day", "--raw", raw, "--day", "2024-01-15", "--hours", "0-1", "--lake", scratch("lake")])
+    out = json.loads(capsys.readouterr().out)
+    assert out["sent"] == 6 and out["stream"]["table_rows_after_run"] == 6
