@@ -51,7 +51,7 @@ def cmd_replay(a):
 
 def cmd_stream(a):
     from eventmart.operators.flatten import flatten
-    from eventmart.schema import event_schema
+    from eventmart.schema import CORRUPT_COLUMN, event_schema
     from eventmart.sinks.table import VersionedTable
     from eventmart.sources.messages import stream_source
     from eventmart.streaming.ingest import build_stream, merge_sink, metrics_report, run_available_now
@@ -59,8 +59,11 @@ def cmd_stream(a):
     t = VersionedTable(spark, a.table, partition_by="event_date")
     q = VersionedTable(spark, a.table.rstrip("/") + "_quarantine")
     raw = stream_source(spark, a.kind, path=a.source, topic=a.topic, bootstrap=a.bootstrap, cap=a.cap)
-    stream = build_stream(raw, event_schema(), ["event_id"], "created_at", flatten, a.watermark)
-    m = run_available_now(spark, stream, merge_sink(t, ["event_id"], q, prune_by="event_date"),
+    stream = build_stream(raw, event_schema(), ["event_id"], "created_at",
+                          lambda df: flatten(df, keep=[CORRUPT_COLUMN]), a.watermark,
+                          corrupt_col=CORRUPT_COLUMN)
+    sink = merge_sink(t, ["event_id"], q, prune_by="event_date", corrupt_col=CORRUPT_COLUMN)
+    m = run_available_now(spark, stream, sink,
                           a.checkpoint, table=t, watermark=a.watermark)
     metrics_report(spark, m).show(truncate=False)
     if a.metrics_out:

@@ -17,19 +17,22 @@ def flatten(
     fields: Sequence[tuple[str, str]] = EVENT_FLAT_FIELDS,
     ts_col: str | None = "created_at",
     date_col: str | None = "event_date",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Promote nested fields to top-level columns, one Project node.
 
     ``fields`` lists (source path, output name). When ``date_col`` is given the
     UTC date of the output column ``ts_col`` is added right after it, so the
     partition value exists before the write and reads can prune on it. The
-    same function serves batch and streaming inputs.
+    same function serves batch and streaming inputs. ``keep`` passes extra
+    top-level columns through unchanged (e.g. the corrupt-record column).
     """
     cols = []
     for path, alias in fields:
         cols.append(F.col(path).alias(alias))
         if date_col and alias == ts_col:
             cols.append(event_date(F.col(path)).alias(date_col))
+    cols += [F.col(c) for c in keep if c in df.columns]
     return df.select(*cols)
 
 

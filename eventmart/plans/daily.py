@@ -47,6 +47,8 @@ class DayConfig:
     fact_tests: Callable[[DataFrame], list] = field(default=lambda df: [])
     # full model build instead of the single fact: (spark, raw, workspace) -> dict
     models: Callable | None = None
+    # keep unparseable lines (raw text) for the quarantine table
+    corrupt_col: str | None = None
     watermark: str = "26 hours"
     files_per_trigger: int = 1
     files_per_segment: int = 1
@@ -90,9 +92,11 @@ def run_day(spark: SparkSession, raw_paths: Sequence[str], ws: Workspace, cfg: D
     events = VersionedTable(spark, ws.events, partition_by=cfg.partition_col)
     quarantine = VersionedTable(spark, ws.quarantine, partition_by=None)
     raw = stream_source(spark, "files", path=landing, cap=cfg.files_per_trigger)
-    stream = build_stream(raw, cfg.line_schema, cfg.keys, cfg.ts_col, cfg.transform, cfg.watermark)
+    stream = build_stream(raw, cfg.line_schema, cfg.keys, cfg.ts_col, cfg.transform, cfg.watermark,
+                          corrupt_col=cfg.corrupt_col)
     prune = cfg.partition_col if cfg.prune_merge_by_partition else None
-    metrics = run_available_now(spark, stream, merge_sink(events, cfg.keys, quarantine, prune_by=prune),
+    sink = merge_sink(events, cfg.keys, quarantine, prune_by=prune, corrupt_col=cfg.corrupt_col)
+    metrics = run_available_now(spark, stream, sink,
                                 ws.checkpoint(run_id), table=events, watermark=cfg.watermark)
 
     exported = export_snapshot(events, ws.export)
@@ -116,11 +120,12 @@ def event_day_config(files_per_trigger: int = 4) -> DayConfig:
     26-hour watermark dedup on event_id, full warehouse build with tests."""
     from eventmart.operators.flatten import flatten
     from eventmart.plans.warehouse import Warehouse, build_models
-    from eventmart.schema import event_schema, events_contract
+    from eventmart.schema import CORRUPT_COLUMN, event_schema, events_contract
 
     return DayConfig(
         line_schema=event_schema(), keys=["event_id"], ts_col="created_at",
-        partition_col="event_date", transform=flatten, contract=events_contract(),
+        partition_col="event_date", transform=lambda df: flatten(df, keep=[CORRUPT_COLUMN]),
+        contract=events_contract(), corrupt_col=CORRUPT_COLUMN,
         models=lambda spark, raw, ws: build_models(spark, raw, Warehouse(f"{ws.root}/warehouse")),
         files_per_trigger=files_per_trigger, files_per_segment=1)
 

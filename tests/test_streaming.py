@@ -77,13 +77,22 @@ def test_late_rows_dropped_after_watermark_lag(spark, scratch):
 
 
 def test_null_and_malformed_keys_go_to_quarantine(spark, scratch):
-    segs = [[line(1, "2024-01-01T00:00:00"), '{"event_id": null, "ts": "2024-01-01T00:00:00"}',
-             '{"event_id": 7, "ts": "2024-01-01T00:0']]
+    bad_line = '{"event_id": 7, "ts": "2024-01-01T00:0'
+    segs = [[line(1, "2024-01-01T00:00:00"), line(1, "2024-01-01T00:00:00"),
+             '{"event_id": null, "ts": "2024-01-01T00:00:00"}',
+             '{"event_id": null, "ts": "2024-01-01T00:05:00"}', bad_line]]
     landing = landing_files(spark, scratch, segs)
     q = VersionedTable(spark, scratch("quarantine"))
-    t, _ = ingest(spark, landing, scratch("tbl"), scratch("ckpt"), quarantine=q)
+    t = VersionedTable(spark, scratch("tbl"), partition_by="event_date")
+    raw = stream_source(spark, "files", path=landing, cap=1)
+    stream = build_stream(raw, SCHEMA, ["event_id"], "ts", transform=output, corrupt_col="_corrupt_record")
+    run_available_now(spark, stream, merge_sink(t, ["event_id"], q, output=None,
+                                                corrupt_col="_corrupt_record"), scratch("ckpt"), table=t)
     assert [r["event_id"] for r in t.read().collect()] == [1]
-    assert q.read().count() >= 1
+    assert "_corrupt_record" not in t.read().columns
+    quarantined = q.read().collect()
+    assert len(quarantined) == 3          # both null keys kept (no key dedup) + the bad line
+    assert [r["_corrupt_record"] for r in quarantined if r["_corrupt_record"]] == [bad_line]
 
 
 def test_clean_lines_strips_all_whitespace(spark):
