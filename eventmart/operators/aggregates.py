@@ -116,12 +116,13 @@ def reconcile_counts(read_df: DataFrame, written_df: DataFrame, by: str,
     Both sides are aggregated first (partial aggregation, then a shuffle of
     one row per value), so the full outer join only sees the small counts.
     """
-    r = counts_by(read_df, by, "_r")
-    w = counts_by(written_df, by, "_w")
-    j = r.join(w, on=by, how="full_outer")
+    r = counts_by(read_df, by, "_r").withColumnRenamed(by, "_kr")
+    w = counts_by(written_df, by, "_w").withColumnRenamed(by, "_kw")
+    # null-safe: the null partition is a partition like any other
+    j = r.join(w, F.col("_kr").eqNullSafe(F.col("_kw")), "full_outer")
     rc = F.coalesce(F.col("_r"), F.lit(0)).alias(read_name)
     wc = F.coalesce(F.col("_w"), F.lit(0)).alias(written_name)
-    out = j.select(by, rc, wc)
+    out = j.select(F.coalesce(F.col("_kr"), F.col("_kw")).alias(by), rc, wc)
     return out.withColumn("ok", F.col(read_name) == F.col(written_name))
 
 

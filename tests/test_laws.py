@@ -153,3 +153,21 @@ def test_scd2_matches_model(spark, snaps):
     got = sorted((r["k"], str(r["v"]), r["valid_from"], str(r["valid_to"])) for r in history.collect())
     want = sorted((k, str(v), f, str(t)) for k, v, f, t in model)
     assert got == want
+
+
+@LAW
+@given(keys=st.lists(st.sampled_from(["a", "b", "c", None]), max_size=12),
+       written_mask=st.lists(st.booleans(), min_size=12, max_size=12))
+def test_duplicate_and_reconcile_match_model(spark, keys, written_mask):
+    from eventmart.operators import aggregates as A
+    df = spark.createDataFrame([(k,) for k in keys], "k string")
+    r = A.duplicate_summary(df, "k").collect()[0]
+    non_null = [k for k in keys if k is not None]
+    assert (r["total"], r["distinct_keys"], r["null_keys"]) == (len(keys), len(set(non_null)), len(keys) - len(non_null))
+    assert r["duplicates"] == len(non_null) - len(set(non_null))
+    written = [k for k, w in zip(keys, written_mask) if w]
+    out = {x["k"]: (x["rows_read"], x["rows_written"], x["ok"])
+           for x in A.reconcile_counts(df, spark.createDataFrame([(k,) for k in written], "k string"), "k").collect()}
+    for k in set(keys):
+        n_r, n_w = keys.count(k), written.count(k)
+        assert out[k] == (n_r, n_w, n_r == n_w)

@@ -88,3 +88,14 @@ def test_load_by_name_case_insensitive(spark, scratch):
     assert out.collect()[0].asDict() == {"event_id": 1, "event_type": "x", "note": None}
     assert contract_diff(out, contract) == []
     assert contract_diff(out.drop("note"), contract) == ["missing column note"]
+
+
+def test_load_by_name_aborts_on_a_bad_file(spark, scratch):
+    src = scratch("load_bad")
+    spark.createDataFrame([(1, "x")], "EVENT_ID long, event_type string").write.parquet(src)
+    with open(os.path.join(src, "part-99999-broken.parquet"), "wb") as fh:
+        fh.write(b"this is not parquet")
+    from pyspark.sql.types import StructType
+    contract = StructType.fromDDL("event_id BIGINT, event_type STRING")
+    with pytest.raises(Exception):
+        load_by_name(spark, src, contract).collect()
