@@ -27,14 +27,16 @@ from eventmart.llm.common import free_name
 
 SIZE = 300
 CHUNK_CHARS = 1 << 19
+#: stands for whatever separates words
+GAP = 1
 #: slices that the n-grams of one language are ranked in before the last ranking
 SLICES = 64
 
 
 @lru_cache(1)
 def _letters() -> np.ndarray:
-    """Code point -> code point of its lower-case letter, 0 for anything that is no letter."""
-    table = np.zeros(0x110000, np.int64)
+    """Code point -> code point of its lower-case letter, GAP for anything that is no letter."""
+    table = np.full(0x110000, GAP, np.int64)
     for i in range(0x110000):
         c = chr(i)
         if c.isalpha():
@@ -43,13 +45,14 @@ def _letters() -> np.ndarray:
 
 
 def _grams(text: str) -> np.ndarray:
-    """All 1- to 3-grams, repeats included, as one integer each (21 bits a character)."""
+    """All 1- to 3-grams, repeats included, as one integer each: 21 bits a character, none
+    of which is 0, so grams of different lengths never share a number."""
     codes = _letters()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
-    codes = np.concatenate([[0], codes, [0]])
-    codes = codes[np.r_[True, (codes[1:] != 0) | (codes[:-1] != 0)]]
-    one = codes[codes != 0]
+    codes = np.concatenate([[GAP], codes, [GAP]])
+    codes = codes[np.r_[True, (codes[1:] != GAP) | (codes[:-1] != GAP)]]
+    one = codes[codes != GAP]
     two = codes[:-1] << 21 | codes[1:]
-    middle = codes[1:-1] != 0
+    middle = codes[1:-1] != GAP
     three = (two[:-1] << 21 | codes[2:])[middle]
     return np.concatenate([one, two, three]) if len(one) else one
 

@@ -2,8 +2,12 @@
 
 1. ``sample_examples``: at most ``EXAMPLES`` labelled rows per class (smallest
    digest of the id first); this is the only bounded sample, and its bound is a parameter.
-2. ``select_terms``: words and letter 5-grams whose presence in the examples
-   depends on the label (G-squared test).
+2. ``select_terms``: words and word beginnings whose presence in the examples
+   depends on the label (G-squared test), each also as a dense term, which a
+   text has if one word in ``DENSE`` or more is of it: a stem that clean texts
+   hold now and then by chance tells by its density. Of terms that begin with one another
+   only the one that tells most is kept, so that a stem counts once however
+   many words it starts, and harmless shorter beginnings of it not at all.
 3. ``vectors``: the counts of these terms in every whole text, staged; their
    document frequencies over all documents give the IDF.
 4. ``BlockMaxIndex``: an inverted index of the examples in blocks of ``BLOCK``,
@@ -11,8 +15,8 @@
    bounds of its terms, opens blocks from the highest bound on, and stops when
    no unopened block can reach the k-th best cosine. The neighbours are exact,
    all ties at the k-th place included.
-5. Votes are weighted by cosine and by how many labelled rows an example stands
-   for, and shrunk towards the rate of rows without evidence, which makes the
+5. Votes are weighted by distance and by how many labelled rows an example
+   stands for (ties at the k-th place share what is left of the k votes), and shrunk towards the rate of rows without evidence, which makes the
    score a probability estimate; the nearest examples come with it as evidence.
 
 Defined cases: null and empty texts, and texts without a selected term, get the
@@ -27,7 +31,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,25 +43,40 @@ EXAMPLES = 10_000
 TERMS = 4096
 #: least G-squared of a selected term: by chance one candidate in a million reaches it
 LEAST_G2 = 24.0
-GRAM = 5
+#: letters of a word beginning
+BEGINNINGS = (3, 4, 5, 6, 7, 8)
 NEIGHBORS = 15
 BLOCK = 64
-SHRINK = 1.0
+DENSE = 128
+#: weight of a neighbour at no distance is 1 / NEAREST
+NEAREST = 0.1
+#: weight of the rate without evidence among the votes
+SHRINK = 2.0
 
 _WORDS = re.compile(r"[^\W\d_]+")
 _CACHE_WORDS = 200_000
 
 
 def word_terms(word: str) -> set[str]:
-    """The word itself (marked =) and its letter 5-grams, word start and end included."""
-    padded = f"_{word}_"
-    return {f"={word}", *(padded[i:i + GRAM] for i in range(max(1, len(padded) - GRAM + 1)))}
+    """The word itself (marked =) and its beginnings that have more letters after them."""
+    return {f"={word}", *(word[:n] for n in BEGINNINGS if len(word) > n)}
 
 
 def _words(text: str | None) -> Counter:
     return Counter(_WORDS.findall((text or "").lower()))
 
 
+def text_terms(words: Counter, terms_of: Callable[[str], Iterable[str]]) -> Counter:
+    """The terms of a text with their counts; the dense form of a term ends in @."""
+    found: Counter = Counter()
+    for word, n in words.items():
+        for term in terms_of(word):
+            found[term] += n
+    total = words.total()
+    found.update({f"{t}@": n for t, n in found.items() if n * DENSE >= total})
+    return found
+
+
 def sample_examples(labels: DataFrame, limit: int = EXAMPLES, id_col: str = "doc_id",
                     label_col: str = "toxic") -> tuple[DataFrame, list[int]]:
     """(doc_id, toxic) of at most limit rows per class, and the class sizes over all labels."""
@@ -73,7 +92,7 @@ def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         seen: list[Counter] = [Counter(), Counter()]
         for text, toxic in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist(), strict=True):
-            seen[toxic].update(set().union(*map(word_terms, _words(text))))
+            seen[toxic].update(text_terms(_words(text), word_terms).keys())
         for toxic, counts in enumerate(seen):
             yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array([toxic] * len(counts), pa.int32()),
                                               pa.array(counts.values(), pa.int64())], ["term", "toxic", "n"])
@@ -95,36 +114,45 @@ def select_terms(examples: DataFrame, terms: int = TERMS, least: float = LEAST_G
     g2 = 2 * (cell(F.col("a"), row, n1) + cell(F.col("b"), row, n0)
               + cell(n1 - F.col("a"), total - row, n1) + cell(n0 - F.col("b"), total - row, n0))
     best = counts.withColumn("g2", g2).filter(F.col("g2") >= least).orderBy(F.desc("g2"), "term").limit(terms)
-    return sorted(r["term"] for r in best.select("term").collect())
+    return strongest([(r["term"], r["g2"]) for r in best.select("term", "g2").collect()])
+
+
+def strongest(scored: list[tuple[str, float]]) -> list[str]:
+    """The terms that no term nested with them outdoes; of equal ones the longest."""
+    def key(term: str, g2: float) -> tuple:
+        return (round(g2, 6), len(term), term)
+
+    score = {t: key(t, g2) for t, g2 in scored}
+    beaten = set()
+    for term in score:
+        letters = term.strip("=@")
+        # the terms that every word of this term has: its beginnings, and its other form
+        nested = {f"{letters[:n]}{dense}" for n in BEGINNINGS if n <= len(letters) for dense in ("", "@")}
+        nested.add(term.removesuffix("@") if term[-1] == "@" else f"{term}@")
+        for other in nested & score.keys() - {term}:
+            beaten.add(term if score[other] > score[term] else other)
+    return sorted(set(score) - beaten)
 
 
 def vectors(docs: DataFrame, terms: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, terms, counts) of every row: numbers of the selected terms in the whole text, in order."""
     number = {t: i for i, t in enumerate(terms)}
-    grams = sorted({len(t) for t in terms if t[0] != "="})
-
-    def of_word(word: str) -> tuple[int, ...]:
-        out = [number[w]] if (w := f"={word}") in number else []
-        padded = f"_{word}_"
-        for n in grams:
-            if n == GRAM or len(padded) == n < GRAM:
-                out += {number[g] for i in range(len(padded) - n + 1) if (g := padded[i:i + n]) in number}
-        return tuple(out)
+    wanted = {t.removesuffix("@") for t in terms}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, tuple[int, ...]] = {}
+        known: dict[str, set[str]] = {}
+
+        def of_word(word: str) -> set[str]:
+            if (of := known.get(word)) is None:
+                if len(known) >= _CACHE_WORDS:
+                    known.clear()
+                of = known[word] = word_terms(word) & wanted
+            return of
+
         for batch in batches:
             ids, ns = [], []
             for text in batch["text"].to_pylist():
-                found: Counter = Counter()
-                for word, n in _words(text).items():
-                    if (of := known.get(word)) is None:
-                        if len(known) >= _CACHE_WORDS:
-                            known.clear()
-                        of = known[word] = of_word(word)
-                    for t in of:
-                        found[t] += n
-                pairs = sorted(found.items())
+                pairs = sorted((number[t], n) for t, n in text_terms(_words(text), of_word).items() if t in number)
                 ids.append([t for t, _ in pairs])
                 ns.append([n for _, n in pairs])
             yield pa.RecordBatch.from_arrays(
@@ -232,7 +260,10 @@ def score(docs: DataFrame, labels: DataFrame, limit: int = EXAMPLES, neighbors:
                     place, cosine = index.nearest(t, n, neighbors)
                     ids = index.ids[place].tolist()
                     label = np.array([label_of[i] for i in ids], float)
-                    vote = cosine * np.where(label == 1, stand[1], stand[0])
+                    vote = np.where(label == 1, stand[1], stand[0]) / (NEAREST + 1 - cosine)
+                    if len(ids) > neighbors:  # the last ones tie for what is left of the votes
+                        last = cosine == cosine[-1]
+                        vote[last] *= (neighbors - (~last).sum()) / last.sum()
                     made[key] = (float((vote @ label + SHRINK * prior) / (vote.sum() + SHRINK)), ",".join(
                         f"{i}:{label_of[i]}:{c:.4f}" for i, c in zip(ids[:5], cosine[:5].tolist(), strict=True)))
                 out.append(made[key])
