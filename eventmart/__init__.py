@@ -4,7 +4,7 @@ from eventmart.operators.aggregates import (  # noqa: F401
     daily_activity, duplicate_report, duplicate_summary, first_last_seen, reconcile_counts,
     unknown_values)
 from eventmart.operators.dedup import first_per_key, latest_per_key  # noqa: F401
-from eventmart.operators.flatten import expand_struct, flatten  # noqa: F401
+from eventmart.operators.flatten import flatten  # noqa: F401
 from eventmart.operators.incremental import after_mark, high_water_mark  # noqa: F401
 from eventmart.operators.merge import (  # noqa: F401
     delete_where, merge_insert, replace_where, upsert)

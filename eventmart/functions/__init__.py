@@ -1,12 +0,0 @@
-from eventmart.functions.columns import (  # noqa: F401
-    clean_text,
-    count_where,
-    event_date,
-    guarded_ratio,
-    ntz,
-    null_safe_differs,
-    pct,
-    split_part,
-    surrogate_key,
-    thousands,
-)

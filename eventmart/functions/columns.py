@@ -52,14 +52,6 @@ def guarded_ratio(num: str | Column, den: str | Column) -> Column:
     return F.when(den_c > 0, col_(num).cast("double") / den_c).otherwise(F.lit(0.0))
 
 
-def null_safe_differs(cols: list[str], left: str, right: str) -> Column:
-    """True when any of ``cols`` differs between two aliased sides, nulls compared as values."""
-    cond = F.lit(False)
-    for c in cols:
-        cond = cond | ~F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
-    return cond
-
-
 def pct(c: str | Column, digits: int = 4) -> Column:
     """Percent text of a ratio column, for run reports."""
     return F.concat(F.format_number(col_(c) * 100, digits), F.lit("%"))

@@ -36,11 +36,6 @@ def flatten(
     return df.select(*cols)
 
 
-def expand_struct(df: DataFrame, struct_col: str) -> DataFrame:
-    """``select(struct.*)``: the struct's fields become the columns."""
-    return df.select(f"{struct_col}.*")
-
-
 def parse_json_column(df: DataFrame, column: str, schema: StructType | str) -> DataFrame:
     """Replace a JSON text column by its parsed struct (malformed -> null fields)."""
     return df.withColumn(column, F.from_json(F.col(column), schema))

@@ -1,13 +1,10 @@
 """Key-based merges as joins: insert-only, upsert, partition replace, delete.
 
-Pure DataFrame -> DataFrame; the versioned table in ``eventmart.sinks`` turns
-their results into commits. Physical plan, by size:
-
-* the batch side's keys are counted against ``broadcast_rows`` with a
-  bounded action (``limit(n + 1).count()``); only a batch proven that small is
-  broadcast, and then the (large) target is streamed once without a shuffle;
-* otherwise both sides shuffle on the key (sort-merge / shuffled hash join,
-  AQE re-plans and splits skewed partitions).
+Pure DataFrame -> DataFrame. No size is guessed here: the joins carry no hints,
+so Spark broadcasts a side whose measured size is small and otherwise shuffles
+both on the key, splitting skewed partitions (AQE). The batch's keys are matched
+against the target first, so that a small batch streams the target past it
+without a shuffle of the target.
 """
 
 from __future__ import annotations
@@ -17,13 +14,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def at_most(df: DataFrame, limit: int) -> bool:
-    """True when ``df`` has at most ``limit`` rows (reads at most limit+1 rows)."""
-    return df.limit(limit + 1).count() <= limit
-
 
 def not_null_keys(keys: Sequence[str]) -> Column:
     cond = F.lit(True)
@@ -40,96 +30,88 @@ def split_null_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Data
     return df.filter(ok), df.filter(~ok)
 
 
+def require_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """df, failing while it runs on the first row with a null key (no extra job)."""
+    keys = list(keys)
+    fail = F.raise_error(F.lit(f"merge batch holds a null key on {keys}; split it off first")).cast("boolean")
+    return df.filter(F.when(not_null_keys(keys), F.lit(True)).otherwise(fail))
+
+
 def merge_insert_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str],
-                      broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
-                      batch_rows: int | None = None, batch_unique: bool = False) -> DataFrame:
+                      batch_unique: bool = False) -> DataFrame:
     """Rows of ``batch`` whose key is not in ``target`` (one row per key).
 
     The batch is deduplicated on the key first, so a batch holding the same
-    new key twice inserts it once. Null keys are dropped (see
-    ``split_null_keys``). ``batch_rows``, when the caller already knows the
-    batch size, stands in for the bounded count; ``batch_unique`` skips the
-    dedup shuffle when the batch is already key-unique (a stream deduplicated
-    on the key).
+    new key twice inserts it once; ``batch_unique`` skips that shuffle when the
+    batch is already key-unique (a stream deduplicated on the key). A null key
+    fails the merge (see ``split_null_keys``).
     """
     keys = list(keys)
-    present = batch.filter(not_null_keys(keys))
-    raw_keys = present.select(*keys)
-    # the raw key count bounds the distinct count, so neither the size check
-    # nor the broadcast below needs the dedup shuffle
-    small = broadcast_rows and (batch_rows <= broadcast_rows if batch_rows is not None
-                                else at_most(raw_keys, broadcast_rows))
+    present = require_keys(batch, keys)
     deduped = present if batch_unique else present.dropDuplicates(keys)
-    if small:
-        # Build side = the small batch: find which of its keys the target
-        # holds by streaming the target past a broadcast of the batch keys,
-        # then drop those from the batch (also a broadcast: a subset of them).
-        matched = target.select(*keys).join(F.broadcast(raw_keys), keys, "left_semi").distinct()
-        return deduped.join(F.broadcast(matched), keys, "left_anti")
-    return deduped.join(target.select(*keys), keys, "left_anti")
+    matched = target.select(*keys).join(batch.select(*keys), keys, "left_semi").distinct()
+    return deduped.join(matched, keys, "left_anti")
 
 
-def merge_insert(target: DataFrame, batch: DataFrame, keys: Sequence[str],
-                 broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def merge_insert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Insert-only merge: matched keys keep the target row, others are added."""
-    new = merge_insert_rows(target, batch, keys, broadcast_rows)
-    return target.unionByName(new)
+    return target.unionByName(merge_insert_rows(target, batch, keys))
 
 
-def assert_unique_keys(df: DataFrame, keys: Sequence[str]) -> None:
-    dup = df.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).count()
-    if dup:
+def check_upsert_batch(batch: DataFrame, keys: Sequence[str]) -> None:
+    """One pass over the batch's keys: none is null, none occurs twice."""
+    per_key = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    ok = not_null_keys(keys)
+    nulls, repeated = per_key.agg(F.coalesce(F.sum(F.when(~ok, F.col("n"))), F.lit(0)),
+                                  F.count_if(ok & (F.col("n") > 1))).first()
+    if nulls:
+        raise ValueError(f"upsert batch holds a null key on {list(keys)}")
+    if repeated:
         raise ValueError(f"merge source holds a key more than once on {list(keys)}")
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str],
-           broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
-           check_unique: bool = True) -> DataFrame:
+           check_batch: bool = True) -> DataFrame:
     """Upsert: a matched key gets the batch row (all columns), others are inserted.
 
-    The batch must hold each key once (checked unless ``check_unique=False``)
-    and no null key (rejected: it could never match).
+    The batch must hold each key once and no null key (checked unless
+    ``check_batch=False``, when the caller has checked it).
     """
     keys = list(keys)
-    if batch.filter(~not_null_keys(keys)).limit(1).count():
-        raise ValueError(f"upsert batch holds a null key on {keys}")
-    if check_unique:
-        assert_unique_keys(batch, keys)
-    batch_keys = batch.select(*keys)
-    if broadcast_rows and at_most(batch_keys, broadcast_rows):
-        kept = target.join(F.broadcast(batch_keys), keys, "left_anti")
-    else:
-        kept = target.join(batch_keys, keys, "left_anti")
-    return kept.unionByName(batch)
-
-
-def partition_values(df: DataFrame, part_col: str, limit: int = 100_000) -> tuple[list, bool]:
-    """Distinct non-null partition values of a batch and whether it holds nulls.
-
-    A bounded collect: at most ``limit`` values (a batch spanning more
-    partitions than that is rejected rather than pulled to the driver).
+    if check_batch:
+        check_upsert_batch(batch, keys)
+    return target.join(batch.select(*keys), keys, "left_anti").unionByName(batch)
+
+
+def partition_text(part_col: str) -> Column:
+    """A partition value as Spark writes it in a path: its text, and null for
+    an empty string, which a partitioned table cannot tell from null."""
+    return F.nullif(F.col(part_col).cast("string"), F.lit(""))
+
+
+def partition_values(df: DataFrame, part_col: str) -> tuple[list[str], bool]:
+    """Distinct partition values of a batch as text and whether it holds nulls.
+
+    One entry per partition written, which is what the table lists on the
+    driver anyway; rows never get here.
     """
-    vals = df.select(part_col).distinct().limit(limit + 1).collect()
-    if len(vals) > limit:
-        raise ValueError(f"batch touches more than {limit} partitions of {part_col}")
-    present = sorted(r[0] for r in vals if r[0] is not None)
-    return present, any(r[0] is None for r in vals)
-
-
-def touched_predicate(part_col: str, values: list, has_null: bool) -> Column:
-    """``part_col IN (values)`` (or null, when the batch held nulls); never
-    null itself, so its negation keeps null-partition rows the batch does not
-    touch."""
-    cond = F.coalesce(F.col(part_col).isin(values), F.lit(False)) if values else F.lit(False)
-    if has_null:
-        cond = cond | F.col(part_col).isNull()
-    return cond
+    vals = [r[0] for r in df.select(partition_text(part_col)).distinct().collect()]
+    return sorted(v for v in vals if v is not None), None in vals
+
+
+def touched_predicate(part_col: str, values: list[str], has_null: bool) -> Column:
+    """Rows in one of the partitions (or in the null one, when the batch held
+    nulls); never null itself, so its negation keeps null-partition rows the
+    batch does not touch."""
+    text = partition_text(part_col)
+    cond = F.coalesce(text.isin(values), F.lit(False)) if values else F.lit(False)
+    return cond | text.isNull() if has_null else cond
 
 
 def replace_where(target: DataFrame, batch: DataFrame, part_col: str) -> DataFrame:
     """Replace exactly the partitions the batch touches; keep all others."""
-    values, has_null = partition_values(batch, part_col)
-    keep = target.filter(~touched_predicate(part_col, values, has_null))
+    touched = batch.select(partition_text(part_col).alias("_touched")).distinct()
+    keep = target.join(touched, partition_text(part_col).eqNullSafe(F.col("_touched")), "left_anti")
     return keep.unionByName(batch)
 
 

@@ -109,13 +109,17 @@ def relationship_failures(child: DataFrame, column: str, parent: DataFrame,
                           parent_column: str) -> DataFrame:
     """Count of child rows whose non-null key is absent from the parent.
 
-    Left anti join; the parent side is left to AQE, which broadcasts it at
+    Child rows are counted per key first, so a hot key is one row by the time
+    it is joined; then the counts of the keys without a parent are summed. The
+    join is an outer one, because the optimizer would push an anti join below
+    the counting. The parent side is left to AQE, which broadcasts it at
     runtime only when its measured size is under the broadcast threshold.
     """
-    keys = child.select(F.col(column).alias("_k")).filter(F.col("_k").isNotNull())
-    parents = parent.select(F.col(parent_column).alias("_k"))
-    orphans = keys.join(parents, "_k", "left_anti")
-    return orphans.agg(F.count(F.lit(1)).alias("failures"))
+    keys = (child.select(F.col(column).alias("_k")).filter(F.col("_k").isNotNull())
+            .groupBy("_k").agg(F.count(F.lit(1)).alias("_n")))
+    parents = parent.select(F.col(parent_column).alias("_k")).distinct().withColumn("_hit", F.lit(1))
+    orphans = keys.join(parents, "_k", "left").filter(F.col("_hit").isNull())
+    return orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("failures"))
 
 
 def conditional_null_counts(df: DataFrame, column: str, present_when: Column) -> DataFrame:

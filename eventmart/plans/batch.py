@@ -1,30 +1,30 @@
 """Batch ingest of raw event files into the partitioned event table.
 
-read (declared schema) -> flatten -> gates -> replace the touched dates ->
-reconcile. Rerunning the same input replaces its dates instead of appending
-a second copy. The gates run in one aggregate pass plus two bounded collects:
+read (declared schema) -> flatten -> stage -> gates -> replace the touched
+dates -> reconcile. The raw files are parsed once, into a staged table beside
+the target; the gates, the write and the reconciliation read that. Rerunning
+the same input replaces its dates instead of appending a second copy. Gates:
 
 * no rows with a date -> error (nothing to write, likely a wrong glob);
 * rows with a null date are routed to a quarantine table and fail the run
   above ``max_null_date_rate`` (they could never be matched by the
   replace filter);
-* event types outside the known set -> error; at most ``limit`` unknown
-  values are pulled to the driver for the message.
+* event types outside the known set -> error, naming up to ``limit`` of them.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.functions.columns import count_where
-from eventmart.operators.aggregates import batch_dates, reconcile_counts, unknown_values
+from eventmart.operators.aggregates import counts_by, reconcile_counts, unknown_values
 from eventmart.operators.flatten import flatten
 from eventmart.schema import KNOWN_EVENT_TYPES
-from eventmart.sinks.table import VersionedTable
+from eventmart.sinks.table import VersionedTable, delete_path
 from eventmart.sources.files import read_events
 
 
@@ -44,9 +44,10 @@ class IngestResult:
 
 
 def check_known_types(flat: DataFrame, type_col: str, known: Iterable[str], limit: int = 100) -> None:
-    unknown = [r[0] for r in unknown_values(flat, type_col, known).limit(limit).collect()]
-    if unknown:
-        raise IngestError(f"unknown event types, schema needs updating: {sorted(unknown)}")
+    found = [r[0] for r in unknown_values(flat, type_col, known).limit(limit + 1).collect()]
+    if found:
+        more = " and more" if len(found) > limit else ""
+        raise IngestError(f"{type_col} holds values that the schema does not declare: {sorted(found)[:limit]}{more}")
 
 
 def ingest_batch(spark: SparkSession, paths, table: VersionedTable,
@@ -54,12 +55,23 @@ def ingest_batch(spark: SparkSession, paths, table: VersionedTable,
                  type_col: str = "event_type", known_types: Iterable[str] = KNOWN_EVENT_TYPES,
                  max_null_date_rate: float = 0.0, flat: DataFrame | None = None) -> IngestResult:
     flat = flat if flat is not None else flatten(read_events(spark, paths))
-    stats = flat.agg(F.count(F.lit(1)).alias("rows"),
-                     count_where(F.col(date_col).isNull()).alias("null_dates")).collect()[0]
-    rows, null_dates = stats["rows"], stats["null_dates"]
+    stage = f"{table.root}/_staging/{uuid.uuid4().hex}"
+    flat.write.parquet(stage)
+    try:
+        return _ingest_staged(spark.read.schema(flat.schema).parquet(stage), table, quarantine, date_col,
+                              type_col, known_types, max_null_date_rate)
+    finally:
+        delete_path(spark, stage)
+
+
+def _ingest_staged(flat: DataFrame, table: VersionedTable, quarantine: VersionedTable | None, date_col: str,
+                   type_col: str, known_types: Iterable[str], max_null_date_rate: float) -> IngestResult:
     dated = flat.filter(F.col(date_col).isNotNull())
-    span = batch_dates(dated, date_col).collect()[0]
-    if not span["n_dates"]:
+    per_date = counts_by(flat, date_col).collect()      # a row per date of the batch
+    rows = sum(r["n"] for r in per_date)
+    dates = sorted(r[date_col] for r in per_date if r[date_col] is not None)
+    null_dates = sum(r["n"] for r in per_date if r[date_col] is None)
+    if not dates:
         raise IngestError("no rows with a date were read; check the input paths")
     if null_dates:
         if quarantine is not None:
@@ -69,10 +81,10 @@ def ingest_batch(spark: SparkSession, paths, table: VersionedTable,
     check_known_types(dated, type_col, known_types)
 
     version = table.replace_partitions(dated)
-    written = table.read().filter(F.col(date_col).between(span["first_date"], span["last_date"]))
-    check = reconcile_counts(dated, written, date_col)
-    bad = check.filter(~F.col("ok")).limit(10).collect()
+    written = table.read().filter(F.col(date_col).between(dates[0], dates[-1]))
+    check = reconcile_counts(dated, written.join(dated.select(date_col).distinct(), date_col, "left_semi"), date_col)
+    bad = check.filter(~F.col("ok")).limit(11).collect()
     if bad:
-        raise IngestError(f"row count mismatch on {[(r[date_col], r['rows_read'], r['rows_written']) for r in bad]}")
-    return IngestResult(rows, null_dates, span["first_date"], span["last_date"], span["n_dates"],
-                        version, rows - null_dates)
+        raise IngestError(f"row count mismatch on {[(r[date_col], r['rows_read'], r['rows_written']) for r in bad[:10]]}"
+                          + (" and more" if len(bad) > 10 else ""))
+    return IngestResult(rows, null_dates, dates[0], dates[-1], len(dates), version, rows - null_dates)

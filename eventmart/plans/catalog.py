@@ -230,10 +230,10 @@ def q_insert_only_merge(spark, sf_dir):
 
 @register("upsert_merge", """
 select c_custkey, case when c_custkey % 3 = 0 then 'NEW' else c_mktsegment end c_mktsegment
-from customer where c_custkey < 1000 or c_custkey % 3 = 0""")
+from customer where c_custkey % 2 = 1 or c_custkey % 3 = 0""")
 def q_upsert_merge(spark, sf_dir):
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    target = cust.filter(F.col("c_custkey") < 1000)
+    target = cust.filter(F.col("c_custkey") % 2 == 1)
     batch = cust.filter(F.col("c_custkey") % 3 == 0).withColumn("c_mktsegment", F.lit("NEW"))
     return M.upsert(target, batch, ["c_custkey"])
 
@@ -303,7 +303,7 @@ union all select 'accepted_values', 'event_type', 'error', (select count(*) from
 def q_dq_suite(spark, sf_dir):
     ev = events(spark, sf_dir)
     e = ev.select(F.when(F.col("event_id") % 100 == 0, F.lit(None)).otherwise(F.col("user_id")).alias("user_id"),
-                  "event_type", F.floor(F.col("event_id") / 2).cast("bigint").alias("half_id"))
+                  "event_type", F.expr("event_id div 2").alias("half_id"))
     tests = [Q.not_null("user_id"), Q.unique("half_id", severity=Q.WARN),
              Q.accepted_values("event_type", ["click", "view", "purchase", "signup"])]
     return Q.run_tests(e, tests)
@@ -323,12 +323,12 @@ def q_reconcile_counts(spark, sf_dir):
 # ---------------------------------------------------------------------- SCD-2
 @register("scd2_snapshot", """
 select c_custkey, c_mktsegment, timestamp '2024-01-01' valid_from,
-       case when c_custkey % 10 = 0 then timestamp '2024-01-02' end valid_to from customer where c_custkey < 1000
+       case when c_custkey % 10 = 0 then timestamp '2024-01-02' end valid_to from customer where c_custkey % 3 <> 0
 union all select c_custkey, case when c_custkey % 10 = 0 then 'CHANGED' else c_mktsegment end,
-       timestamp '2024-01-02', cast(null as timestamp) from customer where c_custkey >= 1000 or c_custkey % 10 = 0""")
+       timestamp '2024-01-02', cast(null as timestamp) from customer where c_custkey % 3 = 0 or c_custkey % 10 = 0""")
 def q_scd2_snapshot(spark, sf_dir):
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    t1 = cust.filter(F.col("c_custkey") < 1000)
+    t1 = cust.filter(F.col("c_custkey") % 3 != 0)
     t2 = cust.withColumn("c_mktsegment", F.when(F.col("c_custkey") % 10 == 0, F.lit("CHANGED"))
                          .otherwise(F.col("c_mktsegment")))
     h1 = scd2.snapshot(None, t1, "c_custkey", ["c_mktsegment"], dt.datetime(2024, 1, 1))
@@ -337,4 +337,4 @@ def q_scd2_snapshot(spark, sf_dir):
 
 
 # storage- and stream-backed keys register themselves on import
-from eventmart.plans import catalog_stateful  # noqa: E402,F401
+from eventmart.plans import catalog_models, catalog_stateful  # noqa: E402,F401

@@ -51,11 +51,6 @@ class DayConfig:
     corrupt_col: str | None = None
     watermark: str = "26 hours"
     files_per_trigger: int = 1
-    files_per_segment: int = 1
-    # Compare each micro-batch only with the table partitions it touches.
-    # Valid because the partition is derived from the event's own immutable
-    # timestamp, so a key can only ever live in one partition.
-    prune_merge_by_partition: bool = True
 
 
 @dataclass
@@ -87,15 +82,14 @@ class Workspace:
 def run_day(spark: SparkSession, raw_paths: Sequence[str], ws: Workspace, cfg: DayConfig,
             run_id: str) -> DayResult:
     landing = f"{ws.landing}/{run_id}"
-    sent = replay(spark, raw_paths, landing, files_per_segment=cfg.files_per_segment)
+    sent = replay(spark, raw_paths, landing)    # an absent hour stops the day here
 
     events = VersionedTable(spark, ws.events, partition_by=cfg.partition_col)
     quarantine = VersionedTable(spark, ws.quarantine, partition_by=None)
     raw = stream_source(spark, "files", path=landing, cap=cfg.files_per_trigger)
     stream = build_stream(raw, cfg.line_schema, cfg.keys, cfg.ts_col, cfg.transform, cfg.watermark,
                           corrupt_col=cfg.corrupt_col)
-    prune = cfg.partition_col if cfg.prune_merge_by_partition else None
-    sink = merge_sink(events, cfg.keys, quarantine, prune_by=prune, corrupt_col=cfg.corrupt_col)
+    sink = merge_sink(events, cfg.keys, quarantine, corrupt_col=cfg.corrupt_col)
     metrics = run_available_now(spark, stream, sink,
                                 ws.checkpoint(run_id), table=events, watermark=cfg.watermark)
 
@@ -127,7 +121,7 @@ def event_day_config(files_per_trigger: int = 4) -> DayConfig:
         partition_col="event_date", transform=lambda df: flatten(df, keep=[CORRUPT_COLUMN]),
         contract=events_contract(), corrupt_col=CORRUPT_COLUMN,
         models=lambda spark, raw, ws: build_models(spark, raw, Warehouse(f"{ws.root}/warehouse")),
-        files_per_trigger=files_per_trigger, files_per_segment=1)
+        files_per_trigger=files_per_trigger)
 
 
 def layer_counts(spark: SparkSession, ws: Workspace, key: str) -> DataFrame:
@@ -146,9 +140,18 @@ def day_range(start: str, end: str) -> list[str]:
 
 
 def backfill(spark: SparkSession, days: Sequence[str], paths_for_day: Callable[[str], list[str]],
-             ws: Workspace, cfg: DayConfig) -> list[DayResult]:
-    """Run days in date order, one at a time; a failing day stops the backfill."""
-    return [run_day(spark, paths_for_day(d), ws, cfg, run_id=f"day-{d}") for d in sorted(days)]
+             ws: Workspace, cfg: DayConfig, one_pass: bool = False) -> list[DayResult]:
+    """Run days in date order, one at a time; a failing day stops the backfill.
+
+    ``one_pass``: all days go through one replay job, one stream run (its
+    files still in date order), one export and one model build, so the cluster
+    is not left to a day's worth of files at a time. Gives the same tables.
+    """
+    ordered = sorted(days)
+    if one_pass:
+        paths = [p for d in ordered for p in paths_for_day(d)]
+        return [run_day(spark, paths, ws, cfg, run_id=f"days-{ordered[0]}-{ordered[-1]}")]
+    return [run_day(spark, paths_for_day(d), ws, cfg, run_id=f"day-{d}") for d in ordered]
 
 
 def reconcile_runs(before: DataFrame, after: DataFrame) -> DataFrame:

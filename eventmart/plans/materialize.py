@@ -35,14 +35,3 @@ def materialize_incremental(build: Callable[[object], DataFrame], table: Version
     mark = high_water_mark(table.read(), mark_col)
     return table.upsert(build(mark), keys)
 
-
-def materialize(df_or_build, kind: str, target=None, keys: Sequence[str] = (),
-                mark_col: str | None = None):
-    """Dispatch on the layer's materialisation kind: view | table | incremental."""
-    if kind == "view":
-        return materialize_view(df_or_build, target)
-    if kind == "table":
-        return materialize_table(df_or_build, target)
-    if kind == "incremental":
-        return materialize_incremental(df_or_build, target, keys, mark_col)
-    raise ValueError(f"unknown materialisation {kind!r}")

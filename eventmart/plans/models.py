@@ -88,8 +88,9 @@ def fct_events(stg: DataFrame, mark=None, key: str = "event_id", date_col: str =
     """One row per event id on every build path: rows after the mark (all when
     the mark is null), then the first row per key."""
     fresh = I.after_mark(stg, date_col, mark, lookback_days)
-    # a hash of the whole row breaks ties on the ordering deterministically
-    rest = [c for c in stg.columns if c != key]
+    # a hash of the whole row breaks ties on the ordering deterministically;
+    # the flags tell rows apart that differ in which column is null
+    rest = [x for c in stg.columns if c != key for x in (F.col(c).isNull(), F.col(c))]
     tagged = fresh.withColumn("_tie", F.xxhash64(*rest))
     return D.first_per_key(tagged, [key], [*order_by, "_tie"]).drop("_tie")
 
@@ -107,15 +108,12 @@ def dim_rollup(daily: DataFrame, dim: DataFrame, daily_key: str, dim_key: str,
                dim_cols: Sequence[str], date_col: str, count_col: str,
                first_name: str = "first_seen_date", last_name: str = "last_seen_date",
                total_name: str = "total_events") -> DataFrame:
-    """Join a (key, date) activity grain to the dimension, then re-aggregate
-    to the dimension grain. The join output is partitioned on the key, which
-    already satisfies the grouping, so the rollup needs no further shuffle."""
-    if daily_key == dim_key:
-        joined = daily.join(dim, daily_key, "inner")
-    else:
-        joined = daily.join(dim, daily[daily_key] == dim[dim_key], "inner")
-    return A.rollup_span(joined, [dim_key, *dim_cols], date_col, count_col,
-                         first_name, last_name, total_name)
+    """Roll a (key, date) activity grain up to the key, then join the dimension
+    (one row per key): only the key is grouped on and shuffled, and the join
+    sees a row per key instead of a row per key and date."""
+    rolled = A.rollup_span(daily, [daily_key], date_col, count_col, first_name, last_name, total_name)
+    joined = rolled.withColumnRenamed(daily_key, dim_key).join(dim.select(dim_key, *dim_cols), dim_key)
+    return joined.select(dim_key, *dim_cols, first_name, last_name, total_name)
 
 
 def dim_actors_model(int_actor: DataFrame, actors: DataFrame, mark=None) -> DataFrame:

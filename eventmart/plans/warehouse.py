@@ -1,10 +1,11 @@
 """Build the star schema from the warehouse raw table, run its data tests,
 and take the SCD-2 snapshot -- the model build of one day.
 
-Staging and intermediate models are views (named temp views, nothing
-stored); the fact and the two dimensions are incremental tables merged on
-their keys; the data tests run after the models and an ``error`` failure
-stops the build (``warn`` is reported).
+Staging models are views (named temp views, nothing stored); the intermediate
+results and the per-key attributes, which models and tests both read, are
+written once per build; the fact and the two dimensions are incremental tables
+merged on their keys; the data tests run after the models and an ``error``
+failure stops the build (``warn`` is reported).
 """
 
 from __future__ import annotations
@@ -12,15 +13,21 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from eventmart.operators import quality as Q
 from eventmart.operators import scd2
 from eventmart.plans import models as M
 from eventmart.plans.materialize import materialize_incremental, materialize_view
 from eventmart.schema import KNOWN_EVENT_TYPES
+from eventmart.session import scratch_path
 from eventmart.sinks.table import VersionedTable
 
 
+MODEL_NAMES = ("stg_events", "stg_actors", "stg_repos", "int_daily_repo_activity", "int_actor_first_last_seen",
+               "fct_events", "dim_repos", "dim_actors")
+
+
 @dataclass
 class Warehouse:
     root: str
@@ -53,10 +60,15 @@ def build_models(spark: SparkSession, raw: DataFrame, wh: Warehouse, run_tests:
     """Staging -> intermediate -> marts (incremental), then tests; returns the
     mart versions written and the warnings."""
     stg = materialize_view(M.stg_events(raw), "stg_events")
-    actors = materialize_view(M.stg_actors(raw), "stg_actors")
-    repos = materialize_view(M.stg_repos(raw), "stg_repos")
-    daily = materialize_view(M.int_daily_repo_activity(stg), "int_daily_repo_activity")
-    first_last = materialize_view(M.int_actor_first_last_seen(stg), "int_actor_first_last_seen")
+    def written(df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(spark, name)
+        df.write.parquet(path)
+        return materialize_view(spark.read.schema(df.schema).parquet(path), name)
+
+    actors = written(M.stg_actors(raw), "stg_actors")
+    repos = written(M.stg_repos(raw), "stg_repos")
+    daily = written(M.int_daily_repo_activity(stg), "int_daily_repo_activity")
+    first_last = written(M.int_actor_first_last_seen(stg), "int_actor_first_last_seen")
 
     fct_t = wh.table(spark, "fct_events", partition_by="event_date")
     dim_a_t = wh.table(spark, "dim_actors")
@@ -71,12 +83,20 @@ def build_models(spark: SparkSession, raw: DataFrame, wh: Warehouse, run_tests:
     }
     warnings: list = []
     if run_tests:
-        fct, dim_a, dim_r = fct_t.read(), dim_a_t.read(), dim_r_t.read()
-        for model, tests in model_tests(stg, actors, repos, daily, first_last, fct, dim_a, dim_r):
-            warnings += Q.gate(Q.run_tests(model, tests))
+        results = test_results(stg, actors, repos, daily, first_last, fct_t.read(), dim_a_t.read(), dim_r_t.read())
+        warnings = Q.gate(results)
     return {"versions": versions, "warnings": warnings}
 
 
+def test_results(*models: DataFrame) -> DataFrame:
+    """(model, test, col, severity, failures) of every declared test, in one job."""
+    out = None
+    for name, (df, tests) in zip(MODEL_NAMES, model_tests(*models), strict=True):
+        part = Q.run_tests(df, tests).select(F.lit(name).alias("model"), *Q.RESULT_COLUMNS)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def snapshot_repos(spark: SparkSession, raw: DataFrame, wh: Warehouse, snapshot_ts) -> int:
     """SCD-2 history of repo identity (name, owner, short name), keyed on
     repo_id, compared on every run (check strategy)."""

@@ -93,8 +93,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused folder under the checkpoint root."""
     root = checkpoint_root(spark)
     return f"{root}/eventmart-scratch/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Absolute local path for a plain path; URLs are left alone."""
-    return path if "://" in path else os.path.abspath(path)

@@ -1,23 +1,24 @@
 """Replay an archive of raw lines as a stream source.
 
 Lines are sent unparsed (the consumer parses with the declared schema),
-stripped, blank lines dropped, optionally only the first ``limit`` lines.
-The offline stand-in for a message topic is a directory that a file stream
-reads; one appended segment per source file keeps the archive's file order
-visible to the stream (files are consumed oldest first), and the consumer's
-``maxFilesPerTrigger`` sets the delivery rate (lines per file x files per
-trigger). With the Kafka connector present, ``topic`` publishes instead.
+stripped, blank lines dropped, optionally only the first ``limit`` lines. The
+offline stand-in for a message topic is a folder that a file stream reads. All
+source files are read and written by one parallel job; the files it wrote then
+appear in the landing folder segment by segment, with rising modification
+times, which is the order a file stream takes them in. With the Kafka connector
+present, ``topic`` publishes instead.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.sinks.observe import new_observation, observed
-
+from eventmart.sources.files import expand_paths
 
 # ASCII whitespace stripped from both ends of a line (space, \t, \n, \v, \f, \r).
 WHITESPACE = " \t\n\x0b\x0c\r"
@@ -26,63 +27,113 @@ WHITESPACE = " \t\n\x0b\x0c\r"
 def clean_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """Lines stripped of surrounding whitespace; blank ones dropped."""
     v = F.btrim(F.col(value_col), F.lit(WHITESPACE))
-    return lines.select(v.alias("value")).filter(F.length("value") > 0)
+    return lines.withColumn(value_col, v).filter(F.length(value_col) > 0)
+
+
+def _same_form(path):
+    """One spelling of a path, however many slashes follow its scheme."""
+    return F.regexp_replace(path, "^([a-z0-9]+):/+", "$1:/")
+
+
+def archive_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(seq, value): the clean lines of the archive; seq numbers the given
+    files or folders in their order. One scan of all files."""
+    sources = expand_paths(spark, paths)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    files = []
+    for seq, source in enumerate(sources):
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(source)
+        fs = path.getFileSystem(conf)
+        listed = [st.getPath() for st in fs.listStatus(path) if st.isFile()]
+        files += [(seq, p.toString()) for p in listed if not p.getName().startswith(("_", "."))]
+    if not files:
+        return spark.createDataFrame([], "seq int, value string")
+    text = spark.read.text([f for _, f in files]).select(
+        "value", _same_form(F.url_decode("_metadata.file_path")).alias("_from"))
+    order = spark.createDataFrame(files, "seq int, path string").select("seq", _same_form(F.col("path")).alias("_from"))
+    # a row per archive file; every line has one
+    return clean_lines(text.join(F.broadcast(order), "_from").select("seq", "value"))
+
+
+def _first_lines(lines: DataFrame, limit: int) -> DataFrame:
+    """The lines of the first files, ``limit`` in all; only the last file taken is cut."""
+    left, whole, cut = limit, [], None
+    for seq, n in lines.groupBy("seq").count().orderBy("seq").toLocalIterator():
+        if n > left:
+            cut = seq
+            break
+        whole.append(seq)
+        left -= n
+    taken = lines.filter(F.col("seq").isin(whole))
+    return taken if cut is None or not left else taken.unionByName(lines.filter(F.col("seq") == cut).limit(left))
 
 
-def _send(df: DataFrame, dest: str | None, topic: str | None, bootstrap: str | None) -> int:
-    obs = new_observation("replay")
-    out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+def replay(spark: SparkSession, paths: Sequence[str], dest: str | None = None, limit: int = 0,
+           topic: str | None = None, bootstrap: str | None = None, rate: float = 0.0,
+           rows_per_file: int = 0) -> int:
+    """Send the lines of ``paths`` (files, globs or folders) to ``dest`` or ``topic``.
+
+    Absent inputs are an error. Each file (or folder) is a segment; the
+    consumer gets the segments in the given order. Files of one segment may arrive
+    in any order among themselves: keep a segment's time span under the
+    consumer's watermark delay and no row is judged late. ``limit`` = 0 sends
+    everything; ``rate`` is the most lines per second on average (0: no bound);
+    ``rows_per_file`` bounds the lines of a landing file. Returns the number of
+    lines sent.
+    """
+    lines = archive_lines(spark, paths)
+    if limit:
+        lines = _first_lines(lines, limit)
     if topic:
-        (out.select(F.lit(None).cast("binary").alias("key"), F.col("value").cast("binary").alias("value"))
-         .write.format("kafka").option("kafka.bootstrap.servers", bootstrap)
-         .option("topic", topic).save())
-    else:
-        out.write.mode("append").text(dest)
-    return observed(obs, "rows", lambda: df.count())
+        # untested here: needs the connector; the broker's quota sets the rate
+        (lines.select(F.lit(None).cast("binary").alias("key"), F.col("value").cast("binary").alias("value"))
+         .write.format("kafka").option("kafka.bootstrap.servers", bootstrap).option("topic", topic).save())
+        return lines.count()
+    return sum(n for _, n in write_segments(lines, dest, "seq", rate, rows_per_file))
 
 
-def replay(spark: SparkSession, paths: Sequence[str], dest: str | None = None, limit: int = 0,
-           topic: str | None = None, bootstrap: str | None = None,
-           files_per_segment: int = 1) -> int:
-    """Send the lines of ``paths`` (in sorted order) to ``dest`` or ``topic``.
-
-    Consecutive source files are grouped ``files_per_segment`` at a time and
-    each group is appended after the previous one (a parallel write), so a
-    file stream consumes the archive segment by segment in order. Files of
-    one segment may arrive in any order among themselves: keep a segment's
-    time span under the consumer's watermark delay (e.g. at most a day of
-    hourly files for a 26-hour delay) and no row is judged late.
-    ``limit`` = 0 sends everything. Returns the number of lines sent.
-    """
-    ordered = sorted(paths)
-    step = max(1, int(files_per_segment))
-    sent = 0
-    for i in range(0, len(ordered), step):
-        lines = clean_lines(spark.read.text(ordered[i:i + step]))
-        if limit:
-            remaining = limit - sent
-            if remaining <= 0:
-                break
-            lines = lines.limit(remaining)
-        sent += _send(lines, dest, topic, bootstrap)
-    return sent
-
-
-def write_segments(df: DataFrame, dest: str, segment_col: str, fmt: str = "text") -> list:
-    """Deliver ``df`` to ``dest`` segment by segment in ascending order of
-    ``segment_col``, so a file stream sees the segments in that order.
-
-    One parallel job stages the rows partitioned by segment; then each
-    segment is appended with its own (partition-pruned, parallel) job. The
-    segment values are collected: a bounded list of delivery units.
+def write_segments(df: DataFrame, dest: str, segment_col: str, rate: float = 0.0,
+                   rows_per_file: int = 0) -> list[tuple]:
+    """Deliver the text rows of ``df`` to ``dest`` in ascending order of ``segment_col``.
+
+    One job writes all segments beside the landing files; each file is then
+    moved into place (a rename) and gets the next modification time. Needs a
+    file system that keeps given times (HDFS, local); on object stores deliver
+    one segment per call. Returns (segment, lines) in order.
     """
-    stage = dest.rstrip("/") + "-segments"
+    spark = df.sparkSession
+    dest = dest.rstrip("/")
+    aside = f"{dest}/_segments-{uuid.uuid4().hex[:12]}"
     # rebalance: AQE packs a small segment into one file and splits a large
     # one into advisory-size files (never a whole segment in one task)
-    df.hint("rebalance", segment_col).write.mode("overwrite").partitionBy(segment_col).parquet(stage)
-    staged = df.sparkSession.read.parquet(stage)
-    values = [r[0] for r in staged.select(segment_col).distinct().orderBy(segment_col).collect()]
-    for v in values:
-        part = staged.filter(F.col(segment_col) == F.lit(v)).drop(segment_col)
-        part.write.mode("append").format(fmt).save(dest)
-    return values
+    writer = df.hint("rebalance", segment_col).write.partitionBy(segment_col)
+    if rows_per_file:
+        writer = writer.option("maxRecordsPerFile", rows_per_file)
+    writer.text(aside)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    new_path = jvm.org.apache.hadoop.fs.Path
+    root = new_path(dest)
+    fs = root.getFileSystem(conf)
+    staged = spark.read.text(aside)
+    if segment_col not in staged.columns:   # no row, no folder
+        fs.delete(new_path(aside), True)
+        return []
+    sizes = [tuple(r) for r in staged.groupBy(segment_col).count().orderBy(segment_col).collect()]
+    landed = [st.getModificationTime() for st in fs.listStatus(root) if st.isFile()]
+    stamp = max([int(time.time() * 1000), *[t + 1000 for t in landed]])
+    began, sent = time.time(), 0
+    for value, n in sizes:
+        folder = new_path(f"{aside}/{segment_col}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}")
+        for part in sorted(st.getPath().toString() for st in fs.listStatus(folder)):
+            name = part.rsplit("/", 1)[1]
+            if name.startswith(("_", ".")):
+                continue
+            stamp += 1000  # some file systems keep whole seconds
+            fs.setTimes(new_path(part), stamp, -1)
+            if not fs.rename(new_path(part), new_path(f"{dest}/{stamp}-{name}")):
+                raise OSError(f"could not deliver {part}")
+        sent += n
+        if rate:
+            time.sleep(max(0.0, sent / rate - (time.time() - began)))
+    fs.delete(new_path(aside), True)
+    return sizes

@@ -3,23 +3,22 @@ plain Parquet, for environments without a transactional table format.
 
 Layout under ``root``::
 
-    data/_version=N/<part>=V/part-*.parquet   rows written by version N
-    commits/<N, 20 digits>.json                one commit record for version N
-
-Version N is visible only once its commit record exists. The data of N is
-written first (overwriting ``data/_version=N`` as a whole), then the commit
-record is created -- create-if-absent, so two writers racing for the same
-version cannot both commit. A crash in between is repaired by the retry,
-which reuses N. The commit log is small driver-side metadata (one JSON
-record per version) and is written through the Hadoop FileSystem API rather
-than by a one-row Spark job. A commit
-records which partition values it *replaces* (or that it replaces the whole
-table); a row of version v in partition p is visible as of n iff v <= n and
-no committed w with v < w <= n replaced p. That rule refers only to the
-partition columns ``_version`` and ``<part>``, so Spark evaluates it as a
-partition filter: superseded files are pruned at listing time and never read.
-
-Single writer per table. Streaming writers pass (query id, batch id) so a
+    data/_version=N/_attempt=ID/<part>=V/part-*.parquet   rows written by version N
+    commits/<N, 20 digits>.json                            one commit record for version N
+
+A writer puts its rows into an attempt folder of its own, then writes the commit
+record, which names that folder, to a temporary file and renames it to its final
+name; the rename fails if the name is taken. So a version is visible completely
+or not at all, two writers racing for it cannot both commit, and the loser's
+rows are in a folder nobody reads. A commit records which partition values it
+*replaces* (or that it replaces the whole table); a row of version v in
+partition p is visible as of n iff v <= n and no committed w with v < w <= n
+replaced p. That rule refers only to partition columns, so Spark evaluates it
+as a partition filter: the folders of committed versions are listed, and the
+files of superseded partitions are never read.
+
+Partition values are kept as Spark writes them in paths; an empty string and
+null are the same partition. Streaming writers pass (query id, batch id) so a
 replayed micro-batch that was already committed is skipped (exactly-once
 effect on top of at-least-once delivery).
 """
@@ -28,16 +27,18 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import uuid
 from collections.abc import Callable, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from eventmart.operators import merge as M
-from eventmart.sinks.observe import new_observation, observed
 
 VERSION_COL = "_version"
+ATTEMPT_COL = "_attempt"
 COMMIT_DDL = (
     "version INT, committed_at TIMESTAMP, operation STRING, query_id STRING, batch_id BIGINT, "
     "replaced_parts ARRAY<STRING>, replaces_null BOOLEAN, replaces_all BOOLEAN, "
@@ -81,16 +82,24 @@ class CommitConflict(RuntimeError):
 
 
 def create_text(spark: SparkSession, path: str, text: str) -> None:
-    """Create a small file atomically; fails if it already exists."""
+    """Create a small file whole or not at all; fails if it already exists."""
     fs, p = _hadoop_fs(spark, path)
-    try:
-        out = fs.create(p, False)
-    except Exception as exc:  # noqa: BLE001 -- FileAlreadyExistsException via py4j
-        raise CommitConflict(f"{path} already exists") from exc
+    jvm = spark.sparkContext._jvm
+    aside = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    out = fs.create(aside, False)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        files.rename(aside, p, spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0))
+    except Py4JJavaError as exc:
+        fs.delete(aside, False)
+        if fs.exists(p):
+            raise CommitConflict(f"{path} already exists") from exc
+        raise
 
 
 def read_texts(spark: SparkSession, folder: str, suffix: str) -> list[str]:
@@ -204,12 +213,12 @@ class VersionedTable:
         # versions before the last whole-table replacement can hold no visible
         # row: they are not even listed
         base = max([c["version"] for c in upto if c["replaces_all"]], default=0)
-        with_rows = [c["version"] for c in upto
-                     if c["num_output_rows"] and c["version"] >= max(floor, base)]
+        with_rows = [c for c in upto if c["num_output_rows"] and c["version"] >= max(floor, base)]
         if not with_rows:
             return self.spark.createDataFrame([], schema)
-        read_schema = StructType(list(schema.fields) + [StructField(VERSION_COL, IntegerType())])
-        paths = [f"{self.data_root}/{VERSION_COL}={v}" for v in with_rows]
+        read_schema = StructType([*schema.fields, StructField(VERSION_COL, IntegerType()),
+                                  StructField(ATTEMPT_COL, StringType())])
+        paths = [self._attempt_path(c["version"], c["attempt"]) for c in with_rows]
         df = (self.spark.read.schema(read_schema).option("basePath", self.data_root)
               .parquet(*paths))
         return df.filter(self._visible(upto, part)).select(*schema.fieldNames())
@@ -250,26 +259,26 @@ class VersionedTable:
             n = commits[-1]["version"] + 1
         part = self.partition_by
         schema = df.schema
-        obs = new_observation(f"write_v{n}") if known_rows is None else None
-        out = df.observe(obs, F.count(F.lit(1)).alias("rows")) if obs is not None else df
+        attempt = uuid.uuid4().hex[:16]
+        out = df
         if part and self.rebalance:
             # AQE-aware: balances file sizes per partition value and splits a
             # hot value over several tasks instead of one.
             out = out.hint("rebalance", part)
-        w = out.write.mode("overwrite")
+        w = out.write
         if part:
             w = w.partitionBy(part)
-        path = f"{self.data_root}/{VERSION_COL}={n}"
+        path = self._attempt_path(n, attempt)
         w.parquet(path)
-        written = observed(obs, "rows", lambda: self._count_files(path)) if obs is not None \
-            else known_rows
+        # counted from the files, which a task that ran twice has not doubled
+        written = known_rows if known_rows is not None else self._count_files(path, schema)
         if self.fault is not None:
             self.fault(n, "data")
         row = {
-            "version": n,
+            "version": n, "attempt": attempt,
             "committed_at": dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
             "operation": operation, "query_id": query_id, "batch_id": batch_id,
-            "replaced_parts": [str(x) for x in replaced], "replaces_null": bool(replaces_null),
+            "replaced_parts": list(replaced), "replaces_null": bool(replaces_null),
             "replaces_all": bool(replaces_all),
             "num_input_rows": num_input_rows if num_input_rows is not None else written,
             "num_output_rows": written, "schema_json": schema.json(), "partition_by": part,
@@ -285,13 +294,11 @@ class VersionedTable:
     def _commit_path(self, n: int) -> str:
         return f"{self.commit_root}/{n:020d}.json"
 
-    def _count_files(self, path: str) -> int:
-        if not path_exists(self.spark, path):
-            return 0
-        try:
-            return self.spark.read.parquet(path).count()
-        except Exception:  # noqa: BLE001 -- a folder without data files
-            return 0
+    def _attempt_path(self, n: int, attempt: str) -> str:
+        return f"{self.data_root}/{VERSION_COL}={n}/{ATTEMPT_COL}={attempt}"
+
+    def _count_files(self, path: str, schema: StructType) -> int:
+        return self.spark.read.schema(schema).parquet(path).count() if path_exists(self.spark, path) else 0
 
     def create_if_missing(self, schema: StructType) -> bool:
         """Bootstrap an empty version 0 with the given schema; False if it exists."""
@@ -314,49 +321,51 @@ class VersionedTable:
         values, has_null = M.partition_values(df, part)
         return self._commit(df, "REPLACE", replaced=values, replaces_null=has_null, **meta)
 
-    def merge_insert(self, batch: DataFrame, keys: Sequence[str],
-                     broadcast_rows: int | None = M.DEFAULT_BROADCAST_ROWS,
-                     prune_by: str | None = None, batch_unique: bool = False,
-                     prune_values: tuple[list, bool] | None = None, **meta) -> int | None:
+    def merge_insert(self, batch: DataFrame, keys: Sequence[str], prune_by: str | None = None,
+                     batch_unique: bool = False, **meta) -> int | None:
         """Insert batch rows whose key the table lacks; matched keys are skipped.
 
         ``prune_by``: compare only against target partitions present in the
-        batch (valid only when a key always lives in one partition).
+        batch. Off by default: a key that moves to another partition would be
+        inserted again, so pass it only when a key can live in one partition.
         """
         if not self.exists():
             self.create_if_missing(batch.schema)
         target = self.read()
         if prune_by:
-            values, has_null = prune_values or M.partition_values(batch, prune_by)
-            target = target.filter(M.touched_predicate(prune_by, values, has_null))
-        new = M.merge_insert_rows(target, batch, keys, broadcast_rows,
-                                  batch_rows=meta.get("num_input_rows"), batch_unique=batch_unique)
+            target = target.filter(M.touched_predicate(prune_by, *M.partition_values(batch, prune_by)))
+        new = M.merge_insert_rows(target, batch, keys, batch_unique=batch_unique)
         return self._commit(new.select(*target.columns), "MERGE", **meta)
 
-    def upsert(self, batch: DataFrame, keys: Sequence[str],
-               broadcast_rows: int | None = M.DEFAULT_BROADCAST_ROWS, **meta) -> int:
+    def upsert(self, batch: DataFrame, keys: Sequence[str], since: object = None, **meta) -> int:
         """Matched keys get the batch row, others are inserted. Partitioned
-        tables rewrite only the partitions holding a matched row or a batch row."""
-        if not self.exists():
-            M.assert_unique_keys(batch, keys)
-            return self._commit(batch, "MERGE", **meta)
-        target = self.read()
-        part = self.partition_by
-        if not part:
-            merged = M.upsert(target, batch, keys, broadcast_rows)
-            return self._commit(merged, "MERGE", replaces_all=True, **meta)
+        tables rewrite only the partitions holding a matched row or a batch row.
+
+        The batch is staged once; its check, the match and the rewrite read the
+        staged files. ``since``: matched rows can only be in partitions of this
+        value or later, so earlier ones are not searched.
+        """
         keys = list(keys)
-        batch_keys = batch.select(*keys)
-        if broadcast_rows and M.at_most(batch_keys, broadcast_rows):
-            # stream the target past the (proven small) batch keys
-            matched = target.join(F.broadcast(batch_keys), keys, "left_semi")
-        else:
-            matched = target.join(batch_keys.distinct(), keys, "left_semi")
-        touched = matched.select(part).unionByName(batch.select(part))
-        values, has_null = M.partition_values(touched, part)
-        affected = target.filter(M.touched_predicate(part, values, has_null))
-        merged = M.upsert(affected, batch.select(*target.columns), keys, broadcast_rows)
-        return self._commit(merged, "MERGE", replaced=values, replaces_null=has_null, **meta)
+        stage = f"{self.root}/_staging/{uuid.uuid4().hex}"
+        batch.write.parquet(stage)
+        staged = self.spark.read.schema(batch.schema).parquet(stage)
+        try:
+            M.check_upsert_batch(staged, keys)
+            if not self.exists():
+                return self._commit(staged, "MERGE", **meta)
+            target = self.read()
+            staged = staged.select(*target.columns)
+            part = self.partition_by
+            if not part:
+                return self._commit(M.upsert(target, staged, keys, check_batch=False), "MERGE", replaces_all=True, **meta)
+            searched = target if since is None else target.filter(F.col(part) >= F.lit(since))
+            matched = searched.join(staged.select(*keys), keys, "left_semi")
+            values, has_null = M.partition_values(matched.select(part).unionByName(staged.select(part)), part)
+            affected = target.filter(M.touched_predicate(part, values, has_null))
+            merged = M.upsert(affected, staged, keys, check_batch=False)
+            return self._commit(merged, "MERGE", replaced=values, replaces_null=has_null, **meta)
+        finally:
+            delete_path(self.spark, stage)
 
     def delete(self, predicate: Column, **meta) -> int:
         """Remove rows matching ``predicate`` (null = keep), as a new version."""
@@ -377,7 +386,7 @@ class VersionedTable:
         part = self.partition_by
         if partitions is None or not part:
             return self._commit(self.read(), "OPTIMIZE", replaces_all=True)
-        values = sorted(p for p in partitions if p is not None)
+        values = sorted(str(p) for p in partitions if p is not None)
         has_null = any(p is None for p in partitions)
         rows = self.read().filter(M.touched_predicate(part, values, has_null))
         return self._commit(rows, "OPTIMIZE", replaced=values, replaces_null=has_null)
@@ -385,15 +394,14 @@ class VersionedTable:
     def compare_last_versions(self) -> dict:
         """Time-travel acceptance: row counts of the previous and the latest
         version (needs at least two versions; the older must be non-empty)."""
-        last = [c["version"] for c in self.commits()][-2:]
-        if len(last) < 2:
-            raise ValueError("only one version exists; nothing to travel back to")
-        counts = {v: self.read(v).count() for v in last}
-        if not counts[last[0]]:
-            raise AssertionError(f"version {last[0]} is empty -- time travel failed")
-        return {"previous_version": last[0], "latest_version": last[1],
-                "row_count_previous_version": counts[last[0]],
-                "row_count_latest_version": counts[last[1]]}
+        versions = [c["version"] for c in self.commits()]
+        if len(versions) < 2:
+            raise ValueError(f"{self.root} holds {len(versions)} version(s), a comparison takes two")
+        older, newer = (self.read(v).count() for v in versions[-2:])
+        if older == 0:
+            raise AssertionError(f"the version before the latest ({versions[-2]}) holds no row")
+        return {"previous_version": versions[-2], "latest_version": versions[-1],
+                "row_count_previous_version": older, "row_count_latest_version": newer}
 
     def expire(self) -> int:
         """Rewrite the visible rows as one base version and delete the data of

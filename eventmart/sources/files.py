@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -9,17 +12,16 @@ from pyspark.sql.types import StructType
 from eventmart.schema import CORRUPT_COLUMN, event_schema, with_corrupt_column
 
 
+_HOUR_SPEC = re.compile(r"\s*(\d{1,2})\s*(?:-\s*(\d{1,2})\s*)?")
+
+
 def parse_hours(hours: str) -> list[int]:
-    """'a-b' (inclusive) or a single hour 'h'; every hour must be in 0..23."""
-    text = hours.strip()
-    if "-" in text:
-        start, end = (int(p) for p in text.split("-", 1))
-        out = list(range(start, end + 1))
-    else:
-        out = [int(text)]
-    if not out or not all(0 <= h <= 23 for h in out):
-        raise ValueError(f"hours must be within 0-23, got {hours!r}")
-    return out
+    """The hours of a day that a text such as '7' or '0-23' names, both ends included."""
+    spec = _HOUR_SPEC.fullmatch(hours)
+    first, last = (int(spec[1]), int(spec[2] or spec[1])) if spec else (1, 0)
+    if first > last or last > 23:
+        raise ValueError(f"{hours!r} is neither an hour of a day nor a range of them")
+    return [*range(first, last + 1)]
 
 
 def hour_paths(base: str, day: str, hours: str = "0-23", suffix: str = ".json.gz") -> list[str]:
@@ -28,6 +30,26 @@ def hour_paths(base: str, day: str, hours: str = "0-23", suffix: str = ".json.gz
     return [f"{base}/{day}-{h}{suffix}" for h in parse_hours(hours)]
 
 
+def expand_paths(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """Files that the paths or globs name, through the session's file systems, in
+    the given order (what one glob names is sorted).
+
+    A path or glob that names nothing is an error: an hour that was never
+    fetched must stop the day, not shorten it.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    found, absent = [], []
+    for path in paths:
+        pattern = jvm.org.apache.hadoop.fs.Path(path)
+        hits = sorted(st.getPath().toString() for st in (pattern.getFileSystem(conf).globStatus(pattern) or []))
+        found += hits
+        if not hits:
+            absent.append(path)
+    if absent:
+        raise FileNotFoundError(f"{len(absent)} of {len(paths)} inputs are absent: {', '.join(absent)}")
+    return found
+
+
 def parse_lines(
     lines: DataFrame,
     schema: StructType | str | None = None,
@@ -80,3 +102,12 @@ def parse_health(df: DataFrame, corrupt_col: str = CORRUPT_COLUMN) -> DataFrame:
         F.count(F.lit(1)).alias("total"),
         F.count(F.col(corrupt_col)).alias("corrupt"),
     )
+
+
+def check_health(health: DataFrame, expected_rows: int | None = None) -> None:
+    """Fails when a line did not parse, or when not exactly ``expected_rows`` were read."""
+    total, corrupt = health.select("total", "corrupt").first()
+    if corrupt:
+        raise ValueError(f"{corrupt} of {total} lines do not parse with the declared schema")
+    if expected_rows is not None and total != expected_rows:
+        raise ValueError(f"{total} lines were read where {expected_rows} were expected")

@@ -26,13 +26,16 @@ def load_by_name(spark: SparkSession, path: str, contract: StructType,
                  pattern: str = "*.parquet") -> DataFrame:
     """Read the data files under ``path`` whose names match ``pattern``.
 
-    Any unreadable file fails the load (no partial loads); the file-name
-    filter keeps metadata files out of the listing.
+    Columns are matched by name in every file: the schemas of all files are
+    merged first, so a column that only some files have keeps its values, and
+    files that disagree on a type fail the load, as does any unreadable file
+    (no partial loads). The file-name filter keeps metadata files out of the listing.
     """
     df = (
         spark.read.option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", "true")
         .option("ignoreCorruptFiles", "false")
+        .option("mergeSchema", "true")
         .parquet(path)
     )
     return project_by_name(df, contract)

@@ -22,16 +22,23 @@ def stream_source(
     bootstrap: str | None = None,
     cap: int | None = None,
     starting_offsets: str = "earliest",
+    max_rows: int | None = None,
+    rows_per_file: int | None = None,
 ) -> DataFrame:
     """Streaming DataFrame with one ``value`` column holding a raw JSON line.
 
     ``files``: a directory of newline-delimited text files; ``cap`` files per
-    micro-batch. ``kafka``: a topic from the earliest offset, ``cap`` offsets
+    micro-batch, or ``max_rows`` rows, when the producer keeps its files to
+    ``rows_per_file`` lines (as ``replay`` does on request). ``kafka``: a topic from the earliest offset, ``cap`` offsets
     per micro-batch (needs the Kafka connector on the classpath, which this
     environment does not have).
     """
     if kind == "files":
         reader = spark.readStream.format("text")
+        if max_rows:
+            if not rows_per_file or rows_per_file > max_rows:
+                raise ValueError("a row cap needs landing files of at most that many rows")
+            cap = max_rows // rows_per_file
         if cap:
             reader = reader.option("maxFilesPerTrigger", int(cap))
         return reader.load(path)

@@ -35,7 +35,12 @@ def test_merge_insert_laws(spark, target, batch):
     new_keys = {k for k, _, _ in batch if k not in target_keys}
     assert len(got) == len(target) + len(new_keys)
     # the shuffle plan gives the same rows as the broadcast plan
-    assert as_set(M.merge_insert(t, b, ["k"], broadcast_rows=None)) == got
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert as_set(M.merge_insert(t, b, ["k"])) == got
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
 @LAW

@@ -31,13 +31,15 @@ def test_latest_and_first_with_ties_and_nulls(spark):
 
 def test_merge_insert_is_idempotent_and_dedups_batch(spark):
     target = spark.createDataFrame([(1, "old")], "k long, v string")
-    batch = spark.createDataFrame([(1, "new"), (2, "a"), (2, "a"), (None, "nul")], "k long, v string")
+    whole = spark.createDataFrame([(1, "new"), (2, "a"), (2, "a"), (None, "nul")], "k long, v string")
+    with pytest.raises(Exception, match="null key"):       # never dropped in silence
+        M.merge_insert(target, whole, ["k"]).collect()
+    batch, unkeyed = M.split_null_keys(whole, ["k"])
+    assert rows(unkeyed, "v") == [("nul",)]
     once = M.merge_insert(target, batch, ["k"])
     twice = M.merge_insert(once, batch, ["k"])
     assert rows(once, "k", "v") == [(1, "old"), (2, "a")]
     assert rows(twice, "k", "v") == rows(once, "k", "v")
-    # the shuffle path (no broadcast) gives the same rows
-    assert rows(M.merge_insert(target, batch, ["k"], broadcast_rows=None), "k", "v") == rows(once, "k", "v")
 
 
 def test_upsert_replaces_matched_and_rejects_bad_batches(spark):

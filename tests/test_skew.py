@@ -46,6 +46,11 @@ def test_hot_key_merge_matches_shuffle_plan(spark):
     df = skewed(spark).select("k", "event_id")
     target = df.filter(F.col("event_id") % 4 == 0)
     batch = df.filter(F.col("event_id") % 4 != 1)
-    bcast = M.merge_insert(target, batch, ["event_id"])
-    shuffled = M.merge_insert(target, batch, ["event_id"], broadcast_rows=None)
-    assert bcast.count() == shuffled.count() == df.filter(F.col("event_id") % 4 != 1).count()
+    bcast = M.merge_insert(target, batch, ["event_id"]).count()
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shuffled = M.merge_insert(target, batch, ["event_id"]).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert bcast == shuffled == df.filter(F.col("event_id") % 4 != 1).count()

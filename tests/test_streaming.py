@@ -33,7 +33,9 @@ def ingest(spark, landing, root, ckpt, delay="26 hours", quarantine=None, fault=
     t.fault = fault
     raw = stream_source(spark, "files", path=landing, cap=1)
     stream = build_stream(raw, SCHEMA, ["event_id"], "ts", delay=delay)
+    quarantine = quarantine or VersionedTable(spark, f"{root}-quarantine")
     m = run_available_now(spark, stream, merge_sink(t, ["event_id"], quarantine, output=output), ckpt, table=t)
+    assert m.input_rows == m.inserted + m.matched + m.quarantined + m.dropped_by_watermark + m.deduplicated
     return t, m
 
 
