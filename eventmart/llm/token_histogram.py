@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.functions import pandas_udf
 
+from eventmart.llm.common import stage
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the published split pattern of this vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -56,6 +58,7 @@ def length_histogram(lengths: DataFrame, length_col: str = "n_tokens") -> DataFr
     """
     counts = (lengths.groupBy(F.col(length_col).cast("long").alias("n_tokens")).agg(F.count("*").alias("n_docs"))
               .withColumn("block", F.floor(F.col("n_tokens") / BLOCK)))
+    counts, _ = stage(counts, "token-histogram")  # read twice below; texts are encoded once
     sums = counts.groupBy("block").agg(F.sum("n_docs").alias("d"), F.sum(F.col("n_docs") * F.col("n_tokens")).alias("t"))
     above = Window.orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
