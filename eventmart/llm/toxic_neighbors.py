@@ -7,14 +7,17 @@
    text has if one word in ``DENSE`` or more is of it: a stem that clean texts
    hold now and then by chance tells by its density. Of terms that begin with one another
    only the one that tells most is kept, so that a stem counts once however
-   many words it starts, and harmless shorter beginnings of it not at all.
+   many words it starts, and harmless shorter beginnings of it not at all. Each
+   text may bring in ``PER_TEXT`` terms: those that first occur in it (by the
+   digest of the text), best first. So the hundreds of words that copies of one
+   labelled text have in common are a few terms.
 3. ``vectors``: the counts of these terms in every whole text, staged; their
    document frequencies over all documents give the IDF.
 4. ``BlockMaxIndex``: an inverted index of the examples in blocks of ``BLOCK``,
    with each term's largest weight per block. A search adds up the block
-   bounds of its terms, opens blocks from the highest bound on, and stops when
-   no unopened block can reach the k-th best cosine. The neighbours are exact,
-   all ties at the k-th place included.
+   bounds of its terms and opens blocks from the highest bound on until k
+   examples are scored; of the others, only blocks that can reach the k-th best
+   cosine are opened. The neighbours are exact, all ties at the k-th place included.
 5. Votes are weighted by distance and by how many labelled rows an example
    stands for (ties at the k-th place share what is left of the k votes), and shrunk towards the rate of rows without evidence, which makes the
    score a probability estimate; the nearest examples come with it as evidence.
@@ -30,23 +33,27 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from eventmart.llm.common import stage
 
 EXAMPLES = 10_000
-TERMS = 4096
+TERMS = 1024
 #: least G-squared of a selected term: by chance one candidate in a million reaches it
 LEAST_G2 = 24.0
 #: letters of a word beginning
 BEGINNINGS = (3, 4, 5, 6, 7, 8)
 NEIGHBORS = 15
-BLOCK = 64
+PER_TEXT = 5
+#: forms of a word: itself and its beginnings, each also as a dense term
+FORMS = 2 * (1 + len(BEGINNINGS))
+BLOCK = 256
 DENSE = 128
 #: weight of a neighbour at no distance is 1 / NEAREST
 NEAREST = 0.1
@@ -66,13 +73,16 @@ def _words(text: str | None) -> Counter:
     return Counter(_WORDS.findall((text or "").lower()))
 
 
-def text_terms(words: Counter, terms_of: Callable[[str], Iterable[str]]) -> Counter:
-    """The terms of a text with their counts; the dense form of a term ends in @."""
+def text_terms(words: Counter, terms_of: Callable[[str], Iterable[str]], total: int | None = None) -> Counter:
+    """The terms of a text with their counts; the dense form of a term ends in @.
+
+    total: the words of the whole text, where words holds only some of them.
+    """
     found: Counter = Counter()
     for word, n in words.items():
         for term in terms_of(word):
             found[term] += n
-    total = words.total()
+    total = words.total() if total is None else total
     found.update({f"{t}@": n for t, n in found.items() if n * DENSE >= total})
     return found
 
@@ -88,20 +98,27 @@ def sample_examples(labels: DataFrame, limit: int = EXAMPLES, id_col: str = "doc
 
 
 def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(term, toxic, n): in how many texts of the batch the term occurs, by label."""
+    """(term, toxic, n, first): in how many texts of the batch the term occurs, by label, and their smallest digest."""
     for batch in batches:
+        rows = sorted((zlib.crc32((text or "").encode("utf-8", "surrogatepass")), toxic, text or "")
+                      for text, toxic in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist(), strict=True))
         seen: list[Counter] = [Counter(), Counter()]
-        for text, toxic in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist(), strict=True):
-            seen[toxic].update(text_terms(_words(text), word_terms).keys())
+        first: dict[str, int] = {}
+        for digest, toxic, text in rows:
+            terms = text_terms(_words(text), word_terms).keys()
+            seen[toxic].update(terms)
+            for term in terms:
+                first.setdefault(term, digest)
         for toxic, counts in enumerate(seen):
-            yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array([toxic] * len(counts), pa.int32()),
-                                              pa.array(counts.values(), pa.int64())], ["term", "toxic", "n"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(counts.keys(), pa.string()), pa.array([toxic] * len(counts), pa.int32()),
+                 pa.array(counts.values(), pa.int64()), pa.array([first[t] for t in counts], pa.int64())], ["term", "toxic", "n", "first"])
 
 
 def select_terms(examples: DataFrame, terms: int = TERMS, least: float = LEAST_G2) -> list[str]:
     """The terms of the highest G-squared against the label; examples has text and toxic."""
-    counts = (examples.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(_term_rows, "term string, toxic int, n long")
-              .groupBy("term").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("a"),
+    counts = (examples.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(_term_rows, "term string, toxic int, n long, first long")
+              .groupBy("term").agg(F.min("first").alias("first"), F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("a"),
                                    F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("b")))
     n = {r["toxic"]: r["count"] for r in examples.groupBy("toxic").count().collect()}
     n1, n0 = F.lit(float(n.get(1, 0))), F.lit(float(n.get(0, 0)))
@@ -113,8 +130,19 @@ def select_terms(examples: DataFrame, terms: int = TERMS, least: float = LEAST_G
 
     g2 = 2 * (cell(F.col("a"), row, n1) + cell(F.col("b"), row, n0)
               + cell(n1 - F.col("a"), total - row, n1) + cell(n0 - F.col("b"), total - row, n0))
-    best = counts.withColumn("g2", g2).filter(F.col("g2") >= least).orderBy(F.desc("g2"), "term").limit(terms)
-    return strongest([(r["term"], r["g2"]) for r in best.select("term", "g2").collect()])
+    telling = counts.withColumn("g2", g2).filter(F.col("g2") >= least)
+    # each of a text's terms comes with its nested forms; strongest() leaves one of them
+    rank = F.row_number().over(Window.partitionBy("first").orderBy(F.desc("g2"), "term"))
+    best = (telling.withColumn("rank", rank).filter(F.col("rank") <= PER_TEXT * FORMS)
+            .orderBy(F.desc("g2"), "term").limit(terms * FORMS).select("term", "g2", "first").collect())
+    kept = set(strongest([(r["term"], r["g2"]) for r in best]))
+    brought: Counter = Counter()
+    out = []
+    for r in best:
+        if r["term"] in kept and brought[r["first"]] < PER_TEXT:
+            brought[r["first"]] += 1
+            out.append(r["term"])
+    return sorted(out[:terms])
 
 
 def strongest(scored: list[tuple[str, float]]) -> list[str]:
@@ -138,6 +166,7 @@ def vectors(docs: DataFrame, terms: list[str], id_col: str = "doc_id", text_col:
     """(doc_id, terms, counts) of every row: numbers of the selected terms in the whole text, in order."""
     number = {t: i for i, t in enumerate(terms)}
     wanted = {t.removesuffix("@") for t in terms}
+    starts = {t.lstrip("=")[:3] for t in wanted}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, set[str]] = {}
@@ -149,10 +178,17 @@ def vectors(docs: DataFrame, terms: list[str], id_col: str = "doc_id", text_col:
                 of = known[word] = word_terms(word) & wanted
             return of
 
+        def likely(text: str | None) -> tuple[Counter, int]:
+            """The words that may have a term, and how many words there are in all."""
+            words = _words(text)
+            total = words.total()
+            return Counter({w: n for w, n in words.items() if w[:3] in starts}), total
+
         for batch in batches:
             ids, ns = [], []
             for text in batch["text"].to_pylist():
-                pairs = sorted((number[t], n) for t, n in text_terms(_words(text), of_word).items() if t in number)
+                words, total = likely(text)
+                pairs = sorted((number[t], n) for t, n in text_terms(words, of_word, total).items() if t in number)
                 ids.append([t for t, _ in pairs])
                 ns.append([n for _, n in pairs])
             yield pa.RecordBatch.from_arrays(
@@ -194,10 +230,9 @@ class BlockMaxIndex:
         self.postings, self.bounds = {}, {}
         for t, (at, value) in postings.items():
             at, value = np.array(at), np.array(value)
-            self.postings[t] = (at, value, np.searchsorted(at, np.arange(n_blocks + 1) * block))
+            self.postings[t] = (at, value, at // block, np.searchsorted(at, np.arange(n_blocks + 1) * block))
             self.bounds[t] = np.zeros(n_blocks)
             np.maximum.at(self.bounds[t], at // block, value)
-        self.n_blocks = n_blocks
 
     def nearest(self, terms: list[int], counts: list[int], k: int = NEIGHBORS) -> tuple[np.ndarray, np.ndarray]:
         """Positions and cosines of the k nearest examples and all that tie with the last, best first."""
@@ -205,23 +240,29 @@ class BlockMaxIndex:
         if not query:
             return np.empty(0, int), np.empty(0)
         bound = sum(w * self.bounds[t] for t, w in query) + 1e-8  # above what cosines are rounded by
-        places, cosines, least = [np.empty(0, int)], [np.empty(0)], 0.0
-        top = np.empty(0)
+        score = np.zeros(len(self.ids))
+        opened = bound <= 1e-8
+        # the best blocks one by one until k examples are scored, then in one go all that can still hold a better one
         for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 1e-8 or len(top) >= k and bound[b] < least:
+            if opened[b] or np.count_nonzero(score) >= k:
                 break
-            score = np.zeros(self.block)
+            opened[b] = True
             for t, w in query:
-                at, value, cut = self.postings[t]
+                at, value, _, cut = self.postings[t]
                 part = slice(cut[b], cut[b + 1])
-                score[at[part] - b * self.block] += w * value[part]
-            hit = np.flatnonzero(score > 0)
-            places.append(b * self.block + hit)
-            cosines.append(np.round(score[hit], 9))
-            top = np.sort(np.concatenate([top, cosines[-1]]))[-k:]
-            least = top[0]
-        place, cosine = np.concatenate(places), np.concatenate(cosines)
+                score[at[part]] += w * value[part]
+        found = np.round(score[score > 0], 9)
+        least = np.partition(found, len(found) - k)[len(found) - k] if len(found) >= k else 0.0
+        alive = ~opened & (bound >= least)
+        if alive.any():
+            for t, w in query:
+                at, value, block, _ = self.postings[t]
+                part = alive[block]
+                score[at[part]] += w * value[part]
+        place = np.flatnonzero(score > 0)
+        cosine = np.round(score[place], 9)
         if len(place) > k:
+            least = np.partition(cosine, len(cosine) - k)[len(cosine) - k]
             place, cosine = place[cosine >= least], cosine[cosine >= least]
         order = np.lexsort((self.ids[place], -cosine))
         return place[order], cosine[order]
