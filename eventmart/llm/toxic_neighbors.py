@@ -3,7 +3,7 @@
 1. ``sample_examples``: at most ``EXAMPLES`` labelled rows per class (smallest
    digest of the id first); this is the only bounded sample, and its bound is a parameter.
 2. ``select_terms``: words and word beginnings whose presence in the examples
-   depends on the label (G-squared test), each also as a dense term, which a
+   depends on the label (G-squared test and odds ratio), each also as a dense term, which a
    text has if one word in ``DENSE`` or more is of it: a stem that clean texts
    hold now and then by chance tells by its density. Of terms that begin with one another
    only the one that tells most is kept, so that a stem counts once however
@@ -47,6 +47,8 @@ EXAMPLES = 10_000
 TERMS = 1024
 #: least G-squared of a selected term: by chance one candidate in a million reaches it
 LEAST_G2 = 24.0
+#: least odds ratio, either way: with enough examples any common word is significant, but says little
+LEAST_ODDS = 4.0
 #: letters of a word beginning
 BEGINNINGS = (3, 4, 5, 6, 7, 8)
 NEIGHBORS = 15
@@ -130,7 +132,8 @@ def select_terms(examples: DataFrame, terms: int = TERMS, least: float = LEAST_G
 
     g2 = 2 * (cell(F.col("a"), row, n1) + cell(F.col("b"), row, n0)
               + cell(n1 - F.col("a"), total - row, n1) + cell(n0 - F.col("b"), total - row, n0))
-    telling = counts.withColumn("g2", g2).filter(F.col("g2") >= least)
+    odds = (F.col("a") + 0.5) * (n0 - F.col("b") + 0.5) / ((F.col("b") + 0.5) * (n1 - F.col("a") + 0.5))
+    telling = counts.withColumn("g2", g2).filter((F.col("g2") >= least) & (F.greatest(odds, 1 / odds) >= LEAST_ODDS))
     # each of a text's terms comes with its nested forms; strongest() leaves one of them
     rank = F.row_number().over(Window.partitionBy("first").orderBy(F.desc("g2"), "term"))
     best = (telling.withColumn("rank", rank).filter(F.col("rank") <= PER_TEXT * FORMS)
