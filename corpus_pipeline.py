@@ -37,8 +37,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each group of near-equal fingerprints."""
     groups = simhash_pivots.near_duplicates(docs, shingle=3, bits=3)
-    # ids can be null or repeated: one row of a component is the first by (id, row)
-    first = groups.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fingerprint")).alias("f")).agg(
+    # ids can be null or repeated: a component is named by its root, and its one row is the first by (id, row)
+    first = groups.groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")).alias("first"))
     return attach(docs, first.select("first.doc_id", "first.row_key"))
 

@@ -200,10 +200,11 @@ def _lowest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 3, id_col: str = "doc_id",
                     text_col: str = "text", tile_rows: int = TILE_ROWS) -> DataFrame:
-    """(doc_id, row_key, fingerprint, component_id), a row per input row.
+    """(doc_id, row_key, fingerprint, component_id, root), a row per input row.
 
     component_id is the smallest doc_id reachable over links of at most ``bits``
-    differing fingerprint bits.
+    differing fingerprint bits. root, a fingerprint as signed long, names the
+    component where doc_ids are null or repeated.
     """
     if not 0 <= bits <= 30:
         raise ValueError("bits must be between 0 and 30")
@@ -222,8 +223,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 3, id_col: st
     of_fp = linked.join(groups, "root").select("fp", "root", "component_id")
     of_fp = (distinct.join(of_fp, "fp", "left")
              .select("fp", F.when(F.col("root").isNull(), F.col("first_id")).otherwise(F.col("component_id"))
-                     .alias("component_id")))
+                     .alias("component_id"), F.coalesce("root", "fp").alias("root")))
     # staged, so that both sides of the last join are exchanged and a fingerprint with many copies can be split
     of_fp, _ = stage(of_fp, "simhash-groups")
     return marked.join(of_fp, "fp").select(
-        "doc_id", "row_key", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        "doc_id", "row_key", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "root")

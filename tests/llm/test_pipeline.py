@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 
 import corpus_pipeline as cp
+from eventmart.llm.simhash_pivots import simhash
 from tests.llm.cases import awkward, documents
 from tests.llm.test_exact import plain as plain_exact
 from tests.llm.test_simhash import plain_components
@@ -47,6 +48,18 @@ def test_near_keeps_one_of_each_group(spark, docs):
     assert set(ids) == want and len(ids) == len(want)
 
 
+def test_near_keeps_one_row_of_each_group_whatever_the_ids(spark):
+    """One id on two unrelated texts, and linked near copies without an id."""
+    base = [f"word{i}" for i in range(3000)]
+    near = [" ".join(base[:k] + ["changed"] + base[k + 1:]) for k in (5, 700, 1400, 2100)]
+    prints = [simhash(t, 3) for t in near]
+    assert len(set(prints)) > 1 and all((prints[0] ^ p).bit_count() <= 3 for p in prints)
+    rows = [(5, "alpha beta gamma delta"), (5, "one two three four five"), (6, "one two three four five"), *[(None, t) for t in near]]
+    got = [(r["doc_id"], r["text"]) for r in STAGE["near_dedup"](spark, documents(spark, rows), "").collect()]
+    assert sorted(t for i, t in got if i == 5) == ["alpha beta gamma delta", "one two three four five"]
+    assert len(got) == 3 and sum(i is None for i, _ in got) == 1
+
+
 def test_mix_repeats_and_cuts_texts(spark, docs):
     got = STAGE["source_mix"](spark, docs, "").collect()
     taken: dict = {}
