@@ -2,22 +2,19 @@
 
 1. ``sample_examples``: at most ``EXAMPLES`` labelled rows per class (smallest
    digest of the id first); this is the only bounded sample, and its bound is a parameter.
-2. ``select_terms``: words and word beginnings whose presence in the examples
-   depends on the label (G-squared test and odds ratio), each also as a dense term, which a
-   text has if one word in ``DENSE`` or more is of it: a stem that clean texts
-   hold now and then by chance tells by its density. Of terms that begin with one another
-   only the one that tells most is kept, so that a stem counts once however
-   many words it starts, and harmless shorter beginnings of it not at all. Each
-   text may bring in ``PER_TEXT`` terms: those that first occur in it (by the
-   digest of the text), best first. So the hundreds of words that copies of one
-   labelled text have in common are a few terms.
+2. ``weigh_terms``: every word and every word beginning of the examples is a term,
+   each also as a dense term, which a text has if one word in ``DENSE`` or more
+   is of it: a stem that clean texts hold now and then by chance tells by its density.
+   How far a term's presence depends on the label (G-squared and log odds ratio)
+   only weights it, by 1 or more; no word is left out.
 3. ``vectors``: the counts of these terms in every whole text, staged; their
-   document frequencies over all documents give the IDF.
-4. ``BlockMaxIndex``: an inverted index of the examples in blocks of ``BLOCK``,
-   with each term's largest weight per block. A search adds up the block
-   bounds of its terms and opens blocks from the highest bound on until k
-   examples are scored; of the others, only blocks that can reach the k-th best
-   cosine are opened. The neighbours are exact, all ties at the k-th place included.
+   document frequencies over all documents give the IDF. A word counts as itself and
+   as that known beginning of it that tells most, so that a stem counts once.
+4. ``BlockMaxIndex``: an inverted index of the examples over all terms. The postings
+   of all but the ``COMMON`` most frequent terms are added up in full; what the frequent
+   ones can add is bounded by the largest weights in each block of ``BLOCK`` examples and by
+   the lengths of the vectors. Examples whose bound reaches the k-th best cosine
+   are scored in full. The neighbours are exact, all ties at the k-th place included.
 5. Votes are weighted by distance and by how many labelled rows an example
    stands for (ties at the k-th place share what is left of the k votes), and shrunk towards the rate of rows without evidence, which makes the
    score a probability estimate; the nearest examples come with it as evidence.
@@ -31,31 +28,26 @@ columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
-import zlib
 from collections import Counter
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, functions as F
 
 from eventmart.llm.common import stage
 
 EXAMPLES = 10_000
-TERMS = 1024
-#: least G-squared of a selected term: by chance one candidate in a million reaches it
-LEAST_G2 = 24.0
-#: least odds ratio, either way: with enough examples any common word is significant, but says little
-LEAST_ODDS = 4.0
 #: letters of a word beginning
 BEGINNINGS = (3, 4, 5, 6, 7, 8)
 NEIGHBORS = 15
-PER_TEXT = 5
-#: forms of a word: itself and its beginnings, each also as a dense term
-FORMS = 2 * (1 + len(BEGINNINGS))
 BLOCK = 256
+#: terms whose weights in the examples are held as a table instead of postings
+COMMON = 256
 DENSE = 128
 #: weight of a neighbour at no distance is 1 / NEAREST
 NEAREST = 0.1
@@ -75,16 +67,13 @@ def _words(text: str | None) -> Counter:
     return Counter(_WORDS.findall((text or "").lower()))
 
 
-def text_terms(words: Counter, terms_of: Callable[[str], Iterable[str]], total: int | None = None) -> Counter:
-    """The terms of a text with their counts; the dense form of a term ends in @.
-
-    total: the words of the whole text, where words holds only some of them.
-    """
+def text_terms(words: Counter) -> Counter:
+    """The terms of a text with their counts; the dense form of a term ends in @."""
     found: Counter = Counter()
     for word, n in words.items():
-        for term in terms_of(word):
+        for term in word_terms(word):
             found[term] += n
-    total = words.total() if total is None else total
+    total = words.total()
     found.update({f"{t}@": n for t, n in found.items() if n * DENSE >= total})
     return found
 
@@ -100,170 +89,215 @@ def sample_examples(labels: DataFrame, limit: int = EXAMPLES, id_col: str = "doc
 
 
 def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(term, toxic, n, first): in how many texts of the batch the term occurs, by label, and their smallest digest."""
+    """(term, toxic, n): in how many texts of the batch the term occurs, by label."""
     for batch in batches:
-        rows = sorted((zlib.crc32((text or "").encode("utf-8", "surrogatepass")), toxic, text or "")
-                      for text, toxic in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist(), strict=True))
         seen: list[Counter] = [Counter(), Counter()]
-        first: dict[str, int] = {}
-        for digest, toxic, text in rows:
-            terms = text_terms(_words(text), word_terms).keys()
-            seen[toxic].update(terms)
-            for term in terms:
-                first.setdefault(term, digest)
+        for text, toxic in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist(), strict=True):
+            seen[toxic].update(text_terms(_words(text)).keys())
         for toxic, counts in enumerate(seen):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(counts.keys(), pa.string()), pa.array([toxic] * len(counts), pa.int32()),
-                 pa.array(counts.values(), pa.int64()), pa.array([first[t] for t in counts], pa.int64())], ["term", "toxic", "n", "first"])
+                [pa.array(counts.keys(), pa.string()), pa.array([toxic] * len(counts), pa.int32()), pa.array(counts.values(), pa.int64())],
+                ["term", "toxic", "n"])
+
 
+class Vocabulary(dict):
+    """All terms of the examples: their G-squared against the label, and the factor by which the label weights them.
 
-def select_terms(examples: DataFrame, terms: int = TERMS, least: float = LEAST_G2) -> list[str]:
-    """The terms of the highest G-squared against the label; examples has text and toxic."""
-    counts = (examples.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(_term_rows, "term string, toxic int, n long, first long")
-              .groupBy("term").agg(F.min("first").alias("first"), F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("a"),
+    As a dict it gives the row of ``table`` that a word has: its term numbers or -1, plain as itself
+    and as its beginning that tells most (of equal ones the longest), then the same dense.
+    """
+
+    def __init__(self, terms: pa.Array, g2: np.ndarray, factor: np.ndarray):
+        self.terms, self.g2, self.factor = terms, g2, factor
+        self.dense = np.array(pc.ends_with(terms, "@"), bool)
+        self.number: dict[str, int] = {}
+        self.table = np.empty((1024, 4), np.int64)
+
+    def __reduce__(self):
+        return Vocabulary, (self.terms, self.g2, self.factor)
+
+    def open(self) -> None:
+        """Before a number of texts is looked up; the value of a broadcast outlives the task."""
+        if not self.number:
+            self.number = {t: i for at in range(0, len(self.terms), 65536) for i, t in enumerate(self.terms[at:at + 65536].to_pylist(), at)}
+        if len(self) >= _CACHE_WORDS:
+            self.clear()
+
+    def __missing__(self, word: str) -> int:
+        row = self[word] = len(self)
+        if row == len(self.table):
+            self.table = np.concatenate([self.table, np.empty_like(self.table)])
+        out = []
+        for dense in ("", "@"):
+            out.append(self.number.get(f"={word}{dense}", -1))
+            starts = [(n, self.number.get(f"{word[:n]}{dense}")) for n in BEGINNINGS if len(word) > n]
+            out.append(max([(self.g2[t], n, t) for n, t in starts if t is not None], default=(0, 0, -1))[2])
+        self.table[row] = out
+        return row
+
+    def count(self, texts: list[str | None]) -> tuple[pa.ListArray, pa.ListArray]:
+        """The term numbers of each text in order, and their counts."""
+        self.open()
+        rows, ns, sizes, totals = [], [], [], []
+        for text in texts:
+            words = _words(text)
+            rows.extend([self[w] for w in words])
+            ns.extend(words.values())
+            sizes.append(len(words))
+            totals.append(words.total())
+        term = self.table[np.array(rows, np.int64)].ravel()
+        n = np.repeat(np.array(ns, np.int64), 4)[term >= 0]
+        key = (np.repeat(np.arange(len(texts)), np.array(sizes, int) * 4) * len(self.terms) + term)[term >= 0]
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.empty(0, int)
+        n = np.add.reduceat(n[order], first) if len(key) else n
+        text, term = np.divmod(key[first], max(1, len(self.terms)))
+        kept = ~self.dense[term] | (n * DENSE >= np.array(totals, np.int64)[text])
+        cut = pa.array(np.searchsorted(text[kept], np.arange(len(texts) + 1)), pa.int32())
+        return tuple(pa.ListArray.from_arrays(cut, pa.array(x[kept], pa.int32())) for x in (term, n))
+
+
+def _can_tell_most(terms: pa.Array, g2: np.ndarray) -> np.ndarray:
+    """Whole words, and the beginnings that no shorter one of theirs outdoes: the others never stand for a word.
+
+    terms: the most frequent first, of equally frequent ones in order, so a beginning comes before the longer ones.
+    """
+    best: dict[str, float] = {}
+    kept = np.ones(len(terms), bool)
+    for at in range(0, len(terms), 65536):
+        for i, term in enumerate(terms[at:at + 65536].to_pylist(), at):
+            if term[0] != "=":
+                dense = "@" if term[-1] == "@" else ""
+                letters = term.removesuffix("@")
+                if any(best.get(f"{letters[:n]}{dense}", -1.0) > g2[i] for n in BEGINNINGS if n < len(letters)):
+                    kept[i] = False
+                else:
+                    best[term] = g2[i]
+    return kept
+
+
+def weigh_terms(examples: DataFrame) -> Vocabulary:
+    """Every term of the examples, the most frequent first; examples has text and toxic."""
+    counts = (examples.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(_term_rows, "term string, toxic int, n long")
+              .groupBy("term").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("a"),
                                    F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("b")))
     n = {r["toxic"]: r["count"] for r in examples.groupBy("toxic").count().collect()}
-    n1, n0 = F.lit(float(n.get(1, 0))), F.lit(float(n.get(0, 0)))
-    total = n1 + n0
-    row = F.col("a") + F.col("b")
-
-    def cell(seen, rows, column):
-        return F.when(seen > 0, seen * F.log(seen * total / (rows * column))).otherwise(0.0)
-
-    g2 = 2 * (cell(F.col("a"), row, n1) + cell(F.col("b"), row, n0)
-              + cell(n1 - F.col("a"), total - row, n1) + cell(n0 - F.col("b"), total - row, n0))
-    odds = (F.col("a") + 0.5) * (n0 - F.col("b") + 0.5) / ((F.col("b") + 0.5) * (n1 - F.col("a") + 0.5))
-    telling = counts.withColumn("g2", g2).filter((F.col("g2") >= least) & (F.greatest(odds, 1 / odds) >= LEAST_ODDS))
-    # each of a text's terms comes with its nested forms; strongest() leaves one of them
-    rank = F.row_number().over(Window.partitionBy("first").orderBy(F.desc("g2"), "term"))
-    best = (telling.withColumn("rank", rank).filter(F.col("rank") <= PER_TEXT * FORMS)
-            .orderBy(F.desc("g2"), "term").limit(terms * FORMS).select("term", "g2", "first").collect())
-    kept = set(strongest([(r["term"], r["g2"]) for r in best]))
-    brought: Counter = Counter()
-    out = []
-    for r in best:
-        if r["term"] in kept and brought[r["first"]] < PER_TEXT:
-            brought[r["first"]] += 1
-            out.append(r["term"])
-    return sorted(out[:terms])
-
-
-def strongest(scored: list[tuple[str, float]]) -> list[str]:
-    """The terms that no term nested with them outdoes; of equal ones the longest."""
-    def key(term: str, g2: float) -> tuple:
-        return (round(g2, 6), len(term), term)
-
-    score = {t: key(t, g2) for t, g2 in scored}
-    beaten = set()
-    for term in score:
-        letters = term.strip("=@")
-        # the terms that every word of this term has: its beginnings, and its other form
-        nested = {f"{letters[:n]}{dense}" for n in BEGINNINGS if n <= len(letters) for dense in ("", "@")}
-        nested.add(term.removesuffix("@") if term[-1] == "@" else f"{term}@")
-        for other in nested & score.keys() - {term}:
-            beaten.add(term if score[other] > score[term] else other)
-    return sorted(set(score) - beaten)
-
-
-def vectors(docs: DataFrame, terms: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, terms, counts) of every row: numbers of the selected terms in the whole text, in order."""
-    number = {t: i for i, t in enumerate(terms)}
-    wanted = {t.removesuffix("@") for t in terms}
-    starts = {t.lstrip("=")[:3] for t in wanted}
+    n1, n0 = float(n.get(1, 0)), float(n.get(0, 0))
+    # the words of at most 2 x limit texts
+    table = counts.toArrow()
+    table = table.take(pc.sort_indices(table.append_column("n", pc.add(table["a"], table["b"])), [("n", "descending"), ("term", "ascending")]))
+    a, b = (table[c].to_numpy().astype(float) for c in ("a", "b"))
+    total, row = n1 + n0, a + b
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, set[str]] = {}
+    def cell(seen: np.ndarray, rows: np.ndarray, column: float) -> np.ndarray:
+        return seen * np.log(np.maximum(seen, 1) * total / np.maximum(rows * column, 1))
 
-        def of_word(word: str) -> set[str]:
-            if (of := known.get(word)) is None:
-                if len(known) >= _CACHE_WORDS:
-                    known.clear()
-                of = known[word] = word_terms(word) & wanted
-            return of
+    g2 = 2 * (cell(a, row, n1) + cell(b, row, n0) + cell(n1 - a, total - row, n1) + cell(n0 - b, total - row, n0))
+    odds = np.log((a + 0.5) * (n0 - b + 0.5) / ((b + 0.5) * (n1 - a + 0.5)))
+    g2 = np.round(np.maximum(g2, 0), 6)
+    terms = pa.concat_arrays(table["term"].cast(pa.string()).chunks) if len(table) else pa.array([], pa.string())
+    kept = _can_tell_most(terms, g2)
+    return Vocabulary(terms.filter(pa.array(kept)), g2[kept], (1 + g2 * odds * odds)[kept])
 
-        def likely(text: str | None) -> tuple[Counter, int]:
-            """The words that may have a term, and how many words there are in all."""
-            words = _words(text)
-            total = words.total()
-            return Counter({w: n for w, n in words.items() if w[:3] in starts}), total
 
+def vectors(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, terms, counts) of every row: numbers of the terms in the whole text, in order."""
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = shared.value
         for batch in batches:
-            ids, ns = [], []
-            for text in batch["text"].to_pylist():
-                words, total = likely(text)
-                pairs = sorted((number[t], n) for t, n in text_terms(words, of_word, total).items() if t in number)
-                ids.append([t for t, _ in pairs])
-                ns.append([n for _, n in pairs])
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(ids, pa.list_(pa.int32())), pa.array(ns, pa.list_(pa.int32()))],
-                ["doc_id", "terms", "counts"])
+            for at in range(0, len(batch), 512):
+                part = batch.slice(at, 512)
+                yield pa.RecordBatch.from_arrays(
+                    [part["doc_id"], *vocabulary.count(part["text"].to_pylist())], ["doc_id", "terms", "counts"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(count, "doc_id long, terms array<int>, counts array<int>")
 
 
+def _lists(column: pa.ListArray) -> list[np.ndarray]:
+    """The lists of a column as arrays."""
+    cuts = column.offsets.to_numpy()
+    return np.split(column.flatten().to_numpy(), cuts[1:-1] - cuts[0]) if len(column) else []
+
+
 def idf(vecs: DataFrame, terms: int) -> np.ndarray:
     """ln(1 + documents / documents with the term), over all documents."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row per term and task."""
+        seen = np.zeros(terms, np.int64)
+        for batch in batches:
+            seen += np.bincount(batch["terms"].flatten().to_numpy(), minlength=terms)
+        found = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(seen[found])], ["t", "n"])
+
     out, n = np.zeros(terms), vecs.count()
-    for r in vecs.select(F.explode("terms").alias("t")).groupBy("t").count().collect():  # a row per selected term at most
-        out[r["t"]] = math.log(1 + n / r["count"])
+    counts = vecs.select("terms").mapInArrow(count, "t int, n long").groupBy("t").agg(F.sum("n").alias("n")).toArrow()
+    out[counts["t"].to_numpy()] = np.log(1 + n / counts["n"].to_numpy())
     return out
 
 
-def unit(terms: list[int], counts: list[int], weights: np.ndarray) -> np.ndarray:
+def unit(terms: np.ndarray, counts: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """TF-IDF weights of a text's terms, scaled to length 1."""
-    w = (1 + np.log(np.array(counts, float))) * weights[np.array(terms, int)]
+    w = (1 + np.log(np.asarray(counts, float))) * weights[np.asarray(terms, int)]
     return w / math.sqrt(float(w @ w)) if len(w) else w
 
 
 class BlockMaxIndex:
     """Exact nearest examples by cosine; similar examples share a block, which keeps bounds tight."""
 
-    def __init__(self, examples: list[tuple[int, list[int], list[int]]], weights: np.ndarray, block: int = BLOCK):
+    def __init__(self, examples: Iterable[tuple[int, np.ndarray, np.ndarray]], weights: np.ndarray, block: int = BLOCK, common: int = COMMON):
         self.weights, self.block = weights, block
-        ordered = sorted(examples, key=lambda e: (e[1], e[2], e[0]))
+        ordered = sorted(examples, key=lambda e: (list(e[1][:32]), list(e[2][:32]), e[0]))
         self.ids = np.array([e[0] for e in ordered], np.int64)
-        n_blocks = -(-len(ordered) // block)
-        postings: dict[int, tuple[list[int], list[float]]] = {}
-        for i, (_, terms, counts) in enumerate(ordered):
-            for t, w in zip(terms, unit(terms, counts, weights), strict=True):
-                at, value = postings.setdefault(t, ([], []))
-                at.append(i)
-                value.append(w)
-        self.postings, self.bounds = {}, {}
-        for t, (at, value) in postings.items():
-            at, value = np.array(at), np.array(value)
-            self.postings[t] = (at, value, at // block, np.searchsorted(at, np.arange(n_blocks + 1) * block))
-            self.bounds[t] = np.zeros(n_blocks)
-            np.maximum.at(self.bounds[t], at // block, value)
-
-    def nearest(self, terms: list[int], counts: list[int], k: int = NEIGHBORS) -> tuple[np.ndarray, np.ndarray]:
+        n, sizes = len(ordered), [len(e[1]) for e in ordered]
+        terms = np.concatenate([np.empty(0, np.int32), *[np.asarray(e[1], np.int32) for e in ordered]])
+        values = np.concatenate([np.empty(0), *[unit(t, c, weights) for _, t, c in ordered]])
+        at = np.repeat(np.arange(n, dtype=np.int32), sizes)
+        frequency = np.bincount(terms, minlength=len(weights))
+        often = np.argsort(-frequency, kind="stable")[:common]
+        often = often[frequency[often] > 0]
+        self.column = np.full(len(weights), -1, np.int32)
+        self.column[often] = np.arange(len(often))
+        col = self.column[terms]
+        self.table = np.zeros((n, len(often)))
+        self.table[at[col >= 0], col[col >= 0]] = values[col >= 0]
+        self.length = np.sqrt((self.table ** 2).sum(1))
+        starts = np.arange(0, n, block)
+        self.bounds = np.maximum.reduceat(self.table, starts) if n else self.table
+        rare = np.flatnonzero(col < 0)
+        rare = rare[np.argsort(terms[rare], kind="stable")]
+        self.at, self.value = at[rare], values[rare]
+        self.cut = np.searchsorted(terms[rare], np.arange(len(weights) + 1))
+
+    def nearest(self, terms: np.ndarray, counts: np.ndarray, k: int = NEIGHBORS) -> tuple[np.ndarray, np.ndarray]:
         """Positions and cosines of the k nearest examples and all that tie with the last, best first."""
-        query = [(t, w) for t, w in zip(terms, unit(terms, counts, self.weights), strict=True) if t in self.postings]
-        if not query:
+        n = len(self.ids)
+        if not n or not len(terms):
             return np.empty(0, int), np.empty(0)
-        bound = sum(w * self.bounds[t] for t, w in query) + 1e-8  # above what cosines are rounded by
-        score = np.zeros(len(self.ids))
-        opened = bound <= 1e-8
-        # the best blocks one by one until k examples are scored, then in one go all that can still hold a better one
-        for b in np.argsort(-bound, kind="stable"):
-            if opened[b] or np.count_nonzero(score) >= k:
-                break
-            opened[b] = True
-            for t, w in query:
-                at, value, _, cut = self.postings[t]
-                part = slice(cut[b], cut[b + 1])
-                score[at[part]] += w * value[part]
-        found = np.round(score[score > 0], 9)
-        least = np.partition(found, len(found) - k)[len(found) - k] if len(found) >= k else 0.0
-        alive = ~opened & (bound >= least)
-        if alive.any():
-            for t, w in query:
-                at, value, block, _ = self.postings[t]
-                part = alive[block]
-                score[at[part]] += w * value[part]
-        place = np.flatnonzero(score > 0)
-        cosine = np.round(score[place], 9)
+        terms, query = np.asarray(terms, int), unit(terms, counts, self.weights)
+        col = self.column[terms]
+        often = np.zeros(self.table.shape[1])
+        often[col[col >= 0]] = query[col >= 0]
+        rare, weight = terms[col < 0], query[col < 0]
+        size = self.cut[rare + 1] - self.cut[rare]
+        ends = np.cumsum(size)
+        place = np.arange(size.sum()) + np.repeat(self.cut[rare] - ends + size, size)
+        score = np.bincount(self.at[place], self.value[place] * np.repeat(weight, size), n)
+        # what the frequent terms can add: by block, and by length (Cauchy-Schwarz); 1e-8 is above what cosines are rounded by
+        most = np.minimum(np.repeat(self.bounds @ often, self.block)[:n], self.length * math.sqrt(float(often @ often)))
+        bound = score + most + 1e-8
+        least = 0.0
+        if n > k:
+            first = np.argpartition(bound, n - k)[n - k:]
+            least = float((score[first] + self.table[first] @ often).min())
+        place = np.flatnonzero(bound >= least)
+        # row by row, so that equal examples get equal cosines whatever else is scored
+        cosine = score[place] + np.einsum("ij,j->i", self.table[place], often)
+        place, cosine = place[cosine > 0], np.round(cosine[cosine > 0], 9)
         if len(place) > k:
             least = np.partition(cosine, len(cosine) - k)[len(cosine) - k]
             place, cosine = place[cosine >= least], cosine[cosine >= least]
@@ -271,44 +305,63 @@ class BlockMaxIndex:
         return place[order], cosine[order]
 
 
+class Learned:
+    """What a task needs to rate texts; the index is built once in a worker."""
+
+    def __init__(self, ids: np.ndarray, toxic: np.ndarray, vecs: pa.Table, weights: np.ndarray):
+        self.ids, self.label, self.vecs, self.weights = ids, dict(zip(ids.tolist(), toxic.tolist(), strict=True)), vecs, weights
+        self._index: BlockMaxIndex | None = None
+
+    @property
+    def index(self) -> BlockMaxIndex:
+        if self._index is None:
+            lists = [[x for chunk in self.vecs[c].chunks for x in _lists(chunk)] for c in ("terms", "counts")]
+            self._index = BlockMaxIndex([e for e in zip(self.ids.tolist(), *lists, strict=True) if len(e[1])], self.weights)
+            self.vecs = None
+        return self._index
+
+
 def score(docs: DataFrame, labels: DataFrame, limit: int = EXAMPLES, neighbors: int = NEIGHBORS, threshold: float = 0.7,
-          id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", least: float = LEAST_G2) -> DataFrame:
+          id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
     """(doc_id, score, predicted, evidence) of every row of docs; evidence lists nearest examples id:label:cosine."""
     spark = docs.sparkSession
     examples, (n0, n1) = sample_examples(labels, limit, id_col, label_col)
     # the examples are at most 2 x limit rows of two numbers
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    terms = select_terms(rows.join(F.broadcast(examples), "doc_id"), least=least)
-    vecs, _ = stage(vectors(docs, terms, id_col, text_col), "toxic-vectors")
-    weights = idf(vecs, len(terms))
-    found = vecs.join(F.broadcast(examples), "doc_id").dropDuplicates(["doc_id"]).collect()
-    known = {r["doc_id"]: r["toxic"] for r in found}
-    drawn = [max(1, sum(v == k for v in known.values())) for k in (0, 1)]
+    vocabulary = weigh_terms(rows.join(F.broadcast(examples), "doc_id"))
+    vecs, _ = stage(vectors(docs, vocabulary, id_col, text_col), "toxic-vectors")
+    weights = idf(vecs, len(vocabulary.terms)) * vocabulary.factor
+    found = vecs.join(F.broadcast(examples), "doc_id").dropDuplicates(["doc_id"]).toArrow()
+    toxic, blank = found["toxic"].to_numpy(), pc.list_value_length(found["terms"]).to_numpy() == 0
+    drawn = [max(1, int((toxic == k).sum())) for k in (0, 1)]
     stands = (n0 / drawn[0], n1 / drawn[1])  # labelled rows that an example of the class stands for
-    blank = [sum(stands[k] for r in found if not r["terms"] and r["toxic"] == k) for k in (0, 1)]
-    rate = blank[1] / sum(blank) if sum(blank) else n1 / (n0 + n1) if n0 + n1 else 0.0
-    shared = spark.sparkContext.broadcast(
-        ([(r["doc_id"], r["terms"], r["counts"]) for r in found if r["terms"]], known, weights, stands, float(rate)))
+    rate = n1 / (n0 + n1) if n0 + n1 else 0.0
+    wordless = [stands[k] * float((blank & (toxic == k)).sum()) for k in (0, 1)]
+    rate_blank = (wordless[1] + SHRINK * rate) / (sum(wordless) + SHRINK)
+    shared = spark.sparkContext.broadcast(Learned(found["doc_id"].to_numpy(), toxic, found.select(["terms", "counts"]), weights))
 
     def rate_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        indexed, label_of, idfs, stand, prior = shared.value
-        index = BlockMaxIndex(indexed, idfs)
-        made: dict[tuple, tuple[float, str]] = {}
+        learned = shared.value
+        index, label_of = learned.index, learned.label
+        made: dict[bytes, tuple[float, str]] = {}
         for batch in batches:
             out = []
-            for t, n in zip(batch["terms"].to_pylist(), batch["counts"].to_pylist(), strict=True):
-                key = (tuple(t), tuple(n))
+            for t, n in zip(_lists(batch["terms"]), _lists(batch["counts"]), strict=True):
+                key = hashlib.blake2b(t.tobytes() + n.tobytes(), digest_size=16).digest()
+                if not len(t):
+                    out.append((rate_blank, ""))
+                    continue
                 if key not in made:
                     if len(made) >= _CACHE_WORDS:
                         made.clear()
                     place, cosine = index.nearest(t, n, neighbors)
                     ids = index.ids[place].tolist()
                     label = np.array([label_of[i] for i in ids], float)
-                    vote = np.where(label == 1, stand[1], stand[0]) / (NEAREST + 1 - cosine)
+                    vote = np.where(label == 1, stands[1], stands[0]) / (NEAREST + 1 - cosine)
                     if len(ids) > neighbors:  # the last ones tie for what is left of the votes
                         last = cosine == cosine[-1]
                         vote[last] *= (neighbors - (~last).sum()) / last.sum()
-                    made[key] = (float((vote @ label + SHRINK * prior) / (vote.sum() + SHRINK)), ",".join(
+                    made[key] = (float((vote @ label + SHRINK * rate) / (vote.sum() + SHRINK)), ",".join(
                         f"{i}:{label_of[i]}:{c:.4f}" for i, c in zip(ids[:5], cosine[:5].tolist(), strict=True)))
                 out.append(made[key])
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array([o[0] for o in out], pa.float64()),

@@ -68,6 +68,29 @@ def test_scores_separate_and_carry_evidence(spark):
             assert not r["predicted"] or r["evidence"].split(":")[1] == "1"
 
 
+@settings(max_examples=120, deadline=None)
+@given(st.lists(texts.filter(lambda t: t[0]), max_size=60), texts, st.integers(1, 8), st.integers(1, 9), st.integers(0, 7))
+def test_postings_and_table_agree(examples, query, k, block, common):
+    weights = np.array([3.0, 0.5, 1.0, 2.0, 0.1, 1.0, 1.0, 4.0])
+    rows = [(100 + i, *e) for i, e in enumerate(examples)]
+    _, want = tn.BlockMaxIndex(rows, weights, 1, 8).nearest(*query, k)
+    _, got = tn.BlockMaxIndex(rows, weights, block, common).nearest(*query, k)
+    assert got[:k] == pytest.approx(want[:k], abs=2e-9)
+
+
+def test_one_long_text_does_not_take_the_terms_of_the_others(spark):
+    """Many toxic words that are all in one example of small digest: each of them still tells."""
+    bad = [f"{c}{d}vilus" for c in "bcdf" for d in "klm"]
+    rng = random.Random(3)
+    plain = ["house", "tree", "river", "stone", "cloud"]
+    long = next(t for t in (" ".join(bad + rng.choices(plain, k=8)) for _ in iter(int, 1)) if zlib.crc32(t.encode()) < 2 ** 32 // 20_000)
+    rows = [(0, long)] + [(i, " ".join(rng.choices(plain, k=20) + ([bad[i // 2 % 12]] if i % 2 else []))) for i in range(1, 600)]
+    labels = [(0, 1)] + [(i, i % 2) for i in range(1, 600)]
+    rows += [(1000 + i, f"house tree {w} river") for i, w in enumerate(bad)]
+    got = tn.score(documents(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")).filter("doc_id >= 1000").collect()
+    assert len(got) == 12 and all(r["predicted"] == 1 for r in got)
+
+
 def test_sample_bound(spark):
     _, labels = labelled(spark)
     examples, sizes = tn.sample_examples(labels, 7)
