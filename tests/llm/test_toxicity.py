@@ -78,6 +78,17 @@ def test_postings_and_table_agree(examples, query, k, block, common):
     assert got[:k] == pytest.approx(want[:k], abs=2e-9)
 
 
+def test_copy_of_an_example_without_a_telling_word(spark):
+    """Words that no label test admits still find the very example."""
+    rng = random.Random(4)
+    names = ["".join(rng.choices("bcdfglmnprstv", k=9)) for _ in range(400)]
+    rows = [(i, " ".join(names[4 * i:4 * i + 4])) for i in range(100)]
+    labels = spark.createDataFrame([(i, int(i % 2 == 0)) for i in range(100)], "doc_id long, toxic int")
+    got = {r["doc_id"]: r for r in tn.score(documents(spark, [*rows, (500, rows[6][1]), (501, rows[7][1])]), labels).collect()}
+    assert got[500]["evidence"].startswith("6:1:1.0000") and got[501]["evidence"].startswith("7:0:1.0000")
+    assert got[500]["score"] > 0.5 > got[501]["score"]
+
+
 def test_one_long_text_does_not_take_the_terms_of_the_others(spark):
     """Many toxic words that are all in one example of small digest: each of them still tells."""
     bad = [f"{c}{d}vilus" for c in "bcdf" for d in "klm"]
