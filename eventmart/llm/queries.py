@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventmart.llm import (apportion, grace_dedup, lang_rank, length_buckets, secret_cost, simhash_pivots, tiled_pca, token_histogram,
-                           toxic_neighbors, warc_merkle)
+from eventmart.llm import (apportion, grace_dedup, lang_rank, length_buckets, secret_cost, simhash_pivots, source_audit, tiled_pca,
+                           token_histogram, toxic_neighbors, warc_merkle)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,10 +84,15 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergences of all sources of all documents, terms of at least 30 documents a language."""
+    return source_audit.audit(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_simhash_near_dedup, op2_secret_scan, op3_token_histogram, op4_warc_fixity, op5_length_buckets, op6_language_id,
-        op7_source_mix, op8_embedding_near_dedup, op9_toxicity, op10_exact_dedup)}
+        op7_source_mix, op8_embedding_near_dedup, op9_toxicity, op10_exact_dedup, op13_source_audit)}
 
 ORACLES: dict[str, str] = {}
 
@@ -215,3 +220,38 @@ ranked as (
   from normal window w as (partition by content order by points desc, doc_id nulls last))
 select doc_id, keep_id, group_size, place = 1 as kept, sha256(content) as text_sha256 from ranked
 """
+
+ORACLES["op13_source_audit"] = """
+with docs as (
+  select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as terms
+  from documents),
+words as (select r, lang, source, unnest(terms) as term from docs),
+kept as (select lang, term, count(*) as n_term from words group by all having count(distinct r) >= 30),
+counts as (select lang, source, term, count(*) as n from words join kept using (lang, term) group by all),
+groups as (select distinct lang, source from docs),
+langs as (
+  select lang, count(term) as v, coalesce(sum(n_term), 0) as n_lang
+  from (select distinct lang from groups) left join kept using (lang) group by lang),
+sizes as (
+  select lang, source, v, n_lang, coalesce(sum(n), 0) as n_group
+  from groups join langs using (lang) left join counts using (lang, source) group by all),
+shares as (
+  select lang, source, term, coalesce(n, 0) as n,
+         (1 + 1000000000::hugeint * (coalesce(n, 0) + 5) // (n_group + 5 * v))::bigint as p,
+         (1 + 1000000000::hugeint * (n_term + 5) // (n_lang + 5 * v))::bigint as q
+  from sizes join kept using (lang) left join counts using (lang, source, term)),
+sums as (
+  select a.lang, a.source, b.source as item, sum(abs(a.p - b.p)) as value
+  from shares a join shares b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+pairs as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0)::bigint as value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source
+  left join sums on sums.lang = a.lang and sums.source = a.source and sums.item = b.source),
+parts as (
+  select * from pairs union all
+  select lang, source, 'term', term, p - q from shares where n > 0 and p > q),
+ranked as (select *, (row_number() over (partition by lang, source, part order by value desc, item))::int as rank from parts)
+select * from ranked where part = 'pair' or rank <= 50
+"""
