@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventmart.llm import (apportion, grace_dedup, lang_rank, length_buckets, secret_cost, simhash_pivots, source_audit, tiled_pca,
-                           token_histogram, toxic_neighbors, warc_merkle)
+from eventmart.llm import (apportion, grace_dedup, html_density, lang_rank, length_buckets, secret_cost, simhash_pivots, source_audit,
+                           tiled_pca, token_alignment, token_histogram, toxic_neighbors, warc_merkle)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,6 +84,16 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all pages."""
+    return html_density.extract(_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of both tokenizers over all documents."""
+    return token_alignment.align(_table(spark, sf_dir, "documents"))
+
+
 def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Divergences of all sources of all documents, terms of at least 30 documents a language."""
     return source_audit.audit(_table(spark, sf_dir, "documents"))
@@ -92,7 +102,8 @@ def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_simhash_near_dedup, op2_secret_scan, op3_token_histogram, op4_warc_fixity, op5_length_buckets, op6_language_id,
-        op7_source_mix, op8_embedding_near_dedup, op9_toxicity, op10_exact_dedup, op13_source_audit)}
+        op7_source_mix, op8_embedding_near_dedup, op9_toxicity, op10_exact_dedup,
+        op11_html_extraction, op12_tokenizer_alignment, op13_source_audit)}
 
 ORACLES: dict[str, str] = {}
 
