@@ -9,8 +9,6 @@
     load      --source PATH --dest PATH            truncate + load by name (flat contract)
     models    --raw PATH --warehouse PATH          star schema + data tests (error stops)
     snapshot  --raw PATH --warehouse PATH --at TS  SCD-2 snapshot of repo identity
-    history   --table PATH                         commit log
-    time-travel --table PATH [--artifact FILE]     compare the last two versions
     duplicates  --table PATH [--key K]             duplicate summary + worst offenders
     check-schema --input GLOB [--expect-rows N]    parse health and payload checks
     day       --raw DIR --day D [--hours 0-23] --lake PATH     one day end to end
@@ -100,22 +98,6 @@ def cmd_snapshot(a):
     print(f"snapshot version {snapshot_repos(spark, spark.read.parquet(a.raw), Warehouse(a.warehouse), at)}")
 
 
-def cmd_history(a):
-    from eventmart.sinks.table import VersionedTable
-    VersionedTable(_session(), a.table).history() \
-        .select("version", "committed_at", "operation", "num_output_rows").show(truncate=False)
-
-
-def cmd_time_travel(a):
-    from eventmart.sinks.table import VersionedTable
-    out = VersionedTable(_session(), a.table).compare_last_versions()
-    out["reran_same_input"] = out["row_count_previous_version"] == out["row_count_latest_version"]
-    print(json.dumps(out, indent=2))
-    if a.artifact:
-        with open(a.artifact, "w") as fh:
-            json.dump(out, fh, indent=2)
-
-
 def cmd_duplicates(a):
     from eventmart.operators.aggregates import duplicate_report, duplicate_summary
     from eventmart.sinks.table import VersionedTable
@@ -196,9 +178,6 @@ def main(argv=None) -> None:
     s.set_defaults(fn=cmd_models)
     s = sub.add_parser("snapshot"); s.add_argument("--raw", required=True)
     s.add_argument("--warehouse", required=True); s.add_argument("--at", required=True); s.set_defaults(fn=cmd_snapshot)
-    s = sub.add_parser("history"); s.add_argument("--table", required=True); s.set_defaults(fn=cmd_history)
-    s = sub.add_parser("time-travel"); s.add_argument("--table", required=True); s.add_argument("--artifact")
-    s.set_defaults(fn=cmd_time_travel)
     s = sub.add_parser("duplicates"); s.add_argument("--table", required=True); s.add_argument("--key", default="event_id")
     s.set_defaults(fn=cmd_duplicates)
     s = sub.add_parser("check-schema"); s.add_argument("--input", required=True)

@@ -22,14 +22,6 @@ def not_null_keys(keys: Sequence[str]) -> Column:
     return cond
 
 
-def split_null_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """(rows with every key present, rows with a null key) -- the latter can
-    never match a target row, so merging them would insert them again on
-    every replay; callers quarantine them instead."""
-    ok = not_null_keys(keys)
-    return df.filter(ok), df.filter(~ok)
-
-
 def require_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """df, failing while it runs on the first row with a null key (no extra job)."""
     keys = list(keys)
@@ -44,7 +36,7 @@ def merge_insert_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str],
     The batch is deduplicated on the key first, so a batch holding the same
     new key twice inserts it once; ``batch_unique`` skips that shuffle when the
     batch is already key-unique (a stream deduplicated on the key). A null key
-    fails the merge (see ``split_null_keys``).
+    fails the merge: it could never match, so every replay would insert it again.
     """
     keys = list(keys)
     present = require_keys(batch, keys)
@@ -58,16 +50,17 @@ def merge_insert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> Da
     return target.unionByName(merge_insert_rows(target, batch, keys))
 
 
-def check_upsert_batch(batch: DataFrame, keys: Sequence[str]) -> None:
-    """One pass over the batch's keys: none is null, none occurs twice."""
+def check_upsert_batch(batch: DataFrame, keys: Sequence[str]) -> int:
+    """One pass over the batch's keys: none is null, none occurs twice; their number."""
     per_key = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     ok = not_null_keys(keys)
-    nulls, repeated = per_key.agg(F.coalesce(F.sum(F.when(~ok, F.col("n"))), F.lit(0)),
-                                  F.count_if(ok & (F.col("n") > 1))).first()
+    nulls, repeated, rows = per_key.agg(F.coalesce(F.sum(F.when(~ok, F.col("n"))), F.lit(0)),
+                                        F.count_if(ok & (F.col("n") > 1)), F.count(F.lit(1))).first()
     if nulls:
         raise ValueError(f"upsert batch holds a null key on {list(keys)}")
     if repeated:
         raise ValueError(f"merge source holds a key more than once on {list(keys)}")
+    return rows
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str],

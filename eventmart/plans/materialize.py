@@ -1,4 +1,4 @@
-"""Materialisation of models: view, table, or incremental merge."""
+"""Materialisation of models: view or incremental merge."""
 
 from __future__ import annotations
 
@@ -16,11 +16,6 @@ def materialize_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def materialize_table(df: DataFrame, table: VersionedTable) -> int:
-    """Full rebuild: the table holds exactly ``df`` afterwards."""
-    return table.overwrite(df)
-
-
 def materialize_incremental(build: Callable[[object], DataFrame], table: VersionedTable,
                             keys: Sequence[str], mark_col: str) -> int:
     """Incremental model with a merge on ``keys``.

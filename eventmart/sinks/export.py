@@ -17,16 +17,15 @@ class ExportMismatch(RuntimeError):
     pass
 
 
-def export_snapshot(table: VersionedTable, dest: str, version: int | None = None,
-                    partition_by: str | None = None) -> int:
-    """Write the rows visible as of ``version`` to ``dest``; return the count.
+def export_snapshot(table: VersionedTable, dest: str, partition_by: str | None = None) -> int:
+    """Write the visible rows to ``dest``; return the count.
 
     Both sides are counted from their files after the write, so a task that ran
     twice cannot make a right export fail.
     """
     if dest.rstrip("/") == table.root or dest.rstrip("/").startswith(table.root + "/"):
         raise ValueError("export destination must not lie inside the source table")
-    current = table.read(version)
+    current = table.read()
     out = current
     part = partition_by or table.partition_by
     if part:

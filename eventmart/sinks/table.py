@@ -1,5 +1,5 @@
-"""Row-versioned table: partition replace, merges, deletes and as-of reads on
-plain Parquet, for environments without a transactional table format.
+"""Partitioned table that merges and replaces into: plain Parquet, changed by
+whole commits, for environments without a transactional table format.
 
 Layout under ``root``::
 
@@ -12,10 +12,13 @@ name; the rename fails if the name is taken. So a version is visible completely
 or not at all, two writers racing for it cannot both commit, and the loser's
 rows are in a folder nobody reads. A commit records which partition values it
 *replaces* (or that it replaces the whole table); a row of version v in
-partition p is visible as of n iff v <= n and no committed w with v < w <= n
-replaced p. That rule refers only to partition columns, so Spark evaluates it
-as a partition filter: the folders of committed versions are listed, and the
-files of superseded partitions are never read.
+partition p is visible iff no committed w > v replaced p. That rule refers only
+to partition columns, so Spark evaluates it as a partition filter: the folders
+of committed versions are listed, and the files of superseded partitions are
+never read.
+
+Merges ask a key index (``sinks.key_index``) which of the batch's keys the table
+holds, and in which partitions; commits name the index runs valid with them.
 
 Partition values are kept as Spark writes them in paths; an empty string and
 null are the same partition. Streaming writers pass (query id, batch id) so a
@@ -36,19 +39,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from eventmart.operators import merge as M
+from eventmart.sinks.key_index import PART, KeyIndex
 
 VERSION_COL = "_version"
 ATTEMPT_COL = "_attempt"
-COMMIT_DDL = (
-    "version INT, committed_at TIMESTAMP, operation STRING, query_id STRING, batch_id BIGINT, "
-    "replaced_parts ARRAY<STRING>, replaces_null BOOLEAN, replaces_all BOOLEAN, "
-    "num_input_rows BIGINT, num_output_rows BIGINT, schema_json STRING, partition_by STRING, "
-    "min_readable_version INT"
-)
-
-
-class VersionExpired(ValueError):
-    pass
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _hadoop_fs(spark: SparkSession, path: str):
@@ -77,6 +72,13 @@ def list_subdirs(spark: SparkSession, path: str) -> list[str]:
                   if st.isDirectory() and not st.getPath().getName().startswith(("_", ".")))
 
 
+def written_partitions(spark: SparkSession, path: str) -> tuple[list[str], bool]:
+    """The partition values a write made folders for, and whether null is one of them."""
+    unescape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    values = [p.rstrip("/").rsplit("/", 1)[1].split("=", 1)[1] for p in list_subdirs(spark, path)]
+    return sorted(unescape(v) for v in values if v != NULL_PARTITION), NULL_PARTITION in values
+
+
 class CommitConflict(RuntimeError):
     pass
 
@@ -182,38 +184,30 @@ class VersionedTable:
         c = self.commits()
         return StructType.fromJson(json.loads(c[-1]["schema_json"])) if c else None
 
-    def history(self) -> DataFrame:
-        """Commit log: version, time, operation and row metrics, by version."""
-        schema = StructType.fromDDL(COMMIT_DDL)
-        rows = [{k: c.get(k) for k in schema.fieldNames()} for c in self.commits()]
-        return self.spark.createDataFrame(rows, schema).orderBy("version")
-
     def is_committed(self, query_id: str, batch_id: int) -> bool:
         return any(c["query_id"] == query_id and c["batch_id"] == batch_id for c in self.commits())
 
-    def committed_batches(self, query_id: str) -> int:
-        return sum(1 for c in self.commits() if c["query_id"] == query_id)
-
     # --------------------------------------------------------------------- reads
-    def read(self, version: int | None = None) -> DataFrame:
-        """Visible rows as of ``version`` (latest when None)."""
+    def read(self) -> DataFrame:
+        """The visible rows."""
         commits = self.commits()
         if not commits:
             raise FileNotFoundError(f"no committed version under {self.root}")
-        if version is None:
-            version = commits[-1]["version"]
-        upto = [c for c in commits if c["version"] <= version]
-        if not upto:
-            raise VersionExpired(f"version {version} does not exist")
-        floor = max((c["min_readable_version"] or 0) for c in commits)
-        if version < floor:
-            raise VersionExpired(f"version {version} was expired (oldest readable: {floor})")
-        schema = StructType.fromJson(json.loads(upto[-1]["schema_json"]))
-        part = self.partition_by
         # versions before the last whole-table replacement can hold no visible
         # row: they are not even listed
-        base = max([c["version"] for c in upto if c["replaces_all"]], default=0)
-        with_rows = [c for c in upto if c["num_output_rows"] and c["version"] >= max(floor, base)]
+        base = max([c["version"] for c in commits if c["replaces_all"]], default=0)
+        return self._rows([c for c in commits if c["version"] >= base])
+
+    def read_after(self, version: int | None) -> DataFrame:
+        """The rows that commits after ``version`` wrote (None: all commits). These are the
+        rows that were added since, when the commits only inserted."""
+        return self._rows([c for c in self.commits() if version is None or c["version"] > version])
+
+    def _rows(self, commits: list[dict]) -> DataFrame:
+        """Visible rows of some commits."""
+        every = self.commits()
+        schema = StructType.fromJson(json.loads(every[-1]["schema_json"]))
+        with_rows = [c for c in commits if c["num_output_rows"]]
         if not with_rows:
             return self.spark.createDataFrame([], schema)
         read_schema = StructType([*schema.fields, StructField(VERSION_COL, IntegerType()),
@@ -221,7 +215,7 @@ class VersionedTable:
         paths = [self._attempt_path(c["version"], c["attempt"]) for c in with_rows]
         df = (self.spark.read.schema(read_schema).option("basePath", self.data_root)
               .parquet(*paths))
-        return df.filter(self._visible(upto, part)).select(*schema.fieldNames())
+        return df.filter(self._visible(every, self.partition_by)).select(*schema.fieldNames())
 
     def _visible(self, upto: list[dict], part: str | None) -> Column:
         all_cut = max([c["version"] for c in upto if c["replaces_all"]], default=-1)
@@ -246,10 +240,16 @@ class VersionedTable:
 
     # -------------------------------------------------------------------- writes
     def _commit(self, df: DataFrame, operation: str, replaced: Sequence[str] = (),
-                replaces_null: bool = False, replaces_all: bool = False,
+                replaces_null: bool = False, replaces_all: bool = False, replaces_written: bool = False,
                 query_id: str | None = None, batch_id: int | None = None,
-                num_input_rows: int | None = None, min_readable: int | None = None,
-                known_rows: int | None = None) -> int:
+                num_input_rows: int | None = None, known_rows: int | None = None,
+                indexed: Callable[[DataFrame, int], dict] | None = None) -> int:
+        """Write df as the next version.
+
+        ``replaces_written``: the partitions that df has rows in are replaced,
+        read from the folders that its write made. ``indexed``: given the written
+        rows and their number, the key index entry of the commit.
+        """
         commits = self.commits()
         n = commits[-1]["version"] + 1 if commits else 0
         if path_exists(self.spark, self._commit_path(n)):
@@ -272,6 +272,9 @@ class VersionedTable:
         w.parquet(path)
         # counted from the files, which a task that ran twice has not doubled
         written = known_rows if known_rows is not None else self._count_files(path, schema)
+        if replaces_written:
+            replaced, replaces_null = written_partitions(self.spark, path)
+        entry = indexed(self.spark.read.schema(schema).parquet(path), written) if indexed else None
         if self.fault is not None:
             self.fault(n, "data")
         row = {
@@ -282,8 +285,7 @@ class VersionedTable:
             "replaces_all": bool(replaces_all),
             "num_input_rows": num_input_rows if num_input_rows is not None else written,
             "num_output_rows": written, "schema_json": schema.json(), "partition_by": part,
-            "min_readable_version": min_readable if min_readable is not None else
-            (commits[-1]["min_readable_version"] if commits else 0),
+            "key_index": entry,
         }
         create_text(self.spark, self._commit_path(n), _encode_commit(row))
         self._commit_cache = commits + [row]
@@ -314,43 +316,82 @@ class VersionedTable:
         return self._commit(df, "OVERWRITE", replaces_all=True, **meta)
 
     def replace_partitions(self, df: DataFrame, **meta) -> int:
-        """Overwrite exactly the partition values present in ``df``."""
-        part = self.partition_by
-        if not part:
+        """Overwrite exactly the partition values present in ``df``, which is evaluated once."""
+        if not self.partition_by:
             return self.overwrite(df, **meta)
-        values, has_null = M.partition_values(df, part)
-        return self._commit(df, "REPLACE", replaced=values, replaces_null=has_null, **meta)
+        return self._commit(df, "REPLACE", replaces_written=True, **meta)
+
+    # ---------------------------------------------------------------- key index
+    def key_index(self, keys: Sequence[str]) -> KeyIndex:
+        return KeyIndex(self.spark, f"{self.root}/keys", keys, self.schema(), self.partition_by)
 
-    def merge_insert(self, batch: DataFrame, keys: Sequence[str], prune_by: str | None = None,
-                     batch_unique: bool = False, **meta) -> int | None:
+    def _index_runs(self, index: KeyIndex) -> list[dict]:
+        """Runs that hold every key of the table (and perhaps some that it held before).
+
+        Those of the last commit that names runs of these keys, and one more with
+        the rows written since by commits without; all rows are read once where
+        there is no such commit.
+        """
+        runs, after = [], 0
+        for i, c in enumerate(self.commits()):
+            if (c.get("key_index") or {}).get("keys") == index.keys:
+                runs, after = c["key_index"]["runs"], i + 1
+            elif c["replaces_all"] or c["replaced_parts"] or c["replaces_null"]:
+                runs, after = [], 0     # keys may have left the table
+        missing = [c for c in self.commits()[after:] if c["num_output_rows"]]
+        if not missing:
+            return runs
+        rows = self._rows(missing)
+        return index.add(rows, rows.count(), runs)
+
+    def _with_index(self, index: KeyIndex, runs: list[dict], commit: Callable[[Callable], int],
+                    rows: Callable[[DataFrame, int], tuple[DataFrame, int]] = lambda written, n: (written, n)) -> int:
+        """Run commit with a function that adds its rows to the index; runs merged away are deleted after it."""
+        named: dict = {}
+        before = next((c["key_index"]["runs"] for c in reversed(self.commits()) if c.get("key_index")), [])
+
+        def indexed(written: DataFrame, n: int) -> dict:
+            named["runs"] = index.add(*rows(written, n), runs)
+            return {"keys": index.keys, "runs": named["runs"]}
+
+        version = commit(indexed)
+        now = {r["id"] for r in named["runs"]}
+        index.drop([r for r in [*before, *runs] if r["id"] not in now])
+        return version
+
+    def merge_insert(self, batch: DataFrame, keys: Sequence[str], batch_unique: bool = False, **meta) -> int | None:
         """Insert batch rows whose key the table lacks; matched keys are skipped.
 
-        ``prune_by``: compare only against target partitions present in the
-        batch. Off by default: a key that moves to another partition would be
-        inserted again, so pass it only when a key can live in one partition.
+        The key index is asked; the table itself is not read. ``batch`` is
+        evaluated more than once, so it should be read from files.
         """
         if not self.exists():
             self.create_if_missing(batch.schema)
-        target = self.read()
-        if prune_by:
-            target = target.filter(M.touched_predicate(prune_by, *M.partition_values(batch, prune_by)))
-        new = M.merge_insert_rows(target, batch, keys, batch_unique=batch_unique)
-        return self._commit(new.select(*target.columns), "MERGE", **meta)
-
-    def upsert(self, batch: DataFrame, keys: Sequence[str], since: object = None, **meta) -> int:
-        """Matched keys get the batch row, others are inserted. Partitioned
-        tables rewrite only the partitions holding a matched row or a batch row.
+        keys = list(keys)
+        index = self.key_index(keys)
+        runs = self._index_runs(index)
+        present = M.require_keys(batch, keys)
+        new = present if batch_unique else present.dropDuplicates(keys)
+        matched = index.matched(present, runs)
+        if matched is not None:
+            new = new.join(matched.select(*keys), keys, "left_anti")
+        new = new.select(*self.schema().fieldNames())
+        return self._with_index(index, runs, lambda indexed: self._commit(new, "MERGE", indexed=indexed, **meta))
+
+    def upsert(self, batch: DataFrame, keys: Sequence[str], **meta) -> int:
+        """Matched keys get the batch row, others are inserted.
 
         The batch is staged once; its check, the match and the rewrite read the
-        staged files. ``since``: matched rows can only be in partitions of this
-        value or later, so earlier ones are not searched.
+        staged files. The key index names the partitions that hold a matched row:
+        only these are read and rewritten, the batch's other rows are added. A
+        table without partitions is rewritten whole.
         """
         keys = list(keys)
         stage = f"{self.root}/_staging/{uuid.uuid4().hex}"
         batch.write.parquet(stage)
         staged = self.spark.read.schema(batch.schema).parquet(stage)
         try:
-            M.check_upsert_batch(staged, keys)
+            n = M.check_upsert_batch(staged, keys)
             if not self.exists():
                 return self._commit(staged, "MERGE", **meta)
             target = self.read()
@@ -358,12 +399,17 @@ class VersionedTable:
             part = self.partition_by
             if not part:
                 return self._commit(M.upsert(target, staged, keys, check_batch=False), "MERGE", replaces_all=True, **meta)
-            searched = target if since is None else target.filter(F.col(part) >= F.lit(since))
-            matched = searched.join(staged.select(*keys), keys, "left_semi")
-            values, has_null = M.partition_values(matched.select(part).unionByName(staged.select(part)), part)
-            affected = target.filter(M.touched_predicate(part, values, has_null))
-            merged = M.upsert(affected, staged, keys, check_batch=False)
-            return self._commit(merged, "MERGE", replaced=values, replaces_null=has_null, **meta)
+            index = self.key_index(keys)
+            runs = self._index_runs(index)
+            matched = index.matched(staged, runs)
+            values, has_null, merged = [], False, staged
+            if matched is not None:
+                values, has_null = M.partition_values(matched.select(F.col(PART).alias(part)), part)
+                affected = target.filter(M.touched_predicate(part, values, has_null))
+                merged = M.upsert(affected, staged, keys, check_batch=False)
+            return self._with_index(
+                index, runs, lambda indexed: self._commit(merged, "MERGE", replaced=values, replaces_null=has_null, indexed=indexed, **meta),
+                rows=lambda written, _: (staged, n))
         finally:
             delete_path(self.spark, stage)
 
@@ -378,40 +424,3 @@ class VersionedTable:
         affected = target.filter(M.touched_predicate(part, values, has_null))
         return self._commit(M.delete_where(affected, predicate), "DELETE",
                             replaced=values, replaces_null=has_null, **meta)
-
-    def optimize(self, partitions: list | None = None) -> int:
-        """Compact: rewrite the visible rows (of ``partitions`` only, when
-        given) as one new version replacing them. History stays readable;
-        latest reads then touch fewer, larger files."""
-        part = self.partition_by
-        if partitions is None or not part:
-            return self._commit(self.read(), "OPTIMIZE", replaces_all=True)
-        values = sorted(str(p) for p in partitions if p is not None)
-        has_null = any(p is None for p in partitions)
-        rows = self.read().filter(M.touched_predicate(part, values, has_null))
-        return self._commit(rows, "OPTIMIZE", replaced=values, replaces_null=has_null)
-
-    def compare_last_versions(self) -> dict:
-        """Time-travel acceptance: row counts of the previous and the latest
-        version (needs at least two versions; the older must be non-empty)."""
-        versions = [c["version"] for c in self.commits()]
-        if len(versions) < 2:
-            raise ValueError(f"{self.root} holds {len(versions)} version(s), a comparison takes two")
-        older, newer = (self.read(v).count() for v in versions[-2:])
-        if older == 0:
-            raise AssertionError(f"the version before the latest ({versions[-2]}) holds no row")
-        return {"previous_version": versions[-2], "latest_version": versions[-1],
-                "row_count_previous_version": older, "row_count_latest_version": newer}
-
-    def expire(self) -> int:
-        """Rewrite the visible rows as one base version and delete the data of
-        every older version; as-of reads before the base then raise."""
-        current = self.read()
-        # The rewrite reads the old version folders, so it must be written and
-        # committed before any of them is deleted.
-        commits_before = [c["version"] for c in self.commits()]
-        n = self._commit(current, "EXPIRE", replaces_all=True,
-                         min_readable=(commits_before[-1] + 1) if commits_before else 0)
-        for v in commits_before:
-            delete_path(self.spark, f"{self.data_root}/{VERSION_COL}={v}")
-        return n

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from eventmart.plans.materialize import materialize_incremental
 from eventmart.sinks.export import export_snapshot, read_export
-from eventmart.sinks.table import CommitConflict, VersionedTable, VersionExpired, create_text
+from eventmart.sinks.table import CommitConflict, VersionedTable, create_text
 
 D1, D2, D3 = dt.date(2024, 1, 1), dt.date(2024, 1, 2), dt.date(2024, 1, 3)
 SCHEMA = "id long, event_date date, v string"
@@ -15,23 +15,20 @@ def ids(df):
     return sorted(r["id"] for r in df.collect())
 
 
-def test_as_of_is_stable_across_later_commits(spark, scratch):
+def test_replaced_rows_leave_and_others_stay(spark, scratch):
     t = VersionedTable(spark, scratch("vt"), partition_by="event_date")
     t.append(spark.createDataFrame([(1, D1, "a"), (2, D2, "a"), (3, None, "a")], SCHEMA))   # v0
-    before = ids(t.read(0))
     t.replace_partitions(spark.createDataFrame([(20, D2, "b")], SCHEMA))                   # v1
+    assert ids(t.read()) == [1, 3, 20]
     t.replace_partitions(spark.createDataFrame([(30, None, "b")], SCHEMA))                 # v2 null date
+    assert ids(t.read()) == [1, 20, 30]
     t.append(spark.createDataFrame([(4, D3, "c")], SCHEMA))                                # v3
-    assert ids(t.read(0)) == before == [1, 2, 3]
-    assert ids(t.read(1)) == [1, 3, 20]
-    assert ids(t.read(2)) == [1, 20, 30]
     assert ids(t.read()) == [1, 4, 20, 30]
-    t.overwrite(spark.createDataFrame([(9, D1, "z")], SCHEMA))                              # v4 all
-    assert ids(t.read()) == [9] and ids(t.read(3)) == [1, 4, 20, 30]
-    check = t.compare_last_versions()
-    assert (check["row_count_previous_version"], check["row_count_latest_version"]) == (4, 1)
-    hist = [(r["version"], r["operation"], r["num_output_rows"]) for r in t.history().collect()]
-    assert hist == [(0, "WRITE", 3), (1, "REPLACE", 1), (2, "REPLACE", 1), (3, "WRITE", 1), (4, "OVERWRITE", 1)]
+    assert ids(t.read_after(2)) == [4] and ids(t.read_after(None)) == [1, 4, 20, 30]
+    t.replace_partitions(spark.createDataFrame([], SCHEMA))                                 # v4 touches nothing
+    assert ids(t.read()) == [1, 4, 20, 30]
+    t.overwrite(spark.createDataFrame([(9, D1, "z")], SCHEMA))                              # v5 all
+    assert ids(t.read()) == [9] and t.read_after(5).count() == 0
 
 
 def test_superseded_files_are_pruned_at_listing(spark, scratch):
@@ -47,8 +44,7 @@ def test_upsert_and_delete_rewrite_only_touched_partitions(spark, scratch):
     t.append(spark.createDataFrame([(1, D1, "a"), (2, D2, "a"), (3, D3, "a")], SCHEMA))
     t.upsert(spark.createDataFrame([(2, D2, "B"), (5, D1, "new")], SCHEMA), ["id"])
     assert {r["id"]: r["v"] for r in t.read().collect()} == {1: "a", 2: "B", 3: "a", 5: "new"}
-    last = t.commits()[-1]
-    assert sorted(last["replaced_parts"]) == ["2024-01-01", "2024-01-02"]
+    assert t.commits()[-1]["replaced_parts"] == ["2024-01-02"]      # key 5 is new: its date gets rows, none is rewritten
     t.delete(F.col("v") == "a")
     assert ids(t.read()) == [2, 5]
 
@@ -72,17 +68,6 @@ def test_uncommitted_version_is_invisible_and_retry_reuses_it(spark, scratch):
         create_text(spark, f"{root}/commits/{1:020d}.json", "{}")
 
 
-def test_expire_keeps_visible_rows_and_blocks_old_versions(spark, scratch):
-    t = VersionedTable(spark, scratch("exp"), partition_by="event_date")
-    t.append(spark.createDataFrame([(1, D1, "a"), (2, D2, "a")], SCHEMA))
-    t.replace_partitions(spark.createDataFrame([(3, D1, "b")], SCHEMA))
-    visible = ids(t.read())
-    t.expire()
-    assert ids(t.read()) == visible == [2, 3]
-    with pytest.raises(VersionExpired):
-        t.read(0)
-
-
 def test_export_is_single_version_and_repeatable(spark, scratch):
     t = VersionedTable(spark, scratch("src"), partition_by="event_date")
     t.append(spark.createDataFrame([(1, D1, "a"), (2, D2, "a")], SCHEMA))
@@ -117,28 +102,6 @@ def test_create_if_missing_bootstraps_empty(spark, scratch):
     assert t.read().count() == 0 and t.read().columns == ["id", "event_date", "v"]
 
 
-def test_merge_insert_prune_by_reads_only_batch_dates(spark, scratch):
-    t = VersionedTable(spark, scratch("prune_by"), partition_by="event_date")
-    t.append(spark.createDataFrame([(1, D1, "a"), (2, D2, "a")], SCHEMA))
-    # key 1 repeated on its own date: skipped; key 3 new: inserted
-    t.merge_insert(spark.createDataFrame([(1, D1, "dup"), (3, D1, "new")], SCHEMA), ["id"],
-                   prune_by="event_date")
-    assert {r["id"]: r["v"] for r in t.read().collect()} == {1: "a", 2: "a", 3: "new"}
-
-
-def test_optimize_keeps_rows_and_history(spark, scratch):
-    t = VersionedTable(spark, scratch("opt"), partition_by="event_date")
-    for i in range(3):
-        t.append(spark.createDataFrame([(i, D1, "a"), (10 + i, D2, "b")], SCHEMA))
-    before = ids(t.read())
-    t.optimize([D1])
-    assert ids(t.read()) == before and t.commits()[-1]["replaced_parts"] == ["2024-01-01"]
-    t.optimize()
-    assert ids(t.read()) == before and ids(t.read(0)) == [0, 10]
-    # the latest read lists only the compacted version
-    assert t.read()._jdf.queryExecution().executedPlan().toString().count("_version=") <= 1
-
-
 def test_stale_handle_does_not_clobber_a_committed_version(spark, scratch):
     root = scratch("two_handles")
     a = VersionedTable(spark, root, partition_by="event_date")
