@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from eventmart.operators.flatten import flatten
 from eventmart.plans import models as M
 from eventmart.plans.catalog import events, register
-from eventmart.plans.warehouse import Warehouse, build_models, test_results
+from eventmart.plans.warehouse import MARTS, ModelStates, Warehouse, build_models, test_results
 from eventmart.schema import CORRUPT_COLUMN, STAGING_COLUMNS, event_schema
 from eventmart.session import scratch_path
 from eventmart.sinks.replay import write_segments
@@ -179,13 +179,14 @@ def q_int_daily_repo_activity(spark, sf_dir):
     return M.int_daily_repo_activity(M.stg_events(_flat(spark, sf_dir)))
 
 
-def _two_builds(spark, sf_dir, name) -> tuple[Warehouse, DataFrame]:
-    """The warehouse after a build of the days before MID and one of all days."""
+def _two_builds(spark, sf_dir, name, marts=MARTS) -> tuple[Warehouse, DataFrame]:
+    """The warehouse after a build of the days before MID and one that is told the rest."""
     path = scratch_path(spark, f"{name}_raw")
-    _flat(spark, sf_dir).write.parquet(path)
+    flatten(nested_events(spark, sf_dir)).write.parquet(path)
     raw, wh = spark.read.parquet(path), Warehouse(scratch_path(spark, name))
-    build_models(spark, raw.filter(F.col("event_date") < F.lit(MID)), wh, run_tests=False)
-    build_models(spark, raw, wh, run_tests=False)
+    before = F.col("event_date") < F.lit(MID)
+    build_models(spark, raw.filter(before), wh, run_tests=False, marts=marts)
+    build_models(spark, raw, wh, run_tests=False, marts=marts, delta=raw.filter(~before))
     return wh, raw
 
 
@@ -195,7 +196,7 @@ f2 as (select * from stg where event_date > coalesce((select max(event_date) fro
        qualify row_number() over (partition by event_id order by created_at) = 1)
 select * from f2 union all select * from f1 where event_id not in (select event_id from f2)""")
 def q_fct_events_incremental(spark, sf_dir):
-    wh, _ = _two_builds(spark, sf_dir, "fct_incremental")
+    wh, _ = _two_builds(spark, sf_dir, "fct_incremental", marts=["fct_events"])
     return _wall_clock(wh.table(spark, "fct_events").read().select(*STAGING_COLUMNS))
 
 
@@ -211,7 +212,7 @@ select repo_id, repo_name, repo_owner, repo_short_name, first_seen_date, last_se
 union all select e.repo_id, o.repo_name, split_part(o.repo_name, '/', 1), split_part(o.repo_name, '/', 2), e.first_seen_date, e.last_seen_date,
   e.total_events from early e join old_name o using (repo_id) where e.repo_id not in (select repo_id from fresh)""")
 def q_dim_repos_incremental(spark, sf_dir):
-    wh, _ = _two_builds(spark, sf_dir, "dim_incremental")
+    wh, _ = _two_builds(spark, sf_dir, "dim_incremental", marts=["dim_repos"])
     return wh.table(spark, "dim_repos").read()
 
 
@@ -239,6 +240,21 @@ union all select m, t, c, 'error', 0 from (values
 def q_model_tests(spark, sf_dir):
     """Every declared test of the warehouse after two incremental builds."""
     wh, raw = _two_builds(spark, sf_dir, "model_tests")
-    stg = M.stg_events(raw)
-    return test_results(stg, M.stg_actors(raw), M.stg_repos(raw), M.int_daily_repo_activity(stg), M.int_actor_first_last_seen(stg),
-                        *[wh.table(spark, name).read() for name in ("fct_events", "dim_actors", "dim_repos")])
+    models = ModelStates(spark, wh).models() | {"stg_events": M.stg_events(raw)}
+    return test_results(models | {name: wh.table(spark, name).read() for name in MARTS})
+
+
+@register("activity_three_increments", STG + "," + DAILY + " select * from daily")
+def q_activity_three_increments(spark, sf_dir):
+    """Daily activity from a state that got the events in three deltas, by digest of the
+    id, so that each brings late rows to every day; the second one comes twice."""
+    path = scratch_path(spark, "increments_raw")
+    stg = M.stg_events(_flat(spark, sf_dir))
+    stg.withColumn("_delta", F.pmod(F.xxhash64("event_id", "created_at"), F.lit(3))).write.partitionBy("_delta").parquet(path)
+    state = ModelStates(spark, Warehouse(scratch_path(spark, "increments"))).activity
+    for batch, delta in enumerate((0, 1, 1, 2)):
+        rows = spark.read.schema(stg.schema).parquet(f"{path}/_delta={delta}")
+        merged = state.update(rows, query_id="increments", batch_id=delta)
+        if merged != (batch != 2):
+            raise RuntimeError("a delta was merged twice or not at all")
+    return M.daily_of_activity(state.read())

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventmart.functions.columns import clean_text, event_date, split_part
+from eventmart.functions.columns import clean_text, event_date, split_part, surrogate_key
 from eventmart.operators import aggregates as A
 from eventmart.operators import dedup as D
 from eventmart.operators import incremental as I
@@ -63,6 +63,52 @@ def stg_repos(raw: DataFrame, key: str = "repo_id", name_col: str = "repo_name",
                          split_part(name_col, sep, 2).alias("repo_short_name"))
 
 
+# ----------------------------------------------- states of the intermediate models
+def activity_measures() -> dict:
+    """Per (date, repo, actor): what daily activity adds up from. Exact distinct actors of a
+    (repo, date) are its rows with an actor."""
+    counts = {"total_events": (F.count(F.lit(1)), "sum")}
+    return counts | {name: (F.count_if(F.col("event_type") == F.lit(kind)), "sum") for name, kind in REPO_ACTIVITY_TYPES}
+
+
+ACTIVITY_KEYS = ["event_date", "repo_id", "actor_id"]
+
+
+def daily_of_activity(activity: DataFrame) -> DataFrame:
+    """``int_daily_repo_activity`` from the activity state."""
+    src = D.drop_null_keys(activity, ["repo_id"])
+    sums = [F.sum(name).cast("long").alias(name) for name, _ in REPO_ACTIVITY_TYPES]
+    out = src.groupBy("repo_id", "event_date").agg(
+        F.sum("total_events").cast("long").alias("total_events"), F.count("actor_id").alias("distinct_actors"), *sums)
+    return out.select(surrogate_key("repo_id", "event_date").alias("daily_repo_activity_id"), "repo_id", "event_date",
+                      "total_events", "distinct_actors", *[name for name, _ in REPO_ACTIVITY_TYPES])
+
+
+def seen_measures() -> dict:
+    """Per actor: ``int_actor_first_last_seen`` itself merges."""
+    return {"first_seen_at": (F.min("created_at"), "min"), "last_seen_at": (F.max("created_at"), "max"),
+            "first_seen_date": (F.min("event_date"), "min"), "last_seen_date": (F.max("event_date"), "max"),
+            "total_events": (F.count(F.lit(1)), "sum")}
+
+
+def latest_measures(columns: Sequence[str], order_by: Sequence[str] = ("created_at", "event_id")) -> dict:
+    """Per key: the columns as of the latest row, as the greatest (order, columns)."""
+    ranked = [x for c in order_by for x in (F.col(c).isNotNull().alias(f"has_{c}"), F.col(c))]
+    return {"latest": (F.max(F.struct(*ranked, *[F.trim(F.col(c)).alias(c) for c in columns])), "max")}
+
+
+def actors_of_latest(latest: DataFrame) -> DataFrame:
+    """``stg_actors`` from the state of latest rows."""
+    return latest.select("actor_id", "latest.actor_login", "latest.actor_display_login")
+
+
+def repos_of_latest(latest: DataFrame, sep: str = "/") -> DataFrame:
+    """``stg_repos`` from the state of latest rows."""
+    named = latest.select("repo_id", "latest.repo_name")
+    return named.select("repo_id", "repo_name", split_part("repo_name", sep, 1).alias("repo_owner"),
+                        split_part("repo_name", sep, 2).alias("repo_short_name"))
+
+
 # -------------------------------------------------------------- intermediate
 def _deduped(stg: DataFrame, dedupe: bool) -> DataFrame:
     """Staging may hold repeated event ids (only the fact enforces the grain);

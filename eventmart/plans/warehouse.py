@@ -1,98 +1,143 @@
 """Build the star schema from the warehouse raw table, run its data tests,
 and take the SCD-2 snapshot -- the model build of one day.
 
-Staging models are views (named temp views, nothing stored); the intermediate
-results and the per-key attributes, which models and tests both read, are
-written once per build; the fact and the two dimensions are incremental tables
-merged on their keys; the data tests run after the models and an ``error``
-failure stops the build (``warn`` is reported).
+Staging models are views (named temp views, nothing stored). The intermediate
+aggregates and the per-key attributes are views of mergeable states: a build that
+is told what rows are new (``delta``) merges only these, a build without rebuilds
+them. The fact and the two dimensions are incremental tables merged on their keys;
+the data tests run after the models and an ``error`` failure stops the build
+(``warn`` is reported).
 """
 
 from __future__ import annotations
 
+from collections.abc import Collection, Mapping
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart.operators import quality as Q
 from eventmart.operators import scd2
+from eventmart.operators.dedup import drop_null_keys
+from eventmart.operators.state import MergedState
 from eventmart.plans import models as M
 from eventmart.plans.materialize import materialize_incremental, materialize_view
 from eventmart.schema import KNOWN_EVENT_TYPES
-from eventmart.session import scratch_path
+from eventmart.session import run_together
 from eventmart.sinks.table import VersionedTable
 
 
-MODEL_NAMES = ("stg_events", "stg_actors", "stg_repos", "int_daily_repo_activity", "int_actor_first_last_seen",
-               "fct_events", "dim_repos", "dim_actors")
-
-
 @dataclass
 class Warehouse:
+    """``fact_buckets``: buckets of the fact in each date; about the bytes of a date / 128 MB."""
     root: str
+    fact_buckets: int = 2
 
-    def table(self, spark: SparkSession, name: str, partition_by: str | None = None) -> VersionedTable:
-        return VersionedTable(spark, f"{self.root.rstrip('/')}/{name}", partition_by=partition_by)
+    def table(self, spark: SparkSession, name: str, partition_by: str | None = None,
+              bucket_by: tuple[list[str], int] | None = None) -> VersionedTable:
+        return VersionedTable(spark, f"{self.root.rstrip('/')}/{name}", partition_by=partition_by, bucket_by=bucket_by)
 
+    def mart(self, spark: SparkSession, name: str) -> VersionedTable:
+        if name == "fct_events":
+            return self.table(spark, name, "event_date", (["event_id"], self.fact_buckets))
+        return self.table(spark, name)
 
-def model_tests(stg, actors, repos, daily, first_last, fct, dim_actors, dim_repos) -> list[tuple[DataFrame, list]]:
+
+def model_tests(models: Mapping[str, DataFrame]) -> dict[str, list]:
     """The declared tests per model. Which column is tested how,
     and the one ``warn`` (staging event ids may repeat upstream)."""
-    return [
-        (stg, [Q.not_null("event_id"), Q.unique("event_id", severity=Q.WARN), Q.not_null("event_type"),
-               Q.accepted_values("event_type", sorted(KNOWN_EVENT_TYPES)), Q.not_null("created_at")]),
-        (actors, [Q.not_null("actor_id"), Q.unique("actor_id")]),
-        (repos, [Q.not_null("repo_id"), Q.unique("repo_id")]),
-        (daily, [Q.not_null("daily_repo_activity_id"), Q.unique("daily_repo_activity_id"),
-                 Q.not_null("repo_id"), Q.relationships("repo_id", repos, "repo_id")]),
-        (first_last, [Q.not_null("actor_id"), Q.unique("actor_id"),
-                      Q.relationships("actor_id", actors, "actor_id")]),
-        (fct, [Q.not_null("event_id"), Q.unique("event_id"),
-               Q.relationships("repo_id", dim_repos, "repo_id"),
-               Q.relationships("actor_id", dim_actors, "actor_id")]),
-        (dim_repos, [Q.not_null("repo_id"), Q.unique("repo_id")]),
-        (dim_actors, [Q.not_null("actor_id"), Q.unique("actor_id")]),
-    ]
-
-
-def build_models(spark: SparkSession, raw: DataFrame, wh: Warehouse, run_tests: bool = True) -> dict:
+    def references(column: str, parent: str):
+        return Q.relationships(column, models[parent], column)
+
+    return {
+        "stg_events": [Q.not_null("event_id"), Q.unique("event_id", severity=Q.WARN), Q.not_null("event_type"),
+                       Q.accepted_values("event_type", sorted(KNOWN_EVENT_TYPES)), Q.not_null("created_at")],
+        "stg_actors": [Q.not_null("actor_id"), Q.unique("actor_id")],
+        "stg_repos": [Q.not_null("repo_id"), Q.unique("repo_id")],
+        "int_daily_repo_activity": [Q.not_null("daily_repo_activity_id"), Q.unique("daily_repo_activity_id"),
+                                    Q.not_null("repo_id"), references("repo_id", "stg_repos")],
+        "int_actor_first_last_seen": [Q.not_null("actor_id"), Q.unique("actor_id"), references("actor_id", "stg_actors")],
+        "fct_events": [Q.not_null("event_id"), Q.unique("event_id"), references("repo_id", "dim_repos"),
+                       references("actor_id", "dim_actors")],
+        "dim_repos": [Q.not_null("repo_id"), Q.unique("repo_id")],
+        "dim_actors": [Q.not_null("actor_id"), Q.unique("actor_id")],
+    }
+
+
+class ModelStates:
+    """The states behind the intermediate models and the attributes, under the warehouse's root."""
+
+    def __init__(self, spark: SparkSession, wh: Warehouse):
+        def state(name, keys, measures, partition_by=None):
+            return MergedState(wh.table(spark, f"state_{name}", partition_by), keys, measures)
+
+        self.spark = spark
+        self.activity = state("activity", M.ACTIVITY_KEYS, M.activity_measures(), "event_date")
+        self.seen = state("actor_seen", ["actor_id"], M.seen_measures())
+        self.actors = state("actor_latest", ["actor_id"], M.latest_measures(["actor_login", "actor_display_login"]))
+        self.repos = state("repo_latest", ["repo_id"], M.latest_measures(["repo_name"]))
+
+    def load(self, raw: DataFrame, delta: DataFrame | None, marts: Collection[str], **tag) -> None:
+        """Merge the delta, or rebuild from raw, what the marts need."""
+        rows = raw if delta is None else delta
+        stg = M.stg_events(rows)
+        needed = []
+        if "dim_actors" in marts:
+            needed += [(self.seen, drop_null_keys(stg, ["actor_id"])), (self.actors, drop_null_keys(rows, ["actor_id"]))]
+        if "dim_repos" in marts:
+            needed += [(self.activity, stg), (self.repos, drop_null_keys(rows, ["repo_id"]))]
+        run_together(self.spark, [partial(state.rebuild if delta is None else state.update, of, **tag) for state, of in needed])
+
+    def models(self) -> dict[str, DataFrame]:
+        return {"stg_actors": M.actors_of_latest(self.actors.read()), "stg_repos": M.repos_of_latest(self.repos.read()),
+                "int_daily_repo_activity": M.daily_of_activity(self.activity.read()), "int_actor_first_last_seen": self.seen.read()}
+
+
+MARTS = ("fct_events", "dim_actors", "dim_repos")
+
+
+def build_models(spark: SparkSession, raw: DataFrame, wh: Warehouse, run_tests: bool = True, delta: DataFrame | None = None,
+                 marts: Collection[str] = MARTS, **tag) -> dict:
     """Staging -> intermediate -> marts (incremental), then tests; returns the
-    mart versions written and the warnings."""
+    mart versions written and the warnings.
+
+    ``delta``: exactly the rows of ``raw`` that the build before did not have, with an
+    optional tag (``query_id``, ``batch_id``) that makes merging them idempotent.
+    ``marts``: build only these, and what they read.
+    """
     stg = materialize_view(M.stg_events(raw), "stg_events")
-    def written(df: DataFrame, name: str) -> DataFrame:
-        path = scratch_path(spark, name)
-        df.write.parquet(path)
-        return materialize_view(spark.read.schema(df.schema).parquet(path), name)
-
-    actors = written(M.stg_actors(raw), "stg_actors")
-    repos = written(M.stg_repos(raw), "stg_repos")
-    daily = written(M.int_daily_repo_activity(stg), "int_daily_repo_activity")
-    first_last = written(M.int_actor_first_last_seen(stg), "int_actor_first_last_seen")
-
-    fct_t = wh.table(spark, "fct_events", partition_by="event_date")
-    dim_a_t = wh.table(spark, "dim_actors")
-    dim_r_t = wh.table(spark, "dim_repos")
-    versions = {
-        "fct_events": materialize_incremental(lambda mark: M.fct_events(stg, mark), fct_t,
-                                              ["event_id"], "event_date"),
-        "dim_actors": materialize_incremental(lambda mark: M.dim_actors_model(first_last, actors, mark),
-                                              dim_a_t, ["actor_id"], "last_seen_date"),
-        "dim_repos": materialize_incremental(lambda mark: M.dim_repos_model(daily, repos, mark),
-                                             dim_r_t, ["repo_id"], "last_seen_date"),
-    }
+    states = ModelStates(spark, wh)
+    states.load(raw, delta, marts, **tag)
+    views: dict[str, DataFrame] = {}
+    if set(marts) >= {"dim_actors", "dim_repos"}:
+        views = {name: materialize_view(df, name) for name, df in states.models().items()}
+
+    tables = {name: wh.mart(spark, name) for name in MARTS}
+    builds = {}
+    if "fct_events" in marts:
+        builds["fct_events"] = (lambda mark: M.fct_events(stg, mark), ["event_id"], "event_date")
+    if "dim_actors" in marts:
+        seen, actors = states.seen.read(), M.actors_of_latest(states.actors.read())
+        builds["dim_actors"] = (lambda mark: M.dim_actors_model(seen, actors, mark), ["actor_id"], "last_seen_date")
+    if "dim_repos" in marts:
+        daily, repos = M.daily_of_activity(states.activity.read()), M.repos_of_latest(states.repos.read())
+        builds["dim_repos"] = (lambda mark: M.dim_repos_model(daily, repos, mark), ["repo_id"], "last_seen_date")
+    written = run_together(spark, [partial(materialize_incremental, build, tables[name], keys, mark_col)
+                                   for name, (build, keys, mark_col) in builds.items()])
+    versions = dict(zip(builds, written, strict=True))
     warnings: list = []
     if run_tests:
-        results = test_results(stg, actors, repos, daily, first_last, fct_t.read(), dim_a_t.read(), dim_r_t.read())
-        warnings = Q.gate(results)
+        warnings = Q.gate(test_results(views | {"stg_events": stg} | {name: t.read() for name, t in tables.items()}))
     return {"versions": versions, "warnings": warnings}
 
 
-def test_results(*models: DataFrame) -> DataFrame:
+def test_results(models: Mapping[str, DataFrame]) -> DataFrame:
     """(model, test, col, severity, failures) of every declared test, in one job."""
     out = None
-    for name, (df, tests) in zip(MODEL_NAMES, model_tests(*models), strict=True):
-        part = Q.run_tests(df, tests).select(F.lit(name).alias("model"), *Q.RESULT_COLUMNS)
+    for name, tests in model_tests(models).items():
+        part = Q.run_tests(models[name], tests).select(F.lit(name).alias("model"), *Q.RESULT_COLUMNS)
         out = part if out is None else out.unionByName(part)
     return out
 

@@ -10,7 +10,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -93,3 +96,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused folder under the checkpoint root."""
     root = checkpoint_root(spark)
     return f"{root}/eventmart-scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def run_together(spark: SparkSession, calls: Sequence[Callable[[], object]], at_once: int = 8) -> list:
+    """Results of independent calls, in their order; their jobs share the cluster.
+
+    Each call's jobs run in a scheduler pool of its own, so that with
+    ``spark.scheduler.mode=FAIR`` none waits for another's last stage. All calls
+    end before the first failure is raised.
+    """
+    def in_pool(number: int, call: Callable[[], object]) -> object:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"eventmart-{number % at_once}")
+        return call()
+
+    with ThreadPoolExecutor(max(1, min(at_once, len(calls)))) as pool:
+        # the wrapper copies the caller's local properties (job group, description) to the thread
+        started = [pool.submit(inheritable_thread_target(spark)(in_pool), i, c) for i, c in enumerate(calls)]
+    return [f.result() for f in started]

@@ -17,6 +17,11 @@ to partition columns, so Spark evaluates it as a partition filter: the folders
 of committed versions are listed, and the files of superseded partitions are
 never read.
 
+With ``bucket_by`` the files are bucketed and sorted on the merge key (Spark's
+own bucketing; the table is registered over its files while it is planned), so an
+upsert joins the rows it rewrites with its batch, and writes them back, without
+exchanging them.
+
 Merges ask a key index (``sinks.key_index``) which of the batch's keys the table
 holds, and in which partitions; commits name the index runs valid with them.
 
@@ -32,6 +37,7 @@ import datetime as dt
 import json
 import uuid
 from collections.abc import Callable, Sequence
+from contextlib import contextmanager
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -123,6 +129,19 @@ def read_texts(spark: SparkSession, folder: str, suffix: str) -> list[str]:
     return out
 
 
+@contextmanager
+def session_conf(spark: SparkSession, conf: dict[str, str]):
+    """The session's settings with some replaced while a plan is made or run."""
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def _encode_commit(row: dict) -> str:
     out = dict(row)
     out["committed_at"] = row["committed_at"].isoformat()
@@ -137,12 +156,13 @@ def _decode_commit(text: str) -> dict:
 
 class VersionedTable:
     def __init__(self, spark: SparkSession, root: str, partition_by: str | None = None,
-                 rebalance: bool = True):
+                 rebalance: bool = True, bucket_by: tuple[Sequence[str], int] | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.data_root = f"{self.root}/data"
         self.commit_root = f"{self.root}/commits"
         self._partition_by = partition_by
+        self._bucket_by = (list(bucket_by[0]), bucket_by[1]) if bucket_by else None
         self.rebalance = rebalance
         self._commit_cache: list[dict] | None = None
         # test hook: fault(version, stage) is called after the data of a
@@ -180,6 +200,13 @@ class VersionedTable:
                 self._partition_by = c[-1]["partition_by"]
         return self._partition_by
 
+    @property
+    def bucket_by(self) -> tuple[list[str], int] | None:
+        """Keys and number of buckets; the first commit decides."""
+        c = self.commits()
+        found = c[-1].get("bucket_by") if c else self._bucket_by
+        return (found[0], found[1]) if found else None
+
     def schema(self) -> StructType | None:
         c = self.commits()
         return StructType.fromJson(json.loads(c[-1]["schema_json"])) if c else None
@@ -243,9 +270,11 @@ class VersionedTable:
                 replaces_null: bool = False, replaces_all: bool = False, replaces_written: bool = False,
                 query_id: str | None = None, batch_id: int | None = None,
                 num_input_rows: int | None = None, known_rows: int | None = None,
-                indexed: Callable[[DataFrame, int], dict] | None = None) -> int:
+                indexed: Callable[[DataFrame, int], dict] | None = None, in_place: DataFrame | None = None) -> int:
         """Write df as the next version.
 
+        ``in_place``: more rows of it, which lie in the table's buckets already.
+
         ``replaces_written``: the partitions that df has rows in are replaced,
         read from the folders that its write made. ``indexed``: given the written
         rows and their number, the key index entry of the commit.
@@ -260,16 +289,8 @@ class VersionedTable:
         part = self.partition_by
         schema = df.schema
         attempt = uuid.uuid4().hex[:16]
-        out = df
-        if part and self.rebalance:
-            # AQE-aware: balances file sizes per partition value and splits a
-            # hot value over several tasks instead of one.
-            out = out.hint("rebalance", part)
-        w = out.write
-        if part:
-            w = w.partitionBy(part)
         path = self._attempt_path(n, attempt)
-        w.parquet(path)
+        self._write([(df, True)] if in_place is None else [(in_place, False), (df, True)], path)
         # counted from the files, which a task that ran twice has not doubled
         written = known_rows if known_rows is not None else self._count_files(path, schema)
         if replaces_written:
@@ -285,7 +306,7 @@ class VersionedTable:
             "replaces_all": bool(replaces_all),
             "num_input_rows": num_input_rows if num_input_rows is not None else written,
             "num_output_rows": written, "schema_json": schema.json(), "partition_by": part,
-            "key_index": entry,
+            "bucket_by": self.bucket_by, "key_index": entry,
         }
         create_text(self.spark, self._commit_path(n), _encode_commit(row))
         self._commit_cache = commits + [row]
@@ -293,6 +314,47 @@ class VersionedTable:
             self.fault(n, "commit")
         return n
 
+    def _write(self, parts: list[tuple[DataFrame, bool]], path: str) -> None:
+        """Write rows to a folder; of a bucketed table, those of a part marked True are dealt to buckets first."""
+        part, bucketed = self.partition_by, self.bucket_by
+        if not bucketed:
+            for df, _ in parts:
+                # AQE-aware: balances file sizes per partition value and splits a
+                # hot value over several tasks instead of one.
+                w = (df.hint("rebalance", part) if part and self.rebalance else df).write
+                (w.partitionBy(part) if part else w).mode("append").parquet(path)
+            return
+        keys, n = bucketed
+        name = f"eventmart_{uuid.uuid4().hex}"
+        try:
+            for df, deal in parts:
+                w = (df.repartition(n, *keys) if deal else df).write
+                w = (w.partitionBy(part) if part else w).bucketBy(n, keys[0], *keys[1:]).sortBy(keys[0], *keys[1:])
+                w.mode("append").format("parquet").option("path", path).saveAsTable(name)
+        finally:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")     # external: its files stay
+
+    def _read_bucketed(self) -> DataFrame:
+        """The visible rows as a scan that is partitioned by its buckets."""
+        keys, n = self.bucket_by
+        names = ", ".join(f"`{k}`" for k in keys)
+        fields = [*self.schema().fields, StructField(VERSION_COL, IntegerType()), StructField(ATTEMPT_COL, StringType())]
+        part = [VERSION_COL, ATTEMPT_COL, *([self.partition_by] if self.partition_by else [])]
+        name = f"eventmart_{uuid.uuid4().hex}"
+        with session_conf(self.spark, {"spark.sql.hive.manageFilesourcePartitions": "false"}):
+            self.spark.sql(
+                f"CREATE TABLE {name} ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in fields)}) USING parquet "
+                f"OPTIONS (path '{self.data_root}') PARTITIONED BY ({', '.join(f'`{c}`' for c in part)}) "
+                f"CLUSTERED BY ({names}) SORTED BY ({names}) INTO {n} BUCKETS")
+            try:
+                df = self.spark.table(name)
+                df.schema  # noqa: B018 -- resolved while the name exists; the plan holds the files
+            finally:
+                self.spark.sql(f"DROP TABLE {name}")
+        every = self.commits()
+        attempts = [c["attempt"] for c in every if c["num_output_rows"]]
+        return df.filter(F.col(ATTEMPT_COL).isin(attempts) & self._visible(every, self.partition_by)).select(*self.schema().fieldNames())
+
     def _commit_path(self, n: int) -> str:
         return f"{self.commit_root}/{n:020d}.json"
 
@@ -402,14 +464,22 @@ class VersionedTable:
             index = self.key_index(keys)
             runs = self._index_runs(index)
             matched = index.matched(staged, runs)
-            values, has_null, merged = [], False, staged
+            values, has_null, merged, kept = [], False, staged, None
             if matched is not None:
                 values, has_null = M.partition_values(matched.select(F.col(PART).alias(part)), part)
-                affected = target.filter(M.touched_predicate(part, values, has_null))
-                merged = M.upsert(affected, staged, keys, check_batch=False)
-            return self._with_index(
-                index, runs, lambda indexed: self._commit(merged, "MERGE", replaced=values, replaces_null=has_null, indexed=indexed, **meta),
-                rows=lambda written, _: (staged, n))
+                by_bucket = bool(self.bucket_by) and self.bucket_by[0] == keys
+                affected = (self._read_bucketed() if by_bucket else target).filter(M.touched_predicate(part, values, has_null))
+                rest = affected.join(staged.select(*keys), keys, "left_anti").select(*target.columns)
+                if by_bucket:
+                    kept = rest
+                else:
+                    merged = rest.unionByName(staged)
+            # a bucketed scan stays one even where the batch is broadcast: its rows go back to their buckets
+            with session_conf(self.spark, {"spark.sql.sources.bucketing.autoBucketedScan.enabled": "false"}):
+                return self._with_index(
+                    index, runs, lambda indexed: self._commit(merged, "MERGE", replaced=values, replaces_null=has_null, indexed=indexed,
+                                                              in_place=kept, **meta),
+                    rows=lambda written, _: (staged, n))
         finally:
             delete_path(self.spark, stage)
 

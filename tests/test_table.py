@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from eventmart.plans.materialize import materialize_incremental
 from eventmart.sinks.export import export_snapshot, read_export
-from eventmart.sinks.table import CommitConflict, VersionedTable, create_text
+from eventmart.sinks.table import CommitConflict, VersionedTable, create_text, session_conf
 
 D1, D2, D3 = dt.date(2024, 1, 1), dt.date(2024, 1, 2), dt.date(2024, 1, 3)
 SCHEMA = "id long, event_date date, v string"
@@ -111,3 +111,39 @@ def test_stale_handle_does_not_clobber_a_committed_version(spark, scratch):
     a.append(spark.createDataFrame([(2, D1, "a")], SCHEMA))   # version 1 by a
     assert b.append(spark.createDataFrame([(3, D2, "b")], SCHEMA)) == 2
     assert ids(VersionedTable(spark, root).read()) == [1, 2, 3]
+
+
+def test_bucketed_upsert_exchanges_the_batch_only(spark, scratch):
+    plain = VersionedTable(spark, scratch("plain"), partition_by="event_date")
+    t = VersionedTable(spark, scratch("bucketed"), partition_by="event_date", bucket_by=(["id"], 4))
+    days = [D1, D2, D3, None]
+    base = spark.createDataFrame([(i, days[i % 4], "a") for i in range(200)], SCHEMA)
+    first = spark.createDataFrame([(i, days[(i + 1) % 4], "b") for i in range(150, 260, 3)], SCHEMA)
+    second = spark.createDataFrame([(i, D2, "c") for i in range(0, 300, 7)], SCHEMA)
+    for table in (plain, t):
+        table.append(base)
+        table.upsert(first, ["id"])
+        VersionedTable(spark, table.root).upsert(second, ["id"])          # another handle knows the buckets from the commits
+    assert VersionedTable(spark, t.root).bucket_by == (["id"], 4)
+
+    def visible(table):
+        return sorted((r["id"], str(r["event_date"]), r["v"]) for r in VersionedTable(spark, table.root).read().collect())
+    assert visible(t) == visible(plain) and len(visible(t)) == len({i for i, *_ in visible(t)})
+    t = VersionedTable(spark, t.root)
+    assert sorted((r["id"], str(r["event_date"]), r["v"]) for r in t._read_bucketed().collect()) == visible(t)
+    with session_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}):
+        joined = t._read_bucketed().join(second.select("id"), "id", "left_anti")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Bucketed: true" in plan
+
+
+def test_a_bucketed_table_replaces_merges_and_deletes_like_others(spark, scratch):
+    t = VersionedTable(spark, scratch("bucketed"), partition_by="event_date", bucket_by=(["id"], 2))
+    t.create_if_missing(spark.createDataFrame([], SCHEMA).schema)
+    t.merge_insert(spark.createDataFrame([(1, D1, "a"), (2, D2, "a")], SCHEMA), ["id"])
+    t.merge_insert(spark.createDataFrame([(2, D3, "x"), (3, D3, "a")], SCHEMA), ["id"])
+    t.replace_partitions(spark.createDataFrame([(4, D1, "b")], SCHEMA))
+    assert ids(t.read()) == [2, 3, 4]
+    t.delete(F.col("id") == 3)
+    assert ids(t.read()) == ids(t._read_bucketed()) == [2, 4]
+    assert [r.tableName for r in spark.sql("SHOW TABLES").collect() if r.tableName.startswith("eventmart_")] == []
