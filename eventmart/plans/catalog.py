@@ -23,6 +23,8 @@ from eventmart.operators import merge as M
 from eventmart.operators import quality as Q
 from eventmart.operators import scd2
 from eventmart.operators.flatten import flatten, parse_json_column
+from eventmart.session import scratch_path
+from eventmart.sinks.table import VersionedTable
 from eventmart.sources.files import parse_health, parse_lines
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -331,9 +333,11 @@ def q_scd2_snapshot(spark, sf_dir):
     t1 = cust.filter(F.col("c_custkey") % 3 != 0)
     t2 = cust.withColumn("c_mktsegment", F.when(F.col("c_custkey") % 10 == 0, F.lit("CHANGED"))
                          .otherwise(F.col("c_mktsegment")))
-    h1 = scd2.snapshot(None, t1, "c_custkey", ["c_mktsegment"], dt.datetime(2024, 1, 1))
-    h2 = scd2.snapshot(h1, t2, "c_custkey", ["c_mktsegment"], dt.datetime(2024, 1, 2))
-    return h2.select("c_custkey", "c_mktsegment", "valid_from", "valid_to")
+    hist = VersionedTable(spark, scratch_path(spark, "scd2"), partition_by=scd2.IS_OPEN)
+    # the third snapshot finds nothing new
+    for day, state in ((1, t1), (2, t2), (3, t2)):
+        scd2.snapshot_table(hist, state, "c_custkey", ["c_mktsegment"], dt.datetime(2024, 1, day))
+    return hist.read().select("c_custkey", "c_mktsegment", "valid_from", "valid_to")
 
 
 # storage- and stream-backed keys register themselves on import

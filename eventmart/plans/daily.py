@@ -17,12 +17,14 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from eventmart.operators import quality as Q
+from eventmart.operators.fingerprint import fingerprint
 from eventmart.plans.materialize import materialize_incremental
 from eventmart.sinks.export import export_snapshot
 from eventmart.sinks.replay import replay
@@ -125,12 +127,12 @@ def event_day_config(files_per_trigger: int = 4) -> DayConfig:
 
 
 def layer_counts(spark: SparkSession, ws: Workspace, key: str) -> DataFrame:
-    """Per layer: rows and distinct keys (the reprocess proof)."""
+    """Per layer: rows, distinct keys and the fingerprint of its rows (the reprocess proof)."""
     parts = []
     for name, path in (("table", ws.events), ("fct", ws.fact)):
         df = VersionedTable(spark, path).read()
-        parts.append(df.agg(F.lit(name).alias("layer"), F.count(F.lit(1)).alias("n"),
-                            F.count_distinct(key).alias("n_keys")))
+        keys = df.agg(F.lit(name).alias("layer"), F.count(F.lit(1)).alias("n"), F.count_distinct(key).alias("n_keys"))
+        parts.append(keys.join(fingerprint(df).select("sum_a", "sum_b")))       # one row each
     return parts[0].unionByName(parts[1])
 
 
@@ -155,9 +157,9 @@ def backfill(spark: SparkSession, days: Sequence[str], paths_for_day: Callable[[
 
 
 def reconcile_runs(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Two runs of the same day: per layer, equal row and key counts?"""
-    b = before.select("layer", F.col("n").alias("n_before"), F.col("n_keys").alias("keys_before"))
-    a = after.select("layer", F.col("n").alias("n_after"), F.col("n_keys").alias("keys_after"))
-    j = b.join(a, "layer", "full_outer")
-    return j.withColumn("ok", F.coalesce((F.col("n_before") == F.col("n_after"))
-                                         & (F.col("keys_before") == F.col("keys_after")), F.lit(False)))
+    """Two runs of the same day: per layer, the same rows (by count, keys and fingerprint)?"""
+    facts = [c for c in before.columns if c != "layer"]
+    b = before.select("layer", *[F.col(c).alias(f"{c}_before") for c in facts])
+    a = after.select("layer", *[F.col(c).alias(f"{c}_after") for c in facts])
+    same = reduce(Column.__and__, [F.col(f"{c}_before") == F.col(f"{c}_after") for c in facts])
+    return b.join(a, "layer", "full_outer").withColumn("ok", F.coalesce(same, F.lit(False)))

@@ -145,10 +145,5 @@ def test_results(models: Mapping[str, DataFrame]) -> DataFrame:
 def snapshot_repos(spark: SparkSession, raw: DataFrame, wh: Warehouse, snapshot_ts) -> int:
     """SCD-2 history of repo identity (name, owner, short name), keyed on
     repo_id, compared on every run (check strategy)."""
-    hist_t = wh.table(spark, "dim_repos_snapshot")
-    history = hist_t.read() if hist_t.exists() else None
-    new = scd2.snapshot(history, M.stg_repos(raw), "repo_id",
-                        ["repo_name", "repo_owner", "repo_short_name"], snapshot_ts)
-    # the new history reads the old one: write it as a new version that
-    # replaces the whole table (older versions stay readable as of before)
-    return hist_t.overwrite(new)
+    hist_t = wh.table(spark, "dim_repos_snapshot", scd2.IS_OPEN)
+    return scd2.snapshot_table(hist_t, M.stg_repos(raw), "repo_id", ["repo_name", "repo_owner", "repo_short_name"], snapshot_ts)

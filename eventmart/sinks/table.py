@@ -383,6 +383,10 @@ class VersionedTable:
             return self.overwrite(df, **meta)
         return self._commit(df, "REPLACE", replaces_written=True, **meta)
 
+    def replace_among(self, df: DataFrame, values: Sequence[str], **meta) -> int:
+        """Overwrite the named partitions with df's rows of them, and add df's other rows to theirs."""
+        return self._commit(df, "REPLACE", replaced=values, **meta)
+
     # ---------------------------------------------------------------- key index
     def key_index(self, keys: Sequence[str]) -> KeyIndex:
         return KeyIndex(self.spark, f"{self.root}/keys", keys, self.schema(), self.partition_by)
