@@ -307,9 +307,11 @@ def _archive(spark, sf_dir, name):
     """The events as an archive of raw lines, one folder per day, blank lines mixed in."""
     ev = events(spark, sf_dir)
     archive = scratch_path(spark, name)
-    lines = ev.select(event_date("ts").alias("day"), F.concat(F.lit(" "), _line(ev), F.lit("\t")).alias("value")).unionByName(
-        ev.filter(F.col("event_id") % 4 == 0).select(event_date("ts").alias("day"), blanks_expr()))
-    lines.write.partitionBy("day").text(archive)
+    keyed = [event_date("ts").alias("day"), "event_id"]
+    lines = ev.select(*keyed, F.concat(F.lit(" "), _line(ev), F.lit("\t")).alias("value")).unionByName(
+        ev.filter(F.col("event_id") % 4 == 0).select(*keyed, blanks_expr()))
+    # one file a day, its lines by id
+    lines.repartition("day").sortWithinPartitions("day", "event_id").drop("event_id").write.partitionBy("day").text(archive)
     return list_subdirs(spark, archive)
 
 
@@ -326,16 +328,17 @@ def q_replay_lines(spark, sf_dir):
 
 
 @register("replay_limit", """
-with d as (select cast(ts as date) d, count(*) n, sum(count(*)) over (order by cast(ts as date)) upto from events group by 1),
-cut as (select count(*) // 2 k from events)
-select d as event_date, cast(least(n, k - (upto - n)) as bigint) lines from d, cut where k > upto - n""")
+with n as (select event_id, event_type, ts, row_number() over (order by cast(ts as date), event_id) n, count(*) over () // 2 k from events)
+select event_id, event_type, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') as ts from n where n <= k""")
 def q_replay_limit(spark, sf_dir):
-    """The first half of the archive's lines: whole days, then a part of the next."""
+    """The first half of the archive's lines, in the archive's order: whole days, then the head of the next."""
     dest = scratch_path(spark, "replay_limit_dest")
     half = events(spark, sf_dir).count() // 2
     replay(spark, _archive(spark, sf_dir, "replay_limit_archive"), dest, limit=half)
-    day = F.to_date(F.get_json_object("value", "$.ts").cast("timestamp"))
-    return spark.read.text(dest).groupBy(day.alias("event_date")).agg(F.count(F.lit(1)).alias("lines"))
+    line = F.col("value")
+    return spark.read.text(dest).select(
+        F.get_json_object(line, "$.event_id").cast("long").alias("event_id"),
+        F.get_json_object(line, "$.event_type").alias("event_type"), F.get_json_object(line, "$.ts").alias("ts"))
 
 
 def fixture_day_config() -> DayConfig:
@@ -429,3 +432,20 @@ def q_batch_ingest(spark, sf_dir):
                        fields, ts_col="ts", date_col="event_date")
         ingest_batch(spark, None, t, flat=flat, known_types=FIXTURE_KNOWN_TYPES)
     return t.read().select("event_id", "event_type", "event_date", "user_id")
+
+
+@register("batch_quarantine_rerun", """
+select 'table' as part, event_id from events where event_id % 10 <> 0
+union all select 'quarantine', event_id from events where event_id % 10 = 0""")
+def q_batch_quarantine_rerun(spark, sf_dir):
+    """A batch with undated rows (every tenth) comes twice: neither its dates nor its quarantine double."""
+    from eventmart.plans.batch import ingest_batch
+
+    ev = _dated(spark, sf_dir, "event_id", "event_type")
+    flat = ev.withColumn("event_date", F.when(F.col("event_id") % 10 != 0, F.col("event_date")))
+    root = scratch_path(spark, "quarantine_rerun")
+    t, q = VersionedTable(spark, f"{root}/table", partition_by="event_date"), VersionedTable(spark, f"{root}/quarantine")
+    for _ in range(2):
+        ingest_batch(spark, None, t, VersionedTable(spark, q.root), flat=flat, known_types=FIXTURE_KNOWN_TYPES, max_null_date_rate=0.5)
+    return t.read().select(F.lit("table").alias("part"), "event_id").unionByName(
+        VersionedTable(spark, q.root).read().select(F.lit("quarantine").alias("part"), "event_id"))

@@ -1,7 +1,8 @@
 """Replay an archive of raw lines as a stream source.
 
 Lines are sent unparsed (the consumer parses with the declared schema),
-stripped, blank lines dropped, optionally only the first ``limit`` lines. The
+stripped, blank lines dropped, optionally only the first ``limit`` lines (in the
+order of the files and of the lines in them). The
 offline stand-in for a message topic is a folder that a file stream reads. All
 source files are read and written by one parallel job; the files it wrote then
 appear in the landing folder segment by segment, with rising modification
@@ -15,10 +16,11 @@ import time
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventmart.sources.files import expand_paths
+from eventmart.sources.messages import stream_source
 
 # ASCII whitespace stripped from both ends of a line (space, \t, \n, \v, \f, \r).
 WHITESPACE = " \t\n\x0b\x0c\r"
@@ -35,37 +37,66 @@ def _same_form(path):
     return F.regexp_replace(path, "^([a-z0-9]+):/+", "$1:/")
 
 
-def archive_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """(seq, value): the clean lines of the archive; seq numbers the given
-    files or folders in their order. One scan of all files."""
-    sources = expand_paths(spark, paths)
+def archive_files(spark: SparkSession, paths: Sequence[str]) -> list[tuple[int, str]]:
+    """(seq, file) in delivery order: seq numbers the given files or folders, a folder's files go by name."""
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     files = []
-    for seq, source in enumerate(sources):
+    for seq, source in enumerate(expand_paths(spark, paths)):
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(source)
-        fs = path.getFileSystem(conf)
-        listed = [st.getPath() for st in fs.listStatus(path) if st.isFile()]
-        files += [(seq, p.toString()) for p in listed if not p.getName().startswith(("_", "."))]
+        listed = [st.getPath() for st in path.getFileSystem(conf).listStatus(path) if st.isFile()]
+        files += sorted((seq, p.toString()) for p in listed if not p.getName().startswith(("_", ".")))
+    return files
+
+
+def archive_lines(spark: SparkSession, files: Sequence[tuple[int, str]]) -> DataFrame:
+    """(seq, place, value): the clean lines of the files; place numbers the files. One scan of all files."""
     if not files:
-        return spark.createDataFrame([], "seq int, value string")
+        return spark.createDataFrame([], "seq int, place int, value string")
     text = spark.read.text([f for _, f in files]).select(
         "value", _same_form(F.url_decode("_metadata.file_path")).alias("_from"))
-    order = spark.createDataFrame(files, "seq int, path string").select("seq", _same_form(F.col("path")).alias("_from"))
+    order = spark.createDataFrame([(seq, place, f) for place, (seq, f) in enumerate(files)], "seq int, place int, path string")
+    order = order.select("seq", "place", _same_form(F.col("path")).alias("_from"))
     # a row per archive file; every line has one
-    return clean_lines(text.join(F.broadcast(order), "_from").select("seq", "value"))
+    return clean_lines(text.join(F.broadcast(order), "_from").select("seq", "place", "value"))
+
 
+def _first_lines(spark: SparkSession, files: list[tuple[int, str]], limit: int) -> DataFrame:
+    """The first ``limit`` lines in delivery order.
 
-def _first_lines(lines: DataFrame, limit: int) -> DataFrame:
-    """The lines of the first files, ``limit`` in all; only the last file taken is cut."""
+    Lines per file give the files that are sent whole and the one that is cut; of that
+    one, lines per split give the whole splits, and only the split where the limit
+    falls has its lines numbered.
+    """
+    counted = dict(archive_lines(spark, files).groupBy("place").count().collect())     # a row per file
     left, whole, cut = limit, [], None
-    for seq, n in lines.groupBy("seq").count().orderBy("seq").toLocalIterator():
+    for place, file in enumerate(files):
+        n = counted.get(place, 0)
         if n > left:
-            cut = seq
+            cut = file
             break
-        whole.append(seq)
+        whole.append(file)
         left -= n
-    taken = lines.filter(F.col("seq").isin(whole))
-    return taken if cut is None or not left else taken.unionByName(lines.filter(F.col("seq") == cut).limit(left))
+    taken = archive_lines(spark, whole)
+    return taken.unionByName(_head(spark, cut, left)) if cut and left else taken
+
+
+def _head(spark: SparkSession, file: tuple[int, str], n: int) -> DataFrame:
+    """The first n clean lines of one file."""
+    seq, path = file
+    # read alone, a file is cut into the same splits each time; ids rise with the position in a split
+    lines = clean_lines(spark.read.text(path).select("value", F.col("_metadata.file_block_start").alias("_split"),
+                                                     F.monotonically_increasing_id().alias("_at")))
+    before, split, left = [], None, n
+    for start, count in sorted(tuple(r) for r in lines.groupBy("_split").count().collect()):      # a row per split
+        if count > left:
+            split = start
+            break
+        before.append(start)
+        left -= count
+    part = Window.partitionBy("_split").orderBy("_at")
+    cut = lines.filter(F.col("_split") == F.lit(split)).withColumn("_n", F.row_number().over(part)).filter(F.col("_n") <= left)
+    head = lines.filter(F.col("_split").isin(before)).unionByName(cut.drop("_n"))
+    return head.select(F.lit(seq).alias("seq"), F.lit(-1).alias("place"), "value")
 
 
 def replay(spark: SparkSession, paths: Sequence[str], dest: str | None = None, limit: int = 0,
@@ -76,14 +107,13 @@ def replay(spark: SparkSession, paths: Sequence[str], dest: str | None = None, l
     Absent inputs are an error. Each file (or folder) is a segment; the
     consumer gets the segments in the given order. Files of one segment may arrive
     in any order among themselves: keep a segment's time span under the
-    consumer's watermark delay and no row is judged late. ``limit`` = 0 sends
-    everything; ``rate`` is the most lines per second on average (0: no bound);
+    consumer's watermark delay and no row is judged late. ``limit``: send only the
+    first so many lines of the archive, in its order (0: all of them); ``rate`` is the most lines per second on average (0: no bound);
     ``rows_per_file`` bounds the lines of a landing file. Returns the number of
     lines sent.
     """
-    lines = archive_lines(spark, paths)
-    if limit:
-        lines = _first_lines(lines, limit)
+    files = archive_files(spark, paths)
+    lines = (_first_lines(spark, files, limit) if limit else archive_lines(spark, files)).drop("place")
     if topic:
         # untested here: needs the connector; the broker's quota sets the rate
         (lines.select(F.lit(None).cast("binary").alias("key"), F.col("value").cast("binary").alias("value"))
@@ -137,3 +167,26 @@ def write_segments(df: DataFrame, dest: str, segment_col: str, rate: float = 0.0
             time.sleep(max(0.0, sent / rate - (time.time() - began)))
     fs.delete(new_path(aside), True)
     return sizes
+
+
+def capped_stream(spark: SparkSession, path: str, dest: str, max_rows: int) -> DataFrame:
+    """A file stream over ``path`` whose micro-batches never exceed ``max_rows`` lines, whatever its files.
+
+    The files that are there now are measured; where one holds more than the cap, all
+    are landed again in ``dest`` in files of at most that many lines, in the order of
+    their modification times. The stream then takes as many files a batch as the
+    largest of them allows. For drain-and-stop runs: files that arrive later were not measured.
+    """
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    listed = [(st.getModificationTime(), st.getPath().toString()) for st in root.getFileSystem(conf).listStatus(root)
+              if st.isFile() and not st.getPath().getName().startswith(("_", "."))]
+    files = [f for _, f in sorted(listed)]
+    if not files:
+        return stream_source(spark, "files", path=path)
+    largest = spark.read.text(files).groupBy("_metadata.file_path").count().agg(F.max("count")).first()[0] or 1
+    if largest <= max_rows:
+        return stream_source(spark, "files", path=path, max_rows=max_rows, rows_per_file=largest)
+    write_segments(archive_lines(spark, list(enumerate(files))).drop("place"), dest, "seq", rows_per_file=max_rows)
+    landed = spark.read.text(dest).groupBy("_metadata.file_path").count().agg(F.max("count")).first()[0] or 1
+    return stream_source(spark, "files", path=dest, max_rows=max_rows, rows_per_file=landed)

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from eventmart.sinks.table import path_exists, session_conf
+
 
 def project_by_name(df: DataFrame, contract: StructType) -> DataFrame:
     """Select the contract's columns from ``df`` matched case-insensitively.
@@ -41,13 +43,42 @@ def load_by_name(spark: SparkSession, path: str, contract: StructType,
     return project_by_name(df, contract)
 
 
-def full_refresh(df: DataFrame, dest: str, fmt: str = "parquet") -> int:
+def full_refresh(df: DataFrame, dest: str, fmt: str = "parquet", partition_by: str | None = None) -> int:
     """Truncate-then-load: the destination holds exactly ``df`` afterwards.
 
-    Returns the loaded row count, read back from the destination.
+    The rows are written aside and counted first, then the folders are swapped by
+    renames, so a load that fails leaves the rows that were there; one that died
+    between the renames is put back by the next call. ``df`` may read ``dest``.
+    Returns the loaded row count, read back from the files.
     """
-    df.write.mode("overwrite").format(fmt).save(dest)
-    return df.sparkSession.read.format(fmt).load(dest).count()
+    spark, dest = df.sparkSession, dest.rstrip("/")
+    new_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    now, aside, old = new_path(dest), new_path(f"{dest}__loading"), new_path(f"{dest}__before")
+    fs = now.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(old):
+        if not fs.exists(now):
+            fs.rename(old, now)
+        fs.delete(old, True)
+    w = df.write.mode("overwrite").format(fmt)
+    (w.partitionBy(partition_by) if partition_by else w).save(aside.toString())
+    rows = spark.read.schema(df.schema).format(fmt).load(aside.toString()).count()
+    if fs.exists(now) and not fs.rename(now, old):
+        raise OSError(f"could not move {dest} aside")
+    if not fs.rename(aside, now):
+        raise OSError(f"could not move the new rows to {dest}")
+    fs.delete(old, True)
+    return rows
+
+
+def refresh_partitions(df: DataFrame, dest: str, partition_by: str) -> int:
+    """Replace in ``dest`` exactly the partitions that ``df`` has rows in (dynamic partition
+    overwrite), loading it whole where there is no destination yet. Returns the rows loaded."""
+    spark = df.sparkSession
+    if not path_exists(spark, dest):
+        return full_refresh(df, dest, partition_by=partition_by)
+    with session_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+        df.write.mode("overwrite").partitionBy(partition_by).parquet(dest)
+    return df.count()
 
 
 def contract_diff(df: DataFrame, contract: StructType) -> list[str]:

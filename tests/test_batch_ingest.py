@@ -50,3 +50,19 @@ def test_empty_input_fails(spark, scratch):
 
 def test_day_range():
     assert day_range("2024-01-30", "2024-02-01") == ["2024-01-30", "2024-01-31", "2024-02-01"]
+
+
+def test_a_rerun_does_not_double_the_quarantine(spark, scratch):
+    rows = [raw_event(i, "WatchEvent") for i in range(4)]
+    rows[0]["created_at"] = rows[1]["created_at"] = None
+    glob = archive(scratch, rows)
+    t, q = VersionedTable(spark, scratch("e"), partition_by="event_date"), scratch("q")
+    for _ in range(3):
+        ingest_batch(spark, glob, t, VersionedTable(spark, q), max_null_date_rate=0.9)
+    assert (t.read().count(), VersionedTable(spark, q).read().count()) == (2, 2)
+    other = archive(scratch, rows)                                   # another input adds its own
+    ingest_batch(spark, other, t, VersionedTable(spark, q), max_null_date_rate=0.9)
+    assert VersionedTable(spark, q).read().count() == 4
+    write_gz(f"{glob.rsplit('/', 1)[0]}/2024-01-15-0.json.gz", [json.dumps(r) for r in rows[1:]])   # the first input, mended
+    ingest_batch(spark, glob, t, VersionedTable(spark, q), max_null_date_rate=0.9)
+    assert VersionedTable(spark, q).read().count() == 3
