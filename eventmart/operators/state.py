@@ -10,7 +10,7 @@ count of the keys of a finer state, which has a row per (group, value).
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -66,5 +66,20 @@ class MergedState:
         delete_path(spark, path)
         return True
 
+    def follow(self, source: VersionedTable, rows: Callable[[DataFrame], DataFrame] = lambda df: df) -> bool:
+        """Merge what ``source`` got since this state last followed it; rebuild where rows were taken away.
+
+        The state's commits say up to which version of the source they go, so a
+        crash between the source and its states loses and doubles nothing.
+        """
+        tag = {"query_id": source.root, "batch_id": source.version()}
+        seen = max([c["batch_id"] for c in self.table.commits() if c["query_id"] == source.root], default=None)
+        if seen == source.version():
+            return False
+        if self.table.exists() and (seen is None or not source.only_added_since(seen)):
+            self.rebuild(rows(source.read()), **tag)
+            return True
+        return self.update(rows(source.read() if seen is None else source.read_after(seen)), **tag)
+
     def read(self) -> DataFrame:
         return self.table.read()

@@ -4,12 +4,15 @@ Stages, each stopping the chain on failure:
   1. ingest  -- replay the day's raw files into the landing directory;
   2. stream  -- landing -> parse -> flatten -> watermark dedup -> idempotent
                merge into the event table (availableNow, checkpointed);
-  3. export  -- visible rows of the table to a single-version export, then a
-               truncate-and-load by column name into the raw layer;
-  4. models  -- raw -> staging -> fact (incremental merge), data tests gate.
+  3. export  -- visible rows of the dates that the day's rows have, to a
+               single-version export, then loaded by column name into the raw
+               layer; other dates of both stay as they are;
+  4. models  -- raw -> staging -> fact (incremental merge), data tests gate;
+               the intermediate states follow the event table's commits.
 
 Rerunning a day (fresh checkpoint, same tables) converges: the stream merge
-inserts only unseen keys and the fact merges on its key.
+inserts only unseen keys and the fact merges on its key. Rows that were there
+already count as the day's, so a rerun also mends an export or load that died.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,8 +31,9 @@ from eventmart.operators.fingerprint import fingerprint
 from eventmart.plans.materialize import materialize_incremental
 from eventmart.sinks.export import export_snapshot
 from eventmart.sinks.replay import replay
-from eventmart.sinks.table import VersionedTable
-from eventmart.sources.load import full_refresh, load_by_name
+from eventmart.session import run_together
+from eventmart.sinks.table import VersionedTable, path_exists
+from eventmart.sources.load import LOAD_PART, load_partitions, refresh_partitions
 from eventmart.sources.messages import stream_source
 from eventmart.streaming.ingest import RunMetrics, build_stream, merge_sink, run_available_now
 
@@ -81,22 +85,28 @@ class Workspace:
         return f"{self.root}/checkpoints/{run_id}"
 
 
+def land_day(spark: SparkSession, raw_paths: Sequence[str], ws: Workspace, run_id: str) -> int:
+    """Replay the day's raw files into its own landing folder; the number of lines."""
+    return replay(spark, raw_paths, f"{ws.landing}/{run_id}")    # an absent hour stops the day here
+
+
 def run_day(spark: SparkSession, raw_paths: Sequence[str], ws: Workspace, cfg: DayConfig,
-            run_id: str) -> DayResult:
-    landing = f"{ws.landing}/{run_id}"
-    sent = replay(spark, raw_paths, landing)    # an absent hour stops the day here
+            run_id: str, sent: int | None = None) -> DayResult:
+    """``sent``: the day has landed already (``land_day``), with so many lines."""
+    sent = land_day(spark, raw_paths, ws, run_id) if sent is None else sent
 
     events = VersionedTable(spark, ws.events, partition_by=cfg.partition_col)
     quarantine = VersionedTable(spark, ws.quarantine, partition_by=None)
-    raw = stream_source(spark, "files", path=landing, cap=cfg.files_per_trigger)
+    raw = stream_source(spark, "files", path=f"{ws.landing}/{run_id}", cap=cfg.files_per_trigger)
     stream = build_stream(raw, cfg.line_schema, cfg.keys, cfg.ts_col, cfg.transform, cfg.watermark,
                           corrupt_col=cfg.corrupt_col)
     sink = merge_sink(events, cfg.keys, quarantine, corrupt_col=cfg.corrupt_col)
     metrics = run_available_now(spark, stream, sink,
                                 ws.checkpoint(run_id), table=events, watermark=cfg.watermark)
 
-    exported = export_snapshot(events, ws.export)
-    loaded = full_refresh(load_by_name(spark, ws.export, cfg.contract), ws.raw)
+    touched = sorted(sink.touched, key=lambda v: (v is None, v)) if path_exists(spark, ws.raw) else None
+    exported = export_snapshot(events, ws.export, only=touched)
+    loaded = refresh_partitions(load_partitions(spark, ws.export, cfg.contract, cfg.partition_col, touched), ws.raw, LOAD_PART)
 
     raw_df = spark.read.parquet(ws.raw)
     if cfg.models is not None:
@@ -122,7 +132,7 @@ def event_day_config(files_per_trigger: int = 4) -> DayConfig:
         line_schema=event_schema(), keys=["event_id"], ts_col="created_at",
         partition_col="event_date", transform=lambda df: flatten(df, keep=[CORRUPT_COLUMN]),
         contract=events_contract(), corrupt_col=CORRUPT_COLUMN,
-        models=lambda spark, raw, ws: build_models(spark, raw, Warehouse(f"{ws.root}/warehouse")),
+        models=lambda spark, raw, ws: build_models(spark, raw, Warehouse(f"{ws.root}/warehouse"), source=VersionedTable(spark, ws.events)),
         files_per_trigger=files_per_trigger)
 
 
@@ -142,18 +152,21 @@ def day_range(start: str, end: str) -> list[str]:
 
 
 def backfill(spark: SparkSession, days: Sequence[str], paths_for_day: Callable[[str], list[str]],
-             ws: Workspace, cfg: DayConfig, one_pass: bool = False) -> list[DayResult]:
-    """Run days in date order, one at a time; a failing day stops the backfill.
-
-    ``one_pass``: all days go through one replay job, one stream run (its
-    files still in date order), one export and one model build, so the cluster
-    is not left to a day's worth of files at a time. Gives the same tables.
+             ws: Workspace, cfg: DayConfig, one_pass: bool = False, at_once: int = 4) -> list[DayResult]:
+    """Run days in date order; a failing day stops the backfill.
+
+    The days' replays are independent of each other and run together, up to
+    ``at_once``, each in a scheduler pool of its own; what merges into shared tables
+    (stream, export, models) then runs one day at a time. ``one_pass``: all days go
+    through one replay job, one stream run (its files still in date order), one export
+    and one model build. Both give the same tables.
     """
     ordered = sorted(days)
     if one_pass:
         paths = [p for d in ordered for p in paths_for_day(d)]
         return [run_day(spark, paths, ws, cfg, run_id=f"days-{ordered[0]}-{ordered[-1]}")]
-    return [run_day(spark, paths_for_day(d), ws, cfg, run_id=f"day-{d}") for d in ordered]
+    sent = run_together(spark, [partial(land_day, spark, paths_for_day(d), ws, f"day-{d}") for d in ordered], at_once)
+    return [run_day(spark, paths_for_day(d), ws, cfg, f"day-{d}", n) for d, n in zip(ordered, sent, strict=True)]
 
 
 def reconcile_runs(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -79,16 +79,29 @@ class ModelStates:
         self.actors = state("actor_latest", ["actor_id"], M.latest_measures(["actor_login", "actor_display_login"]))
         self.repos = state("repo_latest", ["repo_id"], M.latest_measures(["repo_name"]))
 
-    def load(self, raw: DataFrame, delta: DataFrame | None, marts: Collection[str], **tag) -> None:
-        """Merge the delta, or rebuild from raw, what the marts need."""
-        rows = raw if delta is None else delta
-        stg = M.stg_events(rows)
+    def load(self, raw: DataFrame, delta: DataFrame | None, marts: Collection[str], source: VersionedTable | None = None, **tag) -> None:
+        """What the marts need: follow the source, merge the delta, or rebuild from raw."""
+        def staged(key):
+            return lambda rows: drop_null_keys(M.stg_events(rows), [key]) if key else M.stg_events(rows)
+
+        def keyed(key):
+            return lambda rows: drop_null_keys(rows, [key])
+
         needed = []
         if "dim_actors" in marts:
-            needed += [(self.seen, drop_null_keys(stg, ["actor_id"])), (self.actors, drop_null_keys(rows, ["actor_id"]))]
+            needed += [(self.seen, staged("actor_id")), (self.actors, keyed("actor_id"))]
         if "dim_repos" in marts:
-            needed += [(self.activity, stg), (self.repos, drop_null_keys(rows, ["repo_id"]))]
-        run_together(self.spark, [partial(state.rebuild if delta is None else state.update, of, **tag) for state, of in needed])
+            needed += [(self.activity, staged(None)), (self.repos, keyed("repo_id"))]
+
+        def load_one(state: MergedState, of) -> None:
+            if source is not None:
+                state.follow(VersionedTable(self.spark, source.root), of)
+            elif delta is not None:
+                state.update(of(delta), **tag)
+            else:
+                state.rebuild(of(raw), **tag)
+
+        run_together(self.spark, [partial(load_one, state, of) for state, of in needed])
 
     def models(self) -> dict[str, DataFrame]:
         return {"stg_actors": M.actors_of_latest(self.actors.read()), "stg_repos": M.repos_of_latest(self.repos.read()),
@@ -99,17 +112,18 @@ MARTS = ("fct_events", "dim_actors", "dim_repos")
 
 
 def build_models(spark: SparkSession, raw: DataFrame, wh: Warehouse, run_tests: bool = True, delta: DataFrame | None = None,
-                 marts: Collection[str] = MARTS, **tag) -> dict:
+                 marts: Collection[str] = MARTS, source: VersionedTable | None = None, **tag) -> dict:
     """Staging -> intermediate -> marts (incremental), then tests; returns the
     mart versions written and the warnings.
 
     ``delta``: exactly the rows of ``raw`` that the build before did not have, with an
     optional tag (``query_id``, ``batch_id``) that makes merging them idempotent.
+    ``source``: the table that ``raw`` is a load of; the states follow its commits.
     ``marts``: build only these, and what they read.
     """
     stg = materialize_view(M.stg_events(raw), "stg_events")
     states = ModelStates(spark, wh)
-    states.load(raw, delta, marts, **tag)
+    states.load(raw, delta, marts, source, **tag)
     views: dict[str, DataFrame] = {}
     if set(marts) >= {"dim_actors", "dim_repos"}:
         views = {name: materialize_view(df, name) for name, df in states.models().items()}

@@ -230,6 +230,11 @@ class VersionedTable:
         rows that were added since, when the commits only inserted."""
         return self._rows([c for c in self.commits() if version is None or c["version"] > version])
 
+    def only_added_since(self, version: int | None) -> bool:
+        """Whether the commits after ``version`` took no row away."""
+        return not any(c["replaces_all"] or c["replaced_parts"] or c["replaces_null"] for c in self.commits()
+                       if version is None or c["version"] > version)
+
     def _rows(self, commits: list[dict]) -> DataFrame:
         """Visible rows of some commits."""
         every = self.commits()

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
+from eventmart.operators.merge import partition_text
 from eventmart.sinks.table import path_exists, session_conf
 
 
@@ -43,6 +46,23 @@ def load_by_name(spark: SparkSession, path: str, contract: StructType,
     return project_by_name(df, contract)
 
 
+#: partition column of a raw layer that is loaded by partitions
+LOAD_PART = "load_part"
+
+
+def load_partitions(spark: SparkSession, path: str, contract: StructType, partition_by: str,
+                    values: Iterable[str | None] | None = None) -> DataFrame:
+    """The contract's columns and ``load_part`` of a partitioned export; of its named partitions only, where given."""
+    with session_conf(spark, {"spark.sql.sources.partitionColumnTypeInference.enabled": "false"}):     # values as in paths
+        df = spark.read.option("pathGlobFilter", "*.parquet").option("mergeSchema", "true").parquet(path)
+    text = partition_text(partition_by)
+    if values is not None:
+        values = list(values)
+        named = F.coalesce(text.isin([v for v in values if v is not None]), F.lit(False))
+        df = df.filter(named | text.isNull() if None in values else named)
+    return project_by_name(df.withColumn(LOAD_PART, text), StructType([*contract.fields, StructField(LOAD_PART, StringType())]))
+
+
 def full_refresh(df: DataFrame, dest: str, fmt: str = "parquet", partition_by: str | None = None) -> int:
     """Truncate-then-load: the destination holds exactly ``df`` afterwards.
 
@@ -59,7 +79,7 @@ def full_refresh(df: DataFrame, dest: str, fmt: str = "parquet", partition_by: s
         if not fs.exists(now):
             fs.rename(old, now)
         fs.delete(old, True)
-    w = df.write.mode("overwrite").format(fmt)
+    w = (df.hint("rebalance", partition_by) if partition_by else df).write.mode("overwrite").format(fmt)
     (w.partitionBy(partition_by) if partition_by else w).save(aside.toString())
     rows = spark.read.schema(df.schema).format(fmt).load(aside.toString()).count()
     if fs.exists(now) and not fs.rename(now, old):
@@ -77,7 +97,7 @@ def refresh_partitions(df: DataFrame, dest: str, partition_by: str) -> int:
     if not path_exists(spark, dest):
         return full_refresh(df, dest, partition_by=partition_by)
     with session_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
-        df.write.mode("overwrite").partitionBy(partition_by).parquet(dest)
+        df.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(dest)
     return df.count()
 
 
