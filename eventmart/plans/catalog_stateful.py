@@ -449,3 +449,49 @@ def q_batch_quarantine_rerun(spark, sf_dir):
         ingest_batch(spark, None, t, VersionedTable(spark, q.root), flat=flat, known_types=FIXTURE_KNOWN_TYPES, max_null_date_rate=0.5)
     return t.read().select(F.lit("table").alias("part"), "event_id").unionByName(
         VersionedTable(spark, q.root).read().select(F.lit("quarantine").alias("part"), "event_id"))
+
+
+@register("hour_files", """
+select event_id, event_type, user_id from events
+where cast(ts as date) = (select min(cast(ts as date)) from events) and hour(ts) between 6 and 11""")
+def q_hour_files(spark, sf_dir):
+    """The events as an archive of one folder per day and hour; six hours of the first day are read back."""
+    from eventmart.sources.files import hour_paths, read_events
+
+    ev = events(spark, sf_dir)
+    archive = scratch_path(spark, "hour_archive")
+    day = ev.agg(F.min(event_date("ts"))).first()[0].isoformat()
+    slot = F.concat(event_date("ts").cast("string"), F.lit("-"), F.hour("ts"))       # the hour not zero-padded
+    ev.select(slot.alias("slot"), _line(ev).alias("value")).repartition("slot").write.partitionBy("slot").text(archive)
+    # a path of the archive is <base>/<day>-<hour>
+    paths = [f"{p.rsplit('/', 1)[0]}/slot={p.rsplit('/', 1)[1]}" for p in hour_paths(archive, day, "6-11", suffix="")]
+    return read_events(spark, paths, StructType.fromDDL(STREAM_LINE_SCHEMA)).select("event_id", "event_type", "user_id")
+
+
+@register("contract_checked_load", """
+select event_id, user_id, event_type, cast(null as varchar) note, 0 as problems_loaded, 3 as problems_source from events""")
+def q_contract_checked_load(spark, sf_dir):
+    """Source files against the contract, before and after the load by name: the source lacks a
+    column, has one of another type and one too many; what was loaded meets the contract."""
+    from eventmart.sources.load import check_contract, contract_diff
+
+    src = scratch_path(spark, "contract_src")
+    events(spark, sf_dir).select("event_id", F.col("user_id").cast("int").alias("user_id"), "event_type", "value").write.parquet(src)
+    contract = StructType.fromDDL(LOAD_CONTRACT)
+    loaded = check_contract(load_by_name(spark, src, contract), contract)
+    return loaded.withColumn("problems_loaded", F.lit(len(contract_diff(loaded, contract)))).withColumn(
+        "problems_source", F.lit(len(contract_diff(spark.read.parquet(src), contract))))
+
+
+@register("metrics_text", """
+select event_type, format('{:,}', count(*)) as n_text, format('{:,}', sum(event_id)::bigint) as ids_text,
+       printf('%.4f%%', 100.0 * count(*) filter (where event_id % 7 = 0) / count(*)) as rate_text
+from events group by event_type""")
+def q_metrics_text(spark, sf_dir):
+    """Counts with thousands separators and guarded ratios as percent text, per event type."""
+    from eventmart.functions.columns import guarded_ratio, pct, thousands
+
+    per_type = events(spark, sf_dir).groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"), F.count_if(F.col("event_id") % 7 == 0).alias("sevenths"))
+    rated = per_type.withColumn("rate", guarded_ratio("sevenths", "n"))
+    return rated.select("event_type", thousands("n").alias("n_text"), thousands("ids").alias("ids_text"), pct("rate").alias("rate_text"))
