@@ -9,33 +9,39 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventmart.llm import apportion, grace_dedup, lang_rank, length_buckets, simhash_pivots
-from eventmart.llm.common import WORD, attach, free_name, stage
-
-#: documents less like any language than this are rejected with those without a letter
-LEAST_SCORE = 0.1
+from eventmart.llm import apportion, grace_dedup, lang_rank, length_buckets, simhash_pivots, token_histogram
+from eventmart.llm.common import SPACE, WORD, attach, drop_stage, free_name, stage
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the profiles of this corpus know.
 
-    Rejected are documents without a letter and those whose n-grams are out of
-    place by over 1 - LEAST_SCORE of the largest distance, in every language.
+    Rejected are documents without a letter (and null texts), and all if no row has a
+    language to learn from. Repeated rows and null ids are judged each; other columns,
+    whatever their names, stay as they are.
     """
     profiles = lang_rank.learn(docs.filter(lang_rank.fold(F.col("doc_id"), 5) != 0))
     pred, score = free_name(docs, "lang_pred"), free_name(docs, "lang_score")
     found = lang_rank.identify(docs, profiles, pred_col=pred, score_col=score)
-    return found.filter((F.col(pred) != "und") & (F.col(score) >= LEAST_SCORE)).drop(pred, score)
+    return found.filter(F.col(pred) != "und").drop(pred, score)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
+    """One document of each group of equal texts: the row that ``exact_duplicates`` keeps.
+
+    Null counts as the empty text; of rows equal in id and text one stays; a null id
+    is an id like others; other columns stay as they are.
+    """
     kept = grace_dedup.exact_duplicates(docs).filter("kept").select("doc_id", "row_key")
     return attach(docs, kept)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of near-equal fingerprints."""
+    """One document, that of the smallest id (null last), of each group of near-equal fingerprints.
+
+    Texts without a word share fingerprint zero and are a group; of rows equal in id
+    and text one stays; other columns stay as they are.
+    """
     groups = simhash_pivots.near_duplicates(docs, shingle=3, bits=3)
     # ids can be null or repeated: a component is named by its root, and its one row is the first by (id, row)
     first = groups.groupBy("root").agg(
@@ -44,7 +50,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it: whole copies, then one of the leading words that remain."""
+    """Each document as often as the mix takes it: whole copies, then one cut after the leading words that remain.
+
+    A cut copy keeps the white space between its words. Texts without a word are never
+    taken; rows equal in id and text count as one document as large as all of them;
+    n_chars, where there is one, is that of the copy.
+    """
     mixed = apportion.mix(docs).groupBy("doc_id", "row_key").agg(F.sum("taken").alias("taken"), F.max("size").alias("size"))
     rows = attach(docs, mixed.filter("taken > 0"), "taken", "size")
     taken, size = (F.col([c for c in rows.columns if c.endswith(f"decided_{x}")][-1]) for x in ("taken", "size"))
@@ -52,7 +63,8 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     copy = free_name(rows, "copy")
     copies = F.explode(F.sequence(F.lit(1).cast("long"), whole + F.when(rest > 0, 1).otherwise(0)))
     rows = rows.withColumn(copy, copies)
-    lead = F.concat_ws(" ", F.slice(F.regexp_extract_all("text", F.lit(f"({WORD})"), 1), F.lit(1), rest.cast("int")))
+    # each word with the white space before it, the first ones joined as they stand
+    lead = F.concat_ws("", F.slice(F.regexp_extract_all("text", F.lit(f"({SPACE}*{WORD})"), 1), F.lit(1), rest.cast("int")))
     text = F.when(F.col(copy) <= whole, F.col("text")).otherwise(lead)
     rows = rows.withColumn("text", text)
     if "n_chars" in docs.columns:
@@ -61,8 +73,9 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_words, bucket, bucket_len, batch, slot, padding) of every row."""
-    return length_buckets.pack(docs)
+    """(doc_id, n_tokens, bucket, bucket_len, batch, slot, padding) of every row; null and empty texts have length 0."""
+    lengths = token_histogram.token_lengths(docs.select("doc_id", "text"))
+    return length_buckets.pack(lengths, length_col="n_tokens").withColumnRenamed("n_words", "n_tokens")
 
 
 STAGES = [("language", language), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("source_mix", source_mix),
@@ -73,8 +86,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each one's result staged as the next one's input."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over documents, each one's result staged as the next one's input and deleted after that one."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, function in STAGES[:-1]:
-        docs, _ = stage(function(spark, docs, sf_dir), f"pipeline-{name}")
+        docs, path = stage(function(spark, docs, sf_dir), f"pipeline-{name}")
+        if before:
+            drop_stage(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -5,36 +5,31 @@ over it chooses the bucket boundaries that need the least padding. Documents of
 a bucket are dealt, in an order seeded by their digest, to batches that hold as
 many padded documents as the token budget allows.
 
-The histogram is the only thing that reaches the driver: lengths up to
-``FINE`` each, longer ones rounded up by at most 1/1024, which bounds it to
-about 110,000 rows whatever the corpus. Positions within a bucket come from
+The histogram is the only thing that reaches the driver: a pair of numbers per
+distinct length, so it is bounded by the longest document, not by their number.
+Positions within a bucket come from
 slices of the digest (counts per slice, then positions in the slice), so no
 task holds a whole bucket.
 
 Defined cases: null and empty texts have length 0 and are packed too; a
 document longer than the budget forms a batch of its own; repeated rows and
-null doc_ids are packed each; an empty table gives an empty result; other
-columns are ignored.
+null doc_ids are packed each, their order within equal ones is open; an empty
+table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from array import array
+
+from pyspark.sql import DataFrame, Window, functions as F
 
 from eventmart.llm.common import stage, word_count
 
 BUCKETS = 16
 BUDGET = 65_536
-FINE = 65_536
 SLICE_DIGITS = 3
 
 
-def padded_length(n: Column) -> Column:
-    """The length that the histogram counts: n, or n rounded up to 10 leading bits above FINE."""
-    step = F.pow(F.lit(2.0), F.floor(F.log2(F.greatest(n, F.lit(1)))) - 10)
-    return F.when(n <= FINE, n).otherwise((F.ceil(n / step) * step).cast("long"))
-
-
 def best_boundaries(histogram: list[tuple[int, int]], buckets: int) -> list[int]:
     """Upper boundaries of at most ``buckets`` buckets with the least total padding.
 
@@ -52,11 +47,11 @@ def best_boundaries(histogram: list[tuple[int, int]], buckets: int) -> list[int]
         n.append(n[-1] + count)
         s.append(s[-1] + length * count)
     cost: list[float] = [0.0] + [float("inf")] * d
-    cuts: list[list[int]] = []
+    cuts: list[array] = []
     for _ in range(min(buckets, d)):
         lines: list[tuple[int, float, int]] = []  # slope, intercept, position
         head = 0
-        layer, cut = [float("inf")] * (d + 1), [0] * (d + 1)
+        layer, cut = [float("inf")] * (d + 1), array("q", bytes(8 * (d + 1)))
         for j in range(1, d + 1):
             i = j - 1
             if cost[i] < float("inf"):
@@ -95,14 +90,16 @@ def pack(docs: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET, seed: st
     documents, so at most budget words with padding.
     """
     length = word_count(F.col(text_col)) if length_col is None else F.coalesce(F.col(length_col).cast("long"), F.lit(0))
-    name = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("-"), F.coalesce(F.col(text_col), F.lit("")))))
+    # the text as well: copies of one id, or rows without one, must not share a place
+    name = F.concat_ws(":", F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("-")), F.md5(F.coalesce(F.col(text_col), F.lit(""))))
     rows = docs.select(F.col(id_col).alias("doc_id"), length.alias("n_words"), F.md5(name).alias("place"))
-    rows, _ = stage(rows.withColumn("len", padded_length(F.col("n_words"))), "pack-rows")
-    histogram = sorted((r["len"], r["count"]) for r in rows.groupBy("len").count().collect())
+    rows, _ = stage(rows, "pack-rows")
+    counted = rows.groupBy("n_words").count().toArrow()
+    histogram = sorted(zip(counted["n_words"].to_pylist(), counted["count"].to_pylist(), strict=True))
     ends = best_boundaries(histogram, buckets)
     bucket, boundary = F.lit(0), F.lit(0).cast("long")
     for i, end in reversed(list(enumerate(ends))):
-        fits = F.col("len") <= end
+        fits = F.col("n_words") <= end
         bucket, boundary = F.when(fits, F.lit(i)).otherwise(bucket), F.when(fits, F.lit(end).cast("long")).otherwise(boundary)
     rows = rows.withColumns({"bucket": bucket, "bucket_len": boundary, "slice": F.substring("place", 1, slice_digits)})
     counts = rows.groupBy("bucket", "slice").agg(F.count("*").alias("n"))

@@ -47,8 +47,9 @@ def op4_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents packed to 16 length buckets and batches of 65,536 padded words."""
-    return length_buckets.pack(_table(spark, sf_dir, "documents"))
+    """All documents packed to 16 length buckets and batches of 65,536 padded tokens."""
+    lengths = token_histogram.token_lengths(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return length_buckets.pack(lengths, length_col="n_tokens").withColumnRenamed("n_words", "n_tokens")
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,6 +25,26 @@ def test_boundaries_need_the_least_padding(counts, buckets):
     assert padding(histogram, ends) == least
 
 
+def test_long_documents_get_optimal_boundaries_too(spark):
+    """Lengths far above the budget are not rounded."""
+    lengths = [70_001] * 5 + [70_010] + [70_030] * 5 + [200_003, 1_000_007]
+    docs = spark.createDataFrame([(i, "", n) for i, n in enumerate(lengths)], "doc_id long, text string, n long")
+    for buckets in (2, 3, 4):
+        got = lb.pack(docs, buckets=buckets, length_col="n").collect()
+        histogram = sorted({n: lengths.count(n) for n in lengths}.items())
+        least = min(padding(histogram, [*pick, 1_000_007]) for k in range(buckets)
+                    for pick in combinations([n for n, _ in histogram[:-1]], k))
+        assert sum(r["padding"] for r in got) == least and {r["bucket_len"] for r in got} <= set(lengths)
+    short = docs.filter("n < 100000")
+    assert sorted({r["bucket_len"] for r in lb.pack(short, buckets=2, length_col="n").collect()}) == [70_001, 70_030]
+
+
+def test_rows_of_one_id_are_dealt_to_different_slices(spark):
+    rows = [(7, f"text {i}") for i in range(200)] + [(None, f"other {i}") for i in range(200)]
+    got = lb.pack(documents(spark, rows), buckets=1, budget=20).collect()
+    assert len(got) == 400 and len({(r["batch"], r["slot"]) for r in got}) == 400
+
+
 def test_batches_hold_the_budget(spark):
     rows = awkward()
     got = lb.pack(documents(spark, rows), buckets=4, budget=500).collect()
@@ -58,13 +78,6 @@ def test_total_padding_is_optimal(spark):
     assert sum(r["padding"] for r in got) == least
 
 
-def test_long_lengths_are_rounded_up_a_little(spark):
-    values = [0, 1, 65_535, 65_536, 65_537, 70_001, 1_000_003, 123_456_789_012]
-    got = spark.createDataFrame([(v,) for v in values], "n long").select("n", lb.padded_length(F.col("n")).alias("p")).collect()
-    for n, p in got:
-        assert p == n if n <= lb.FINE else n <= p <= n * (1 + 1 / 1024)
-
-
 def test_own_length_column_and_empty_table(spark):
     docs = documents(spark, [(1, "a b c"), (2, None), (3, "d")]).withColumn("tokens", F.lit(9))
     assert {r["n_words"] for r in lb.pack(docs, length_col="tokens").collect()} == {9}

@@ -33,6 +33,20 @@ def test_language_rejects_texts_without_letters_only(spark, docs):
     assert sorted(map(repr, got)) == sorted(map(repr, want))
 
 
+def test_language_keeps_short_clean_texts(spark):
+    """However little a text has in common with the profiles, a letter is enough."""
+    learnt = [(i, "the quick brown fox jumps over the lazy dog again and again", "en") for i in range(40)]
+    short = [(1000 + i, t) for i, t in enumerate(["À", "Zoë", "Fluffy puppy", "ß", "𝒳", "Ça", "日本", "1 2 x"])]
+    got = STAGE["language"](spark, documents(spark, [*learnt, *short, (2000, "12 !"), (2001, None)]), "").collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(i for i, *_ in [*learnt, *short])
+
+
+def test_a_cut_copy_keeps_its_line_breaks(spark):
+    rows = [(i, "one\n two\tthree  four\n\nfive six", "en", "a") for i in range(1)] + [(9, "x " * 500, "en", "b")]
+    got = [r["text"] for r in STAGE["source_mix"](spark, documents(spark, rows), "").collect() if r["doc_id"] == 0]
+    assert got and all(rows[0][1].startswith(t) for t in got)
+
+
 def test_exact_keeps_the_stated_row(spark, docs):
     got = STAGE["exact_dedup"](spark, docs, "").collect()
     rows = awkward(6)
@@ -76,6 +90,6 @@ def test_mix_repeats_and_cuts_texts(spark, docs):
 def test_run(spark):
     sf = "/root/testdata/sf0.001"
     got = cp.run(spark, sf)
-    assert got.columns == ["doc_id", "n_words", "bucket", "bucket_len", "batch", "slot", "padding"]
+    assert got.columns == ["doc_id", "n_tokens", "bucket", "bucket_len", "batch", "slot", "padding"]
     rows = got.collect()
     assert 0 < len({r["doc_id"] for r in rows}) < spark.read.parquet(f"{sf}/documents.parquet").count()
