@@ -23,7 +23,7 @@ def plain_bits(value):
                     price.append(first + sc.REPEAT_BITS * (n - 1))
                 if all(sc._neighbours(a, b) for a, b in zip(part, part[1:])):
                     price.append(first + sc.WALK_BITS * (n - 1))
-                if n >= 3 and (w := sc._word_bits(part)) is not None:
+                if n >= 3 and (w := sc.FIXED.word_bits(part)) is not None:
                     price.append(sc.SEGMENT_BITS + w)
                 for k, rule in enumerate(sc.DATES):
                     m = rule.match(rest)
@@ -52,6 +52,42 @@ def test_weak_and_strong_values():
     assert sc.guess_bits("qwertyuiop1999") < sc.MIN_BITS
 
 
+def test_prose_is_not_a_secret():
+    for text in ("the password is incorrectly", "your token is unfortunately", "auth is deliberately", "the secret is understanding",
+                 "The Secret is Well-Being", "password is NEVER-ENDING", "the token is l’incompréhensibilité"):
+        assert sc.find_spans(text)[0] == [], text
+    assert [k for _, k, _ in sc.find_spans("the passphrase is correct-Horse9battery")[0]] == [3]
+    assert [k for _, k, _ in sc.find_spans("the pwd is zKqJvxWpMnRtBd")[0]] == [3]         # capitals inside a word
+
+
+def test_a_dictionary_of_the_corpus_lowers_prices(spark):
+    from collections import Counter
+
+    rows = [(i, f"Ordinarily {w} x") for i, w in enumerate(["interchange", "interchange", "backwards", "ordinarily", "été"])] + [(9, None)]
+    prices = sc.learn_dictionary(documents(spark, rows), size=2)
+    seen = Counter(w for _, t in rows for w in set((t or "").lower().split()) if 3 <= len(w) <= 24)
+    top = [w for w, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0].encode()))][:2]
+    assert {w: b for w, b in prices.items() if w not in sc.FIXED.bits} == sc.ranked(top)
+    value = "interchangeordinarily"
+    assert sc.guess_bits(value, sc.Dictionary(prices)) < 10 < sc.MIN_BITS < sc.guess_bits(value)
+    got = {r["doc_id"]: r["n_cost"] for r in sc.scan(documents(spark, [*rows, (20, f"pwd: {value}")])).collect()}
+    assert got[20] == 0      # learned from the very documents
+    assert {r["n_cost"] for r in sc.scan(documents(spark, [(20, f"pwd: {value}")]), prices={}).collect()} == {1}
+
+
+def test_long_texts_take_linear_time():
+    import time
+
+    for part in ('password="aB3$xYz9QwEr" pwd: Vq8$zR1!mT7w ', "pwd: " + "a" * 50 + " ", "token=deadbeefdeadbeef0 auth is x9!kLm2 "):
+        text = part * (3_000_000 // len(part))
+        start = time.monotonic()
+        sc.find_spans(text)
+        assert time.monotonic() - start < 10
+    start = time.monotonic()
+    sc.find_spans("pwd: " + "Vq8$zR1!mT7w" * 80_000)        # one value
+    assert time.monotonic() - start < 10
+
+
 def plain_base(text):
     """Base spans by the stated patterns, failing matches dropped afterwards."""
     text, out = text or "", []
