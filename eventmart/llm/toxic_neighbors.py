@@ -2,80 +2,88 @@
 
 1. ``sample_examples``: at most ``EXAMPLES`` labelled rows per class (smallest
    digest of the id first); this is the only bounded sample, and its bound is a parameter.
-2. ``weigh_terms``: every word and every word beginning of the examples is a term,
-   each also as a dense term, which a text has if one word in ``DENSE`` or more
-   is of it: a stem that clean texts hold now and then by chance tells by its density.
-   How far a term's presence depends on the label (G-squared and log odds ratio)
-   only weights it, by 1 or more; no word is left out.
+2. ``learn_terms``: every word of the examples is a term. So is every beginning of
+   words whose presence depends on the label beyond chance (G-squared of ``SIGNIFICANT``
+   or more), so that inflected forms of one stem meet; a word counts for that beginning
+   of it that tells most. A beginning counts once more, as dense, in a text where one word in
+   ``DENSE`` or more has it: clean texts hold a stem now and then by chance.
 3. ``vectors``: the counts of these terms in every whole text, staged; their
-   document frequencies over all documents give the IDF. A word counts as itself and
-   as that known beginning of it that tells most, so that a stem counts once.
-4. ``BlockMaxIndex``: an inverted index of the examples over all terms. The postings
-   of all but the ``COMMON`` most frequent terms are added up in full; what the frequent
-   ones can add is bounded by the largest weights in each block of ``BLOCK`` examples and by
-   the lengths of the vectors. Examples whose bound reaches the k-th best cosine
-   are scored in full. The neighbours are exact, all ties at the k-th place included.
+   document frequencies over all documents give the IDF. ``label_factor``: a term that
+   depends on the label beyond chance weighs more, by its log odds ratio; all others
+   keep their plain weight, none is left out.
+4. ``BlockMaxIndex``: an inverted index of the examples, similar ones in one block,
+   with the largest weight of every term in every block. A text's terms bound what any
+   example of a block can reach; blocks are visited from the highest bound down, and
+   those whose bound is below the k-th best cosine so far are never looked into.
+   The neighbours are exact, all ties at the k-th place included.
 5. Votes are weighted by distance and by how many labelled rows an example
-   stands for (ties at the k-th place share what is left of the k votes), and shrunk towards the rate of rows without evidence, which makes the
-   score a probability estimate; the nearest examples come with it as evidence.
+   stands for (ties at the k-th place share what is left of the k votes). The votes
+   that each example gets from the others, against its label, calibrate the score:
+   a rising function fitted to them makes it a probability estimate. The
+   nearest examples come with it as evidence.
 
-Defined cases: null and empty texts, and texts without a selected term, get the
+Defined cases: null and empty texts, and texts without a term, get the
 rate of labelled rows without evidence (0 when nothing was learned); null labels
 are not learned from, a doc_id labelled twice counts as toxic if either label
-is; repeated rows are scored each; an empty table gives an empty result; other
-columns are ignored.
+is; of several texts under one labelled id the one of the smallest digest is the
+example; repeated rows are scored each; an empty table gives an empty result;
+other columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
-import re
-from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from eventmart.llm.common import stage
 
 EXAMPLES = 10_000
-#: letters of a word beginning
-BEGINNINGS = (3, 4, 5, 6, 7, 8)
 NEIGHBORS = 15
-BLOCK = 256
-#: terms whose weights in the examples are held as a table instead of postings
-COMMON = 256
+#: examples of a block; blocks that are looked into at first, and each time twice as many more
+BLOCK = 64
+FIRST_BLOCKS = 8
+#: G-squared from which a term's dependence on the label is no chance, and what a unit of log odds adds to its weight
+SIGNIFICANT = 16.0
+ODDS_WEIGHT = 1.0
+#: letters of a word beginning, and the words of a text among which one of a stem makes it dense
+BEGINNINGS = (3, 4, 5, 6, 7, 8)
 DENSE = 128
 #: weight of a neighbour at no distance is 1 / NEAREST
 NEAREST = 0.1
 #: weight of the rate without evidence among the votes
 SHRINK = 2.0
-
-_WORDS = re.compile(r"[^\W\d_]+")
-_CACHE_WORDS = 200_000
-
-
-def word_terms(word: str) -> set[str]:
-    """The word itself (marked =) and its beginnings that have more letters after them."""
-    return {f"={word}", *(word[:n] for n in BEGINNINGS if len(word) > n)}
-
-
-def _words(text: str | None) -> Counter:
-    return Counter(_WORDS.findall((text or "").lower()))
-
-
-def text_terms(words: Counter) -> Counter:
-    """The terms of a text with their counts; the dense form of a term ends in @."""
-    found: Counter = Counter()
-    for word, n in words.items():
-        for term in word_terms(word):
-            found[term] += n
-    total = words.total()
-    found.update({f"{t}@": n for t, n in found.items() if n * DENSE >= total})
-    return found
+#: cosines are rounded to this many digits; bounds allow for what rounding hides
+DIGITS = 9
+SLACK = 1e-8
+#: bytes of text split into words at once (a longer text is split alone)
+CHUNK_BYTES = 4 << 20
+_KEPT_SCORES = 200_000
+
+
+def _chunks(batch: pa.RecordBatch) -> Iterator[pa.Table]:
+    table = pa.Table.from_batches([batch])
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(table["text"]), 0).to_numpy())
+    start = 0
+    while start < len(sizes):
+        before = sizes[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(sizes, before + CHUNK_BYTES, "right")))
+        yield table.slice(start, end - start)
+        start = end
+
+
+def words(texts: pa.ChunkedArray) -> tuple[pa.Array, pa.Array]:
+    """(place of the text, word) of all words: lower-cased runs of letters."""
+    text = pc.fill_null(texts, "").combine_chunks().cast(pa.string())
+    lists = pc.split_pattern_regex(pc.utf8_lower(text), pattern=r"\PL+")
+    place, word = pc.list_parent_indices(lists), pc.list_flatten(lists)
+    some = pc.not_equal(word, "")
+    return place.filter(some), word.filter(some)
 
 
 def sample_examples(labels: DataFrame, limit: int = EXAMPLES, id_col: str = "doc_id",
@@ -88,117 +96,97 @@ def sample_examples(labels: DataFrame, limit: int = EXAMPLES, id_col: str = "doc
     return stage(pick[0].unionByName(pick[1]), "toxic-examples")[0], [sizes.get(0, 0), sizes.get(1, 0)]
 
 
-def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(term, toxic, n): in how many texts of the batch the term occurs, by label."""
-    for batch in batches:
-        seen: list[Counter] = [Counter(), Counter()]
-        for text, toxic in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist(), strict=True):
-            seen[toxic].update(text_terms(_words(text)).keys())
-        for toxic, counts in enumerate(seen):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(counts.keys(), pa.string()), pa.array([toxic] * len(counts), pa.int32()), pa.array(counts.values(), pa.int64())],
-                ["term", "toxic", "n"])
-
+def _beginning(word: pa.Array, letters: int) -> pa.Array:
+    """The first letters of each word, null for one that has no more than these."""
+    return pc.if_else(pc.greater(pc.utf8_length(word), letters), pc.utf8_slice_codeunits(word, 0, letters), pa.scalar(None, pa.string()))
 
-class Vocabulary(dict):
-    """All terms of the examples: their G-squared against the label, and the factor by which the label weights them.
 
-    As a dict it gives the row of ``table`` that a word has: its term numbers or -1, plain as itself
-    and as its beginning that tells most (of equal ones the longest), then the same dense.
-    """
-
-    def __init__(self, terms: pa.Array, g2: np.ndarray, factor: np.ndarray):
-        self.terms, self.g2, self.factor = terms, g2, factor
-        self.dense = np.array(pc.ends_with(terms, "@"), bool)
-        self.number: dict[str, int] = {}
-        self.table = np.empty((1024, 4), np.int64)
-
-    def __reduce__(self):
-        return Vocabulary, (self.terms, self.g2, self.factor)
-
-    def open(self) -> None:
-        """Before a number of texts is looked up; the value of a broadcast outlives the task."""
-        if not self.number:
-            self.number = {t: i for at in range(0, len(self.terms), 65536) for i, t in enumerate(self.terms[at:at + 65536].to_pylist(), at)}
-        if len(self) >= _CACHE_WORDS:
-            self.clear()
-
-    def __missing__(self, word: str) -> int:
-        row = self[word] = len(self)
-        if row == len(self.table):
-            self.table = np.concatenate([self.table, np.empty_like(self.table)])
-        out = []
-        for dense in ("", "@"):
-            out.append(self.number.get(f"={word}{dense}", -1))
-            starts = [(n, self.number.get(f"{word[:n]}{dense}")) for n in BEGINNINGS if len(word) > n]
-            out.append(max([(self.g2[t], n, t) for n, t in starts if t is not None], default=(0, 0, -1))[2])
-        self.table[row] = out
-        return row
-
-    def count(self, texts: list[str | None]) -> tuple[pa.ListArray, pa.ListArray]:
+def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(letters, term, toxic, n): in how many texts of a chunk a word (letters 0) or a beginning occurs, by label."""
+    for batch in batches:
+        for rows in _chunks(batch):
+            place, word = words(rows["text"])
+            coded = word.dictionary_encode()
+            for letters in (0, *BEGINNINGS):
+                form = (_beginning(coded.dictionary, letters) if letters else coded.dictionary).dictionary_encode()
+                seen = pa.table({"place": place, "term": form.indices.take(coded.indices)}).drop_null()
+                seen = seen.group_by(["place", "term"], use_threads=False).aggregate([])
+                counts = pa.table({"term": seen["term"], "toxic": rows["toxic"].take(seen["place"])})
+                counts = counts.group_by(["term", "toxic"], use_threads=False).aggregate([([], "count_all")])
+                if len(counts):
+                    terms = form.dictionary.take(counts["term"].combine_chunks())
+                    yield from pa.table({"letters": pa.array([letters] * len(counts), pa.int32()), "term": terms,
+                                         "toxic": counts["toxic"].cast(pa.int32()), "n": counts["count_all"]}).to_batches()
+
+
+class Vocabulary:
+    """The words of the examples, the most frequent first; then the telling beginnings, those that tell
+    most first; then these as dense."""
+
+    def __init__(self, terms: pa.Array, stems: pa.Array):
+        self.terms, self.stems = terms, stems
+
+    def __len__(self) -> int:
+        return len(self.terms) + 2 * len(self.stems)
+
+    def count(self, texts: pa.ChunkedArray) -> tuple[pa.ListArray, pa.ListArray]:
         """The term numbers of each text in order, and their counts."""
-        self.open()
-        rows, ns, sizes, totals = [], [], [], []
-        for text in texts:
-            words = _words(text)
-            rows.extend([self[w] for w in words])
-            ns.extend(words.values())
-            sizes.append(len(words))
-            totals.append(words.total())
-        term = self.table[np.array(rows, np.int64)].ravel()
-        n = np.repeat(np.array(ns, np.int64), 4)[term >= 0]
-        key = (np.repeat(np.arange(len(texts)), np.array(sizes, int) * 4) * len(self.terms) + term)[term >= 0]
+        place, word = words(texts)
+        coded, place = word.dictionary_encode(), place.to_numpy().astype(np.int64)
+        which = coded.indices.to_numpy()
+        number = pc.fill_null(pc.index_in(coded.dictionary, value_set=self.terms), -1).to_numpy()[which]
+        stem = np.full(len(coded.dictionary), len(self.stems), np.int64)
+        for letters in BEGINNINGS:
+            found = pc.index_in(_beginning(coded.dictionary, letters), value_set=self.stems, skip_nulls=True)
+            stem = np.minimum(stem, pc.fill_null(found, len(self.stems)).to_numpy())
+        stem = stem[which]
+        has = stem < len(self.stems)
+        size = max(1, len(self))
+        key = np.concatenate([(place * size + number)[number >= 0], (place * size + len(self.terms) + stem)[has]])
+        key, n = np.unique(key, return_counts=True)
+        text, term = np.divmod(key, size)
+        dense = (term >= len(self.terms)) & (n * DENSE >= np.bincount(place, minlength=len(texts))[text])
+        key, n = np.r_[key, key[dense] + len(self.stems)], np.r_[n, n[dense]]
         order = np.argsort(key, kind="stable")
-        key = key[order]
-        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.empty(0, int)
-        n = np.add.reduceat(n[order], first) if len(key) else n
-        text, term = np.divmod(key[first], max(1, len(self.terms)))
-        kept = ~self.dense[term] | (n * DENSE >= np.array(totals, np.int64)[text])
-        cut = pa.array(np.searchsorted(text[kept], np.arange(len(texts) + 1)), pa.int32())
-        return tuple(pa.ListArray.from_arrays(cut, pa.array(x[kept], pa.int32())) for x in (term, n))
+        text, term = np.divmod(key[order], size)
+        cut = pa.array(np.searchsorted(text, np.arange(len(texts) + 1)), pa.int32())
+        return tuple(pa.ListArray.from_arrays(cut, pa.array(x, pa.int32())) for x in (term, n[order]))
+
 
+def _g_squared(a, b, n1, n0, log, one_or_more):
+    """How far presence in a toxic and b clean of n1 and n0 texts depends on the label, over columns or arrays."""
+    total, row = n1 + n0, a + b
+    cells = ((a, row, n1), (b, row, n0), (n1 - a, total - row, n1), (n0 - b, total - row, n0))
+    return sum(seen * log(one_or_more(seen) * total / one_or_more(rows * column)) for seen, rows, column in cells) * 2
 
-def _can_tell_most(terms: pa.Array, g2: np.ndarray) -> np.ndarray:
-    """Whole words, and the beginnings that no shorter one of theirs outdoes: the others never stand for a word.
 
-    terms: the most frequent first, of equally frequent ones in order, so a beginning comes before the longer ones.
-    """
-    best: dict[str, float] = {}
-    kept = np.ones(len(terms), bool)
-    for at in range(0, len(terms), 65536):
-        for i, term in enumerate(terms[at:at + 65536].to_pylist(), at):
-            if term[0] != "=":
-                dense = "@" if term[-1] == "@" else ""
-                letters = term.removesuffix("@")
-                if any(best.get(f"{letters[:n]}{dense}", -1.0) > g2[i] for n in BEGINNINGS if n < len(letters)):
-                    kept[i] = False
-                else:
-                    best[term] = g2[i]
-    return kept
-
-
-def weigh_terms(examples: DataFrame) -> Vocabulary:
-    """Every term of the examples, the most frequent first; examples has text and toxic."""
-    counts = (examples.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(_term_rows, "term string, toxic int, n long")
-              .groupBy("term").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("a"),
-                                   F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("b")))
+def learn_terms(examples: DataFrame) -> Vocabulary:
+    """Every word of the examples and their telling beginnings; examples has text and toxic."""
+    counts = (examples.select("text", F.col("toxic").cast("int").alias("toxic"))
+              .mapInArrow(_term_rows, "letters int, term string, toxic int, n long").groupBy("letters", "term")
+              .agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("a"),
+                   F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("b")))
+    counts, _ = stage(counts, "toxic-terms")
     n = {r["toxic"]: r["count"] for r in examples.groupBy("toxic").count().collect()}
-    n1, n0 = float(n.get(1, 0)), float(n.get(0, 0))
+    n1, n0 = (F.lit(float(n.get(k, 0))) for k in (1, 0))
     # the words of at most 2 x limit texts
-    table = counts.toArrow()
-    table = table.take(pc.sort_indices(table.append_column("n", pc.add(table["a"], table["b"])), [("n", "descending"), ("term", "ascending")]))
-    a, b = (table[c].to_numpy().astype(float) for c in ("a", "b"))
-    total, row = n1 + n0, a + b
+    terms = counts.filter("letters = 0").select("term", (F.col("a") + F.col("b")).alias("n")).toArrow()
+    terms = terms.take(pc.sort_indices(terms, [("n", "descending"), ("term", "ascending")]))["term"]
+    g2 = F.round(_g_squared(F.col("a").cast("double"), F.col("b").cast("double"), n1, n0, F.log, lambda x: F.greatest(x, F.lit(1.0))), 6)
+    stems = counts.filter("letters > 0").withColumn("g2", g2).filter(F.col("g2") >= SIGNIFICANT).select("term", "letters", "g2").toArrow()
+    stems = stems.take(pc.sort_indices(stems, [("g2", "descending"), ("letters", "descending"), ("term", "ascending")]))["term"]
+    return Vocabulary(*(pa.concat_arrays(t.cast(pa.string()).chunks) if len(t) else pa.array([], pa.string()) for t in (terms, stems)))
+
 
-    def cell(seen: np.ndarray, rows: np.ndarray, column: float) -> np.ndarray:
-        return seen * np.log(np.maximum(seen, 1) * total / np.maximum(rows * column, 1))
+def label_factor(terms: list[np.ndarray], toxic: np.ndarray, size: int) -> np.ndarray:
+    """The factor by which the label weights each of size terms: 1 where it may be chance."""
+    a, b = (np.bincount(np.concatenate([np.empty(0, int), *[t for t, y in zip(terms, toxic, strict=True) if y == k]]), minlength=size).astype(float)
+            for k in (1, 0))
+    n1, n0 = float((toxic == 1).sum()), float((toxic == 0).sum())
 
-    g2 = 2 * (cell(a, row, n1) + cell(b, row, n0) + cell(n1 - a, total - row, n1) + cell(n0 - b, total - row, n0))
+    g2 = _g_squared(a, b, n1, n0, np.log, lambda x: np.maximum(x, 1)) if n1 + n0 else np.zeros(size)
     odds = np.log((a + 0.5) * (n0 - b + 0.5) / ((b + 0.5) * (n1 - a + 0.5)))
-    g2 = np.round(np.maximum(g2, 0), 6)
-    terms = pa.concat_arrays(table["term"].cast(pa.string()).chunks) if len(table) else pa.array([], pa.string())
-    kept = _can_tell_most(terms, g2)
-    return Vocabulary(terms.filter(pa.array(kept)), g2[kept], (1 + g2 * odds * odds)[kept])
+    return np.where(np.round(g2, 6) >= SIGNIFICANT, 1 + ODDS_WEIGHT * np.abs(odds), 1.0)
 
 
 def vectors(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -206,12 +194,9 @@ def vectors(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", tex
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = shared.value
         for batch in batches:
-            for at in range(0, len(batch), 512):
-                part = batch.slice(at, 512)
-                yield pa.RecordBatch.from_arrays(
-                    [part["doc_id"], *vocabulary.count(part["text"].to_pylist())], ["doc_id", "terms", "counts"])
+            for rows in _chunks(batch):
+                yield pa.RecordBatch.from_arrays([rows["doc_id"].combine_chunks(), *shared.value.count(rows["text"])], ["doc_id", "terms", "counts"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(count, "doc_id long, terms array<int>, counts array<int>")
@@ -243,35 +228,37 @@ def idf(vecs: DataFrame, terms: int) -> np.ndarray:
 def unit(terms: np.ndarray, counts: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """TF-IDF weights of a text's terms, scaled to length 1."""
     w = (1 + np.log(np.asarray(counts, float))) * weights[np.asarray(terms, int)]
-    return w / math.sqrt(float(w @ w)) if len(w) else w
+    return w / math.sqrt(float(w @ w)) if len(w) and w.any() else w
+
+
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """starts[0], starts[0] + 1, ... of each (start, size), one behind the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
 
 
 class BlockMaxIndex:
-    """Exact nearest examples by cosine; similar examples share a block, which keeps bounds tight."""
+    """Exact nearest examples by cosine. Postings lie by term, then example; an entry is a term in a block."""
 
-    def __init__(self, examples: Iterable[tuple[int, np.ndarray, np.ndarray]], weights: np.ndarray, block: int = BLOCK, common: int = COMMON):
+    def __init__(self, examples: Iterable[tuple[int, np.ndarray, np.ndarray]], weights: np.ndarray, block: int = BLOCK):
         self.weights, self.block = weights, block
+        # examples that share their most frequent words are neighbours: blocks of one language and subject
         ordered = sorted(examples, key=lambda e: (list(e[1][:32]), list(e[2][:32]), e[0]))
         self.ids = np.array([e[0] for e in ordered], np.int64)
-        n, sizes = len(ordered), [len(e[1]) for e in ordered]
+        self.blocks = -(-len(ordered) // block)
         terms = np.concatenate([np.empty(0, np.int32), *[np.asarray(e[1], np.int32) for e in ordered]])
         values = np.concatenate([np.empty(0), *[unit(t, c, weights) for _, t, c in ordered]])
-        at = np.repeat(np.arange(n, dtype=np.int32), sizes)
-        frequency = np.bincount(terms, minlength=len(weights))
-        often = np.argsort(-frequency, kind="stable")[:common]
-        often = often[frequency[often] > 0]
-        self.column = np.full(len(weights), -1, np.int32)
-        self.column[often] = np.arange(len(often))
-        col = self.column[terms]
-        self.table = np.zeros((n, len(often)))
-        self.table[at[col >= 0], col[col >= 0]] = values[col >= 0]
-        self.length = np.sqrt((self.table ** 2).sum(1))
-        starts = np.arange(0, n, block)
-        self.bounds = np.maximum.reduceat(self.table, starts) if n else self.table
-        rare = np.flatnonzero(col < 0)
-        rare = rare[np.argsort(terms[rare], kind="stable")]
-        self.at, self.value = at[rare], values[rare]
-        self.cut = np.searchsorted(terms[rare], np.arange(len(weights) + 1))
+        at = np.repeat(np.arange(len(ordered), dtype=np.int32), [len(e[1]) for e in ordered])
+        order = np.argsort(terms, kind="stable")        # examples rise within a term
+        terms, self.at, self.value = terms[order], at[order], values[order]
+        where = terms.astype(np.int64) * max(1, self.blocks) + self.at // block
+        self.entry = np.flatnonzero(np.r_[True, where[1:] != where[:-1]]) if len(where) else np.empty(0, np.int64)
+        self.size = np.diff(np.r_[self.entry, len(where)])
+        self.most = np.maximum.reduceat(self.value, self.entry) if len(self.entry) else self.value
+        self.in_block = (where[self.entry] % max(1, self.blocks)).astype(np.int32)
+        self.cut = np.searchsorted(terms[self.entry], np.arange(len(weights) + 1))
+        #: blocks that searches so far looked into, and could have
+        self.visited = self.possible = 0
 
     def nearest(self, terms: np.ndarray, counts: np.ndarray, k: int = NEIGHBORS) -> tuple[np.ndarray, np.ndarray]:
         """Positions and cosines of the k nearest examples and all that tie with the last, best first."""
@@ -279,37 +266,48 @@ class BlockMaxIndex:
         if not n or not len(terms):
             return np.empty(0, int), np.empty(0)
         terms, query = np.asarray(terms, int), unit(terms, counts, self.weights)
-        col = self.column[terms]
-        often = np.zeros(self.table.shape[1])
-        often[col[col >= 0]] = query[col >= 0]
-        rare, weight = terms[col < 0], query[col < 0]
-        size = self.cut[rare + 1] - self.cut[rare]
-        ends = np.cumsum(size)
-        place = np.arange(size.sum()) + np.repeat(self.cut[rare] - ends + size, size)
-        score = np.bincount(self.at[place], self.value[place] * np.repeat(weight, size), n)
-        # what the frequent terms can add: by block, and by length (Cauchy-Schwarz); 1e-8 is above what cosines are rounded by
-        most = np.minimum(np.repeat(self.bounds @ often, self.block)[:n], self.length * math.sqrt(float(often @ often)))
-        bound = score + most + 1e-8
-        least = 0.0
-        if n > k:
-            first = np.argpartition(bound, n - k)[n - k:]
-            least = float((score[first] + self.table[first] @ often).min())
-        place = np.flatnonzero(bound >= least)
-        # row by row, so that equal examples get equal cosines whatever else is scored
-        cosine = score[place] + np.einsum("ij,j->i", self.table[place], often)
-        place, cosine = place[cosine > 0], np.round(cosine[cosine > 0], 9)
+        sizes = self.cut[terms + 1] - self.cut[terms]
+        entries, weight = _spread(self.cut[terms], sizes), np.repeat(query, sizes)
+        block = self.in_block[entries]
+        bound = np.bincount(block, self.most[entries] * weight, self.blocks) + SLACK
+        order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] > SLACK]
+        self.possible += len(order)
+        rank = np.full(self.blocks, self.blocks)
+        rank[order] = np.arange(len(order))
+        # entries in the order in which their blocks are visited
+        by_rank = np.argsort(rank[block], kind="stable")
+        entries, weight = entries[by_rank], weight[by_rank]
+        ends = np.searchsorted(rank[block][by_rank], np.arange(len(order)), "right")
+        score = np.zeros(n)
+        done, step, least = 0, FIRST_BLOCKS, 0.0
+        while done < len(order) and bound[order[done]] >= least:
+            upto = min(len(order), done + step)
+            # blocks in between whose bound is below the k-th best are not looked into either
+            upto = done + max(1, int(np.searchsorted(-bound[order[done:upto]], -least, "right")))
+            part = slice(ends[done - 1] if done else 0, ends[upto - 1])
+            size = self.size[entries[part]]
+            place = _spread(self.entry[entries[part]], size)
+            score += np.bincount(self.at[place], self.value[place] * np.repeat(weight[part], size), n)
+            done, step = upto, step * 2
+            if n > k:
+                least = max(0.0, float(np.partition(score, n - k)[n - k]) - SLACK)
+        self.visited += done
+        cosine = np.round(score, DIGITS)
+        place = np.flatnonzero(cosine > 0)
         if len(place) > k:
-            least = np.partition(cosine, len(cosine) - k)[len(cosine) - k]
-            place, cosine = place[cosine >= least], cosine[cosine >= least]
-        order = np.lexsort((self.ids[place], -cosine))
-        return place[order], cosine[order]
+            place = place[cosine[place] >= np.partition(cosine[place], len(place) - k)[len(place) - k]]
+        best = np.lexsort((self.ids[place], -cosine[place]))
+        return place[best], cosine[place[best]]
 
 
 class Learned:
     """What a task needs to rate texts; the index is built once in a worker."""
 
-    def __init__(self, ids: np.ndarray, toxic: np.ndarray, vecs: pa.Table, weights: np.ndarray):
+    def __init__(self, ids: np.ndarray, toxic: np.ndarray, vecs: pa.Table, weights: np.ndarray, stands: tuple[float, float], rate: float,
+                 neighbors: int):
         self.ids, self.label, self.vecs, self.weights = ids, dict(zip(ids.tolist(), toxic.tolist(), strict=True)), vecs, weights
+        self.stands, self.rate, self.neighbors = stands, rate, neighbors
         self._index: BlockMaxIndex | None = None
 
     @property
@@ -320,6 +318,49 @@ class Learned:
             self.vecs = None
         return self._index
 
+    def vote(self, terms: np.ndarray, counts: np.ndarray, leave_out: int | None = None) -> tuple[float, str]:
+        """The share of toxic votes among the nearest examples, and the first of them as id:label:cosine."""
+        k = self.neighbors
+        place, cosine = self.index.nearest(terms, counts, k + (leave_out is not None))
+        ids = self.index.ids[place]
+        if leave_out is not None:
+            ids, cosine = ids[ids != leave_out], cosine[ids != leave_out]
+        ids = ids.tolist()
+        label = np.array([self.label[i] for i in ids], float)
+        vote = np.where(label == 1, self.stands[1], self.stands[0]) / (NEAREST + 1 - np.minimum(cosine, 1))
+        if len(ids) > k:  # the last ones tie for what is left of the votes
+            last = cosine == cosine[-1]
+            vote[last] *= (k - (~last).sum()) / last.sum()
+        share = float((vote @ label + SHRINK * self.rate) / (vote.sum() + SHRINK))
+        return share, ",".join(f"{i}:{self.label[i]}:{c:.4f}" for i, c in zip(ids[:5], cosine[:5].tolist(), strict=True))
+
+
+class Calibration:
+    """From vote shares to the share of toxic rows among those with such votes.
+
+    Rows are pooled until the shares rise with the votes (isotonic regression), one
+    row of no votes and one of all votes standing for what was never seen; in between
+    two pools the share is interpolated.
+    """
+
+    def __init__(self, votes: np.ndarray, toxic: np.ndarray, weight: np.ndarray):
+        votes, toxic, weight = np.r_[votes, 0.0, 1.0], np.r_[toxic, 0.0, 1.0], np.r_[weight, 1.0, 1.0]
+        order = np.argsort(votes, kind="stable")
+        pools: list[list[float]] = []      # sums of weighted votes, of toxic weight, of weight
+        last = None
+        for v, t, w in zip(votes[order].tolist(), toxic[order].tolist(), weight[order].tolist(), strict=True):
+            pools.append([v * w, t * w, w])
+            while len(pools) > 1 and (last == v or pools[-2][1] * pools[-1][2] >= pools[-1][1] * pools[-2][2]):
+                pool = pools.pop()
+                pools[-1] = [x + y for x, y in zip(pools[-1], pool, strict=True)]
+                last = None
+            last = v
+        self.votes = np.array([v / w for v, _, w in pools])
+        self.shares = np.array([t / w for _, t, w in pools])
+
+    def __call__(self, votes: np.ndarray) -> np.ndarray:
+        return np.interp(votes, self.votes, self.shares)
+
 
 def score(docs: DataFrame, labels: DataFrame, limit: int = EXAMPLES, neighbors: int = NEIGHBORS, threshold: float = 0.7,
           id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
@@ -328,44 +369,49 @@ def score(docs: DataFrame, labels: DataFrame, limit: int = EXAMPLES, neighbors:
     examples, (n0, n1) = sample_examples(labels, limit, id_col, label_col)
     # the examples are at most 2 x limit rows of two numbers
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    vocabulary = weigh_terms(rows.join(F.broadcast(examples), "doc_id"))
+    vocabulary = learn_terms(rows.join(F.broadcast(examples), "doc_id"))
     vecs, _ = stage(vectors(docs, vocabulary, id_col, text_col), "toxic-vectors")
-    weights = idf(vecs, len(vocabulary.terms)) * vocabulary.factor
-    found = vecs.join(F.broadcast(examples), "doc_id").dropDuplicates(["doc_id"]).toArrow()
+    one = Window.partitionBy("doc_id").orderBy(F.xxhash64("terms", "counts"), F.size("terms"))
+    texts = vecs.join(F.broadcast(examples), "doc_id").withColumn("n", F.row_number().over(one)).filter("n = 1").drop("n")
+    texts, _ = stage(texts, "toxic-texts")       # at most 2 x limit rows
+    found = texts.toArrow()
+    weights = idf(vecs, len(vocabulary)) * label_factor(
+        [x for chunk in found["terms"].chunks for x in _lists(chunk)], found["toxic"].to_numpy(), len(vocabulary))
     toxic, blank = found["toxic"].to_numpy(), pc.list_value_length(found["terms"]).to_numpy() == 0
     drawn = [max(1, int((toxic == k).sum())) for k in (0, 1)]
     stands = (n0 / drawn[0], n1 / drawn[1])  # labelled rows that an example of the class stands for
     rate = n1 / (n0 + n1) if n0 + n1 else 0.0
     wordless = [stands[k] * float((blank & (toxic == k)).sum()) for k in (0, 1)]
     rate_blank = (wordless[1] + SHRINK * rate) / (sum(wordless) + SHRINK)
-    shared = spark.sparkContext.broadcast(Learned(found["doc_id"].to_numpy(), toxic, found.select(["terms", "counts"]), weights))
+    shared = spark.sparkContext.broadcast(
+        Learned(found["doc_id"].to_numpy(), toxic, found.select(["terms", "counts"]), weights, stands, rate, neighbors))
+
+    def votes_of_examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = zip(batch["doc_id"].to_pylist(), _lists(batch["terms"]), _lists(batch["counts"]), strict=True)
+            votes = [shared.value.vote(t, n, leave_out=i)[0] if len(t) else None for i, t, n in lists]
+            yield pa.RecordBatch.from_arrays([pa.array(votes, pa.float64()), batch["toxic"].cast(pa.int32())], ["vote", "toxic"])
+
+    # spread over the cluster by id: each example searches the index once
+    judged = texts.repartition("doc_id").mapInArrow(votes_of_examples, "vote double, toxic int").filter("vote is not null").toArrow()
+    label = judged["toxic"].to_numpy().astype(float) if len(judged) else np.empty(0)
+    calibrate = Calibration(judged["vote"].to_numpy() if len(judged) else label, label, np.where(label == 1, stands[1], stands[0]))
 
     def rate_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        learned = shared.value
-        index, label_of = learned.index, learned.label
         made: dict[bytes, tuple[float, str]] = {}
         for batch in batches:
             out = []
             for t, n in zip(_lists(batch["terms"]), _lists(batch["counts"]), strict=True):
-                key = hashlib.blake2b(t.tobytes() + n.tobytes(), digest_size=16).digest()
-                if not len(t):
-                    out.append((rate_blank, ""))
-                    continue
+                key = hashlib.blake2b(t.tobytes() + b"/" + n.tobytes(), digest_size=16).digest()
                 if key not in made:
-                    if len(made) >= _CACHE_WORDS:
+                    if len(made) >= _KEPT_SCORES:
                         made.clear()
-                    place, cosine = index.nearest(t, n, neighbors)
-                    ids = index.ids[place].tolist()
-                    label = np.array([label_of[i] for i in ids], float)
-                    vote = np.where(label == 1, stands[1], stands[0]) / (NEAREST + 1 - cosine)
-                    if len(ids) > neighbors:  # the last ones tie for what is left of the votes
-                        last = cosine == cosine[-1]
-                        vote[last] *= (neighbors - (~last).sum()) / last.sum()
-                    made[key] = (float((vote @ label + SHRINK * rate) / (vote.sum() + SHRINK)), ",".join(
-                        f"{i}:{label_of[i]}:{c:.4f}" for i, c in zip(ids[:5], cosine[:5].tolist(), strict=True)))
+                    made[key] = shared.value.vote(t, n) if len(t) else (math.nan, "")
                 out.append(made[key])
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array([o[0] for o in out], pa.float64()),
-                                              pa.array([o[1] for o in out], pa.string())], ["doc_id", "score", "evidence"])
+            votes = np.array([o[0] for o in out])
+            scores = np.where(np.isnan(votes), rate_blank, calibrate(np.nan_to_num(votes)))
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(scores, pa.float64()), pa.array([o[1] for o in out], pa.string())],
+                                             ["doc_id", "score", "evidence"])
 
     scored = vecs.mapInArrow(rate_batches, "doc_id long, score double, evidence string")
     return scored.select("doc_id", "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "evidence")
