@@ -11,11 +11,13 @@
    document frequencies over all documents give the IDF. ``label_factor``: a term that
    depends on the label beyond chance weighs more, by its log odds ratio; all others
    keep their plain weight, none is left out.
-4. ``BlockMaxIndex``: an inverted index of the examples, similar ones in one block,
-   with the largest weight of every term in every block. A text's terms bound what any
-   example of a block can reach; blocks are visited from the highest bound down, and
-   those whose bound is below the k-th best cosine so far are never looked into.
-   The neighbours are exact, all ties at the k-th place included.
+4. ``BlockMaxIndex``: an inverted index of the examples, similar ones in one block.
+   The short posting lists of rare words are added up; the long ones of the ``COMMON``
+   most frequent words are cut into blocks, each with the largest weight of each word
+   in it. Both bound what any example of a block can reach; blocks are visited from the highest
+   bound down, for a number of texts at once, and a block whose bound is below a text's k-th
+   best cosine so far is skipped for it. Who may be among the k nearest is scored in
+   full: the neighbours are exact, all ties at the k-th place included.
 5. Votes are weighted by distance and by how many labelled rows an example
    stands for (ties at the k-th place share what is left of the k votes). The votes
    that each example gets from the others, against its label, calibrate the score:
@@ -45,9 +47,12 @@ from eventmart.llm.common import stage
 
 EXAMPLES = 10_000
 NEIGHBORS = 15
-#: examples of a block; blocks that are looked into at first, and each time twice as many more
+#: examples of a block, words whose long lists are held by block, and texts that are searched for at once
 BLOCK = 64
-FIRST_BLOCKS = 8
+COMMON = 512
+AT_ONCE = 64
+#: shares of the blocks after which the k-th best cosine is looked up again
+LOOK_UP = (0.03, 0.1, 0.2, 0.4)
 #: G-squared from which a term's dependence on the label is no chance, and what a unit of log odds adds to its weight
 SIGNIFICANT = 16.0
 ODDS_WEIGHT = 1.0
@@ -58,9 +63,9 @@ DENSE = 128
 NEAREST = 0.1
 #: weight of the rate without evidence among the votes
 SHRINK = 2.0
-#: cosines are rounded to this many digits; bounds allow for what rounding hides
+#: cosines are rounded to this many digits; bounds are in single precision and allow for what that hides
 DIGITS = 9
-SLACK = 1e-8
+SLACK = 1e-4
 #: bytes of text split into words at once (a longer text is split alone)
 CHUNK_BYTES = 4 << 20
 _KEPT_SCORES = 200_000
@@ -238,67 +243,108 @@ def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 class BlockMaxIndex:
-    """Exact nearest examples by cosine. Postings lie by term, then example; an entry is a term in a block."""
+    """Exact nearest examples by cosine."""
 
-    def __init__(self, examples: Iterable[tuple[int, np.ndarray, np.ndarray]], weights: np.ndarray, block: int = BLOCK):
-        self.weights, self.block = weights, block
+    def __init__(self, examples: Iterable[tuple[int, np.ndarray, np.ndarray]], weights: np.ndarray, block: int = BLOCK, common: int = COMMON):
+        self.weights = weights
         # examples that share their most frequent words are neighbours: blocks of one language and subject
         ordered = sorted(examples, key=lambda e: (list(e[1][:32]), list(e[2][:32]), e[0]))
         self.ids = np.array([e[0] for e in ordered], np.int64)
-        self.blocks = -(-len(ordered) // block)
-        terms = np.concatenate([np.empty(0, np.int32), *[np.asarray(e[1], np.int32) for e in ordered]])
-        values = np.concatenate([np.empty(0), *[unit(t, c, weights) for _, t, c in ordered]])
-        at = np.repeat(np.arange(len(ordered), dtype=np.int32), [len(e[1]) for e in ordered])
-        order = np.argsort(terms, kind="stable")        # examples rise within a term
-        terms, self.at, self.value = terms[order], at[order], values[order]
-        where = terms.astype(np.int64) * max(1, self.blocks) + self.at // block
-        self.entry = np.flatnonzero(np.r_[True, where[1:] != where[:-1]]) if len(where) else np.empty(0, np.int64)
-        self.size = np.diff(np.r_[self.entry, len(where)])
-        self.most = np.maximum.reduceat(self.value, self.entry) if len(self.entry) else self.value
-        self.in_block = (where[self.entry] % max(1, self.blocks)).astype(np.int32)
-        self.cut = np.searchsorted(terms[self.entry], np.arange(len(weights) + 1))
-        #: blocks that searches so far looked into, and could have
+        n = len(ordered)
+        self.terms = np.concatenate([np.empty(0, np.int32), *[np.asarray(e[1], np.int32) for e in ordered]])
+        self.values = np.concatenate([np.empty(0), *[unit(t, c, weights) for _, t, c in ordered]])
+        sizes = np.array([len(e[1]) for e in ordered], np.int64)
+        self.starts = np.cumsum(sizes) - sizes
+        self.sizes = sizes
+        at = np.repeat(np.arange(n, dtype=np.int32), sizes)
+        often = np.argsort(-np.bincount(self.terms, minlength=len(weights)), kind="stable")[:common]
+        self.column = np.full(len(weights), -1, np.int32)
+        self.column[often] = np.arange(len(often))
+        col = self.column[self.terms]
+        # the long lists as a table of examples, and the largest weights in each block of it
+        self.table = np.zeros((n, len(often)), np.float32)
+        self.table[at[col >= 0], col[col >= 0]] = self.values[col >= 0]
+        self.cuts = np.arange(0, n, block)
+        self.most = np.maximum.reduceat(self.table, self.cuts) if n else self.table
+        # the short lists
+        rare = np.flatnonzero(col < 0)
+        rare = rare[np.argsort(self.terms[rare], kind="stable")]
+        self.at, self.value = at[rare], self.values[rare].astype(np.float32)
+        self.cut = np.searchsorted(self.terms[rare], np.arange(len(weights) + 1))
+        self.dense = np.zeros(len(weights))      # a text's weights while it is scored in full
+        #: (text, block) pairs that searches so far looked into, and all that there were
         self.visited = self.possible = 0
 
     def nearest(self, terms: np.ndarray, counts: np.ndarray, k: int = NEIGHBORS) -> tuple[np.ndarray, np.ndarray]:
         """Positions and cosines of the k nearest examples and all that tie with the last, best first."""
-        n = len(self.ids)
-        if not n or not len(terms):
+        return self.nearest_of([(terms, counts)], k)[0]
+
+    def nearest_of(self, texts: list[tuple[np.ndarray, np.ndarray]], k: int = NEIGHBORS) -> list[tuple[np.ndarray, np.ndarray]]:
+        """``nearest`` of each of some texts; texts alike should come together."""
+        out = []
+        for start in range(0, len(texts), AT_ONCE):
+            out += self._search([(np.asarray(t, int), np.asarray(c)) for t, c in texts[start:start + AT_ONCE]], k)
+        return out
+
+    def _search(self, texts: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        n, m = len(self.ids), len(texts)
+        if not n:
+            return [(np.empty(0, int), np.empty(0)) for _ in texts]
+        units = [unit(t, c, self.weights) for t, c in texts]
+        common = np.zeros((m, self.table.shape[1]), np.float32)
+        score = np.zeros((m, n), np.float32)
+        for i, ((t, _), u) in enumerate(zip(texts, units, strict=True)):
+            col = self.column[t]
+            common[i, col[col >= 0]] = u[col >= 0]
+            t, u = t[col < 0], u[col < 0]
+            size = self.cut[t + 1] - self.cut[t]
+            t, u, size = t[size > 0], u[size > 0], size[size > 0]
+            if len(t):
+                lists = [slice(a, b) for a, b in zip(self.cut[t].tolist(), (self.cut[t] + size).tolist(), strict=True)]
+                value = np.concatenate([self.value[x] for x in lists]) * np.repeat(u, size)
+                score[i] = np.bincount(np.concatenate([self.at[x] for x in lists]), value, n)
+        # what a block can reach at most: its best sum of short lists, and the largest weights of the long ones
+        bound = np.maximum.reduceat(score, self.cuts, axis=1) + common @ self.most.T + SLACK
+        order = np.argsort(-bound.max(0), kind="stable")
+        least = np.full(m, SLACK)               # no block without any common term is worth a look
+        seen = np.zeros((m, len(order)), bool)
+        known = np.full((m, n), -1.0, np.float32)
+        best = np.full((m, k), -1.0, np.float32)
+        stops = sorted({max(1, int(x * len(order))) for x in LOOK_UP} | {len(order)})
+        for start, stop in zip([0, *stops], stops):
+            columns = []
+            for b in order[start:stop]:
+                asks = np.flatnonzero(bound[:, b] > least)
+                if len(asks):
+                    rows = slice(self.cuts[b], self.cuts[b + 1] if b + 1 < len(self.cuts) else n)
+                    known[asks, rows] = score[asks, rows] + common[asks] @ self.table[rows].T
+                    seen[asks, b] = True
+                    columns.append(np.arange(rows.start, rows.stop))
+            if columns:         # the k best so far, from those and the new ones
+                best = np.partition(np.concatenate([best, known[:, np.concatenate(columns)]], axis=1), -k, axis=1)[:, -k:]
+                least = np.maximum(SLACK, best.min(1) - SLACK)
+        self.visited += int(seen.sum())
+        self.possible += seen.size
+        return [self._exact(t, u, np.flatnonzero((known[i] >= best[i].min() - SLACK) & (known[i] > -1)), k)
+                for i, ((t, _), u) in enumerate(zip(texts, units, strict=True))]
+
+    def _exact(self, terms: np.ndarray, query: np.ndarray, place: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The k nearest among the examples at place, in double precision."""
+        if not len(place) or not len(terms):
             return np.empty(0, int), np.empty(0)
-        terms, query = np.asarray(terms, int), unit(terms, counts, self.weights)
-        sizes = self.cut[terms + 1] - self.cut[terms]
-        entries, weight = _spread(self.cut[terms], sizes), np.repeat(query, sizes)
-        block = self.in_block[entries]
-        bound = np.bincount(block, self.most[entries] * weight, self.blocks) + SLACK
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > SLACK]
-        self.possible += len(order)
-        rank = np.full(self.blocks, self.blocks)
-        rank[order] = np.arange(len(order))
-        # entries in the order in which their blocks are visited
-        by_rank = np.argsort(rank[block], kind="stable")
-        entries, weight = entries[by_rank], weight[by_rank]
-        ends = np.searchsorted(rank[block][by_rank], np.arange(len(order)), "right")
-        score = np.zeros(n)
-        done, step, least = 0, FIRST_BLOCKS, 0.0
-        while done < len(order) and bound[order[done]] >= least:
-            upto = min(len(order), done + step)
-            # blocks in between whose bound is below the k-th best are not looked into either
-            upto = done + max(1, int(np.searchsorted(-bound[order[done:upto]], -least, "right")))
-            part = slice(ends[done - 1] if done else 0, ends[upto - 1])
-            size = self.size[entries[part]]
-            place = _spread(self.entry[entries[part]], size)
-            score += np.bincount(self.at[place], self.value[place] * np.repeat(weight[part], size), n)
-            done, step = upto, step * 2
-            if n > k:
-                least = max(0.0, float(np.partition(score, n - k)[n - k]) - SLACK)
-        self.visited += done
-        cosine = np.round(score, DIGITS)
-        place = np.flatnonzero(cosine > 0)
+        size = self.sizes[place]
+        inside = _spread(self.starts[place], size)
+        self.dense[terms] = query
+        part = self.dense[self.terms[inside]] * self.values[inside]
+        self.dense[terms] = 0.0
+        # example by example, so that equal ones get equal cosines whatever else is scored
+        cosine = np.round(np.add.reduceat(part, np.cumsum(size) - size), DIGITS)
+        place, cosine = place[cosine > 0], cosine[cosine > 0]
         if len(place) > k:
-            place = place[cosine[place] >= np.partition(cosine[place], len(place) - k)[len(place) - k]]
-        best = np.lexsort((self.ids[place], -cosine[place]))
-        return place[best], cosine[place[best]]
+            last = np.partition(cosine, len(place) - k)[len(place) - k]
+            place, cosine = place[cosine >= last], cosine[cosine >= last]
+        best = np.lexsort((self.ids[place], -cosine))
+        return place[best], cosine[best]
 
 
 class Learned:
@@ -318,14 +364,20 @@ class Learned:
             self.vecs = None
         return self._index
 
-    def vote(self, terms: np.ndarray, counts: np.ndarray, leave_out: int | None = None) -> tuple[float, str]:
-        """The share of toxic votes among the nearest examples, and the first of them as id:label:cosine."""
+    def votes(self, texts: list[tuple[np.ndarray, np.ndarray]], leave_out: list[int] | None = None) -> list[tuple[float, str]]:
+        """Of each text the share of toxic votes among its nearest examples, and the first of them as id:label:cosine."""
+        alike = sorted(range(len(texts)), key=lambda i: texts[i][0][:32].tolist())
+        found = self.index.nearest_of([texts[i] for i in alike], self.neighbors + (leave_out is not None))
+        out: list = [None] * len(texts)
+        for i, (place, cosine) in zip(alike, found, strict=True):
+            ids = self.index.ids[place]
+            if leave_out is not None:
+                ids, cosine = ids[ids != leave_out[i]], cosine[ids != leave_out[i]]
+            out[i] = self._vote(ids.tolist(), cosine)
+        return out
+
+    def _vote(self, ids: list[int], cosine: np.ndarray) -> tuple[float, str]:
         k = self.neighbors
-        place, cosine = self.index.nearest(terms, counts, k + (leave_out is not None))
-        ids = self.index.ids[place]
-        if leave_out is not None:
-            ids, cosine = ids[ids != leave_out], cosine[ids != leave_out]
-        ids = ids.tolist()
         label = np.array([self.label[i] for i in ids], float)
         vote = np.where(label == 1, self.stands[1], self.stands[0]) / (NEAREST + 1 - np.minimum(cosine, 1))
         if len(ids) > k:  # the last ones tie for what is left of the votes
@@ -388,26 +440,27 @@ def score(docs: DataFrame, labels: DataFrame, limit: int = EXAMPLES, neighbors:
 
     def votes_of_examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = zip(batch["doc_id"].to_pylist(), _lists(batch["terms"]), _lists(batch["counts"]), strict=True)
-            votes = [shared.value.vote(t, n, leave_out=i)[0] if len(t) else None for i, t, n in lists]
-            yield pa.RecordBatch.from_arrays([pa.array(votes, pa.float64()), batch["toxic"].cast(pa.int32())], ["vote", "toxic"])
+            ids, terms, counts = batch["doc_id"].to_numpy(), _lists(batch["terms"]), _lists(batch["counts"])
+            some = [i for i, t in enumerate(terms) if len(t)]
+            votes = shared.value.votes([(terms[i], counts[i]) for i in some], [int(ids[i]) for i in some])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([v for v, _ in votes], pa.float64()), batch["toxic"].cast(pa.int32()).take(pa.array(some, pa.int64()))], ["vote", "toxic"])
 
     # spread over the cluster by id: each example searches the index once
-    judged = texts.repartition("doc_id").mapInArrow(votes_of_examples, "vote double, toxic int").filter("vote is not null").toArrow()
+    judged = texts.repartition("doc_id").mapInArrow(votes_of_examples, "vote double, toxic int").toArrow()
     label = judged["toxic"].to_numpy().astype(float) if len(judged) else np.empty(0)
     calibrate = Calibration(judged["vote"].to_numpy() if len(judged) else label, label, np.where(label == 1, stands[1], stands[0]))
 
     def rate_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made: dict[bytes, tuple[float, str]] = {}
         for batch in batches:
-            out = []
-            for t, n in zip(_lists(batch["terms"]), _lists(batch["counts"]), strict=True):
-                key = hashlib.blake2b(t.tobytes() + b"/" + n.tobytes(), digest_size=16).digest()
-                if key not in made:
-                    if len(made) >= _KEPT_SCORES:
-                        made.clear()
-                    made[key] = shared.value.vote(t, n) if len(t) else (math.nan, "")
-                out.append(made[key])
+            if len(made) >= _KEPT_SCORES:
+                made.clear()
+            texts = list(zip(_lists(batch["terms"]), _lists(batch["counts"]), strict=True))
+            keys = [hashlib.blake2b(t.tobytes() + b"/" + n.tobytes(), digest_size=16).digest() if len(t) else b"" for t, n in texts]
+            new = {key: text for key, text in zip(keys, texts, strict=True) if key and key not in made}
+            made.update(zip(new, shared.value.votes(list(new.values())), strict=True))
+            out = [made[key] if key else (math.nan, "") for key in keys]
             votes = np.array([o[0] for o in out])
             scores = np.where(np.isnan(votes), rate_blank, calibrate(np.nan_to_num(votes)))
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(scores, pa.float64()), pa.array([o[1] for o in out], pa.string())],

@@ -20,7 +20,7 @@ texts = st.dictionaries(st.integers(0, 7), st.integers(1, 4), max_size=5).map(la
 @given(st.lists(texts.filter(lambda t: t[0]), max_size=60), texts, st.integers(1, 8), st.integers(1, 9))
 def test_block_max_search_is_exact(examples, query, k, block):
     weights = np.array([3.0, 0.5, 1.0, 2.0, 0.1, 1.0, 1.0, 4.0])
-    index = tn.BlockMaxIndex([(100 + i, *e) for i, e in enumerate(examples)], weights, block)
+    index = tn.BlockMaxIndex([(100 + i, *e) for i, e in enumerate(examples)], weights, block, k)
     place, cosine = index.nearest(*query, k)
 
     def dense(terms, counts):
@@ -79,16 +79,21 @@ def test_blocks_are_skipped_and_nothing_is_lost():
         own = 20 + 495 * (i % 4)
         terms = sorted({*rng.sample(range(20), 8), *rng.sample(range(own, own + 495), 30)})
         examples.append((i, terms, [rng.randrange(1, 4) for _ in terms]))
-    index, whole = tn.BlockMaxIndex(examples, weights, 16), tn.BlockMaxIndex(examples, weights, 5000)
+    # the blocks hold all words in one index; in the other the block is all and only a few words are long lists
+    index, whole = tn.BlockMaxIndex(examples, weights, 16, 2000), tn.BlockMaxIndex(examples, weights, 5000, 3)
     for _, terms, counts in rng.sample(examples, 60):
-        some = sorted(rng.sample(terms, 20))
+        some = sorted(rng.sample(terms, 30))
         query = (some, [counts[terms.index(t)] for t in some])
-        place, cosine = index.nearest(*query, 5)
-        far, want = whole.nearest(*query, 5)
+        place, cosine = index.nearest(*query, 2)
+        far, want = whole.nearest(*query, 2)
         assert cosine.tolist() == pytest.approx(want.tolist(), abs=2e-9)
         assert index.ids[place[:1]].tolist() == whole.ids[far[:1]].tolist()
     assert whole.visited == whole.possible == 60
     assert index.visited < 0.5 * index.possible
+    texts = [(t, c) for _, t, c in rng.sample(examples, 150)]
+    for (place, cosine), text in zip(index.nearest_of(texts, 5), texts, strict=True):     # many at once
+        alone, want = index.nearest(*text, 5)
+        assert place.tolist() == alone.tolist() and cosine.tolist() == want.tolist()
 
 
 def plain_scores(rows, labels, neighbors):
