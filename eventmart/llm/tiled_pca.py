@@ -7,8 +7,9 @@
    comparison can stop.
 3. Unit vectors are rotated and dealt to tiles of about ``tile_rows`` rows:
    by their leading coordinate in steps of the largest distance two linked
-   vectors can have, then by a hash. Tile pairs whose bounding boxes on the
-   leading coordinates lie further apart than that are never compared.
+   vectors can have, then by a hash. Only tiles of equal or neighbouring steps
+   meet, and those whose bounding boxes on the leading coordinates lie further
+   apart than that distance are never compared.
 4. A pair of tiles is compared in blocks of leading dimensions: the product so
    far plus the product of the remaining lengths bounds the cosine from above;
    pairs whose bound falls below the threshold are left. Survivors are
@@ -105,22 +106,30 @@ def _tiles(rows: DataFrame, reach: float, tile_rows: int) -> DataFrame:
     """rows with the column tile, unique over all labels and dimensions."""
     rows = rows.withColumn("step", F.floor(F.element_at("head", 1) / reach).cast("int"))
     cells = rows.groupBy("label", "d", "step").agg(F.ceil(F.count("*") / tile_rows).cast("int").alias("k"))
-    cells, _ = stage(cells, "pca-cells")
+    cells, _ = stage(cells, "pca-cells")      # a row per step
     cut = F.pmod(F.xxhash64("rot"), F.col("k")).cast("int")
     return rows.join(cells, ["label", "d", "step"]).withColumn("tile", F.struct("label", "d", "step", cut.alias("cut"))).drop("k", "step")
 
 
-def _tile_pairs(tiles: DataFrame, reach: float) -> DataFrame:
-    """(pair, tile, other): every pair of tiles of a label whose boxes are within reach, from tile boxes only."""
+def _tile_pairs(tiles: DataFrame, reach: float) -> tuple[DataFrame, str]:
+    """(tile, tile2): every pair of tiles of a label whose boxes are within reach, from tile boxes only; staged.
+
+    Vectors two steps apart are out of reach, so a tile is joined with those of its
+    own step and of the next one, not with all of its label.
+    """
     box = tiles.groupBy("tile").agg(
         F.array(*[F.min(F.element_at("head", i + 1)) for i in range(BOX)]).alias("lo"),
         F.array(*[F.max(F.element_at("head", i + 1)) for i in range(BOX)]).alias("hi"))
-    box, _ = stage(box.select("tile", F.col("tile.label").alias("label"), F.col("tile.d").alias("d"), "lo", "hi"), "pca-boxes")
-    other = box.select(F.col("tile").alias("tile2"), "label", "d", F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
+    box, path = stage(box.select("tile", "tile.label", "tile.d", "tile.step", "lo", "hi"), "pca-boxes")
+    other = box.select(F.col("tile").alias("tile2"), "label", "d", "step", F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
+    steps = F.explode(F.array(F.col("step"), F.col("step") + 1)).alias("step")
     gap = sum((F.pow(F.greatest(F.col("lo")[i] - F.col("hi2")[i], F.col("lo2")[i] - F.col("hi")[i], F.lit(0.0)), F.lit(2.0))
                for i in range(BOX)), F.lit(0.0))
-    near = box.join(other, ["label", "d"]).filter((F.col("tile") <= F.col("tile2")) & (gap <= reach * reach + SLACK))
-    return stage(near.select("tile", "tile2"), "pca-tile-pairs")[0]
+    near = (box.select("tile", "label", "d", steps, "lo", "hi").join(other, ["label", "d", "step"])
+            .filter((F.col("tile") <= F.col("tile2")) & (gap <= reach * reach + SLACK)))
+    out = stage(near.select("tile", "tile2"), "pca-tile-pairs")
+    drop_stage(tiles.sparkSession, path)
+    return out
 
 
 def linked_pairs(raw_a: np.ndarray, rot_a: np.ndarray, raw_b: np.ndarray, rot_b: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
@@ -198,9 +207,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, id_col: st
     spark = vectors.sparkSession
     rows, classes = _classes(vectors, id_col, vector_col, label_col)
     reach = math.sqrt(2 - 2 * threshold) + 1e-6
-    rotated, _ = stage(_rotated(classes, _rotations(classes, sample)), "pca-rotated")
-    tiles, _ = stage(_tiles(rotated, reach, tile_rows), "pca-tiles")
-    pairs = _tile_pairs(tiles, reach)
+    rotated, rotated_path = stage(_rotated(classes, _rotations(classes, sample)), "pca-rotated")
+    tiles, tiles_path = stage(_tiles(rotated, reach, tile_rows), "pca-tiles")
+    drop_stage(spark, rotated_path)
+    pairs, pairs_path = _tile_pairs(tiles, reach)
     vectors_of = tiles.select("tile", "node", "n", "raw", "rot")
     left = pairs.join(vectors_of, "tile").withColumn("same", F.col("tile") == F.col("tile2"))
     other = pairs.select(F.col("tile").alias("tile_b"), F.col("tile2").alias("tile2_b"))
@@ -208,6 +218,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, id_col: st
     found = (left.groupBy("tile", "tile2").cogroup(right.groupBy("tile_b", "tile2_b"))
              .applyInPandas(lambda a, b: _compare(a, b, threshold), "node long, n_links long, root long"))
     found, path = stage(found, "pca-links")
+    drop_stage(spark, tiles_path)
+    drop_stage(spark, pairs_path)
     components = connected_components(found.filter("root <> node").select(F.col("node").alias("a"), F.col("root").alias("b")), "pca-components")
     links = found.groupBy("node").agg(F.sum("n_links").alias("n_links"))
     linked = classes.select("digest", "node", "n", "first_id").join(links, "node", "left").join(components, "node", "left")

@@ -87,3 +87,22 @@ def test_empty_and_unusable_tables(spark):
     assert sorted(tuple(r) for r in got) == [(1, 0, 1, True), (2, 0, 2, True)]
     with pytest.raises(ValueError):
         tiled_pca.near_duplicates(vectors(spark, []), threshold=0)
+
+
+def test_tiles_meet_those_of_their_own_and_the_next_step_only(spark):
+    """Vectors along a line of many steps: every pair within reach is there, pairs two steps apart never meet."""
+    from pyspark.sql import functions as F
+
+    reach = 0.1
+    heads = [(0, 8, float(x) / 40, [x / 40, (x % 3) / 50, 0.0, 0.0], str(x).encode()) for x in range(-40, 41)]
+    rows = spark.createDataFrame([(lab, d, h, r) for lab, d, _, h, r in heads], "label int, d int, head array<double>, rot binary")
+    tiles = tiled_pca._tiles(rows, reach, 2)
+    pairs, _ = tiled_pca._tile_pairs(tiles, reach)
+    got = {(tuple(p.tile), tuple(p.tile2)) for p in pairs.collect()}
+    assert got and all(0 <= b[2] - a[2] <= 1 for a, b in got)
+    tile_of = {tuple(r["head"]): tuple(r["tile"]) for r in tiles.select("head", F.col("tile")).collect()}
+    points = list(tile_of)
+    for p in points:
+        for q in points:
+            if math.dist(p, q) <= reach:
+                assert tuple(sorted((tile_of[p], tile_of[q]))) in got
