@@ -202,6 +202,7 @@ def vectors(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", tex
         for batch in batches:
             for rows in _chunks(batch):
                 yield pa.RecordBatch.from_arrays([rows["doc_id"].combine_chunks(), *shared.value.count(rows["text"])], ["doc_id", "terms", "counts"])
+            pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(count, "doc_id long, terms array<int>, counts array<int>")
@@ -269,7 +270,9 @@ class BlockMaxIndex:
         # the short lists
         rare = np.flatnonzero(col < 0)
         rare = rare[np.argsort(self.terms[rare], kind="stable")]
-        self.at, self.value = at[rare], self.values[rare].astype(np.float32)
+        # place and weight of a posting side by side, in one number
+        self.postings = np.empty(len(rare), np.int64)
+        self.postings.view(np.int32)[0::2], self.postings.view(np.float32)[1::2] = at[rare], self.values[rare]
         self.cut = np.searchsorted(self.terms[rare], np.arange(len(weights) + 1))
         self.dense = np.zeros(len(weights))      # a text's weights while it is scored in full
         #: (text, block) pairs that searches so far looked into, and all that there were
@@ -300,9 +303,10 @@ class BlockMaxIndex:
             size = self.cut[t + 1] - self.cut[t]
             t, u, size = t[size > 0], u[size > 0], size[size > 0]
             if len(t):
-                lists = [slice(a, b) for a, b in zip(self.cut[t].tolist(), (self.cut[t] + size).tolist(), strict=True)]
-                value = np.concatenate([self.value[x] for x in lists]) * np.repeat(u, size)
-                score[i] = np.bincount(np.concatenate([self.at[x] for x in lists]), value, n)
+                first = self.cut[t].tolist()
+                found = np.concatenate([self.postings[a:b] for a, b in zip(first, (self.cut[t] + size).tolist(), strict=True)])
+                value = found.view(np.float32)[1::2] * np.repeat(u.astype(np.float32), size)
+                score[i] = np.bincount(found.view(np.int32)[0::2], value, n)
         # what a block can reach at most: its best sum of short lists, and the largest weights of the long ones
         bound = np.maximum.reduceat(score, self.cuts, axis=1) + common @ self.most.T + SLACK
         order = np.argsort(-bound.max(0), kind="stable")
@@ -316,6 +320,8 @@ class BlockMaxIndex:
             for b in order[start:stop]:
                 asks = np.flatnonzero(bound[:, b] > least)
                 if len(asks):
+                    if len(asks) > m * 3 // 4:      # then all, without a copy of those that do
+                        asks = slice(None)
                     rows = slice(self.cuts[b], self.cuts[b + 1] if b + 1 < len(self.cuts) else n)
                     known[asks, rows] = score[asks, rows] + common[asks] @ self.table[rows].T
                     seen[asks, b] = True
@@ -325,7 +331,8 @@ class BlockMaxIndex:
                 least = np.maximum(SLACK, best.min(1) - SLACK)
         self.visited += int(seen.sum())
         self.possible += seen.size
-        return [self._exact(t, u, np.flatnonzero((known[i] >= best[i].min() - SLACK) & (known[i] > -1)), k)
+        floor = np.maximum(best.min(1) - SLACK, -0.5)      # what was not looked into stands at -1
+        return [self._exact(t, u, np.flatnonzero(known[i] >= floor[i]), k)
                 for i, ((t, _), u) in enumerate(zip(texts, units, strict=True))]
 
     def _exact(self, terms: np.ndarray, query: np.ndarray, place: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
