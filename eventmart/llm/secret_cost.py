@@ -7,14 +7,15 @@ value as a chain of dictionary words, dates, repeats, keyboard walks and
 brute-force characters, found by dynamic programming over the whole value. A
 value of ``min_bits`` or more that no base span covers adds a span of kind cost.
 
-The dictionary is the fixed list of password words and the ``DICTIONARY`` words that
-most documents of the corpus hold, counted over all documents; a word's price is its
-rank. Prose is not a secret: after ``is`` a value must have more than letters of a word.
+The dictionary is the fixed list of password words and up to ``DICTIONARY`` words that
+most documents of the corpus hold (two at least), counted over all documents; a word's
+price is its rank. Prose is not a secret: after ``is`` a value must have more than letters of a word.
 
 Defined cases: null text counts as empty (no spans); texts and values are
 scanned whole, whatever their length, in time that grows with it; repeated rows are
 scanned (and counted for the dictionary) each; words of equally many documents rank
-by their letters; an empty table gives an empty result; other columns are ignored.
+by their letters, and are all left out where they would exceed the dictionary's size;
+an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
 
+from eventmart.llm.common import drop_stage, stage
 from eventmart.llm.source_audit import term_counts
 
 KINDS = ("assign", "access", "hex", "cost")
@@ -137,14 +139,24 @@ FIXED = Dictionary(ranked(WORDS))
 
 
 def learn_dictionary(docs: DataFrame, size: int = DICTIONARY, text_col: str = "text") -> dict[str, float]:
-    """Prices of the fixed words and of the ``size`` words that most documents hold.
+    """Prices of the fixed words and of at most ``size`` words that most documents hold.
 
-    All documents are counted, in partial counts per task; what reaches the driver is ``size`` words.
+    All documents are counted, in partial counts per task. The number of words per
+    document count (a small table) says from which count on they fit into the
+    dictionary; only those reach the driver.
     """
     counts = term_counts(docs.select(F.col(text_col).alias("text"), F.lit("").alias("lang"), F.lit("").alias("source")))
-    letters = F.length("term")
-    top = counts.filter(letters.between(SHORTEST, LONGEST)).orderBy(F.desc("docs"), "term").limit(size)
-    prices = ranked([r["term"] for r in top.select("term", "docs").orderBy(F.desc("docs"), "term").collect()])
+    counts = counts.filter((F.col("docs") >= 2) & F.length("term").between(SHORTEST, LONGEST)).select("term", "docs")
+    counts, path = stage(counts, "secret-words")
+    least, held = None, 0
+    for n_docs, n_words in counts.groupBy("docs").count().orderBy(F.desc("docs")).toLocalIterator():
+        held += n_words
+        if held > size:
+            break
+        least = n_docs
+    kept = [] if least is None else counts.filter(F.col("docs") >= least).collect()
+    drop_stage(docs.sparkSession, path)
+    prices = ranked([r["term"] for r in sorted(kept, key=lambda r: (-r["docs"], r["term"]))])
     for word, bits in FIXED.bits.items():
         prices[word] = min(bits, prices.get(word, math.inf))
     return prices
