@@ -67,7 +67,7 @@ SHRINK = 2.0
 DIGITS = 9
 SLACK = 1e-4
 #: bytes of text split into words at once (a longer text is split alone)
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 8 << 20
 _KEPT_SCORES = 200_000
 
 
@@ -237,12 +237,6 @@ def unit(terms: np.ndarray, counts: np.ndarray, weights: np.ndarray) -> np.ndarr
     return w / math.sqrt(float(w @ w)) if len(w) and w.any() else w
 
 
-def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """starts[0], starts[0] + 1, ... of each (start, size), one behind the other."""
-    ends = np.cumsum(sizes)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
-
-
 class BlockMaxIndex:
     """Exact nearest examples by cosine."""
 
@@ -339,10 +333,10 @@ class BlockMaxIndex:
         """The k nearest among the examples at place, in double precision."""
         if not len(place) or not len(terms):
             return np.empty(0, int), np.empty(0)
-        size = self.sizes[place]
-        inside = _spread(self.starts[place], size)
+        size, start = self.sizes[place], self.starts[place]
+        own = [slice(a, b) for a, b in zip(start.tolist(), (start + size).tolist(), strict=True)]
         self.dense[terms] = query
-        part = self.dense[self.terms[inside]] * self.values[inside]
+        part = self.dense[np.concatenate([self.terms[x] for x in own])] * np.concatenate([self.values[x] for x in own])
         self.dense[terms] = 0.0
         # example by example, so that equal ones get equal cosines whatever else is scored
         cosine = np.round(np.add.reduceat(part, np.cumsum(size) - size), DIGITS)
@@ -368,6 +362,7 @@ class Learned:
         if self._index is None:
             lists = [[x for chunk in self.vecs[c].chunks for x in _lists(chunk)] for c in ("terms", "counts")]
             self._index = BlockMaxIndex([e for e in zip(self.ids.tolist(), *lists, strict=True) if len(e[1])], self.weights)
+            self.toxic = np.array([self.label[i] for i in self._index.ids.tolist()], float)      # by position
             self.vecs = None
         return self._index
 
@@ -377,21 +372,20 @@ class Learned:
         found = self.index.nearest_of([texts[i] for i in alike], self.neighbors + (leave_out is not None))
         out: list = [None] * len(texts)
         for i, (place, cosine) in zip(alike, found, strict=True):
-            ids = self.index.ids[place]
             if leave_out is not None:
-                ids, cosine = ids[ids != leave_out[i]], cosine[ids != leave_out[i]]
-            out[i] = self._vote(ids.tolist(), cosine)
+                others = self.index.ids[place] != leave_out[i]
+                place, cosine = place[others], cosine[others]
+            out[i] = self._vote(place, cosine)
         return out
 
-    def _vote(self, ids: list[int], cosine: np.ndarray) -> tuple[float, str]:
-        k = self.neighbors
-        label = np.array([self.label[i] for i in ids], float)
+    def _vote(self, place: np.ndarray, cosine: np.ndarray) -> tuple[float, str]:
+        k, ids, label = self.neighbors, self.index.ids[place], self.toxic[place]
         vote = np.where(label == 1, self.stands[1], self.stands[0]) / (NEAREST + 1 - np.minimum(cosine, 1))
         if len(ids) > k:  # the last ones tie for what is left of the votes
             last = cosine == cosine[-1]
             vote[last] *= (k - (~last).sum()) / last.sum()
         share = float((vote @ label + SHRINK * self.rate) / (vote.sum() + SHRINK))
-        return share, ",".join(f"{i}:{self.label[i]}:{c:.4f}" for i, c in zip(ids[:5], cosine[:5].tolist(), strict=True))
+        return share, ",".join(f"{i}:{t:.0f}:{c:.4f}" for i, t, c in zip(ids[:5].tolist(), label[:5].tolist(), cosine[:5].tolist(), strict=True))
 
 
 class Calibration:
