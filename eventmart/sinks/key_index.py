@@ -24,6 +24,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from eventmart.session import run_together
+
 BUCKET_ROWS = 2048
 MAX_RUNS = 8
 #: bits of a filter (the size of Spark's bitmaps), and how many of them a key sets
@@ -89,11 +91,16 @@ class KeyIndex:
         return df.select(*keys, *rest).withColumn(KEY_HASH, F.xxhash64(*self.keys))
 
     def _path(self, run: dict, kind: str) -> str:
-        return f"{self.root}/{run['id']}/{kind}"
+        return f"{self.root}/{kind}/run={run['id']}"
 
     def _rows(self, run: dict) -> DataFrame:
         return self.spark.read.schema(self.row_schema).parquet(self._path(run, "keys"))
 
+    def _filters(self, runs: list[dict]) -> DataFrame:
+        """(run, bucket, bits) of some runs, as one scan."""
+        reader = self.spark.read.schema(f"{BUCKET} long, bits binary, run string").option("basePath", f"{self.root}/filter")
+        return reader.parquet(*[self._path(r, "filter") for r in runs])
+
     def add(self, rows: DataFrame, n_rows: int, runs: list[dict]) -> list[dict]:
         """Write the keys (and partition) of rows as a run; the runs that are valid with it."""
         if not n_rows:
@@ -109,14 +116,14 @@ class KeyIndex:
                 n_rows += run["rows"]
         buckets = 1 << max(0, (-(-n_rows // self.bucket_rows) - 1).bit_length())
         run = {"id": uuid.uuid4().hex[:16], "buckets": buckets, "rows": n_rows}
-        dealt = rows.withColumn(BUCKET, F.pmod(KEY_HASH, F.lit(buckets).cast("long"))).select(*self.row_schema.fieldNames())
+        bucket = F.pmod(KEY_HASH, F.lit(buckets).cast("long")).alias(BUCKET)
+        dealt = rows.select(bucket, *self.keys, PART)
         files = -(-n_rows // FILE_ROWS)
         dealt = dealt.coalesce(1) if files == 1 else dealt.repartitionByRange(files, BUCKET)
-        (dealt.sortWithinPartitions(BUCKET).write.option("parquet.page.row.count.limit", max(1, self.bucket_rows // 2))
-         .parquet(self._path(run, "keys")))
-        written = self._rows(run).select(BUCKET, F.explode(_probes(F.xxhash64(*self.keys))).alias("position"))
-        filters = written.groupBy(BUCKET).agg(F.bitmap_construct_agg("position").alias("bits"))
-        filters.write.parquet(self._path(run, "filter"))
+        dealt = dealt.sortWithinPartitions(BUCKET).write.option("parquet.page.row.count.limit", max(1, self.bucket_rows // 2))
+        filters = rows.select(bucket, F.explode(_probes(F.col(KEY_HASH))).alias("position")).groupBy(BUCKET).agg(
+            F.bitmap_construct_agg("position").alias("bits"))
+        run_together(self.spark, [lambda: dealt.parquet(self._path(run, "keys")), lambda: filters.write.parquet(self._path(run, "filter"))])
         return [*kept, run]
 
     def _hits(self, hashed: DataFrame, runs: list[dict]) -> dict[str, list[int] | None]:
@@ -124,11 +131,8 @@ class KeyIndex:
         asked = F.explode(F.array(*[F.struct(F.lit(r["id"]).alias("run"), F.lit(r["buckets"]).cast("long").alias("buckets")) for r in runs]))
         asked = hashed.select(KEY_HASH, asked.alias("r")).select(
             F.col("r.run").alias("run"), F.pmod(KEY_HASH, F.col("r.buckets")).alias(BUCKET), _probes(F.col(KEY_HASH)).alias("probes"))
-        filters = reduce(DataFrame.unionByName, [
-            self.spark.read.schema(f"{BUCKET} long, bits binary").parquet(self._path(r, "filter")).withColumn("run", F.lit(r["id"]))
-            for r in runs])
         passes = reduce(Column.__and__, [_is_set("bits", F.col("probes")[i]) for i in range(PROBES)])
-        hits = asked.join(filters, ["run", BUCKET]).filter(passes).select("run", BUCKET).distinct()
+        hits = asked.join(self._filters(runs), ["run", BUCKET]).filter(passes).select("run", BUCKET).distinct()
         found = hits.limit(MAX_RANGES + 1).collect()
         if len(found) > MAX_RANGES:
             return {r["id"]: None for r in runs}
@@ -161,4 +165,5 @@ class KeyIndex:
         """Delete runs that no commit names any more."""
         from eventmart.sinks.table import delete_path
         for run in runs:
-            delete_path(self.spark, f"{self.root}/{run['id']}")
+            for kind in ("keys", "filter"):
+                delete_path(self.spark, self._path(run, kind))

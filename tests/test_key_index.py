@@ -111,7 +111,8 @@ def test_runs_that_were_merged_away_are_deleted(spark, scratch):
     for step in range(12):
         t.merge_insert(frame(spark, range(step * 2, step * 2 + 3), step), ["id"])
     runs = t.commits()[-1]["key_index"]["runs"]
-    assert sorted(p.rsplit("/", 1)[1] for p in list_subdirs(spark, f"{t.root}/keys")) == sorted(r["id"] for r in runs)
+    for kind in ("keys", "filter"):
+        assert sorted(p.rsplit("=", 1)[1] for p in list_subdirs(spark, f"{t.root}/keys/{kind}")) == sorted(r["id"] for r in runs)
     assert t.read().count() == 25 and sum(r["rows"] for r in runs) == 25
 
 
@@ -162,7 +163,7 @@ def test_key_rows_read_for_a_batch_do_not_grow_with_the_table(scratch):
     plans, merges, read = {}, {}, {}
 
     def walk(node, execution, scans):
-        if node["nodeName"].startswith("Scan parquet") and "/keys]" in str(node.get("metadata", {})):
+        if node["nodeName"].startswith("Scan parquet") and "/keys/keys/run=" in str(node.get("metadata", {})):
             for m in node["metrics"]:
                 if m["name"] == "number of output rows":
                     scans[m["accumulatorId"]] = execution
