@@ -6,7 +6,9 @@ beside it: 32,768 bits, four of them set per key, built with Spark's bitmap
 aggregate. A batch asks the filters first; only buckets that hold one of its keys
 (or, about once in 400 keys, seem to) are then read, as ranges of the sorted files
 that Parquet's page statistics skip to. So the key rows read for a batch grow with
-the batch, not with the table.
+the batch, not with the table. The keys of a small batch are sent to every task;
+those of a large one are dealt out and sorted, in the joins with the filters and
+with the runs, so that no task and no driver holds them all.
 
 Every merge adds one run with the keys it wrote; when there would be more than
 ``max_runs``, the smaller half of them becomes one run with the new keys. A table's
@@ -32,8 +34,12 @@ MAX_RUNS = 8
 FILTER_BITS, PROBES = 32_768, 4
 #: keys in a file of a run
 FILE_ROWS = 1 << 20
+#: keys whose filters one task builds
+FILTER_ROWS = 1 << 18
 #: buckets that a lookup reads as ranges; beyond, it reads the runs that are hit
 MAX_RANGES = 256
+#: rows of a batch (a row per key and run that is asked) that a lookup sends whole to every task
+BROADCAST_ROWS = 1 << 17
 
 KEY_HASH, BUCKET, PART = "_hash", "_bucket", "_part"
 
@@ -67,6 +73,16 @@ def _any_of(conditions: list[Column]) -> Column:
     return conditions[0]
 
 
+def _side(rows: DataFrame, n_rows: int) -> DataFrame:
+    """rows as one side of a join: whole to every task if few, else dealt out and sorted.
+
+    Their number is known. Left to Spark's estimate, which takes the size of the files
+    below and sees neither their compression nor the rows that an explode adds, millions
+    of keys are broadcast.
+    """
+    return F.broadcast(rows) if n_rows <= BROADCAST_ROWS else rows.hint("merge")
+
+
 class KeyIndex:
     """The runs of one table's keys under ``root``.
 
@@ -121,19 +137,26 @@ class KeyIndex:
         files = -(-n_rows // FILE_ROWS)
         dealt = dealt.coalesce(1) if files == 1 else dealt.repartitionByRange(files, BUCKET)
         dealt = dealt.sortWithinPartitions(BUCKET).write.option("parquet.page.row.count.limit", max(1, self.bucket_rows // 2))
-        filters = rows.select(bucket, F.explode(_probes(F.col(KEY_HASH))).alias("position")).groupBy(BUCKET).agg(
+        # the bitmap aggregate sorts its positions, four to a key: dealt out by bucket first, a task has few
+        filters = rows.select(bucket, KEY_HASH).repartition(-(-n_rows // FILTER_ROWS), BUCKET)
+        filters = filters.select(BUCKET, F.explode(_probes(F.col(KEY_HASH))).alias("position")).groupBy(BUCKET).agg(
             F.bitmap_construct_agg("position").alias("bits"))
         run_together(self.spark, [lambda: dealt.parquet(self._path(run, "keys")), lambda: filters.write.parquet(self._path(run, "filter"))])
         return [*kept, run]
 
-    def _hits(self, hashed: DataFrame, runs: list[dict]) -> dict[str, list[int] | None]:
-        """Run id -> its buckets whose filter lets a key of the batch pass; None: too many to name."""
+    def _hit_buckets(self, hashed: DataFrame, runs: list[dict], n_rows: int) -> DataFrame:
+        """(run, bucket) whose filter lets a key of the batch pass."""
         asked = F.explode(F.array(*[F.struct(F.lit(r["id"]).alias("run"), F.lit(r["buckets"]).cast("long").alias("buckets")) for r in runs]))
         asked = hashed.select(KEY_HASH, asked.alias("r")).select(
-            F.col("r.run").alias("run"), F.pmod(KEY_HASH, F.col("r.buckets")).alias(BUCKET), _probes(F.col(KEY_HASH)).alias("probes"))
-        passes = reduce(Column.__and__, [_is_set("bits", F.col("probes")[i]) for i in range(PROBES)])
-        hits = asked.join(self._filters(runs), ["run", BUCKET]).filter(passes).select("run", BUCKET).distinct()
-        found = hits.limit(MAX_RANGES + 1).collect()
+            F.col("r.run").alias("run"), F.pmod(KEY_HASH, F.col("r.buckets")).alias(BUCKET), KEY_HASH)
+        probes = _probes(F.col(KEY_HASH))
+        passes = reduce(Column.__and__, [_is_set("bits", probes[i]) for i in range(PROBES)])
+        asked = _side(asked, n_rows * len(runs))
+        return asked.join(self._filters(runs), ["run", BUCKET]).filter(passes).select("run", BUCKET).distinct()
+
+    def _hits(self, hashed: DataFrame, runs: list[dict], n_rows: int) -> dict[str, list[int] | None]:
+        """Run id -> its buckets whose filter lets a key of the batch pass; None: too many to name."""
+        found = self._hit_buckets(hashed, runs, n_rows).limit(MAX_RANGES + 1).collect()
         if len(found) > MAX_RANGES:
             return {r["id"]: None for r in runs}
         out: dict[str, list[int] | None] = {}
@@ -141,15 +164,18 @@ class KeyIndex:
             out.setdefault(run, []).append(bucket)
         return out
 
-    def matched(self, batch: DataFrame, runs: list[dict]) -> DataFrame | None:
+    def matched(self, batch: DataFrame, runs: list[dict], n_rows: int | None = None) -> DataFrame | None:
         """(keys, partition) of the index rows whose key is in the batch; None if there is none for certain.
 
         A key can come more than once (in the partitions an upsert moved it through).
+        ``n_rows``: the rows of the batch, counted if not given.
         """
         if not runs:
             return None
+        if n_rows is None:
+            n_rows = batch.count()
         hashed = self._hashed(batch)
-        hits = self._hits(hashed, runs)
+        hits = self._hits(hashed, runs, n_rows)
         if not hits:
             return None
         parts = []
@@ -159,7 +185,8 @@ class KeyIndex:
                 if buckets is not None:
                     rows = rows.filter(_any_of([F.col(BUCKET).between(a, b) for a, b in _ranges(buckets)]))
                 parts.append(rows.select(*self.keys, PART))
-        return reduce(DataFrame.unionByName, parts).join(hashed.select(*self.keys), self.keys, "left_semi")
+        return reduce(DataFrame.unionByName, parts).join(
+            _side(hashed.select(*self.keys), n_rows), self.keys, "left_semi")
 
     def drop(self, runs: list[dict]) -> None:
         """Delete runs that no commit names any more."""

@@ -443,7 +443,7 @@ class VersionedTable:
         runs = self._index_runs(index)
         present = M.require_keys(batch, keys)
         new = present if batch_unique else present.dropDuplicates(keys)
-        matched = index.matched(present, runs)
+        matched = index.matched(present, runs, meta.get("num_input_rows"))
         if matched is not None:
             new = new.join(matched.select(*keys), keys, "left_anti")
         new = new.select(*self.schema().fieldNames())
@@ -472,7 +472,7 @@ class VersionedTable:
                 return self._commit(M.upsert(target, staged, keys, check_batch=False), "MERGE", replaces_all=True, **meta)
             index = self.key_index(keys)
             runs = self._index_runs(index)
-            matched = index.matched(staged, runs)
+            matched = index.matched(staged, runs, n)
             values, has_null, merged, kept = [], False, staged, None
             if matched is not None:
                 values, has_null = M.partition_values(matched.select(F.col(PART).alias(part)), part)

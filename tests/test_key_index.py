@@ -63,6 +63,40 @@ def test_types_of_the_batch_need_not_be_the_tables(spark, scratch):
     assert [r.id for r in index.matched(spark.createDataFrame([(2,), (3,)], "id int"), runs).collect()] == [2]
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_keys_of_a_large_batch_are_not_sent_whole_to_every_task(spark, scratch):
+    """200,000 keys in files of under 2 MB, which Spark would broadcast."""
+    path = scratch("batch")
+    spark.range(200_000).write.parquet(path)
+    batch = spark.read.parquet(path)
+    index = KeyIndex(spark, scratch("keys"), ["id"], batch.schema)
+    old = spark.range(199_000, 230_000)
+    runs = index.add(old, 31_000, index.add(spark.range(-500, 0), 500, []))
+    found = index.matched(batch, runs)
+    assert "BroadcastHashJoin" not in _plan(found) and "SortMergeJoin" in _plan(found)
+    assert sorted(r.id for r in found.collect()) == list(range(199_000, 200_000))
+    hits = index._hit_buckets(index._hashed(batch), runs, 200_000)
+    assert "BroadcastHashJoin" not in _plan(hits) and "SortMergeJoin" in _plan(hits)
+    few = batch.filter("id >= 199990")
+    hits_of_few = index._hit_buckets(index._hashed(few), runs, 10)
+    assert "BroadcastHashJoin" in _plan(hits_of_few)
+    assert {tuple(r) for r in hits_of_few.collect()} <= {tuple(r) for r in hits.collect()}
+    assert sorted(r.id for r in index.matched(few, runs).collect()) == list(range(199_990, 200_000))
+
+
+def test_filters_are_built_by_tasks_of_few_keys_each(spark, scratch, monkeypatch):
+    monkeypatch.setattr("eventmart.sinks.key_index.FILTER_ROWS", 1000)
+    index = KeyIndex(spark, scratch("keys"), ["id"], StructType().add("id", LongType()), bucket_rows=64)
+    runs = index.add(spark.range(10_000), 10_000, [])
+    files = glob.glob(index._path(runs[0], "filter").removeprefix("file:") + "/part-*")
+    filters = index._filters(runs)
+    assert 5 <= len(files) <= 10 and filters.count() == filters.select("_bucket").distinct().count() == runs[0]["buckets"] == 256
+    assert index.matched(spark.range(9_990, 10_010), runs).count() == 10
+
+
 def test_merges_and_upserts_through_the_index(spark, scratch):
     t = VersionedTable(spark, scratch("t"), partition_by="d")
     t.append(frame(spark, range(5)))                        # not indexed yet

@@ -67,6 +67,16 @@ def test_dedup_restart_after_commit_and_fresh_checkpoint_rerun(spark, scratch):
     assert report["late_rate"].endswith("%")
 
 
+def test_a_micro_batch_writes_one_file_per_small_partition(spark, scratch):
+    """The stream's own session plans without AQE: there, each task writes each date."""
+    segs = [[line(i + 100 * s, f"2024-01-0{1 + i % 2}T0{i % 10}:00:00") for i in range(60)] for s in range(2)]
+    t, m = ingest(spark, landing_files(spark, scratch, segs), scratch("tbl"), scratch("ckpt"), delay="3 days")
+    assert (m.inserted, t.read().count()) == (120, 120)
+    files = [f for c in t.commits() if c["num_output_rows"]
+             for f in spark.read.parquet(t._attempt_path(c["version"], c["attempt"])).inputFiles()]
+    assert len(files) == 2 * m.batches
+
+
 def test_late_rows_dropped_after_watermark_lag(spark, scratch):
     # a@00:00 | c@05:00 | d@05:01 | late z@00:02 + y@04:55, 10-minute mark
     segs = [[line(1, "2024-01-01T00:00:00")], [line(2, "2024-01-01T05:00:00")],
