@@ -87,6 +87,17 @@ def test_keys_of_a_large_batch_are_not_sent_whole_to_every_task(spark, scratch):
     assert sorted(r.id for r in index.matched(few, runs).collect()) == list(range(199_990, 200_000))
 
 
+def test_a_key_that_comes_again_under_another_date_is_matched_by_dealt_out_joins_too(spark, scratch, monkeypatch):
+    monkeypatch.setattr("eventmart.sinks.key_index.BROADCAST_ROWS", 0)
+    t = VersionedTable(spark, scratch("t"), partition_by="d")
+    t.merge_insert(frame(spark, range(20)), ["id"])
+    t.merge_insert(frame(spark, range(15, 30), 39), ["id"])      # 15 to 19 are there
+    t.merge_insert(frame(spark, range(25, 32), 5), ["id"])       # 25 to 29 are there
+    want = {**{str(i): DAYS[0] for i in range(20)}, **{str(i): DAYS[39] for i in range(20, 30)}, "30": DAYS[5], "31": DAYS[5]}
+    rows = t.read().collect()
+    assert len(rows) == 32 and {r["id"]: r["d"] for r in rows} == want
+
+
 def test_filters_are_built_by_tasks_of_few_keys_each(spark, scratch, monkeypatch):
     monkeypatch.setattr("eventmart.sinks.key_index.FILTER_ROWS", 1000)
     index = KeyIndex(spark, scratch("keys"), ["id"], StructType().add("id", LongType()), bucket_rows=64)
