@@ -7,8 +7,8 @@ aggregate. A batch asks the filters first; only buckets that hold one of its key
 (or, about once in 400 keys, seem to) are then read, as ranges of the sorted files
 that Parquet's page statistics skip to. So the key rows read for a batch grow with
 the batch, not with the table. The keys of a small batch are sent to every task;
-those of a large one are dealt out and sorted, in the joins with the filters and
-with the runs, so that no task and no driver holds them all.
+those of a large one are dealt out and sorted, in one join with the filters and one
+with the runs, however many these are, so that no task and no driver holds them all.
 
 Every merge adds one run with the keys it wrote; when there would be more than
 ``max_runs``, the smaller half of them becomes one run with the new keys. A table's
@@ -109,8 +109,9 @@ class KeyIndex:
     def _path(self, run: dict, kind: str) -> str:
         return f"{self.root}/{kind}/run={run['id']}"
 
-    def _rows(self, run: dict) -> DataFrame:
-        return self.spark.read.schema(self.row_schema).parquet(self._path(run, "keys"))
+    def _rows(self, runs: list[dict]) -> DataFrame:
+        """(bucket, keys, partition) of some runs, as one scan."""
+        return self.spark.read.schema(self.row_schema).parquet(*[self._path(r, "keys") for r in runs])
 
     def _filters(self, runs: list[dict]) -> DataFrame:
         """(run, bucket, bits) of some runs, as one scan."""
@@ -128,7 +129,7 @@ class KeyIndex:
             by_size = sorted(runs, key=lambda r: r["rows"])
             merged, kept = by_size[:max(1, self.max_runs // 2)], by_size[max(1, self.max_runs // 2):]
             for run in merged:
-                rows = rows.unionByName(self._hashed(self._rows(run)))
+                rows = rows.unionByName(self._hashed(self._rows([run])))
                 n_rows += run["rows"]
         buckets = 1 << max(0, (-(-n_rows // self.bucket_rows) - 1).bit_length())
         run = {"id": uuid.uuid4().hex[:16], "buckets": buckets, "rows": n_rows}
@@ -178,15 +179,18 @@ class KeyIndex:
         hits = self._hits(hashed, runs, n_rows)
         if not hits:
             return None
-        parts = []
-        for run in runs:
-            if run["id"] in hits:
-                buckets, rows = hits[run["id"]], self._rows(run)
-                if buckets is not None:
-                    rows = rows.filter(_any_of([F.col(BUCKET).between(a, b) for a, b in _ranges(buckets)]))
-                parts.append(rows.select(*self.keys, PART))
-        return reduce(DataFrame.unionByName, parts).join(
-            _side(hashed.select(*self.keys), n_rows), self.keys, "left_semi")
+        # a merge join with a union would be a join with each run, which one task may run all, each sorting the batch's keys
+        large = n_rows > BROADCAST_ROWS
+        asked = [runs] if large else [[r] for r in runs]
+        held = reduce(DataFrame.unionByName, [self._in_buckets(hit, hits) for rs in asked if (hit := [r for r in rs if r["id"] in hits])])
+        return held.join(_side(hashed.select(*self.keys), n_rows), self.keys, "left_semi")
+
+    def _in_buckets(self, runs: list[dict], hits: dict[str, list[int] | None]) -> DataFrame:
+        """(keys, partition) of some runs in the buckets that are hit in any of them, as one scan."""
+        rows, named = self._rows(runs), [hits[r["id"]] for r in runs]
+        if None not in named:
+            rows = rows.filter(_any_of([F.col(BUCKET).between(a, b) for a, b in _ranges(list(set().union(*named)))]))
+        return rows.select(*self.keys, PART)
 
     def drop(self, runs: list[dict]) -> None:
         """Delete runs that no commit names any more."""

@@ -87,6 +87,21 @@ def test_keys_of_a_large_batch_are_not_sent_whole_to_every_task(spark, scratch):
     assert sorted(r.id for r in index.matched(few, runs).collect()) == list(range(199_990, 200_000))
 
 
+@pytest.mark.parametrize("max_ranges", [256, 0])        # buckets by name, runs whole
+def test_a_large_batch_is_sorted_once_for_all_runs(spark, scratch, monkeypatch, max_ranges):
+    monkeypatch.setattr("eventmart.sinks.key_index.BROADCAST_ROWS", 0)
+    monkeypatch.setattr("eventmart.sinks.key_index.MAX_RANGES", max_ranges)
+    index = KeyIndex(spark, scratch("keys"), ["id"], SCHEMA, "d", bucket_rows=4)
+    runs = []
+    for step in range(5):
+        n = 10 * (step + 1)                                # runs of 4, 8 and 16 buckets
+        runs = index.add(frame(spark, range(100 * step, 100 * step + n), step), n, runs)
+    found = index.matched(frame(spark, [*range(95, 120), *range(205, 210), *range(405, 500)]), runs)
+    assert _plan(found).count("SortMergeJoin") == 1 and "Union" not in _plan(found)
+    want = {**dict.fromkeys(range(100, 120), 1), **dict.fromkeys(range(205, 210), 2), **dict.fromkeys(range(405, 450), 4)}
+    assert sorted((int(r["id"]), r[PART]) for r in found.collect()) == [(i, DAYS[d]) for i, d in want.items()]
+
+
 def test_a_key_that_comes_again_under_another_date_is_matched_by_dealt_out_joins_too(spark, scratch, monkeypatch):
     monkeypatch.setattr("eventmart.sinks.key_index.BROADCAST_ROWS", 0)
     t = VersionedTable(spark, scratch("t"), partition_by="d")
