@@ -183,7 +183,9 @@ class KeyIndex:
         large = n_rows > BROADCAST_ROWS
         asked = [runs] if large else [[r] for r in runs]
         held = reduce(DataFrame.unionByName, [self._in_buckets(hit, hits) for rs in asked if (hit := [r for r in rs if r["id"] in hits])])
-        return held.join(_side(hashed.select(*self.keys), n_rows), self.keys, "left_semi")
+        found = held.join(_side(hashed.select(*self.keys), n_rows), self.keys, "left_semi")
+        # as many rows as the batch has, perhaps, so a join with them is one of large sides too
+        return found.hint("merge") if large else found
 
     def _in_buckets(self, runs: list[dict], hits: dict[str, list[int] | None]) -> DataFrame:
         """(keys, partition) of some runs in the buckets that are hit in any of them, as one scan."""

@@ -102,6 +102,20 @@ def test_a_large_batch_is_sorted_once_for_all_runs(spark, scratch, monkeypatch,
     assert sorted((int(r["id"]), r[PART]) for r in found.collect()) == [(i, DAYS[d]) for i, d in want.items()]
 
 
+def test_keys_that_a_large_batch_finds_are_not_sent_whole_to_every_task(spark, scratch, monkeypatch):
+    batch = frame(spark, range(50), 1)
+    index = KeyIndex(spark, scratch("keys"), ["id"], SCHEMA, "d")
+    runs = index.add(frame(spark, range(40)), 40, [])
+
+    def new_rows():
+        return batch.join(index.matched(batch, runs).select("id"), ["id"], "left_anti")
+    assert "BroadcastHashJoin" in _plan(new_rows())
+    monkeypatch.setattr("eventmart.sinks.key_index.BROADCAST_ROWS", 49)
+    new = new_rows()
+    assert "BroadcastHashJoin" not in _plan(new) and _plan(new).count("SortMergeJoin") == 2
+    assert sorted(int(r["id"]) for r in new.collect()) == list(range(40, 50))
+
+
 def test_a_key_that_comes_again_under_another_date_is_matched_by_dealt_out_joins_too(spark, scratch, monkeypatch):
     monkeypatch.setattr("eventmart.sinks.key_index.BROADCAST_ROWS", 0)
     t = VersionedTable(spark, scratch("t"), partition_by="d")
